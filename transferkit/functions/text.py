@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from transferkit.types import BINARY, CANONICAL_TYPES, ColumnInfo
+from transferkit.types import BINARY, CANONICAL_TYPES, FREE_TEXT, ColumnInfo
 
 TIME_PATTERN = r"^([01]\d|2[0-3]):[0-5]\d:[0-5]\d(\.\d{1,9})?$"
 
@@ -42,13 +42,18 @@ def float_text(c: Column, compat: bool = False) -> Column:
     if not compat:
         return c.cast("string")
     d = c.cast("double")
-    big = F.abs(d)
+    size = F.abs(d)
+    # most values have few decimals: padding their digits is exact and much cheaper than formatting
+    digits = d.cast("string")
+    dot = F.instr(digits, ".")
+    short = (size < F.lit(1e7)) & (F.length(digits) - dot <= 6) & ~F.contains(digits, F.lit("E"))
     whole = F.concat(d.cast("long").cast("string"), F.lit(".000000"))
     return (
-        F.when(F.isnan(d), F.lit("NaN"))
+        F.when(short, F.rpad(digits, dot + 6, F.lit("0")))
+        .when(F.isnan(d), F.lit("NaN"))
         .when(d == F.lit(float("inf")), F.lit("+Inf"))
         .when(d == F.lit(float("-inf")), F.lit("-Inf"))
-        .when((big >= F.lit(2.0**53)) & (big < F.lit(2.0**63)), whole)
+        .when((size >= F.lit(2.0**53)) & (size < F.lit(2.0**63)), whole)
         .otherwise(F.call_function("format_number", d, F.lit("0.000000")))
     )
 
@@ -99,7 +104,7 @@ def bit_text(c: Column, compat: bool = False) -> Column:
 
 
 def _rfc3339(ntz: Column) -> Column:
-    return F.concat(F.translate(ntz.cast("string"), " ", "T"), F.lit("Z"))
+    return F.concat(F.replace(ntz.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
 def canonical_text(
@@ -138,14 +143,24 @@ def canonical_text(
     raise ValueError(f"unsupported canonical type for column {info.name}: {t}")
 
 
-def null_token(text: Column, token: str, name: str, compat: bool = False) -> Column:
-    """NULL becomes the token.  A real value equal to the token would be read back as NULL, so it
-    stops the job; ``compat`` lets it through."""
-    return F.coalesce(refuse_token(text, token, name, compat), F.lit(token))
+# Characters of the text of numbers, bools, timestamps and hex values.
+_VALUE_CHARACTERS = set("-+0123456789.: \\xTZ" "abcdefABCDEF" "true false NaN Infinity")
 
 
-def refuse_token(text: Column, token: str, name: str, compat: bool = False) -> Column:
-    if compat:
+def may_hold(info: ColumnInfo, token: str) -> bool:
+    """Whether a column's text can have the token in it at all; if not, no row needs a check."""
+    return info.type in FREE_TEXT or set(token) <= _VALUE_CHARACTERS
+
+
+def refuse_token(text: Column, token: str, info: ColumnInfo, compat: bool = False) -> Column:
+    """A real value equal to the null token would be read back as NULL, so it stops the job; ``compat``
+    lets it through."""
+    if compat or not may_hold(info, token):
         return text
-    clash = F.raise_error(F.lit(f"column {name} holds the null token {token} as a value"))
+    clash = F.raise_error(F.lit(f"column {info.name} holds the null token {token} as a value"))
     return F.when(text == F.lit(token), clash).otherwise(text)
+
+
+def null_token(text: Column, token: str, info: ColumnInfo, compat: bool = False) -> Column:
+    """NULL becomes the token."""
+    return F.coalesce(refuse_token(text, token, info, compat), F.lit(token))

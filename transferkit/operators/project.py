@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transferkit.functions.literal import sql_literal
-from transferkit.functions.load import load_text, null_as_empty
+from transferkit.functions.load import load_text
 from transferkit.functions.parse import typed_value
-from transferkit.functions.text import canonical_text, null_token, refuse_token
+from transferkit.functions.text import canonical_text, null_token
 from transferkit.types import META, ColumnInfo, column, column_infos
 
 
@@ -17,7 +17,7 @@ def _project(df: DataFrame, encode, null: str | None, compat: bool) -> DataFrame
     for field, info in zip(df.schema.fields, column_infos(df)):
         text = encode(column(field.name), info, field.dataType)
         if null is not None:
-            text = null_token(text, null, info.name, compat)
+            text = null_token(text, null, info, compat)
         out.append(text.alias(field.name, metadata={META: info.metadata()}))
     return df.select(*out)
 
@@ -69,13 +69,3 @@ def key_columns(df: DataFrame) -> DataFrame:
         raise ValueError("no column is tagged as primary key; use tag(df, keys=[...])")
     return df.select(*[column(k) for k in keys])
 
-
-__all__ = [
-    "from_canonical",
-    "key_columns",
-    "null_as_empty",
-    "refuse_token",
-    "to_canonical",
-    "to_literals",
-    "to_load",
-]

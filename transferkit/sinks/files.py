@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from transferkit.functions.identifiers import qualify_name, quote_name, string_literal
 from transferkit.functions.load import null_as_empty
-from transferkit.functions.text import refuse_token
+from transferkit.functions.text import may_hold, refuse_token
 from transferkit.operators.project import key_columns, to_canonical, to_load
 from transferkit.operators.sizing import max_byte_length, rows_per_file
 from transferkit.systems import profile
@@ -34,8 +34,10 @@ def _check_token(token: str) -> None:
         raise ValueError("a null token must not be empty or hold commas, quotes or line ends")
 
 
-def _guarded(df: DataFrame, null: str, compat: bool) -> DataFrame:
-    return df.select(*[refuse_token(column(c), null, c, compat).alias(c) for c in df.columns])
+def _guarded(text: DataFrame, null: str, compat: bool) -> DataFrame:
+    return text.select(
+        *[refuse_token(column(i.name), null, i, compat).alias(i.name) for i in column_infos(text)]
+    )
 
 
 def _write_csv(
@@ -81,13 +83,18 @@ def multichar_lines(text: DataFrame, delimiter: str = DELIMITER, newline: str =
     There is no escape in this format, so a value holding a separator stops the job.
     """
 
-    def safe(name: str) -> Column:
-        c = column(name)
-        bad = F.raise_error(F.lit(f"column {name} holds the delimiter or the newline text"))
+    if not delimiter or not newline:
+        raise ValueError("the delimiter and the newline text must not be empty")
+
+    def safe(info: ColumnInfo) -> Column:
+        c = column(info.name)
+        if not (may_hold(info, delimiter) or may_hold(info, newline)):
+            return null_as_empty(c)
+        bad = F.raise_error(F.lit(f"column {info.name} holds the delimiter or the newline text"))
         clash = F.contains(c, F.lit(delimiter)) | F.contains(c, F.lit(newline))
         return null_as_empty(F.when(clash, bad.cast("string")).otherwise(c))
 
-    return text.select(F.concat_ws(delimiter, *[safe(c) for c in text.columns]).alias("value"))
+    return text.select(F.concat_ws(delimiter, *[safe(i) for i in column_infos(text)]).alias("value"))
 
 
 def write_load(

@@ -24,6 +24,8 @@ DECIMALS = ("decimal", "money")
 TIMESTAMPS = ("datetime", "datetimetz")
 BINARY = ("varbinary", "blob")
 OTHERS = ("date", "time", "uuid", "bool", "json", "xml", "varbit")
+# Types whose text is whatever the source holds.
+FREE_TEXT = TEXT + ("json", "xml", "uuid", "varbit", "time")
 CANONICAL_TYPES = TEXT + INTEGERS + FLOATS + DECIMALS + TIMESTAMPS + BINARY + OTHERS
 
 META = "canonical"
