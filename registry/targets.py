@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from registry.tables import DASHED, TEXT_OF, TYPES, WALL, every_type, select_sql, table
@@ -11,8 +9,8 @@ from transferkit import (
     SYSTEMS, column_infos, control_text, read_load, tag, to_literals, to_load, write_keys, write_load,
     write_staged,
 )
+from transferkit.operators.project import load_columns
 from transferkit.session import workspace
-from transferkit.types import column
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -258,12 +256,13 @@ def _routes(source):
 
     def run(spark, sf):
         rows = every_type(spark, sf, source if source in ("mssql", "mysql") else None)
-        out = []
+        lines = []
         for target in SYSTEMS:
-            text = to_load(rows, target, "{nll}", source=source)
-            line = F.concat_ws("|", *[column(c) for c in text.columns])
-            out.append(text.select("event_id", F.lit(target).alias("target"), F.md5(line).alias("line")))
-        return reduce(lambda a, b: a.unionAll(b), out)
+            text = load_columns(rows, target, "{nll}", source=source)
+            line = F.md5(F.concat_ws("|", *text.values()))
+            lines.append(F.struct(F.lit(target).alias("target"), line.alias("line")))
+        # one scan for all targets
+        return rows.select(F.col("event_id").cast("string").alias("event_id"), F.inline(F.array(*lines)))
 
     return run
 

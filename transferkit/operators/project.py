@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transferkit.functions.literal import sql_literal
@@ -12,14 +12,18 @@ from transferkit.functions.text import canonical_text, null_token
 from transferkit.types import META, ColumnInfo, column, column_infos
 
 
-def _project(df: DataFrame, encode, null: str | None, compat: bool) -> DataFrame:
-    out = []
+def _columns(df: DataFrame, encode, null: str | None, compat: bool) -> dict[str, Column]:
+    out = {}
     for field, info in zip(df.schema.fields, column_infos(df)):
         text = encode(column(field.name), info, field.dataType)
         if null is not None:
             text = null_token(text, null, info, compat)
-        out.append(text.alias(field.name, metadata={META: info.metadata()}))
-    return df.select(*out)
+        out[field.name] = text.alias(field.name, metadata={META: info.metadata()})
+    return out
+
+
+def _project(df: DataFrame, encode, null: str | None, compat: bool) -> DataFrame:
+    return df.select(*_columns(df, encode, null, compat).values())
 
 
 def to_canonical(
@@ -37,7 +41,18 @@ def to_load(
     source: str | None = None,
 ) -> DataFrame:
     """Every column as the text ``target``'s bulk loader reads."""
-    return _project(df, lambda c, i, t: load_text(c, i, t, target, source, compat), null, compat)
+    return df.select(*load_columns(df, target, null, compat, source).values())
+
+
+def load_columns(
+    df: DataFrame,
+    target: str,
+    null: str | None = None,
+    compat: bool = False,
+    source: str | None = None,
+) -> dict[str, Column]:
+    """The expressions of ``to_load`` by column name, to use several targets in one projection."""
+    return _columns(df, lambda c, i, t: load_text(c, i, t, target, source, compat), null, compat)
 
 
 def to_literals(df: DataFrame, target: str, null: str | None = "null", compat: bool = False) -> DataFrame:

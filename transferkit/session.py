@@ -34,6 +34,14 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory()
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under a folder; none where there is no folder."""
+    hadoop_path, fs = _file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(hadoop_path)]
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())

@@ -6,6 +6,8 @@ job commit makes a folder of files all-or-nothing, also when executors are lost.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -177,11 +179,14 @@ def load_commands(
     delimiter: str = DELIMITER,
     newline: str = NEWLINE,
     database: str = "",
+    load_id: str | None = None,
 ) -> list[str]:
     """What to run in the target's own client to load one file, or a file pattern, of ``write_load``.
 
     Columns are loaded by position on every system but Oracle, whose control text names them.
+    ``load_id`` names the load's folder in a Snowflake stage; a new name by default.
     """
+    load_id = load_id or uuid.uuid4().hex
     prof = profile(target)
     token = null or prof.null_token
     full = qualify_name(schema, table, target)
@@ -218,7 +223,7 @@ def load_commands(
         "escape_unenclosed_field = 'NONE' field_optionally_enclosed_by = '\"' "
         f"empty_field_as_null = false null_if = ({string_literal(token)})",
         f"create stage if not exists {owner}.transferkit_stage",
-        f"put file://{path} @{owner}.transferkit_stage/{table}",
-        f"copy into {full} from @{owner}.transferkit_stage/{table} "
+        f"put file://{path} @{owner}.transferkit_stage/{load_id}",
+        f"copy into {full} from @{owner}.transferkit_stage/{load_id} "
         f"file_format = (format_name = {owner}.transferkit_csv)",
     ]

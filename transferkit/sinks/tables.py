@@ -87,6 +87,13 @@ def merge_statement(target: str, staging: str, full: str, columns: list[str]) ->
     return f"insert into {full} ({names}) select {names} from ({ranked}) s where transferkit_n = 1"
 
 
+def delete_staged_statement(target: str, staging: str, table: str, schema: str | None, keys: list[str]) -> str:
+    """Delete the table's rows whose key is among the staged rows."""
+    name = quote_name(table, target)
+    on = " and ".join(f"s.{quote_name(k, target)} = {name}.{quote_name(k, target)}" for k in keys)
+    return f"delete from {qualify_name(schema, table, target)} where exists (select 1 from {staging} s where {on})"
+
+
 def write_table(
     df: DataFrame,
     target: Endpoint,
@@ -98,6 +105,7 @@ def write_table(
     incremental: bool = False,
     connections: int = 16,
     exactly_once: bool = True,
+    keys: list[str] | None = None,
     location: str | None = None,
     compat: bool = False,
 ) -> None:
@@ -105,16 +113,20 @@ def write_table(
 
     Catalog and folder targets commit all rows or none.  JDBC commits task by task, so a lost executor
     may leave rows of a failed attempt behind: ``exactly_once`` numbers the rows of a reliable
-    checkpoint, loads a staging table and moves each number once.  ``location`` is where a new schema of
+    checkpoint, loads a staging table and moves each number once.  With ``keys`` the table's rows of the
+    same keys are deleted in the transaction that moves the staged rows (JDBC; use ``upsert`` or
+    ``ChangeLog`` elsewhere).  ``location`` is where a new schema of
     the Spark catalog keeps its tables; the default is the session's warehouse.
     """
     if target.profile.schema_required and target.is_jdbc and not schema:
         raise ValueError(f"{target.system} targets need a schema")
+    if keys and not (target.is_jdbc and exactly_once):
+        raise ValueError("keys need a JDBC target with exactly_once; see upsert and ChangeLog")
     spark = df.sparkSession
     if target.is_jdbc:
         _write_jdbc(
             df, target, table, schema, create_schema, create_table, drop_table, incremental,
-            connections, exactly_once, compat,
+            connections, exactly_once, keys, compat,
         )
     elif target.path:
         base = file_path(target, table, schema)
@@ -159,7 +171,7 @@ def _write_catalog(df, table, schema, create_schema, create_table, drop_table, l
 
 def _write_jdbc(
     df, target, table, schema, create_schema, create_table, drop_table, incremental, connections,
-    exactly_once, compat,
+    exactly_once, keys, compat,
 ) -> None:
     spark, system = df.sparkSession, target.system
     full = qualify_name(schema, table, system)
@@ -186,5 +198,6 @@ def _write_jdbc(
     options = write_jdbc_options(target, staging, connections)
     numbered.write.format("jdbc").options(**options).mode("append").save()
     names = [i.name for i in column_infos(df)]
-    run_statements(spark, target, [merge_statement(system, staging, full, names)])
+    move = [delete_staged_statement(system, staging, table, schema, keys)] if keys else []
+    run_statements(spark, target, [*move, merge_statement(system, staging, full, names)])
     run_statements(spark, target, [drop])

@@ -1,19 +1,22 @@
 """A target kept as a log of keyed batches.
 
 Rewriting a large target for every small load does not scale, so each load only adds its own rows under
-its batch number.  Reading applies the loads in order: delete by key, then append.  A batch folder is
-overwritten when its batch is written again, so a restarted load or stream leaves no duplicates.
+its batch number.  Reading applies the loads in order: delete by key, then append.  A batch counts once its
+write job has committed, and writing it again replaces it, so a load or stream that was cut off leaves
+neither partial rows nor duplicates.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from transferkit.operators.incremental import after, latest_per_key
-from transferkit.session import path_exists
+from transferkit.session import child_names, path_exists
+from transferkit.types import column
 
 BATCH = "batch_id"
 
@@ -23,33 +26,64 @@ class ChangeLog:
     path: str
     keys: tuple[str, ...]
 
-    def exists(self, spark: SparkSession) -> bool:
-        return path_exists(spark, self.path)
+    def _folder(self, batch: int) -> str:
+        return f"{self.path}/{BATCH}={batch}"
 
-    def write(self, rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch}")
+    def batches(self, spark: SparkSession) -> list[int]:
+        """Numbers of the committed batches."""
+        named = [n.split("=", 1)[1] for n in child_names(spark, self.path) if n.startswith(f"{BATCH}=")]
+        return sorted(b for b in map(int, named) if path_exists(spark, f"{self._folder(b)}/_SUCCESS"))
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """All rows of all batches, with their batch number (a partition column)."""
-        return spark.read.parquet(self.path)
+    def read(self, spark: SparkSession, batches: list[int] | None = None) -> DataFrame:
+        """All rows of the given batches (default: all), with their batch number as a column."""
+        folders = [self._folder(b) for b in (self.batches(spark) if batches is None else batches)]
+        if not folders:
+            raise ValueError(f"no committed batch in {self.path}")
+        return spark.read.option("basePath", self.path).parquet(*folders)
 
     def current(self, spark: SparkSession) -> DataFrame:
         """The target as it is after every batch."""
-        return latest_per_key(self.read(spark), list(self.keys), BATCH).drop(BATCH)
-
-    def next_batch(self, spark: SparkSession) -> int:
-        if not self.exists(spark):
-            return 0
-        return self.read(spark).agg(F.max(BATCH)).first()[0] + 1
+        batches = self.batches(spark)
+        rows = self.read(spark, batches)
+        if len(batches) > 1:
+            rows = latest_per_key(rows, list(self.keys), BATCH)
+        return rows.drop(BATCH)
+
+    def write(self, rows: DataFrame, batch: int, mark: str | None = None) -> None:
+        """Write one batch; its largest mark is observed by the same job and kept beside the log."""
+        if mark is None:
+            rows.write.mode("overwrite").parquet(self._folder(batch))
+            return
+        seen = Observation()
+        observed = rows.observe(seen, F.max(column(mark)).alias("mark"))
+        observed.write.mode("overwrite").parquet(self._folder(batch))
+        schema = T.StructType([T.StructField("mark", rows.schema[mark].dataType)])
+        kept = spark_row(rows.sparkSession, [(seen.get["mark"],)], schema)
+        kept.write.mode("overwrite").parquet(f"{self._marks(mark)}/{BATCH}={batch}")
+
+    def _marks(self, mark: str) -> str:
+        return f"{self.path}/_marks/{mark}"
+
+    def high_water_mark(self, spark: SparkSession, mark: str):
+        """The largest mark of all batches: from the kept marks, and from the rows of batches without."""
+        known = {n.split("=", 1)[1] for n in child_names(spark, self._marks(mark))}
+        found = []
+        if known:
+            found.append(spark.read.parquet(*[f"{self._marks(mark)}/{BATCH}={b}" for b in sorted(known)]))
+        rest = [b for b in self.batches(spark) if str(b) not in known]
+        if rest:
+            found.append(self.read(spark, rest).select(column(mark).alias("mark")))
+        values = [df.agg(F.max("mark")).first()[0] for df in found]
+        return max((v for v in values if v is not None), default=None)
 
     def load(self, spark: SparkSession, source: DataFrame, mark: str | None = None) -> int:
         """Add one batch: everything on a first load, afterwards the rows newer than the mark."""
-        batch = self.next_batch(spark)
-        if batch and mark:
+        batches = self.batches(spark)
+        batch = batches[-1] + 1 if batches else 0
+        if batches and mark:
             # one value, pushed to the source as a literal
-            newest = self.read(spark).agg(F.max(mark)).first()[0]
-            source = after(source, mark, newest)
-        self.write(source, batch)
+            source = after(source, mark, self.high_water_mark(spark, mark))
+        self.write(source, batch, mark)
         return batch
 
     def compact(self, spark: SparkSession, path: str) -> "ChangeLog":
@@ -61,8 +95,7 @@ class ChangeLog:
     def follow(self, stream: DataFrame, checkpoint: str, first_batch: int = 1):
         """Write a stream's micro-batches into the log until its available input is used up.
 
-        The batch number comes from the stream's own checkpoint, so a batch that ran twice overwrites
-        itself.
+        The batch number comes from the stream's own checkpoint, so a batch that ran twice replaces itself.
         """
 
         def write(rows: DataFrame, epoch: int) -> None:
@@ -72,3 +105,8 @@ class ChangeLog:
         query = writer.trigger(availableNow=True).start()
         query.awaitTermination()
         return query
+
+
+def spark_row(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A one-row table in one file."""
+    return spark.createDataFrame(rows, schema).coalesce(1)
