@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registry.tables import DASHED, TEXT_OF, TYPES, WALL, every_type, select_sql, table
@@ -256,13 +259,13 @@ def _routes(source):
 
     def run(spark, sf):
         rows = every_type(spark, sf, source if source in ("mssql", "mysql") else None)
-        lines = []
+        out = []
         for target in SYSTEMS:
+            # one projection per target keeps each compiled method small enough for the JIT
             text = load_columns(rows, target, "{nll}", source=source)
             line = F.md5(F.concat_ws("|", *text.values()))
-            lines.append(F.struct(F.lit(target).alias("target"), line.alias("line")))
-        # one scan for all targets
-        return rows.select(F.col("event_id").cast("string").alias("event_id"), F.inline(F.array(*lines)))
+            out.append(rows.select(text["event_id"], F.lit(target).alias("target"), line.alias("line")))
+        return reduce(DataFrame.unionAll, out)
 
     return run
 
