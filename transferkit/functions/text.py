@@ -47,14 +47,20 @@ def float_text(c: Column, compat: bool = False) -> Column:
     digits = d.cast("string")
     dot = F.instr(digits, ".")
     short = (size < F.lit(1e7)) & (F.length(digits) - dot <= 6) & ~F.contains(digits, F.lit("E"))
-    whole = F.concat(d.cast("long").cast("string"), F.lit(".000000"))
+    six = "0.000000"
+    # from 1e9 on, six decimals are more digits than the shortest text has: print the parts
+    whole = F.floor(size).cast("long")
+    fraction = F.call_function("format_number", size - whole, F.lit(six))
+    carry = F.substring(fraction, 1, 1).cast("long")
+    parts = F.concat((whole + carry).cast("string"), F.substr(fraction, F.lit(2)))
+    signed = F.when(d < 0, F.concat(F.lit("-"), parts)).otherwise(parts)
     return (
         F.when(short, F.rpad(digits, dot + 6, F.lit("0")))
         .when(F.isnan(d), F.lit("NaN"))
         .when(d == F.lit(float("inf")), F.lit("+Inf"))
         .when(d == F.lit(float("-inf")), F.lit("-Inf"))
-        .when((size >= F.lit(2.0**53)) & (size < F.lit(2.0**63)), whole)
-        .otherwise(F.call_function("format_number", d, F.lit("0.000000")))
+        .when((size >= F.lit(1e9)) & (size < F.lit(2.0**63)), signed)
+        .otherwise(F.call_function("format_number", d, F.lit(six)))
     )
 
 

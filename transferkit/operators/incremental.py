@@ -37,7 +37,8 @@ def delete_by_keys(target_df: DataFrame, keys_df: DataFrame, keys: list[str]) ->
     As in SQL, a NULL in a key never matches: such target rows stay and such key rows delete nothing.
     """
     doomed = _distinct_keys(keys_df.where(_no_nulls(keys)), keys)
-    return target_df.join(doomed, keys, "left_anti").select(target_df.columns)
+    left = target_df.join(doomed, keys, "left_anti")
+    return left.select(*[column(c) for c in target_df.columns])
 
 
 def upsert(target_df: DataFrame, rows_df: DataFrame, keys: list[str]) -> DataFrame:
