@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from transferkit import SYSTEMS, Endpoint
+from transferkit import SYSTEMS, ColumnInfo, Endpoint, tag
 from transferkit.sinks import tables as sink
 from transferkit.sources import jdbc
 from transferkit.sources.endpoint import Partitioning, hash_predicates
@@ -71,11 +71,13 @@ def test_schema_and_drop_statements():
 
 
 def test_moving_staged_rows():
-    merge = sink.merge_statement("postgresql", "s.t_transferkit", "s.t", ["id", "order"])
-    assert merge == (
-        'insert into s.t (id, "order") select id, "order" from (select id, "order", row_number() over (partition by '
-        "transferkit_load_id order by transferkit_load_id) as transferkit_n from s.t_transferkit) s where transferkit_n = 1"
+    cols = [ColumnInfo("id", "int64"), ColumnInfo("order", "json")]
+    ranked = "row_number() over (partition by transferkit_load_id order by transferkit_load_id) as transferkit_n"
+    assert sink.merge_statement("postgresql", "s.t_x", "s.t", cols) == (
+        f'insert into s.t select id, "order" from (select id, "order", {ranked} from s.t_x) s where transferkit_n = 1'
     )
+    assert sink.merge_statement("oracle", "s.t_x", "s.t", cols).startswith("insert into s.t (id, order) select id, order")
+    assert 'select id, parse_json("order") from' in sink.merge_statement("snowflake", "s.t_x", "s.t", cols)
     delete = sink.delete_staged_statement("mssql", "s.t_transferkit", "t", "s", ["id", "k 2"])
     assert delete == (
         "delete from s.t where exists (select 1 from s.t_transferkit s where s.id = t.id and s.[k 2] = t.[k 2])"
@@ -87,7 +89,8 @@ def test_moving_staged_rows_is_exact(spark):
     rows = spark.createDataFrame([(1, "a"), (2, "a"), (2, None)], "id int, v string")
     numbered = rows.withColumn(sink.LOAD_ID, F.monotonically_increasing_id())
     numbered.unionAll(numbered.where("id = 2")).createOrReplaceTempView("staged_twice")
-    text = sink.merge_statement("mysql", "staged_twice", "t", ["id", "v"]).split(") ", 1)[1]
+    cols = [ColumnInfo("id", "int32"), ColumnInfo("v", "ntext")]
+    text = sink.merge_statement("mysql", "staged_twice", "t", cols).split("insert into t ", 1)[1]
     assert sorted(map(tuple, spark.sql(text).collect()), key=repr) == [(1, "a"), (2, "a"), (2, None)]
 
 
@@ -127,10 +130,33 @@ def test_order_of_a_jdbc_load(spark, monkeypatch):
     assert sent[1][0] == "drop table if exists s.t_transferkit"
     assert sent[1][1] == "create table if not exists s.t_transferkit (id integer, v text, transferkit_load_id bigint)"
     assert sent[2] == "rows into s.t_transferkit"
-    assert sent[3][0].startswith("delete from s.t where exists") and sent[3][1].startswith("insert into s.t (id, v)")
+    assert sent[3][0].startswith("delete from s.t where exists") and sent[3][1].startswith("insert into s.t select id, v")
     assert sent[4] == ["drop table if exists s.t_transferkit"]
     sent.clear()
     sink.write_table(df, target, "t", "s", exactly_once=False)
     assert sent == ["rows into s.t"]
     with pytest.raises(ValueError, match="need a schema"):
         sink.write_table(df, target, "t")
+
+
+def test_uuids_are_bytes_where_the_column_is(spark):
+    text = "0f0e0d0c-0b0a-0908-0706-050403020100"
+    df = tag(spark.createDataFrame([(text,)], "u string"), {"u": "uuid"})
+    assert sink.for_jdbc(df, "postgresql").first().u == text
+    for target in ("mysql", "oracle", "snowflake"):
+        assert bytes(sink.for_jdbc(df, target).first().u).hex() == text.replace("-", "")
+
+
+def test_wide_numbers_and_times_are_read_as_text():
+    cols = [
+        ColumnInfo("a", "decimal", 10, 2), ColumnInfo("b", "decimal"), ColumnInfo("c", "decimal", 60, 2),
+        ColumnInfo("d", "time"), ColumnInfo("e", "int64"),
+    ]
+    assert jdbc.custom_schema(cols) == {"customSchema": "`b` STRING, `c` STRING, `d` STRING"}
+    assert jdbc.custom_schema(cols[:1]) == {}
+
+
+def test_cursor_reads():
+    for system, url in URLS.items():
+        assert Endpoint(system, url=url).read_options()["fetchsize"] == "10000"
+    assert Endpoint("mysql", url=URLS["mysql"]).read_options()["useCursorFetch"] == "true"

@@ -12,7 +12,7 @@ from transferkit.sinks.tables import write_table
 from transferkit.sources.endpoint import Endpoint, Partitioning
 from transferkit.sources.staged import read_load
 from transferkit.sources.tables import columns, read_query, read_table
-from transferkit.types import ColumnInfo, apply_infos, column_infos
+from transferkit.types import ColumnInfo, column_infos
 
 
 @dataclass(frozen=True)
@@ -65,12 +65,12 @@ def read_source(
     """
     if query:
         return read_query(spark, source, query, query_tables)
-    rows = read_table(spark, source, table, schema, partition)
     if not source.is_jdbc:
-        return rows
+        return read_table(spark, source, table, schema)
     found = catalog.require_columns(columns(spark, source, schema, [table]), schema, table)
     known = catalog.with_canonical_types(found, source.system, "table", compat)
-    return apply_infos(rows, catalog.infos_from_rows(known))
+    infos = catalog.infos_from_rows(known)
+    return read_table(spark, source, table, schema, partition, infos=infos)
 
 
 def transfer(

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from transferkit.functions.identifiers import qualify_name, quote_name, string_literal
 from transferkit.operators import catalog
 from transferkit.session import ensure_checkpoint_dir, path_exists
 from transferkit.sources.endpoint import Endpoint
 from transferkit.sources.tables import file_path
-from transferkit.types import column_infos
+from transferkit.systems import profile
+from transferkit.types import ColumnInfo, column, column_infos, tag
 
 LOAD_ID = "transferkit_load_id"
 
@@ -76,15 +78,35 @@ def write_jdbc_options(target: Endpoint, table: str, connections: int, batch: in
     }
 
 
-def merge_statement(target: str, staging: str, full: str, columns: list[str]) -> str:
+def for_jdbc(df: DataFrame, target: str) -> DataFrame:
+    """Values in the form the target's columns take over JDBC: uuids are bytes where the column is."""
+    rules = profile(target).load
+    if not (rules.bare_uuid or rules.bare_uuid_exact):
+        return df
+    out = []
+    for i, f in zip(column_infos(df), df.schema.fields):
+        c = column(f.name)
+        if i.type == "uuid" and isinstance(f.dataType, T.StringType):
+            c = F.unhex(F.replace(c, F.lit("-"))).alias(f.name, metadata=f.metadata)
+        out.append(c)
+    return df.select(*out)
+
+
+def merge_statement(target: str, staging: str, full: str, columns: list[ColumnInfo]) -> str:
     """Move staged rows to the table in one statement, one row per load id: a task that ran twice
-    left its rows twice."""
-    names = ", ".join(quote_name(c, target) for c in columns)
+    left its rows twice.  By position, as the bulk loaders do, but by name on Oracle."""
+    prof = profile(target)
+    names = [quote_name(c.name, target) for c in columns]
+    values = [
+        prof.json_from_text.format(n) if c.type == "json" and prof.json_from_text else n
+        for n, c in zip(names, columns)
+    ]
+    listed = f" ({', '.join(names)})" if prof.loads_by_name else ""
     ranked = (
-        f"select {names}, row_number() over (partition by {LOAD_ID} order by {LOAD_ID}) as transferkit_n "
-        f"from {staging}"
+        f"select {', '.join(names)}, row_number() over (partition by {LOAD_ID} order by {LOAD_ID}) "
+        f"as transferkit_n from {staging}"
     )
-    return f"insert into {full} ({names}) select {names} from ({ranked}) s where transferkit_n = 1"
+    return f"insert into {full}{listed} select {', '.join(values)} from ({ranked}) s where transferkit_n = 1"
 
 
 def delete_staged_statement(target: str, staging: str, table: str, schema: str | None, keys: list[str]) -> str:
@@ -184,20 +206,22 @@ def _write_jdbc(
         before.append(_statement_for(df, system, schema, table, incremental, compat))
     if before:
         run_statements(spark, target, before)
+    infos, df = column_infos(df), for_jdbc(df, system)
     if not exactly_once:
         df.write.format("jdbc").options(**write_jdbc_options(target, full, connections)).mode("append").save()
         return
     ensure_checkpoint_dir(spark)
     staging_name = f"{table}_transferkit"
     staging = qualify_name(schema, staging_name, system)
+    # checkpointed rows keep their order, so a repeated task gives its rows the same numbers again
     numbered = df.checkpoint().withColumn(LOAD_ID, F.monotonically_increasing_id())
+    shape = numbered
+    if target.profile.json_from_text:
+        shape = tag(numbered, {i.name: "ntext" for i in infos if i.type == "json"})
     drop = drop_statement(system, schema, staging_name)
-    run_statements(
-        spark, target, [drop, _statement_for(numbered, system, schema, staging_name, False, compat)]
-    )
+    run_statements(spark, target, [drop, _statement_for(shape, system, schema, staging_name, False, compat)])
     options = write_jdbc_options(target, staging, connections)
     numbered.write.format("jdbc").options(**options).mode("append").save()
-    names = [i.name for i in column_infos(df)]
     move = [delete_staged_statement(system, staging, table, schema, keys)] if keys else []
-    run_statements(spark, target, [*move, merge_statement(system, staging, full, names)])
+    run_statements(spark, target, [*move, merge_statement(system, staging, full, infos)])
     run_statements(spark, target, [drop])

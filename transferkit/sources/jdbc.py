@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from transferkit.functions.identifiers import string_literal
 from transferkit.sources.endpoint import Endpoint, Partitioning, hash_predicates
+from transferkit.types import ColumnInfo
 
 
 def query_options(source: Endpoint, query: str) -> dict[str, str]:
@@ -18,6 +20,15 @@ def table_options(source: Endpoint, table: str, partition: Partitioning | None =
     return {**opts, **partition.options()} if partition else opts
 
 
+def custom_schema(columns: list[ColumnInfo]) -> dict[str, str]:
+    """Read as text what Spark's own choice would cut: numbers without a size or wider than 38 digits,
+    and times of day."""
+    text = [c for c in columns if c.type == "time" or c.type == "decimal" and c.spark_type() == T.StringType()]
+    if not text:
+        return {}
+    return {"customSchema": ", ".join(f"`{c.name.replace('`', '``')}` STRING" for c in text)}
+
+
 def load(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.read.format("jdbc").options(**options).load()
 

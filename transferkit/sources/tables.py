@@ -12,6 +12,7 @@ from transferkit.operators import catalog
 from transferkit.session import is_folder, path_exists
 from transferkit.sources import jdbc
 from transferkit.sources.endpoint import Endpoint, Partitioning
+from transferkit.types import ColumnInfo, apply_infos
 
 
 def file_path(endpoint: Endpoint, table: str, schema: str | None = None) -> str:
@@ -27,18 +28,22 @@ def read_table(
     partition: Partitioning | None = None,
     partitions: int | None = None,
     key: str | None = None,
+    infos: list[ColumnInfo] | None = None,
 ) -> DataFrame:
     """A full table.
 
     Nothing is read yet: filters and column choices made on the result are pushed to the files or to
     the database.  Over JDBC, ``partition`` (or ``key`` and ``partitions``, which asks the database for
-    the key's bounds) makes the read parallel; without it one connection reads everything.
+    the key's bounds) makes the read parallel; without it one connection reads everything.  ``infos``, the
+    columns as the source's catalog has them, sets the canonical types and keeps wide numbers whole.
     """
     if source.is_jdbc:
         full = qualify_name(schema, table, source.system)
         if partition is None and key and partitions:
             partition = jdbc.bounds(spark, source, full, quote_name(key, source.system), partitions)
-        return jdbc.load(spark, jdbc.table_options(source, full, partition))
+        options = {**jdbc.table_options(source, full, partition), **jdbc.custom_schema(infos or [])}
+        rows = jdbc.load(spark, options)
+        return apply_infos(rows, infos) if infos else rows
     if source.path:
         base = file_path(source, table, schema)
         single = f"{base}.{source.file_format}"

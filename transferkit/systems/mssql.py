@@ -112,6 +112,6 @@ MSSQL = SystemProfile(
     keywords=KEYWORDS,
     keyword_case="upper",
     not_found="Invalid object name",
-    read_options={"preferTimestampNTZ": "true"},
+    read_options={"preferTimestampNTZ": "true", "fetchsize": "10000"},
     write_options={"useBulkCopyForBatchInsert": "true"},
 )

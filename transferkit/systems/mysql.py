@@ -99,6 +99,13 @@ MYSQL = SystemProfile(
     schema_required=False,
     null_token="NULL",
     not_found="doesn't exist",
-    read_options={"preferTimestampNTZ": "true", "connectionTimeZone": "UTC", "yearIsDateType": "false"},
+    # without a cursor the client buffers a partition's whole result
+    read_options={
+        "preferTimestampNTZ": "true",
+        "fetchsize": "10000",
+        "useCursorFetch": "true",
+        "connectionTimeZone": "UTC",
+        "yearIsDateType": "false",
+    },
     write_options={"rewriteBatchedStatements": "true", "connectionTimeZone": "UTC"},
 )

@@ -76,5 +76,10 @@ ORACLE = SystemProfile(
         bool_digits=True,
     ),
     upper_names=True,
-    read_options={"preferTimestampNTZ": "true", "oracle.jdbc.mapDateToTimestamp": "true"},
+    loads_by_name=True,
+    read_options={
+        "preferTimestampNTZ": "true",
+        "fetchsize": "10000",
+        "oracle.jdbc.mapDateToTimestamp": "true",
+    },
 )

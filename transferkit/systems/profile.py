@@ -82,6 +82,8 @@ class SystemProfile:
     not_found: str = "does not exist"  # text of the system's missing-table error
     upper_names: bool = False
     lists_keys: bool = True
+    loads_by_name: bool = False  # otherwise first column to first column
+    json_from_text: str = ""  # call that turns text into the system's JSON type, where a cast is needed
     read_options: dict[str, str] = field(default_factory=dict)
     write_options: dict[str, str] = field(default_factory=dict)
 

@@ -76,5 +76,6 @@ SNOWFLAKE = SystemProfile(
     keywords=KEYWORDS,
     upper_names=True,
     lists_keys=False,
-    read_options={"preferTimestampNTZ": "true"},
+    json_from_text="parse_json({})",
+    read_options={"preferTimestampNTZ": "true", "fetchsize": "10000"},
 )
