@@ -54,11 +54,11 @@ def every_type(spark: SparkSession, sf_dir: str, source: str | None = None) -> D
     ts = F.col("ts").cast("string")
     digest = F.md5(F.col("event_id").cast("string"))
     dashed = F.concat_ws("-", *[F.substring(digest, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
-    pair = F.col("user_id") * 257
+    pair = F.col("user_id") % 65536 * 257
     df = e.select(
         "event_id",
         (F.col("event_id") % 100000).cast("int").alias("i32"),
-        F.col("user_id").cast("short").alias("i16"),
+        (F.col("user_id") % 30000).cast("short").alias("i16"),
         F.when(
             F.col("event_type") != "error",
             F.concat("event_type", F.lit("'s \""), F.col("user_id").cast("string"), F.lit('"')),
@@ -85,10 +85,16 @@ def every_type(spark: SparkSession, sf_dir: str, source: str | None = None) -> D
     return tag(df, TYPES, {"code": 40, "kind": 20, "raw": 16}, keys=["event_id"])
 
 
-# The same table for the reference engine, with every value already as plain text where text is exact.
+def per_byte_sql(number: str) -> str:
+    """Binary digits of a 64-bit number with every byte printed on its own, unpadded."""
+    digits = "||".join(f"bin({number} // {256**n} % 256)" for n in range(7, -1, -1))
+    return f"ltrim({digits}, '0')"
+
+
+# The same table in SQL, with every value already as plain text where text is exact.
 EVERY_TYPE_SQL = r"""
 typed as (
-  select event_id, (event_id % 100000)::int as i32, user_id::smallint as i16, user_id,
+  select event_id, (event_id % 100000)::int as i32, (user_id % 30000)::smallint as i16, user_id % 65536 * 257 as pair,
     case when event_type <> 'error' then event_type || '''s "' || user_id || '"' end as code,
     event_type as kind, case when event_type = 'click' then '' else props end as note,
     ' ' || props || '\' as memo, value as f64, value::float as f32,

@@ -279,7 +279,7 @@ def _routes_sql(source):
         if source == "mssql":
             exprs["uid"] = f"replace({GUID}, '-', '')" if exprs["uid"] == "digest" else GUID
         if source == "mysql":
-            exprs["bits"] = "bin(user_id * 257)"
+            exprs["bits"] = "bin(pair)"
         line = "||'|'||".join(f"coalesce({exprs[c]}, '{{nll}}')" for c in TYPES)
         parts.append(f"select event_id::varchar as event_id, '{target}' as target, md5({line}) as line from typed")
     return select_sql({"x": "1"}).rsplit("select", 1)[0] + " union all ".join(parts)

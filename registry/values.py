@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from registry.tables import DASHED, TEXT_OF, every_type, select_sql, table
+from registry.tables import DASHED, TEXT_OF, every_type, per_byte_sql, select_sql, table
 from transferkit import from_canonical, key_columns, max_byte_length, tag, to_canonical, to_load
 from transferkit.functions.load import null_as_empty
 from transferkit.functions.text import bit_text, guid_text
@@ -22,7 +22,7 @@ GUID = (
 PER_SOURCE = {
     "postgresql": SIX,
     "mssql": {**SIX, "uid": GUID},
-    "mysql": {"bits": "case when user_id = 0 then '' else bin(user_id)||bin(user_id) end"},
+    "mysql": {"bits": per_byte_sql("pair")},
     "oracle": {"clock": "clock"},
     "snowflake": SIX,
 }
@@ -167,7 +167,7 @@ select l_orderkey, l_linenumber, {GUID} as guid from d"""
 def _bits(compat):
     def run(spark, sf):
         line = table(spark, sf, "lineitem")
-        raw = F.unhex(F.lpad(F.hex("l_partkey"), 8, "0"))
+        raw = F.unhex(F.lpad(F.hex("l_partkey"), 16, "0"))
         return line.select("l_orderkey", "l_partkey", bit_text(raw, compat).alias("bits"))
 
     return run
@@ -176,11 +176,7 @@ def _bits(compat):
 QUERIES["prj9_varbit"] = _bits(False)
 SQL["prj9_varbit"] = "select l_orderkey, l_partkey, bin(l_partkey) as bits from lineitem"
 QUERIES["prj9_varbit_compat"] = _bits(True)
-SQL["prj9_varbit_compat"] = """
-select l_orderkey, l_partkey,
-  ltrim(bin(l_partkey // 16777216) || bin(l_partkey // 65536 % 256) || bin(l_partkey // 256 % 256)
-    || bin(l_partkey % 256), '0') as bits
-from lineitem"""
+SQL["prj9_varbit_compat"] = f"select l_orderkey, l_partkey, {per_byte_sql('l_partkey')} as bits from lineitem"
 
 
 def prj10_blob_hex(spark, sf):
