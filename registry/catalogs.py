@@ -34,7 +34,7 @@ def _column_rows(spark, sf, data_type):
     )
     return table(spark, sf, "orders").select(
         F.lit("sales").alias("table_schema"),
-        F.concat(F.lit("big table "), F.floor(k / 24).cast("string")).alias("table_name"),
+        F.concat(F.lit("big table "), F.expr("o_orderkey div 24").cast("string")).alias("table_name"),
         name.alias("column_name"),
         (slot + 1).cast("int").alias("ordinal"),
         data_type.alias("data_type"),

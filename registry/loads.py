@@ -140,7 +140,7 @@ def _statements(target, compat=False):
 def _statements_sql(tuple_text: str, keys: str, start: str, end: str, sep: str = ",") -> str:
     return f"""
 with k as ({keys}), t as (select distinct {tuple_text} as t from k),
-n as (select greatest(1, ceil(count(*) / 50000.0))::bigint as n from t),
+n as (select greatest(1, ceil(count(*) / 50000.0))::bigint as n from k),
 b as (select t, ('0x' || substr(md5(t), 1, 7))::bigint % n.n as bucket from t, n),
 r as (select *, (row_number() over (partition by bucket order by t) - 1) // 6 as batch from b)
 select bucket, batch, '{start}' || string_agg(t, '{sep}' order by t) || '{end}' as statement

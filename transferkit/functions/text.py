@@ -42,25 +42,20 @@ def float_text(c: Column, compat: bool = False) -> Column:
     if not compat:
         return c.cast("string")
     d = c.cast("double")
-    size = F.abs(d)
+    size, six = F.abs(d), F.lit("0.000000")
     # most values have few decimals: padding their digits is exact and much cheaper than formatting
     digits = d.cast("string")
     dot = F.instr(digits, ".")
     short = (size < F.lit(1e7)) & (F.length(digits) - dot <= 6) & ~F.contains(digits, F.lit("E"))
-    six = "0.000000"
-    # from 1e9 on, six decimals are more digits than the shortest text has: print the parts
-    whole = F.floor(size).cast("long")
-    fraction = F.call_function("format_number", size - whole, F.lit(six))
-    carry = F.substring(fraction, 1, 1).cast("long")
-    parts = F.concat((whole + carry).cast("string"), F.substr(fraction, F.lit(2)))
-    signed = F.when(d < 0, F.concat(F.lit("-"), parts)).otherwise(parts)
+    # from 1e9 on, six decimals are more digits than the shortest text has: take the number apart
+    whole = d.cast("long")
+    exact = whole.cast("decimal(20,0)") + (d - whole).cast("decimal(18,17)")
     return (
         F.when(short, F.rpad(digits, dot + 6, F.lit("0")))
-        .when(F.isnan(d), F.lit("NaN"))
-        .when(d == F.lit(float("inf")), F.lit("+Inf"))
-        .when(d == F.lit(float("-inf")), F.lit("-Inf"))
-        .when((size >= F.lit(1e9)) & (size < F.lit(2.0**63)), signed)
-        .otherwise(F.call_function("format_number", d, F.lit(six)))
+        .when(size < F.lit(1e9), F.call_function("format_number", d, six))
+        .when(size < F.lit(2.0**63), F.call_function("format_number", exact, six))
+        .when(size < F.lit(float("inf")), F.call_function("format_number", d, six))
+        .otherwise(F.replace(F.replace(digits, F.lit("Infinity"), F.lit("+Inf")), F.lit("-+"), F.lit("-")))
     )
 
 

@@ -67,9 +67,8 @@ def delete_statements(
     with the data) and numbered within the bucket, so no window runs over more than that.
     """
     keys = keys or keys_df.columns
-    todo = _distinct_keys(keys_df, keys)
     if buckets is None:
-        buckets = max(1, -(-todo.count() // KEYS_PER_BUCKET))
+        buckets = max(1, -(-keys_df.count() // KEYS_PER_BUCKET))
     literals = to_literals(keys_df.select(*[column(k) for k in keys]), target, "null", compat)
     names = [quote_name(k, target) for k in keys]
     by_pair = target == "mssql" and len(keys) > 1 and not compat
@@ -88,7 +87,7 @@ def delete_statements(
     text = literals.select(tuple_text.alias("t")).distinct()
     bucketed = text.withColumn("bucket", _bucket(F.col("t"), buckets))
     order = Window.partitionBy("bucket").orderBy("t")
-    numbered = bucketed.withColumn("batch", F.floor((F.row_number().over(order) - 1) / batch))
+    numbered = bucketed.withColumn("batch", F.floor((F.row_number().over(order) - 1) / F.lit(batch)))
     tuples = F.array_join(F.array_sort(F.collect_list("t")), sep)
     return numbered.groupBy("bucket", "batch").agg(
         F.concat(F.lit(start), tuples, F.lit(tail)).alias("statement")
