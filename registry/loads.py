@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from registry.tables import folder, table
 from transferkit import (
-    ChangeLog, Endpoint, delete_by_keys, delete_statements, latest_per_key, read_stream, read_table, since,
+    ChangeLog, Endpoint, delete_by_keys, delete_statements, incremental_transfer,
+    latest_per_key, read_stream, read_table, since,
     table_exists, transfer, upsert, write_table,
 )
 from transferkit.session import workspace
@@ -243,6 +244,20 @@ def inc2_first_load(spark, sf):
 QUERIES["inc2_first_load"] = inc2_first_load
 SQL["inc2_first_load"] = "select * from orders"
 
+
+def inc1_incremental_transfer(spark, sf):
+    """Events moved up to a day, then the rest; rows at the mark are taken again and replaced."""
+    events, source, target = table(spark, sf, "events"), _place(spark, "growing"), _place(spark, "grown")
+    cut = F.lit("2024-01-12 00:00:00").cast("timestamp_ntz")
+    write_table(events.where(F.col("ts") < cut), source, "events", create_table=True)
+    incremental_transfer(spark, source, target, "events", ["event_id"], "ts")
+    write_table(events.where(F.col("ts") >= cut), source, "events")
+    return incremental_transfer(spark, source, target, "events", ["event_id"], "ts")
+
+
+QUERIES["inc1_incremental_transfer"] = inc1_incremental_transfer
+SQL["inc1_incremental_transfer"] = "select * from events"
+
 # --- TRF -------------------------------------------------------------------------------------------------
 
 

@@ -188,3 +188,37 @@ def test_stream_of_changes(spark, folder):
     assert log.batches(spark) == [0, 1, 2]
     log.follow(read_stream(spark, source, "changes"), checkpoint)  # nothing new
     assert bag(log.current(spark)) == brute_log(done)
+
+
+def test_loads_and_streams_take_turns(spark, folder):
+    """No batch number is given twice, also not to a stream that starts late or runs an epoch again."""
+    log = ChangeLog(f"{folder}/log", ("k", "l"))
+    done = [[(n, "a", n)] for n in range(3)]
+    for rows in done:
+        log.load(spark, spark.createDataFrame(rows, SCHEMA))
+    source = Endpoint("mysql", path=f"{folder}/in")
+    for n in (3, 5):
+        spark.createDataFrame([(n, "s", n)], SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/in/changes")
+        log.follow(read_stream(spark, source, "changes"), f"{folder}/cp")
+        log.load(spark, spark.createDataFrame([(n + 1, "b", n)], SCHEMA))
+        done += [[(n, "s", n)], [(n + 1, "b", n)]]
+    assert log.batches(spark) == list(range(7))
+    assert bag(log.current(spark)) == brute_log(done)
+    assert sorted(log._epochs(spark).values()) == [3, 5]
+
+
+def test_rows_that_share_the_newest_mark(spark, folder):
+    log = ChangeLog(f"{folder}/log", ("k",))
+    log.load(spark, spark.createDataFrame([(1, "a", 7)], SCHEMA), "v")
+    later = spark.createDataFrame([(1, "a", 7), (2, "b", 7)], SCHEMA)
+    log.load(spark, later, "v", inclusive=True)
+    assert bag(log.current(spark)) == [(1, "a", 7), (2, "b", 7)]
+
+
+def test_a_known_mark_is_pushed_to_the_source(spark, folder):
+    from transferkit.operators.incremental import after
+
+    spark.range(10).select(F.col("id").cast("int").alias("id")).write.parquet(f"{folder}/s")
+    df = after(spark.read.parquet(f"{folder}/s"), "id", 4)
+    assert "GreaterThan(id,4)" in df._jdf.queryExecution().executedPlan().toString()
+    assert after(spark.range(3), "id", None).count() == 3

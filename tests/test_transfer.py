@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import random_text
 from transferkit import (
-    SYSTEMS, Endpoint, append_by_position, column_infos, read_query, read_table, table_exists, tag, transfer, write_table,
+    SYSTEMS, Endpoint, append_by_position, column_infos, columns, incremental_transfer, read_query, read_table, table_exists, tag, transfer, write_table,
 )
 from transferkit.types import CANONICAL_TYPES
 
@@ -147,3 +147,25 @@ def test_argument_rules(spark, kwargs, problem):
     args = dict(source=Endpoint("mysql", path="/x"), target=Endpoint("mysql", path="/y"), target_table="t")
     with pytest.raises(ValueError, match=problem):
         transfer(spark, **{**args, **kwargs})
+
+
+def test_columns_of_folder_tables(spark, stored, folder):
+    write_table(spark.range(1), Endpoint("oracle", path=folder), "a", create_table=True)
+    write_table(spark.range(1).withColumn("x", F.lit("y")), Endpoint("oracle", path=folder), "b", create_table=True)
+    out = columns(spark, Endpoint("oracle", path=folder), tables=["a", "b"]).orderBy("table_name", "ordinal").collect()
+    assert [(r.table_name, r.column_name, r.canonical_type) for r in out] == [
+        ("a", "id", "int64"), ("b", "id", "int64"), ("b", "x", "ntext"),
+    ]
+
+
+def test_incremental_transfer(spark, folder):
+    source, target = Endpoint("mysql", path=f"{folder}/in"), Endpoint("oracle", path=f"{folder}/out")
+    schema = "k int, v string, m int"
+    state = [(1, "a", 1), (2, "b", 2)]
+    for changes in ([], [(2, "B", 3), (3, "c", 3)], [(4, "d", 3)], [(1, "A", 9)]):
+        state = [r for r in state if r[0] not in {c[0] for c in changes}] + changes
+        write_table(spark.createDataFrame(state, schema), source, "t", drop_table=True)
+        out = incremental_transfer(spark, source, target, "t", ["k"], "m")
+        assert bag(out) == sorted(state, key=repr)
+    with pytest.raises(ValueError, match="JDBC or a folder"):
+        incremental_transfer(spark, source, Endpoint("oracle"), "t", ["k"], "m")

@@ -11,7 +11,7 @@ from transferkit.operators.incremental import (
 )
 from transferkit.operators.project import from_canonical, key_columns, to_canonical, to_literals, to_load
 from transferkit.operators.sizing import max_byte_length
-from transferkit.plans.transfer import TransferResult, transfer
+from transferkit.plans.transfer import TransferResult, incremental_transfer, transfer
 from transferkit.sinks import (
     append_by_position,
     control_text,
@@ -52,6 +52,7 @@ __all__ = [
     "describe",
     "from_canonical",
     "high_water_mark",
+    "incremental_transfer",
     "key_columns",
     "latest_per_key",
     "load_commands",

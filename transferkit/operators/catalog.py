@@ -41,12 +41,17 @@ CATALOG_SCHEMA = T.StructType(
 
 def describe(df: DataFrame, schema: str = "", table: str = "") -> DataFrame:
     """One row per column of a DataFrame: name, canonical type, sizes, nullable, key flag."""
+    return describe_all(df.sparkSession, {(schema, table): df})
+
+
+def describe_all(spark: SparkSession, tables: dict[tuple[str, str], DataFrame]) -> DataFrame:
+    """``describe`` for many tables at once; only their schemas are looked at."""
     rows = [
         (schema, table, i.name, n, i.type, i.precision, i.scale, i.length, i.nullable, i.primary_key)
+        for (schema, table), df in tables.items()
         for n, i in enumerate(column_infos(df), start=1)
     ]
-    out = df.sparkSession.createDataFrame(rows, CATALOG_SCHEMA)
-    return out.withColumnRenamed("data_type", "canonical_type")
+    return spark.createDataFrame(rows, CATALOG_SCHEMA).withColumnRenamed("data_type", "canonical_type")
 
 
 def with_sizes(columns: DataFrame) -> DataFrame:
@@ -280,10 +285,12 @@ def create_statement(schema: Column, table: Column, body: Column, target: str, c
 
 
 def infos_from_rows(rows: DataFrame) -> list[ColumnInfo]:
-    """Descriptions of ONE table's columns, for building a projection (a few rows, bounded)."""
+    """Descriptions of ONE table's columns, for building its projection."""
     wanted = ["column_name", "canonical_type", "precision", "scale", "length", "is_primary"]
-    picked = rows.orderBy("ordinal").select(*wanted).limit(MAX_COLUMNS).collect()
+    found = rows.orderBy("ordinal").select(*wanted).take(MAX_COLUMNS + 1)
+    if len(found) > MAX_COLUMNS:
+        raise ValueError("more columns than a table can have")
     return [
         ColumnInfo(r.column_name, r.canonical_type, r.precision, r.scale, r.length, primary_key=r.is_primary)
-        for r in picked
+        for r in found
     ]

@@ -111,9 +111,13 @@ def since(df: DataFrame, mark: str, target_df: DataFrame) -> DataFrame:
     return df.where(column(mark) > newest)
 
 
-def after(df: DataFrame, mark: str, value) -> DataFrame:
-    """Source rows after a known mark; the literal is pushed to the source."""
-    return df if value is None else df.where(column(mark) > F.lit(value))
+def after(df: DataFrame, mark: str, value, inclusive: bool = False) -> DataFrame:
+    """Source rows after (or at) a known mark; the literal is pushed to the source."""
+    if value is None:
+        return df
+    # a literal of the column's own type, so that no cast hides the column from the source
+    known = F.lit(value).cast(df.schema[mark].dataType)
+    return df.where(column(mark) >= known if inclusive else column(mark) > known)
 
 
 def latest_per_key(changes: DataFrame, keys: list[str], batch: str = "batch_id") -> DataFrame:

@@ -1,5 +1,5 @@
 """Whole transfers."""
 
-from transferkit.plans.transfer import TransferResult, transfer
+from transferkit.plans.transfer import TransferResult, incremental_transfer, transfer
 
-__all__ = ["TransferResult", "transfer"]
+__all__ = ["TransferResult", "incremental_transfer", "transfer"]

@@ -6,13 +6,17 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from transferkit.functions.identifiers import qualify_name, quote_name
 from transferkit.operators import catalog
+from transferkit.operators.incremental import after
 from transferkit.sinks.files import DELIMITER, NEWLINE, load_commands, write_load
 from transferkit.sinks.tables import write_table
+from transferkit.sources import jdbc
 from transferkit.sources.endpoint import Endpoint, Partitioning
 from transferkit.sources.staged import read_load
-from transferkit.sources.tables import columns, read_query, read_table
-from transferkit.types import ColumnInfo, column_infos
+from transferkit.sources.tables import columns, file_path, read_query, read_table, table_exists
+from transferkit.streaming.changes import ChangeLog
+from transferkit.types import ColumnInfo, column_infos, tag
 
 
 @dataclass(frozen=True)
@@ -119,3 +123,43 @@ def transfer(
         rows, target, target_table, target_schema, create_schema, create_table, drop_table, compat=compat
     )
     return TransferResult(infos, read_table(spark, target, target_table, target_schema))
+
+
+def incremental_transfer(
+    spark: SparkSession,
+    source: Endpoint,
+    target: Endpoint,
+    table: str,
+    keys: list[str],
+    mark: str,
+    target_table: str | None = None,
+    schema: str | None = None,
+    target_schema: str | None = None,
+    partition: Partitioning | None = None,
+    inclusive: bool = True,
+) -> DataFrame:
+    """Bring a target up to date: everything the first time, then the rows from the target's newest mark on,
+    each replacing the target's rows of the same key.  Returns the target's rows.
+
+    The mark is pushed to the source as a literal.  JDBC targets delete and insert in one transaction; folder
+    targets keep a ``ChangeLog``, so a small load does not rewrite a large target.
+    """
+    target_table = target_table or table
+    check_arguments(source, target, table, schema, None, target_table, target_schema)
+    rows = tag(read_source(spark, source, table, schema, partition=partition), keys=keys)
+    if target.path:
+        log = ChangeLog(file_path(target, target_table, target_schema), tuple(keys))
+        log.load(spark, rows, mark, inclusive)
+        return log.current(spark)
+    if not target.is_jdbc:
+        raise ValueError("an incremental transfer needs a JDBC or a folder target")
+    first = not table_exists(spark, target, target_table, target_schema)
+    if not first:
+        full = qualify_name(target_schema, target_table, target.system)
+        newest = jdbc.largest(spark, target, full, quote_name(mark, target.system))
+        rows = after(rows, mark, newest, inclusive)
+    write_table(
+        rows, target, target_table, target_schema, create_table=first, incremental=True,
+        keys=None if first else keys,
+    )
+    return read_table(spark, target, target_table, target_schema)

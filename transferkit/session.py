@@ -42,6 +42,11 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hadoop_path)]
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    hadoop_path, fs = _file_system(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())

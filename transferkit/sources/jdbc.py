@@ -48,6 +48,11 @@ def bounds(spark: SparkSession, source: Endpoint, table: str, key: str, partitio
     return Partitioning(key, row[0] if row[0] is not None else 0, row[1] if row[1] is not None else 1, partitions)
 
 
+def largest(spark: SparkSession, source: Endpoint, table: str, name: str):
+    """The largest value of a column, asked of the database; None for an empty table."""
+    return load(spark, query_options(source, f"select max({name}) as m from {table}")).first()[0]
+
+
 _SIZES = "numeric_precision as col_precision, numeric_scale as col_scale, character_maximum_length as col_length"
 _ORDER = "ordinal_position as col_ordinal"
 

@@ -91,14 +91,12 @@ def columns(
 ) -> DataFrame:
     """Catalog rows of many tables: sizes normalized, primary keys marked."""
     if not source.is_jdbc:
-        out = None
-        for t in tables or []:
-            one = catalog.describe(read_table(spark, source, t, schema), schema or "", t)
-            out = one if out is None else out.unionAll(one)
-        if out is None:
+        if not tables:
             raise ValueError("name the tables to describe")
-        return catalog.with_sizes(out)
-    rows = jdbc.catalog_rows(jdbc.load(spark, jdbc.query_options(source, jdbc.columns_query(source.system, schema, tables))))
+        found = {(schema or "", t): read_table(spark, source, t, schema) for t in tables}
+        return catalog.with_sizes(catalog.describe_all(spark, found))
+    query = jdbc.columns_query(source.system, schema, tables)
+    rows = jdbc.catalog_rows(jdbc.load(spark, jdbc.query_options(source, query)))
     keys = jdbc.keys_query(source.system, schema, tables)
     if keys is None:
         return catalog.with_sizes(rows.withColumn("is_primary", F.lit(False)))

@@ -8,6 +8,7 @@ neither partial rows nor duplicates.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transferkit.operators.incremental import after, latest_per_key
-from transferkit.session import child_names, path_exists
+from transferkit.session import child_names, make_folder, path_exists
 from transferkit.types import column
 
 BATCH = "batch_id"
@@ -76,30 +77,52 @@ class ChangeLog:
         values = [df.agg(F.max("mark")).first()[0] for df in found]
         return max((v for v in values if v is not None), default=None)
 
-    def load(self, spark: SparkSession, source: DataFrame, mark: str | None = None) -> int:
-        """Add one batch: everything on a first load, afterwards the rows newer than the mark."""
-        batches = self.batches(spark)
-        batch = batches[-1] + 1 if batches else 0
-        if batches and mark:
+    def load(self, spark: SparkSession, source: DataFrame, mark: str | None = None, inclusive: bool = False) -> int:
+        """Add one batch: everything on a first load, afterwards the rows newer than the mark.
+
+        ``inclusive`` takes the rows at the mark again, which their keys replace: none is missed when
+        several rows share the newest mark.
+        """
+        batch = self._next_batch(spark)
+        if mark and self.batches(spark):
             # one value, pushed to the source as a literal
-            source = after(source, mark, self.high_water_mark(spark, mark))
+            source = after(source, mark, self.high_water_mark(spark, mark), inclusive)
         self.write(source, batch, mark)
         return batch
 
+    def _epochs(self, spark: SparkSession) -> dict[tuple[str, int], int]:
+        """The batch number given to each epoch of each stream, kept as folder names."""
+        found = {}
+        for stream in child_names(spark, f"{self.path}/_streams"):
+            for name in child_names(spark, f"{self.path}/_streams/{stream}"):
+                epoch, batch = map(int, name.split("-"))
+                found[stream, epoch] = batch
+        return found
+
+    def _next_batch(self, spark: SparkSession) -> int:
+        return max([-1, *self.batches(spark), *self._epochs(spark).values()]) + 1
+
     def compact(self, spark: SparkSession, path: str) -> "ChangeLog":
         """A new log whose only batch is the current state."""
         folded = ChangeLog(path, self.keys)
         folded.write(self.current(spark), 0)
         return folded
 
-    def follow(self, stream: DataFrame, checkpoint: str, first_batch: int = 1):
+    def follow(self, stream: DataFrame, checkpoint: str):
         """Write a stream's micro-batches into the log until its available input is used up.
 
-        The batch number comes from the stream's own checkpoint, so a batch that ran twice replaces itself.
+        An epoch keeps the batch number it got first, so an epoch that runs again replaces itself.  One
+        writer at a time: loads and streams may take turns.
         """
+        spark = stream.sparkSession
+        name = hashlib.md5(checkpoint.encode()).hexdigest()[:16]
 
         def write(rows: DataFrame, epoch: int) -> None:
-            self.write(rows, first_batch + epoch)
+            batch = self._epochs(spark).get((name, epoch))
+            if batch is None:
+                batch = self._next_batch(spark)
+                make_folder(spark, f"{self.path}/_streams/{name}/{epoch}-{batch}")
+            self.write(rows, batch)
 
         writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
         query = writer.trigger(availableNow=True).start()
