@@ -52,7 +52,7 @@ USER_SQL = {
     ),
     "window": (
         ["orders"],
-        "select o_custkey, o_orderkey, o_totalprice, place from (select o_custkey, o_orderkey, o_totalprice, "
+        "select o_custkey, o_orderkey, o_totalprice, cast(place as bigint) as place from (select o_custkey, o_orderkey, o_totalprice, "
         "row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) as place "
         "from orders) t where place <= 3",
     ),

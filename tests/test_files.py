@@ -73,6 +73,13 @@ def test_one_column_of_empty_texts(spark, folder):
     assert sorted(map(str, (r.a for r in back.collect()))) == ["", "", "None", "x"]
 
 
+def test_end_of_data_marker_is_quoted(spark, folder):
+    """A bare backslash-dot line would end the input of PostgreSQL's copy."""
+    df = spark.createDataFrame([("\\.",), ("x",)], "a string").coalesce(1)
+    write_load(df, f"{folder}/l", "postgresql")
+    assert open(parts(f"{folder}/l")[0]).read() == '"\\."\nx\n'
+
+
 def test_a_value_equal_to_the_token_stops_the_write(spark, folder):
     df = spark.createDataFrame([("NULL",)], "a string")
     with pytest.raises(Exception, match="holds the null token"):

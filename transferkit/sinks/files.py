@@ -17,18 +17,14 @@ from transferkit.functions.text import may_hold, refuse_token
 from transferkit.operators.project import key_columns, to_canonical, to_load
 from transferkit.operators.sizing import max_byte_length, rows_per_file
 from transferkit.systems import profile
-from transferkit.types import ColumnInfo, column, column_infos
+from transferkit.types import BINARY, FREE_TEXT, ColumnInfo, column, column_infos
 
 DELIMITER = "{dlm}"
 NEWLINE = "{nwln}"
 
-CSV_WRITE = {
-    "quote": '"',
-    "escape": '"',
-    "emptyValue": '""',  # an unquoted empty field would be a NULL to some loaders
-    "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false",
-}
+# What must be quoted: separators, quotes, line ends, outer blanks, the empty text (an unquoted one is a
+# NULL to some loaders), and \. which ends the input of PostgreSQL's copy.
+NEEDS_QUOTES = r"""[",\r\n]|^[ \t]|[ \t]$|^$|^\\\.$"""
 
 
 def _check_token(token: str) -> None:
@@ -36,20 +32,34 @@ def _check_token(token: str) -> None:
         raise ValueError("a null token must not be empty or hold commas, quotes or line ends")
 
 
-def _guarded(text: DataFrame, null: str, compat: bool) -> DataFrame:
-    return text.select(
-        *[refuse_token(column(i.name), null, i, compat).alias(i.name) for i in column_infos(text)]
-    )
+def csv_lines(text: DataFrame, null: str, compat: bool = False) -> DataFrame:
+    """RFC 4180 records of text columns, NULL as the bare token.
+
+    Only free text and empty bytes can need quotes; the other columns are joined as they are.
+    """
+    _check_token(null)
+
+    def field(info: ColumnInfo) -> Column:
+        c = column(info.name)
+        if info.type in FREE_TEXT:
+            doubled = F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+            safe = refuse_token(c, null, info, compat)
+            return F.coalesce(F.when(c.rlike(NEEDS_QUOTES), doubled).otherwise(safe), F.lit(null))
+        safe = refuse_token(c, null, info, compat)
+        if info.type in BINARY:  # the hex text of no bytes is empty
+            safe = F.when(c == F.lit(""), F.lit('""')).otherwise(safe)
+        return F.coalesce(safe, F.lit(null))
+
+    return text.select(F.concat_ws(",", *[field(i) for i in column_infos(text)]).alias("value"))
 
 
-def _write_csv(
-    text: DataFrame, path: str, null: str, mode: str, target_file_bytes: int | None, compat: bool
+def _write_lines(
+    lines: DataFrame, text: DataFrame, path: str, newline: str, mode: str, target_file_bytes: int | None
 ) -> None:
-    _check_token(null)
-    writer = _guarded(text, null, compat).write.mode(mode).options(**CSV_WRITE, nullValue=null)
+    writer = lines.write.mode(mode).option("lineSep", newline)
     if target_file_bytes:
         writer = writer.option("maxRecordsPerFile", rows_per_file(text, target_file_bytes))
-    writer.csv(path)
+    writer.text(path)
 
 
 def write_staged(
@@ -67,9 +77,9 @@ def write_staged(
     pass over the data that measures the average row.  Without it a file is what one task writes, which
     ``spark.sql.files.maxPartitionBytes`` bounds.
     """
-    infos = column_infos(df)
-    _write_csv(to_canonical(df, source, None, compat), path, null, mode, target_file_bytes, compat)
-    return infos
+    text = to_canonical(df, source, None, compat)
+    _write_lines(csv_lines(text, null, compat), text, path, "\n", mode, target_file_bytes)
+    return column_infos(df)
 
 
 def write_keys(
@@ -112,16 +122,13 @@ def write_load(
     compat: bool = False,
 ) -> list[ColumnInfo]:
     """Files ready for ``target``'s bulk loader; returns the column descriptions."""
-    prof, infos = profile(target), column_infos(df)
     text = to_load(df, target, None, compat, source)
     if target == "mssql":
-        writer = multichar_lines(text, delimiter, newline).write.mode(mode).option("lineSep", newline)
-        if target_file_bytes:
-            writer = writer.option("maxRecordsPerFile", rows_per_file(text, target_file_bytes))
-        writer.text(path)
+        lines = multichar_lines(text, delimiter, newline)
     else:
-        _write_csv(text, path, null or prof.null_token, mode, target_file_bytes, compat)
-    return infos
+        lines, newline = csv_lines(text, null or profile(target).null_token, compat), "\n"
+    _write_lines(lines, text, path, newline, mode, target_file_bytes)
+    return column_infos(df)
 
 
 # Field formats of Oracle's loader.
