@@ -454,9 +454,16 @@ def _ddl_sql(target):
         )
     else:
         statement = "'create table if not exists ' || t || ' (' || b || ')'"
+    column_type = type_case(target, False)
+    if target == "mysql":
+        column_type = (
+            "case when is_primary and length between 1 and 768 "
+            "and data_type in ('nvarchar', 'varchar', 'ntext', 'text', 'xml', 'varbit') "
+            f"then 'varchar(' || length || ')' else {column_type} end"
+        )
     return f"""
 with {rows_sql(names_sql(CANONICAL))},
-c as (select *, {name} as name, {type_case(target, False)} as target_type from rows),
+c as (select *, {name} as name, {column_type} as target_type from rows),
 g as (select table_schema, table_name, {body} as b from c group by table_schema, table_name),
 q as (select *, {full} as t from g)
 select table_schema, table_name, {statement} as statement from q"""

@@ -58,9 +58,9 @@ USER_SQL = {
     ),
     "setop": (
         ["customer", "orders"],
-        "select c_custkey as custkey from customer except select o_custkey from orders "
+        "select c_custkey as custkey from customer except select o_custkey from orders group by o_custkey "
         "union all select o_custkey from (select o_custkey from orders where o_orderpriority = '1-URGENT' "
-        "intersect select c_custkey from customer where c_acctbal < 0) t",
+        "group by o_custkey intersect select c_custkey from customer where c_acctbal < 0) t",
     ),
     "topk": (
         ["lineitem"],

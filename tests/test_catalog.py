@@ -206,6 +206,9 @@ def test_statements(spark):
         'create table if not exists s."big t" (id bigint, "order" text, k2 uuid, primary key (id,k2))'
     )
     assert text("postgresql", False).endswith("k2 uuid)")
+    named = translate(rows(spark, ("c", "character varying", None, None, 30, True)), "postgresql", "mysql")
+    assert "(c varchar(30), primary key (c))" in ddl(named, "mysql", True).first()["statement"]
+    assert "(c longtext)" in ddl(named, "mysql").first()["statement"]
     assert text("mysql") == (
         "create table if not exists `big t` (id bigint, order longtext, k2 binary(16), primary key (id,k2))"
     )

@@ -26,6 +26,8 @@ def test_read_options(system):
     assert got["preferTimestampNTZ"] == "true" and got["user"] == "u"
     query = jdbc.query_options(source, " select 1; ")
     assert query["query"] == "select 1" and "dbtable" not in query
+    parted = jdbc.query_options(source, "select * from t;", Partitioning("id", 1, 900, 8))
+    assert parted["dbtable"] == "(select * from t) q" and "query" not in parted
 
 
 def test_bad_endpoints():
@@ -160,3 +162,22 @@ def test_cursor_reads():
     for system, url in URLS.items():
         assert Endpoint(system, url=url).read_options()["fetchsize"] == "10000"
     assert Endpoint("mysql", url=URLS["mysql"]).read_options()["useCursorFetch"] == "true"
+
+
+def test_hash_reads_send_their_predicates(spark, monkeypatch):
+    from transferkit import read_table
+
+    sent = {}
+
+    class Reader:
+        def jdbc(self, url, table, predicates, properties):
+            sent.update(url=url, table=table, predicates=predicates, **properties)
+            return spark.range(1)
+
+    monkeypatch.setattr(type(spark), "read", property(lambda self: Reader()))
+    source = Endpoint("oracle", url=URLS["oracle"])
+    read_table(spark, source, "t", "s", key="my id", partitions=2, by_hash=True, infos=[ColumnInfo("id", "decimal")])
+    assert sent["predicates"] == ['abs(mod("my id", 2)) = 0', 'abs(mod("my id", 2)) = 1', '"my id" is null']
+    assert sent["customSchema"] == "`id` STRING" and sent["table"] == "s.t"
+    with pytest.raises(ValueError, match="by_hash needs"):
+        read_table(spark, source, "t", "s", by_hash=True)

@@ -242,11 +242,16 @@ def ddl(columns: DataFrame, target: str, incremental: bool = False, compat: bool
     ordinal = F.when(F.col("ordinal") <= MAX_COLUMNS, F.col("ordinal")).otherwise(too_many.cast("int"))
     bare = compat and target == "oracle"
     name = F.col("column_name") if bare else quoted(F.col("column_name"), target, compat)
+    column_type = F.col("target_type")
+    if target == "mysql" and incremental and not compat:  # a text without length cannot be a key
+        keyed = F.col("is_primary") & (column_type == "longtext") & F.col("length").between(1, 768)
+        sized = F.concat(F.lit("varchar("), F.col("length").cast("string"), F.lit(")"))
+        column_type = F.when(keyed, sized).otherwise(column_type)
     rows = columns.select(
         *TABLE,
         F.struct(
             ordinal.alias("ordinal"),
-            F.concat_ws(" ", name, F.col("target_type")).alias("definition"),
+            F.concat_ws(" ", name, column_type).alias("definition"),
             F.when(F.col("is_primary"), name).alias("key"),
         ).alias("c"),
     )

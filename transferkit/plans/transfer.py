@@ -68,7 +68,7 @@ def read_source(
     A JDBC table's types come from the source's catalog; a query's and a file's from the result schema.
     """
     if query:
-        return read_query(spark, source, query, query_tables)
+        return read_query(spark, source, query, query_tables, partition)
     if not source.is_jdbc:
         return read_table(spark, source, table, schema)
     found = catalog.require_columns(columns(spark, source, schema, [table]), schema, table)

@@ -11,8 +11,12 @@ from transferkit.sources.endpoint import Endpoint, Partitioning, hash_predicates
 from transferkit.types import ColumnInfo
 
 
-def query_options(source: Endpoint, query: str) -> dict[str, str]:
-    return {**source.read_options(), "query": query.strip().rstrip(";")}
+def query_options(source: Endpoint, query: str, partition: Partitioning | None = None) -> dict[str, str]:
+    text = query.strip().rstrip(";")
+    if partition is None:
+        return {**source.read_options(), "query": text}
+    # a partitioned read needs a table, so the query becomes a derived one
+    return {**source.read_options(), "dbtable": f"({text}) q", **partition.options()}
 
 
 def table_options(source: Endpoint, table: str, partition: Partitioning | None = None) -> dict[str, str]:
@@ -34,12 +38,18 @@ def load(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 
 
 def load_by_predicates(
-    spark: SparkSession, source: Endpoint, table: str, key: str, partitions: int
+    spark: SparkSession,
+    source: Endpoint,
+    table: str,
+    key: str,
+    partitions: int,
+    infos: list[ColumnInfo] | None = None,
 ) -> DataFrame:
-    opts = source.read_options()
-    url = opts.pop("url")
+    """One query per remainder of an integer key, and one for its NULLs."""
+    properties = {**source.read_options(), **custom_schema(infos or [])}
+    url = properties.pop("url")
     predicates = hash_predicates(key, partitions, source.system)
-    return spark.read.jdbc(url, table, predicates=predicates, properties=opts)
+    return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
 
 
 def bounds(spark: SparkSession, source: Endpoint, table: str, key: str, partitions: int) -> Partitioning:

@@ -29,20 +29,27 @@ def read_table(
     partitions: int | None = None,
     key: str | None = None,
     infos: list[ColumnInfo] | None = None,
+    by_hash: bool = False,
 ) -> DataFrame:
     """A full table.
 
     Nothing is read yet: filters and column choices made on the result are pushed to the files or to
     the database.  Over JDBC, ``partition`` (or ``key`` and ``partitions``, which asks the database for
-    the key's bounds) makes the read parallel; without it one connection reads everything.  ``infos``, the
+    the key's bounds) makes the read parallel; without it one connection reads everything.  ``by_hash`` splits an integer
+    key by its remainder, for keys whose values crowd in one range.  ``infos``, the
     columns as the source's catalog has them, sets the canonical types and keeps wide numbers whole.
     """
     if source.is_jdbc:
         full = qualify_name(schema, table, source.system)
-        if partition is None and key and partitions:
-            partition = jdbc.bounds(spark, source, full, quote_name(key, source.system), partitions)
-        options = {**jdbc.table_options(source, full, partition), **jdbc.custom_schema(infos or [])}
-        rows = jdbc.load(spark, options)
+        name = quote_name(key, source.system) if key else None
+        if by_hash:
+            if not (key and partitions):
+                raise ValueError("by_hash needs key and partitions")
+            rows = jdbc.load_by_predicates(spark, source, full, name, partitions, infos)
+        else:
+            if partition is None and key and partitions:
+                partition = jdbc.bounds(spark, source, full, name, partitions)
+            rows = jdbc.load(spark, {**jdbc.table_options(source, full, partition), **jdbc.custom_schema(infos or [])})
         return apply_infos(rows, infos) if infos else rows
     if source.path:
         base = file_path(source, table, schema)
@@ -72,14 +79,15 @@ def read_query(
     source: Endpoint,
     query: str,
     tables: list[str] | None = None,
+    partition: Partitioning | None = None,
 ) -> DataFrame:
     """The result of the caller's SQL, passed unchanged.
 
-    Over JDBC the source database runs it.  Elsewhere Spark does, with the folder's tables that the
+    Over JDBC the source database runs it, once, or once per range of ``partition``.  Elsewhere Spark does, with the folder's tables that the
     query names (``tables``) as views.
     """
     if source.is_jdbc:
-        return jdbc.load(spark, jdbc.query_options(source, query))
+        return jdbc.load(spark, jdbc.query_options(source, query, partition))
     if source.path:
         for t in tables or []:
             read_table(spark, source, t).createOrReplaceTempView(t)
