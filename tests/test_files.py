@@ -85,6 +85,11 @@ def test_a_value_equal_to_the_token_stops_the_write(spark, folder):
     with pytest.raises(Exception, match="holds the null token"):
         write_load(df, f"{folder}/l", "mysql")
     write_load(df, f"{folder}/m", "mysql", null="{nll}")
+    both = spark.createDataFrame([("NULL",), (None,)], "a string").coalesce(1)
+    write_load(both, f"{folder}/q", "mysql", quote_clash=True)
+    assert open(parts(f"{folder}/q")[0]).read() == '"NULL"\nNULL\n'
+    with pytest.raises(ValueError, match="cannot tell"):
+        write_load(both, f"{folder}/o", "oracle", quote_clash=True)
     with pytest.raises(ValueError, match="null token"):
         write_staged(df, f"{folder}/n", null="a,b")
 

@@ -96,6 +96,7 @@ def transfer(
     delimiter: str = DELIMITER,
     newline: str = NEWLINE,
     target_file_bytes: int | None = None,
+    quote_clash: bool = False,
     compat: bool = False,
 ) -> TransferResult:
     """Read, translate, write.
@@ -111,7 +112,7 @@ def transfer(
         token = null or target.profile.null_token
         write_load(
             rows, load_path, target.system, source.system, token, delimiter, newline, target_file_bytes,
-            compat=compat,
+            compat=compat, quote_clash=quote_clash,
         )
         back = read_load(spark, load_path, target.system, infos, token, delimiter, newline)
         commands = load_commands(

@@ -32,7 +32,7 @@ def _check_token(token: str) -> None:
         raise ValueError("a null token must not be empty or hold commas, quotes or line ends")
 
 
-def csv_lines(text: DataFrame, null: str, compat: bool = False) -> DataFrame:
+def csv_lines(text: DataFrame, null: str, compat: bool = False, quote_clash: bool = False) -> DataFrame:
     """RFC 4180 records of text columns, NULL as the bare token.
 
     Only free text and empty bytes can need quotes; the other columns are joined as they are.
@@ -43,8 +43,11 @@ def csv_lines(text: DataFrame, null: str, compat: bool = False) -> DataFrame:
         c = column(info.name)
         if info.type in FREE_TEXT:
             doubled = F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+            needs = c.rlike(NEEDS_QUOTES)
+            if quote_clash:
+                return F.coalesce(F.when(needs | (c == F.lit(null)), doubled).otherwise(c), F.lit(null))
             safe = refuse_token(c, null, info, compat)
-            return F.coalesce(F.when(c.rlike(NEEDS_QUOTES), doubled).otherwise(safe), F.lit(null))
+            return F.coalesce(F.when(needs, doubled).otherwise(safe), F.lit(null))
         safe = refuse_token(c, null, info, compat)
         if info.type in BINARY:  # the hex text of no bytes is empty
             safe = F.when(c == F.lit(""), F.lit('""')).otherwise(safe)
@@ -120,13 +123,20 @@ def write_load(
     target_file_bytes: int | None = None,
     mode: str = "error",
     compat: bool = False,
+    quote_clash: bool = False,
 ) -> list[ColumnInfo]:
-    """Files ready for ``target``'s bulk loader; returns the column descriptions."""
+    """Files ready for ``target``'s bulk loader; returns the column descriptions.
+
+    A text equal to the NULL token stops the job.  PostgreSQL and MySQL tell a quoted token from a bare one,
+    so ``quote_clash`` lets such values through there, in quotes; ``read_load`` cannot tell the two.
+    """
+    if quote_clash and target not in ("postgresql", "mysql"):
+        raise ValueError(f"the loader of {target} cannot tell a quoted null token from NULL")
     text = to_load(df, target, None, compat, source)
     if target == "mssql":
         lines = multichar_lines(text, delimiter, newline)
     else:
-        lines, newline = csv_lines(text, null or profile(target).null_token, compat), "\n"
+        lines, newline = csv_lines(text, null or profile(target).null_token, compat, quote_clash), "\n"
     _write_lines(lines, text, path, newline, mode, target_file_bytes)
     return column_infos(df)
 
