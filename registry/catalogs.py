@@ -372,7 +372,7 @@ def _quoted(system, compat):
 
 def reserved_sql(name: str, system: str, compat: bool) -> str:
     words = SYSTEMS[system].reserved_words()
-    if not words:
+    if not words or (compat and system == "oracle"):
         return "false"
     listed = ", ".join(f"'{w}'" for w in words)
     folded = f"upper({name})" if system == "mssql" else name if compat else f"lower({name})"
@@ -382,6 +382,8 @@ def reserved_sql(name: str, system: str, compat: bool) -> str:
 def quoted_sql(name: str, system: str, compat: bool) -> str:
     before, after = SYSTEMS[system].quotes
     inner = name if compat else f"replace({name}, '{after}', '{after}{after}')"
+    if system == "mysql" and not compat:
+        return f"case when {name} <> '' then '`' || {inner} || '`' else {name} end"
     plain = rf"regexp_matches({name}, '^[A-Za-z_@#][\p{{L}}\p{{Nd}}_]*$')"
     return (
         f"case when {name} <> '' and (not {plain} or {reserved_sql(name, system, compat)}) "
@@ -390,13 +392,15 @@ def quoted_sql(name: str, system: str, compat: bool) -> str:
 
 
 for _system in SYSTEMS:
-    QUERIES[f"cat10_quote_{_system}"] = _quoted(_system, False)
-    SQL[f"cat10_quote_{_system}"] = f"with {NAMES_SQL} select name, {quoted_sql('name', _system, False)} as quoted from names"
+    for _compat, _suffix in ((True, ""), (False, "_exact")):
+        QUERIES[f"cat10_quote_{_system}{_suffix}"] = _quoted(_system, _compat)
+        _name = quoted_sql("name", _system, _compat)
+        SQL[f"cat10_quote_{_system}{_suffix}"] = f"with {NAMES_SQL} select name, {_name} as quoted from names"
 
 
 def cat11_reserved(spark, sf):
     name = F.col("name")
-    flags = [is_reserved(name, s).alias(s) for s in ("postgresql", "mssql", "snowflake")]
+    flags = [is_reserved(name, s).alias(s) for s in ("postgresql", "mssql", "oracle", "snowflake")]
     exact = [is_reserved(name, s, True).alias(f"{s}_compat") for s in ("postgresql", "snowflake")]
     return names(spark, sf).select("name", "n", *flags, *exact)
 
@@ -404,7 +408,7 @@ def cat11_reserved(spark, sf):
 QUERIES["cat11_reserved_words"] = cat11_reserved
 SQL["cat11_reserved_words"] = (
     f"with {NAMES_SQL} select name, n, "
-    + ", ".join(f"{reserved_sql('name', s, False)} as {s}" for s in ("postgresql", "mssql", "snowflake"))
+    + ", ".join(f"{reserved_sql('name', s, False)} as {s}" for s in ("postgresql", "mssql", "oracle", "snowflake"))
     + ", "
     + ", ".join(f"{reserved_sql('name', s, True)} as {s}_compat" for s in ("postgresql", "snowflake"))
     + " from names"

@@ -151,8 +151,8 @@ from r group by bucket, batch"""
 _P_KEYS = "select o_orderkey from orders where o_orderstatus = 'P'"
 _HEAD = {
     "postgresql": 'delete from sales."order" where (o_orderkey) in (',
-    "mysql": "delete from order where (o_orderkey) in (",
-    "oracle": "delete from sales.order where (o_orderkey) in (",
+    "mysql": "delete from `order` where (`o_orderkey`) in (",
+    "oracle": 'delete from sales."order" where (o_orderkey) in (',
     "snowflake": 'delete from sales."order" where (o_orderkey) in (',
 }
 for _target, _start in _HEAD.items():

@@ -229,8 +229,8 @@ select 'LOAD DATA CHARACTERSET ''AL32UTF8'' infile ''orders*.csv'' append into t
   || ' ,o_orderdate timestamp ''YYYY-MM-DD HH24:MI:SS.FF'' nullif o_orderdate=''{nll}'''
   || ' ,o_orderpriority char(' || (max(strlen(o_orderpriority)) + 5)
   || ') PRESERVE BLANKS nullif o_orderpriority=''{nll}'''
-  || ' ,order char(' || (max(strlen(coalesce(nullif(o_orderstatus, 'P'), '{nll}'))) + 5)
-  || ') PRESERVE BLANKS nullif order=''{nll}'')' as control
+  || ' ,"order" char(' || (max(strlen(coalesce(nullif(o_orderstatus, 'P'), '{nll}'))) + 5)
+  || ') PRESERVE BLANKS nullif "order"=''{nll}'')' as control
 from orders"""
 
 

@@ -168,7 +168,7 @@ def test_quoting_against_brute_force(spark, system):
     reserved = {w.lower() for w in prof.reserved_words()}
     before, after = prof.quotes
     for name, text in zip(names, got):
-        plain = not name or (PLAIN.match(name) and name.lower() not in reserved)
+        plain = not name or (PLAIN.match(name) and name.lower() not in reserved and not prof.quote_all)
         if name and plain and not name.isascii():
             continue  # \w also has marks and connectors; checked by the cases above
         assert text == (name if plain else before + name.replace(after, after * 2) + after)
@@ -184,12 +184,13 @@ def test_reserved_words_by_case(spark):
     assert flags("postgresql", False) == [True, True, False]
     assert flags("postgresql", True) == [True, False, False]
     assert flags("mssql", True) == [True, True, False]
-    assert flags("oracle", False) == flags("mysql", False) == [False, False, False]
+    assert flags("oracle", False) == [True, True, False]
+    assert flags("oracle", True) == flags("mysql", False) == [False, False, False]
 
 
 def test_qualified_names():
     assert qualify_name("s", "my table", "postgresql") == 's."my table"'
-    assert qualify_name("s", "t", "mysql") == "t"
+    assert qualify_name("s", "t", "mysql") == "`t`"
     assert qualify_name(None, "order", "mssql") == "[order]"
 
 
@@ -207,16 +208,16 @@ def test_statements(spark):
     )
     assert text("postgresql", False).endswith("k2 uuid)")
     named = translate(rows(spark, ("c", "character varying", None, None, 30, True)), "postgresql", "mysql")
-    assert "(c varchar(30), primary key (c))" in ddl(named, "mysql", True).first()["statement"]
-    assert "(c longtext)" in ddl(named, "mysql").first()["statement"]
+    assert "(`c` varchar(30), primary key (`c`))" in ddl(named, "mysql", True).first()["statement"]
+    assert "(`c` longtext)" in ddl(named, "mysql").first()["statement"]
     assert text("mysql") == (
-        "create table if not exists `big t` (id bigint, order longtext, k2 binary(16), primary key (id,k2))"
+        "create table if not exists `big t` (`id` bigint, `order` longtext, `k2` binary(16), primary key (`id`,`k2`))"
     )
     assert text("mssql") == (
         "if object_id('s.[big t]', 'U') is null create table s.[big t] "
         "(id bigint, [order] nvarchar(40), k2 uniqueidentifier, primary key (id,k2))"
     )
-    assert text("oracle").startswith("begin execute immediate 'create table s.\"big t\" (id number(19), order varchar2(80)")
+    assert text("oracle").startswith("begin execute immediate 'create table s.\"big t\" (id number(19), \"order\" varchar2(80)")
 
 
 def test_quotes_inside_oracle_statements_are_doubled(spark):

@@ -139,7 +139,7 @@ def test_load_commands():
     cols = [ColumnInfo("id", "int64"), ColumnInfo("raw", "blob"), ColumnInfo("u", "uuid")]
     assert "null '{nll}'" in load_commands("postgresql", "t", "/f.csv", cols, "s")[0]
     mysql = load_commands("mysql", "t", "/f.csv", cols)[0]
-    assert mysql.endswith("(id, @f1, @f2) set raw = unhex(@f1), u = unhex(@f2)")
+    assert mysql.endswith("(`id`, @f1, @f2) set `raw` = unhex(@f1), `u` = unhex(@f2)")
     assert load_commands("mssql", "t", "/f", cols, "s", database="d")[0].startswith("bcp d.s.t in /f")
     snow = load_commands("snowflake", "t", "/f.csv", cols, "s", load_id="x1")
     assert len(snow) == 4 and "@s.transferkit_stage/x1" in snow[3]

@@ -66,7 +66,7 @@ def test_oracle_names_are_upper():
 def test_schema_and_drop_statements():
     assert sink.schema_statement("postgresql", "s") == "create schema if not exists s"
     assert sink.schema_statement("mssql", "my s") == "if schema_id('my s') is null exec('create schema [my s]')"
-    assert sink.schema_statement("mysql", "s") == "create database if not exists s"
+    assert sink.schema_statement("mysql", "s") == "create database if not exists `s`"
     assert sink.schema_statement("oracle", "s") is None
     assert sink.drop_statement("snowflake", "s", "order") == 'drop table if exists s."order"'
     assert "sqlcode != -942" in sink.drop_statement("oracle", "s", "t")
@@ -78,7 +78,7 @@ def test_moving_staged_rows():
     assert sink.merge_statement("postgresql", "s.t_x", "s.t", cols) == (
         f'insert into s.t select id, "order" from (select id, "order", {ranked} from s.t_x) s where transferkit_n = 1'
     )
-    assert sink.merge_statement("oracle", "s.t_x", "s.t", cols).startswith("insert into s.t (id, order) select id, order")
+    assert sink.merge_statement("oracle", "s.t_x", "s.t", cols).startswith('insert into s.t (id, "order") select id, "order"')
     assert 'select id, parse_json("order") from' in sink.merge_statement("snowflake", "s.t_x", "s.t", cols)
     delete = sink.delete_staged_statement("mssql", "s.t_transferkit", "t", "s", ["id", "k 2"])
     assert delete == (

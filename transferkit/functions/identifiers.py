@@ -18,7 +18,7 @@ def is_reserved(name: Column, system: str, compat: bool = False) -> Column:
     exact case, so that ``SELECT`` would stay unquoted on PostgreSQL and Snowflake."""
     p = profile(system)
     words = p.reserved_words()
-    if not words:
+    if not words or (compat and not p.keywords_compat):
         return name.isNull() & F.lit(False)
     if p.keyword_case == "upper":
         return F.upper(name).isin(words)
@@ -26,6 +26,8 @@ def is_reserved(name: Column, system: str, compat: bool = False) -> Column:
 
 
 def needs_quotes(name: Column, system: str, compat: bool = False) -> Column:
+    if profile(system).quote_all and not compat:
+        return name != F.lit("")
     plain = name.rlike(PLAIN_NAME) & ~is_reserved(name, system, compat)
     return (name != F.lit("")) & ~plain
 
@@ -53,7 +55,8 @@ def quote_name(name: str, system: str) -> str:
     """Quote one name given by the caller of a transfer."""
     p = profile(system)
     words = {w.lower() for w in p.reserved_words()}
-    if not name or (_PLAIN.match(name) and name.lower() not in words):
+    plain = _PLAIN.match(name) and name.lower() not in words and not p.quote_all
+    if not name or plain:
         return name
     before, after = p.quotes
     return before + name.replace(after, after * 2) + after

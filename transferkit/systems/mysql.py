@@ -96,6 +96,7 @@ MYSQL = SystemProfile(
         backslash_escapes=True,
     ),
     quotes=("`", "`"),
+    quote_all=True,
     schema_required=False,
     null_token="NULL",
     not_found="doesn't exist",

@@ -25,6 +25,17 @@ RESULT_TYPES = {
     "varbinary": "RAW",
     "blob": "OCIBlobLocator, OCIFileLocator",
 }
+# Reserved words of Oracle's SQL language reference.
+KEYWORDS = """
+access, add, all, alter, and, any, as, asc, audit, between, by, char, check, cluster, column, column_value,
+comment, compress, connect, create, current, date, decimal, default, delete, desc, distinct, drop, else,
+exclusive, exists, file, float, for, from, grant, group, having, identified, immediate, in, increment, index,
+initial, insert, integer, intersect, into, is, level, like, lock, long, maxextents, minus, mlslabel, mode,
+modify, nested_table_id, noaudit, nocompress, not, nowait, null, number, of, offline, on, online, option, or,
+order, pctfree, prior, public, raw, rename, resource, revoke, row, rowid, rownum, rows, select, session, set,
+share, size, smallint, start, successful, synonym, sysdate, table, then, to, trigger, uid, union, unique,
+update, user, validate, values, varchar, varchar2, view, whenever, where, with
+"""
 
 _VARCHAR2 = SizedType("varchar2", 4, 4000, "clob", "varchar2(4000)")
 
@@ -75,6 +86,8 @@ ORACLE = SystemProfile(
         uuid_bytes=("HEXTORAW('", "')"),
         bool_digits=True,
     ),
+    keywords=KEYWORDS,
+    keywords_compat=False,
     upper_names=True,
     loads_by_name=True,
     read_options={

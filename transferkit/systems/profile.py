@@ -78,6 +78,8 @@ class SystemProfile:
     schema_required: bool = True
     keywords: str = ""
     keyword_case: str = "lower"  # case the word list is written in
+    keywords_compat: bool = True  # whether the historical quoting knew the words
+    quote_all: bool = False  # quote every name: quotes change nothing there but the words allowed
     null_token: str = "{nll}"
     not_found: str = "does not exist"  # text of the system's missing-table error
     upper_names: bool = False
