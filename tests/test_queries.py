@@ -5,11 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+import registry
 from registry.tables import TABLES
 from tools.check import digest
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry.queries(), registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -35,5 +36,9 @@ def test_query(spark, db, name):
     assert digest(df.columns, rows)[0] == digest(names, found.fetchall())[0]
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
