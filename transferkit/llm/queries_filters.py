@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from transferkit.llm.decontaminate import contamination
 from transferkit.llm.quality import STOP_WORDS, quality
 
 
@@ -42,5 +43,38 @@ select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
 from m
 """
 
-QUERIES = {"op9_quality_rules": op9_quality_rules}
-SQL = {"op9_quality_rules": SQL9}
+
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+SQL8 = f"""
+with d as (select doc_id, {_WORDS} as w from documents),
+b as (select item_id, w, least(len(w), 10) as k from (select item_id, {_WORDS} as w from benchmark) where len(w) > 0),
+bw as (
+  select distinct item_id, k, array_to_string(w[i:i + k - 1], ' ') as g
+  from (select item_id, w, k, unnest(range(1, len(w) - k + 2)) as i from b)),
+dw as (
+  select doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') as g
+  from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as i from d, (select distinct k from b))),
+hits as (select dw.doc_id, dw.i, dw.k, bw.item_id from dw join bw using (k, g)),
+covered as (
+  select doc_id, count(distinct i + p) as n from
+  (select doc_id, i, unnest(range(k)) as p from (select distinct doc_id, i, k from hits)) group by doc_id),
+items as (
+  select doc_id, count(*) as n, string_agg(item, ',' order by item) as ids
+  from (select distinct doc_id, item_id::varchar as item from hits) group by doc_id)
+select d.doc_id, len(d.w)::bigint as n_words, coalesce(c.n, 0)::bigint as n_hit, coalesce(x.n, 0)::bigint as n_items,
+  sha256(coalesce(x.ids, '')) as items_sha256, coalesce(c.n, 0) > 0 as contaminated
+from d left join covered c using (doc_id) left join items x using (doc_id)
+"""
+
+QUERIES = {
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_quality_rules": op9_quality_rules,
+}
+SQL = {"op8_benchmark_decontamination": SQL8, "op9_quality_rules": SQL9}
