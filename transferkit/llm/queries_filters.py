@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from transferkit.llm.decontaminate import contamination
+from transferkit.llm.mixing import mixture
 from transferkit.llm.quality import STOP_WORDS, quality
 
 
@@ -73,8 +74,59 @@ select d.doc_id, len(d.w)::bigint as n_words, coalesce(c.n, 0)::bigint as n_hit,
 from d left join covered c using (doc_id) left join items x using (doc_id)
 """
 
+
+def op7_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture(documents(spark, sf_dir)).drop("shards")
+
+
+def _md5(*parts: str) -> str:
+    return f"('0x' || substr(md5({" || '|' || ".join(parts)}), 1, 15))::bigint"
+
+
+SQL7 = f"""
+with d as (
+  select doc_id, source, coalesce(doc_id::varchar, '') as id,
+    len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as size from documents),
+s1 as (select source, sum(size)::bigint as source_size from d group by source),
+s2 as (
+  select *, row_number() over (order by source nulls last) - 1 as no, 3.0::double * source_size as cap,
+    sum(source_size) over ()::bigint as total from s1),
+s3 as (select *, [5.0::double, 2.0, 1.0][no % 3 + 1] as weight from s2),
+s4 as (
+  select *, (total - coalesce(sum(cap) over (f rows between unbounded preceding and 1 preceding), 0))
+      / sum(weight) over (f rows between current row and unbounded following) as level
+  from s3 window f as (order by cap / weight, no)),
+s5 as (
+  select *, first_value(case when cap >= weight * level then level end ignore nulls)
+      over (order by cap / weight, no rows between unbounded preceding and current row) as set_level from s4),
+s6 as (
+  select *, case when set_level is null then cap else least(cap, weight * set_level) end as target,
+    greatest(1, ceil(source_size / greatest(50000, ceil(total / 8192))))::bigint as n_blocks from s5),
+s7 as (select *, case when source_size > 0 then floor(target / source_size) else 0 end::bigint as passes from s6),
+s as (select *, target - passes * source_size as part from s7),
+r as (
+  select d.*, s.* exclude (source), {_md5("'7'", "id")} % n_blocks as block, {_md5("'7'", "'doc'", "id")} as h
+  from d join s on d.source is not distinct from s.source),
+b1 as (select no, block, part, sum(size)::bigint as words from r group by all),
+b2 as (
+  select *, part - (sum(words) over (partition by no order by {_md5("'7'", "'block'", "no", "block")}, block
+      rows unbounded preceding) - words) as room from b1),
+x as (
+  select r.*, b2.room, b2.words,
+    sum(r.size) over (partition by r.no, r.block order by r.h, r.size) - r.size / 2 as upto
+  from r join b2 on r.no = b2.no and r.block = b2.block)
+select doc_id, size, source_size, target,
+  size * (passes + case when room > 0 and (room >= words or upto <= room) then 1 else 0 end)::bigint as taken
+from x
+"""
+
 QUERIES = {
+    "op7_mixing_sources": op7_mixing_sources,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_quality_rules": op9_quality_rules,
 }
-SQL = {"op8_benchmark_decontamination": SQL8, "op9_quality_rules": SQL9}
+SQL = {
+    "op7_mixing_sources": SQL7,
+    "op8_benchmark_decontamination": SQL8,
+    "op9_quality_rules": SQL9,
+}
