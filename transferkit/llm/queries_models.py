@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from transferkit.llm.language import identify
 from transferkit.llm.license import scan_licenses
 from transferkit.llm.queries_filters import documents
 
@@ -12,5 +13,12 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir))
 
 
-QUERIES = {"op1_license_scan": op1_license_scan}
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir))
+
+
+QUERIES = {
+    "op1_license_scan": op1_license_scan,
+    "op2_language_id": op2_language_id,
+}
 SQL: dict[str, str] = {}
