@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from transferkit.llm.jaccard import jaccard_classes
 from transferkit.llm.queries_filters import documents
 from transferkit.llm.suffixes import repeated_passages
 
@@ -12,5 +13,12 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(documents(spark, sf_dir))
 
 
-QUERIES = {"op5_suffix_dedup": op5_suffix_dedup}
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(documents(spark, sf_dir))
+
+
+QUERIES = {
+    "op5_suffix_dedup": op5_suffix_dedup,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
+}
 SQL: dict[str, str] = {}
