@@ -13,6 +13,7 @@ from transferkit.llm.jaccard import drop_near_copies
 from transferkit.llm.mixing import mix
 from transferkit.llm.quality import keep_good
 from transferkit.llm.suffixes import remove_repeated
+from transferkit.llm.tables import where_computed
 from transferkit.session import workspace
 
 
@@ -28,7 +29,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that repeat are cut from the texts; documents of which nothing is left go."""
-    kept = remove_repeated(docs).where("text <> ''")
+    kept = where_computed(remove_repeated(docs), F.col("text") != "")
     if "n_chars" in docs.columns:
         kept = kept.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else c for c in docs.columns])
     return kept

@@ -212,7 +212,8 @@ def mix(
     parts = _columns(F.col("row"), id_col, text_col, source_col)
     sources, blocks = _plan(stored(whole.select(*parts), "mix_sizes"), weights, most, shards, seed)
     rows = _drawn(whole.select("row", *parts), sources, blocks, seed)
-    rows = rows.where("size > 0").select("row", "id", F.posexplode("shards").alias("copy", "mix_shard"))
+    drawn = F.filter("shards", lambda s: F.col("size") > 0)
+    rows = rows.select("row", "id", F.posexplode(drawn).alias("copy", "mix_shard"))
     rows = rows.select("row", "mix_shard", _hash(str(seed), "position", F.col("id"), F.col("copy")).alias("mix_position"))
     rows = rows.repartition(F.col("mix_shard"), F.col("mix_position") % SLICES)
     rows = rows.sortWithinPartitions("mix_shard", "mix_position")

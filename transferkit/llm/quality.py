@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from transferkit.llm.tables import where_computed
 from transferkit.llm.words import places, text_of, tokens
 
 SYMBOLS = r"[#*$%&|<>]"
@@ -75,7 +76,10 @@ def _measured(docs: DataFrame, text_col: str) -> DataFrame:
             F.slice(w, place(y) + 1, F.lit(3))
         )
 
-    twice = F.filter(s, lambda x, j: F.coalesce(same(x, F.get(s, j - 1)), F.lit(False)) | F.coalesce(same(x, F.get(s, j + 1)), F.lit(False)))
+    def beside(x: Column, j: Column) -> Column:
+        return F.coalesce(same(x, F.get(s, j - 1)), F.lit(False)) | F.coalesce(same(x, F.get(s, j + 1)), F.lit(False))
+
+    twice = F.filter(s, beside)
     d = d.select("*", F.transform(twice, place).alias("twice"))
     covered = F.array_distinct(F.flatten(F.transform("twice", lambda p: F.array(p, p + 1, p + 2))))
     counts = {
@@ -122,4 +126,4 @@ def quality(
 
 def keep_good(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows that pass every rule, with the columns they came with."""
-    return _measured(docs, text_col).where(verdict(rules)).select("row.*")
+    return where_computed(_measured(docs, text_col), verdict(rules)).select("row.*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transferkit.session import workspace
@@ -22,3 +22,13 @@ def sized(df: DataFrame, name: str, rows: int = BROADCAST_ROWS) -> DataFrame:
     """The stored rows, to be broadcast if there are at most ``rows`` of them."""
     df = stored(df, name)
     return F.broadcast(df) if df.count() <= rows else df
+
+
+def where_computed(df: DataFrame, condition: Column) -> DataFrame:
+    """The rows that meet a condition on computed columns, each computed once.
+
+    A plain filter would be pushed below the projection with the columns' expressions written out in it; it is
+    not pushed below a column that depends on a row's place.
+    """
+    place = "_place"
+    return df.select("*", F.monotonically_increasing_id().alias(place)).where(condition & (F.col(place) >= 0)).drop(place)
