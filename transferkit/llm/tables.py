@@ -11,10 +11,10 @@ from transferkit.session import workspace
 BROADCAST_ROWS = 200_000
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """The rows as a Parquet table in the shared folder: computed once, safe when executors are lost."""
     path = workspace(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
