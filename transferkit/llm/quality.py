@@ -80,14 +80,16 @@ def _measured(docs: DataFrame, text_col: str) -> DataFrame:
         return F.coalesce(same(x, F.get(s, j - 1)), F.lit(False)) | F.coalesce(same(x, F.get(s, j + 1)), F.lit(False))
 
     twice = F.filter(s, beside)
-    d = d.select("*", F.transform(twice, place).alias("twice"))
+    # a filter on the counts is not pushed below a column that depends on a row's place, so that no lambda
+    # has an array's whole expression written out in it
+    d = d.select("*", F.transform(twice, place).alias("twice"), F.monotonically_increasing_id().alias("at"))
     covered = F.array_distinct(F.flatten(F.transform("twice", lambda p: F.array(p, p + 1, p + 2))))
     counts = {
         "n_words": n,
         "word_chars": F.length(F.array_join(w, "")),
         "n_symbols": F.length("text") - F.length(F.regexp_replace("text", SYMBOLS, "")),
         "n_dup_lines": F.size("lines") - F.size(F.array_distinct("lines")),
-        "n_repeat_words": F.size(covered),
+        "n_repeat_words": F.when(F.col("at") >= 0, F.size(covered)),
         "n_lines": F.size("lines"),
         "n_stop_words": F.size(F.filter(w, lambda v: F.lower(v).isin(STOP_WORDS))),
     }
