@@ -96,12 +96,12 @@ def rel1_delete_null_keys(spark, sf):
     """Two-column keys with NULLs on both sides: a NULL deletes nothing and is never deleted."""
     e = table(spark, sf, "events").withColumn("event_type", F.nullif("event_type", F.lit("click")))
     keys = e.where("value > 400").select("user_id", "event_type")
-    return delete_by_keys(e, keys, ["user_id", "event_type"]).drop("props")
+    return delete_by_keys(e, keys, ["user_id", "event_type"])
 
 
 QUERIES["rel1_delete_null_keys"] = rel1_delete_null_keys
 SQL["rel1_delete_null_keys"] = """
-with e as (select event_id, ts, user_id, nullif(event_type, 'click') as event_type, value from events)
+with e as (select * replace (nullif(event_type, 'click') as event_type) from events)
 select * from e where not exists (
   select 1 from e k where k.value > 400 and k.user_id = e.user_id and k.event_type = e.event_type)"""
 
@@ -121,19 +121,23 @@ union all select * replace ('X' as o_orderstatus) from orders where o_orderdate
 def rel2_upsert_log(spark, sf):
     """The same by reading a log of batches: events of one user and type replace each other."""
     e = table(spark, sf, "events").withColumn("batch_id", F.dayofmonth("ts").cast("int"))
-    return latest_per_key(e, ["user_id", "event_type"]).drop("props")
+    return latest_per_key(e, ["user_id", "event_type"])
 
 
 QUERIES["rel2_upsert_log"] = rel2_upsert_log
 SQL["rel2_upsert_log"] = """
-select event_id, ts, user_id, event_type, value, day(ts)::int as batch_id from events
+select *, day(ts)::int as batch_id from events
 qualify day(ts) = max(day(ts)) over (partition by user_id, event_type)"""
 
 
+# buckets of the key sets below
+BUCKETS = 13
+
+
 def _statements(target, compat=False):
     def run(spark, sf):
-        keys = table(spark, sf, "orders").where("o_orderstatus = 'P'").select("o_orderkey")
-        return delete_statements(keys, target, "order", "sales", compat=compat)
+        keys = table(spark, sf, "orders").select("o_orderkey")
+        return delete_statements(keys, target, "order", "sales", buckets=BUCKETS, compat=compat)
 
     return run
 
@@ -141,14 +145,13 @@ def _statements(target, compat=False):
 def _statements_sql(tuple_text: str, keys: str, start: str, end: str, sep: str = ",") -> str:
     return f"""
 with k as ({keys}), t as (select distinct {tuple_text} as t from k),
-n as (select greatest(1, ceil(count(*) / 50000.0))::bigint as n from k),
-b as (select t, ('0x' || substr(md5(t), 1, 7))::bigint % n.n as bucket from t, n),
+b as (select t, ('0x' || substr(md5(t), 1, 7))::bigint % {BUCKETS} as bucket from t),
 r as (select *, (row_number() over (partition by bucket order by t) - 1) // 6 as batch from b)
 select bucket, batch, '{start}' || string_agg(t, '{sep}' order by t) || '{end}' as statement
 from r group by bucket, batch"""
 
 
-_P_KEYS = "select o_orderkey from orders where o_orderstatus = 'P'"
+_KEYS = "select o_orderkey from orders"
 _HEAD = {
     "postgresql": 'delete from sales."order" where (o_orderkey) in (',
     "mysql": "delete from `order` where (`o_orderkey`) in (",
@@ -157,17 +160,17 @@ _HEAD = {
 }
 for _target, _start in _HEAD.items():
     QUERIES[f"rel3_delete_batches_{_target}"] = _statements(_target)
-    SQL[f"rel3_delete_batches_{_target}"] = _statements_sql("'('||o_orderkey||')'", _P_KEYS, _start, ")")
+    SQL[f"rel3_delete_batches_{_target}"] = _statements_sql("'('||o_orderkey||')'", _KEYS, _start, ")")
 QUERIES["rel3_delete_batches_mssql"] = _statements("mssql")
 SQL["rel3_delete_batches_mssql"] = _statements_sql(
-    "o_orderkey::varchar", _P_KEYS, "delete from sales.[order] where o_orderkey in (", ")"
+    "o_orderkey::varchar", _KEYS, "delete from sales.[order] where o_orderkey in (", ")"
 )
 
 
 def _pair_statements(target):
     def run(spark, sf):
         keys = table(spark, sf, "events").select("user_id", F.nullif("event_type", F.lit("click")).alias("type"))
-        return delete_statements(keys, target, "events", "sales")
+        return delete_statements(keys, target, "events", "sales", buckets=BUCKETS)
 
     return run
 
@@ -189,7 +192,7 @@ SQL["rel3_delete_pairs_mssql"] = _statements_sql(
 
 def inc1_since(spark, sf):
     orders = table(spark, sf, "orders")
-    return since(orders, "o_orderdate", orders.where(F.col("o_orderdate") < _mark()))
+    return since(orders, "o_orderdate", orders.where(F.col("o_orderdate") < _mark()), inclusive=False)
 
 
 QUERIES["inc1_high_water_mark"] = inc1_since
@@ -202,7 +205,7 @@ def inc1_incremental_load(spark, sf):
     orders = table(spark, sf, "orders")
     log = ChangeLog(workspace(spark, "orders_log"), ("o_orderkey",))
     log.load(spark, orders.where(F.col("o_orderdate") < _mark()), "o_orderdate")
-    log.load(spark, orders, "o_orderdate")
+    log.load(spark, orders, "o_orderdate", inclusive=False)
     changed = orders.where("o_orderpriority = '1-URGENT'").withColumn("o_orderstatus", F.lit("U"))
     log.load(spark, changed)
     return log.current(spark)
@@ -214,6 +217,61 @@ select * replace (case when o_orderpriority = '1-URGENT' then 'U' else o_orderst
 from orders"""
 
 
+def inc1_log_without_success(spark, sf):
+    """Loads of a committer that leaves no ``_SUCCESS`` file count like others."""
+    orders, name = table(spark, sf, "orders"), "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    log = ChangeLog(workspace(spark, "orders_quiet"), ("o_orderkey",))
+    spark.conf.set(name, "false")
+    try:
+        for rest in range(3):
+            log.load(spark, orders.where(F.col("o_custkey") % 3 == rest))
+        log.load(spark, orders.where("o_orderstatus = 'P'").withColumn("o_orderpriority", F.lit("late")))
+    finally:
+        spark.conf.unset(name)
+    return log.current(spark)
+
+
+QUERIES["inc1_log_without_success"] = inc1_log_without_success
+SQL["inc1_log_without_success"] = """
+select * replace (case when o_orderstatus = 'P' then 'late' else o_orderpriority end as o_orderpriority) from orders"""
+
+
+def inc1_new_column(spark, sf):
+    """A batch brings a column that the log did not have."""
+    orders = table(spark, sf, "orders")
+    log = ChangeLog(workspace(spark, "orders_wider"), ("o_orderkey",))
+    log.load(spark, orders)
+    log.load(spark, orders.where("o_orderstatus <> 'F'").withColumn("note", F.concat("o_orderstatus", F.lit("!"))))
+    return log.current(spark)
+
+
+QUERIES["inc1_new_column"] = inc1_new_column
+SQL["inc1_new_column"] = """
+select *, case when o_orderstatus <> 'F' then o_orderstatus || '!' end as note from orders"""
+
+
+def inc1_null_and_tied_marks(spark, sf):
+    """Rows that get the newest mark late, or have none, are in the next load."""
+    orders = table(spark, sf, "orders").withColumn(
+        "o_orderdate", F.when(F.col("o_custkey") % 7 != 0, F.date_trunc("month", "o_orderdate").cast("timestamp_ntz"))
+    )
+    log = ChangeLog(workspace(spark, "orders_late"), ("o_orderkey",))
+    first = F.coalesce(F.col("o_orderdate") <= F.date_trunc("month", _mark()), F.col("o_custkey") % 14 == 0)
+    log.load(spark, orders.where(first & (F.col("o_orderkey") % 2 == 0)), "o_orderdate")
+    log.load(spark, orders, "o_orderdate")
+    return log.current(spark)
+
+
+QUERIES["inc1_null_and_tied_marks"] = inc1_null_and_tied_marks
+SQL["inc1_null_and_tied_marks"] = f"""
+with o as (select * replace (
+  case when o_custkey % 7 <> 0 then date_trunc('month', o_orderdate)::timestamp end as o_orderdate) from orders),
+f as (select * from o where o_orderkey % 2 = 0
+  and coalesce(o_orderdate <= date_trunc('month', {MARK}::timestamp), o_custkey % 14 = 0))
+select * from f where o_orderdate < (select max(o_orderdate) from f)
+union all select * from o where o_orderdate is null or o_orderdate >= (select max(o_orderdate) from f)"""
+
+
 def inc1_stream(spark, sf):
     """The same with the changes arriving as a file stream."""
     orders = table(spark, sf, "orders")
@@ -236,7 +294,7 @@ def inc2_first_load(spark, sf):
     orders, target = table(spark, sf, "orders"), _place(spark, "first_load")
     for source in (orders.where(F.col("o_orderdate") < _mark()), orders):
         first = not table_exists(spark, target, "orders")
-        rows = source if first else since(source, "o_orderdate", read_table(spark, target, "orders"))
+        rows = source if first else since(source, "o_orderdate", read_table(spark, target, "orders"), inclusive=False)
         write_table(rows, target, "orders", create_table=first)
     return read_table(spark, target, "orders")
 

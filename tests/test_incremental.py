@@ -88,19 +88,25 @@ def test_a_hot_key_is_split(spark, folder):
 def test_mark(spark):
     target = spark.createDataFrame([(1, 5), (2, 9)], "k int, m int")
     source = spark.createDataFrame([(3, 9), (4, 10), (5, None), (6, 8)], "k int, m int")
-    assert [r.k for r in since(source, "m", target).collect()] == [4]
-    assert since(source, "m", target.where("false")).count() == 4
-    assert since(source, "m", target.withColumn("m", F.lit(None).cast("int"))).count() == 4
+    assert [r.k for r in since(source, "m", target, inclusive=False).collect()] == [4]
+    # at the mark, after it, and without one
+    assert sorted(r.k for r in since(source, "m", target, inclusive=True).collect()) == [3, 4, 5]
+    assert since(source, "m", target.where("false"), inclusive=True).count() == 4
+    assert since(source, "m", target.withColumn("m", F.lit(None).cast("int")), inclusive=False).count() == 4
     assert high_water_mark(target, "m") == 9
 
 
 def test_the_mark_reaches_the_file_scan(spark, folder):
     spark.range(1000).write.parquet(f"{folder}/s")
     source = spark.read.parquet(f"{folder}/s")
-    df = since(source, "id", source.where("id < 500"))
+    df = since(source, "id", source.where("id < 500"), inclusive=False)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PushedFilters: \[IsNotNull\(id\), GreaterThan\(id,ScalarSubquery", plan)
+    assert "PushedFilters: [IsNotNull(id), GreaterThan(id,499)]" in plan
     assert df.count() == 500
+    df = since(source, "id", source.where("id < 500"), inclusive=True)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(GreaterThanOrEqual(id,499),IsNull(id))]" in plan
+    assert df.count() == 501
 
 
 def parse_tuples(statement):
@@ -166,7 +172,7 @@ def test_marks_are_kept_beside_the_log(spark, folder):
     assert log.high_water_mark(spark, "v") == 3
     log.load(spark, rows, "v")
     assert log.high_water_mark(spark, "v") == 9
-    assert log.read(spark, [1]).count() == 6
+    assert log.read(spark, [1]).count() == 7  # the row at the mark again
     log.load(spark, rows.withColumn("v", F.lit(50)).where("k = 2"))  # no mark kept for this one
     assert log.high_water_mark(spark, "v") == 50
     log.load(spark, rows, "v")  # nothing newer
@@ -207,11 +213,68 @@ def test_loads_and_streams_take_turns(spark, folder):
     assert sorted(log._epochs(spark).values()) == [3, 5]
 
 
+def test_no_success_file_is_needed(spark, folder):
+    log = ChangeLog(f"{folder}/log", ("k",))
+    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        assert [log.load(spark, spark.createDataFrame([(n, "a", n)], SCHEMA)) for n in range(3)] == [0, 1, 2]
+    finally:
+        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert bag(log.current(spark)) == [(n, "a", n) for n in range(3)]
+
+
+def test_a_cut_off_attempt_is_never_written_over(spark, folder, monkeypatch):
+    import transferkit.streaming.changes as changes
+
+    log, make = ChangeLog(f"{folder}/log", ("k",)), changes.make_folder
+    log.load(spark, spark.createDataFrame([(1, "a", 1)], SCHEMA))
+
+    def cut(spark, path):
+        if "/_commits/" in path:
+            raise OSError("cut off")
+        make(spark, path)
+
+    monkeypatch.setattr(changes, "make_folder", cut)
+    with pytest.raises(OSError):
+        log.load(spark, spark.createDataFrame([(1, "lost", 2)], SCHEMA))
+    monkeypatch.setattr(changes, "make_folder", make)
+    assert bag(log.current(spark)) == [(1, "a", 1)]
+    assert log.load(spark, spark.createDataFrame([(1, "c", 3)], SCHEMA)) == 2
+    assert bag(log.current(spark)) == [(1, "c", 3)] and log.batches(spark) == [0, 2]
+
+
+def test_columns_of_the_log(spark, folder):
+    log = ChangeLog(f"{folder}/log", ("k",))
+    rows = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], SCHEMA)
+    log.load(spark, rows)
+    log.load(spark, rows.where("k = 2").withColumn("more", F.lit(9)))
+    assert bag(log.current(spark)) == [(1, "a", 1, None), (2, "b", 2, 9)]
+    for wrong in (rows, rows.withColumn("more", F.lit("text"))):
+        with pytest.raises(ValueError, match="more"):
+            log.load(spark, wrong)
+    assert log.batches(spark) == [0, 1]
+
+
+def test_the_first_batch_is_not_grouped(spark, folder):
+    log = ChangeLog(f"{folder}/log", ("k",))
+    for n in range(3):
+        log.load(spark, spark.createDataFrame([(n, "a", n), (0, "b", n)], SCHEMA))
+    plan = log.current(spark)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*batch_id#\d+ > 0", plan)
+
+
+def test_rows_without_a_mark(spark, folder):
+    log = ChangeLog(f"{folder}/log", ("k",))
+    log.load(spark, spark.createDataFrame([(1, "a", 7)], SCHEMA), "v")
+    log.load(spark, spark.createDataFrame([(1, "a", 7), (2, "b", None)], SCHEMA), "v")
+    assert bag(log.current(spark)) == [(1, "a", 7), (2, "b", None)]
+
+
 def test_rows_that_share_the_newest_mark(spark, folder):
     log = ChangeLog(f"{folder}/log", ("k",))
     log.load(spark, spark.createDataFrame([(1, "a", 7)], SCHEMA), "v")
     later = spark.createDataFrame([(1, "a", 7), (2, "b", 7)], SCHEMA)
-    log.load(spark, later, "v", inclusive=True)
+    log.load(spark, later, "v")
     assert bag(log.current(spark)) == [(1, "a", 7), (2, "b", 7)]
 
 
@@ -219,6 +282,6 @@ def test_a_known_mark_is_pushed_to_the_source(spark, folder):
     from transferkit.operators.incremental import after
 
     spark.range(10).select(F.col("id").cast("int").alias("id")).write.parquet(f"{folder}/s")
-    df = after(spark.read.parquet(f"{folder}/s"), "id", 4)
+    df = after(spark.read.parquet(f"{folder}/s"), "id", 4, inclusive=False)
     assert "GreaterThan(id,4)" in df._jdf.queryExecution().executedPlan().toString()
     assert after(spark.range(3), "id", None).count() == 3

@@ -63,8 +63,10 @@ def delete_statements(
 ) -> DataFrame:
     """Delete statements of ``batch`` key tuples each: columns ``bucket``, ``batch``, ``statement``.
 
-    Keys are spread over hash buckets of about 50,000 keys (counted, so the number of buckets grows
-    with the data) and numbered within the bucket, so no window runs over more than that.
+    Keys are spread over hash buckets and numbered within, so no window runs over more than a bucket.  The
+    default counts the keys and takes about 50,000 to a bucket: every key is in one statement, but which one
+    changes as the keys grow in number; give ``buckets`` for statements that stay.  For large key sets
+    ``write_table`` with ``keys`` deletes by a staged table instead.
     """
     keys = keys or keys_df.columns
     if buckets is None:
@@ -99,35 +101,40 @@ def high_water_mark(target_df: DataFrame, mark: str):
     return target_df.agg(F.max(column(mark))).first()[0]
 
 
-def since(df: DataFrame, mark: str, target_df: DataFrame) -> DataFrame:
-    """Source rows newer than the target's newest row; all rows when the target has none.
+def since(df: DataFrame, mark: str, target_df: DataFrame, inclusive: bool) -> DataFrame:
+    """Source rows from the target's newest mark on; all rows when the target has none.
 
-    The mark is a scalar subquery, so it reaches file scans as a pushed filter.  For a JDBC source, whose
-    database should filter, use ``after`` with ``high_water_mark`` instead.
+    Where rows are replaced by key, take ``inclusive=True``: the rows at the mark and those without one come
+    again, and none is missed.  ``inclusive=False`` takes only what is strictly newer, for targets without
+    keys: rows that reach the mark late are lost.  The mark is one aggregate over the target.
     """
-    if target_df.where(column(mark).isNotNull()).isEmpty():
-        return df
-    newest = target_df.agg(F.max(column(mark)).alias("m")).scalar()
-    return df.where(column(mark) > newest)
+    return after(df, mark, high_water_mark(target_df, mark), inclusive)
+
 
+def after(df: DataFrame, mark: str, value, inclusive: bool = True) -> DataFrame:
+    """Source rows at or after a known mark, and those without one; or only those after it.
 
-def after(df: DataFrame, mark: str, value, inclusive: bool = False) -> DataFrame:
-    """Source rows after (or at) a known mark; the literal is pushed to the source."""
+    The literal is pushed to the source.
+    """
     if value is None:
         return df
     # a literal of the column's own type, so that no cast hides the column from the source
     known = F.lit(value).cast(df.schema[mark].dataType)
-    return df.where(column(mark) >= known if inclusive else column(mark) > known)
+    return df.where((column(mark) >= known) | column(mark).isNull() if inclusive else column(mark) > known)
 
 
-def latest_per_key(changes: DataFrame, keys: list[str], batch: str = "batch_id") -> DataFrame:
+def latest_per_key(
+    changes: DataFrame, keys: list[str], batch: str = "batch_id", oldest: int | None = None
+) -> DataFrame:
     """What is left of a log of batches when each batch deletes by its keys and then appends its rows.
 
     A row is out of date when a later batch has its key.  Rows with a NULL in the key always stay.  The
     newest batch per key comes from a partially aggregated group, not a window, so a hot key never has to
-    fit one task.
+    fit one task.  ``oldest``: the number of the first batch, whose keys can't replace anything; the group
+    side then holds the later batches alone.
     """
-    grouped = changes.where(_no_nulls(keys)).groupBy(F.struct(*[column(k) for k in keys]).alias("k"))
+    later = changes if oldest is None else changes.where(column(batch) > oldest)
+    grouped = later.where(_no_nulls(keys)).groupBy(F.struct(*[column(k) for k in keys]).alias("k"))
     newest = grouped.agg(F.max(column(batch)).alias("_newest"))
     newest = newest.select(*[F.col("k").getField(k).alias(f"_key{n}") for n, k in enumerate(keys)], "_newest")
     on = [column(k) == F.col(f"_key{n}") for n, k in enumerate(keys)]

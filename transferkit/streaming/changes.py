@@ -1,14 +1,18 @@
 """A target kept as a log of keyed batches.
 
 Rewriting a large target for every small load does not scale, so each load only adds its own rows under
-its batch number.  Reading applies the loads in order: delete by key, then append.  A batch counts once its
-write job has committed, and writing it again replaces it, so a load or stream that was cut off leaves
-neither partial rows nor duplicates.
+its batch number.  Reading applies the loads in order: delete by key, then append.
+
+The log keeps its own records, as folder names and one line of text, so it depends on no file that a committer
+may leave out.  Every write goes to a folder of its own, an attempt at its batch; a batch counts once a commit
+record names the attempt, after its job has ended.  What a cut-off write left behind is never read, counted or
+written over.  One writer at a time: loads and streams may take turns.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,10 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transferkit.operators.incremental import after, latest_per_key
-from transferkit.session import child_names, make_folder, path_exists
+from transferkit.session import child_names, make_folder
 from transferkit.types import column
 
 BATCH = "batch_id"
+TRY = "try_id"
 
 
 @dataclass(frozen=True)
@@ -27,61 +32,115 @@ class ChangeLog:
     path: str
     keys: tuple[str, ...]
 
-    def _folder(self, batch: int) -> str:
-        return f"{self.path}/{BATCH}={batch}"
+    def _records(self, spark: SparkSession, kind: str) -> dict[int, int]:
+        """Per batch the newest attempt that has a record of this kind: one listing."""
+        found: dict[int, int] = {}
+        for name in child_names(spark, f"{self.path}/{kind}"):
+            batch, attempt = map(int, name.split("."))
+            found[batch] = max(attempt, found.get(batch, -1))
+        return found
+
+    def _commits(self, spark: SparkSession) -> dict[int, int]:
+        return self._records(spark, "_commits")
 
     def batches(self, spark: SparkSession) -> list[int]:
         """Numbers of the committed batches."""
-        named = [n.split("=", 1)[1] for n in child_names(spark, self.path) if n.startswith(f"{BATCH}=")]
-        return sorted(b for b in map(int, named) if path_exists(spark, f"{self._folder(b)}/_SUCCESS"))
+        return sorted(self._commits(spark))
+
+    def _folder(self, batch: int, attempt: int) -> str:
+        return f"{self.path}/{BATCH}={batch}/{TRY}={attempt}"
+
+    def schema(self, spark: SparkSession) -> T.StructType | None:
+        """The columns of the log: those of its first batch and all that later ones added."""
+        versions = [int(n) for n in child_names(spark, f"{self.path}/_schemas")]
+        if not versions:
+            return None
+        text = spark.read.text(f"{self.path}/_schemas/{max(versions)}").first()
+        return T.StructType.fromJson(json.loads(text.value)) if text else None
+
+    def _keep_schema(self, rows: DataFrame) -> None:
+        """Keep the columns before their first rows; new ones are added, missing or retyped ones refused."""
+        spark = rows.sparkSession
+        kept = self.schema(spark)
+        given = T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in rows.schema.fields])
+        if kept is None:
+            version, merged = 0, given
+        else:
+            types = {f.name: f.dataType for f in given.fields}
+            wrong = [f.name for f in kept.fields if types.get(f.name) != f.dataType]
+            if wrong:
+                raise ValueError(f"columns of the log that the batch lacks or has in another type: {', '.join(wrong)}")
+            added = [f for f in given.fields if f.name not in kept.names]
+            if not added:
+                return
+            version = 1 + max(int(n) for n in child_names(spark, f"{self.path}/_schemas"))
+            merged = T.StructType([*kept.fields, *added])
+        line = spark_row(spark, [(merged.json(),)], T.StructType([T.StructField("value", T.StringType())]))
+        line.write.mode("overwrite").text(f"{self.path}/_schemas/{version}")
 
     def read(self, spark: SparkSession, batches: list[int] | None = None) -> DataFrame:
-        """All rows of the given batches (default: all), with their batch number as a column."""
-        folders = [self._folder(b) for b in (self.batches(spark) if batches is None else batches)]
+        """All rows of the given batches (default: all), with their batch number as a column.
+
+        A batch from before a column was added has NULL there.
+        """
+        commits = self._commits(spark)
+        folders = [self._folder(b, commits[b]) for b in (sorted(commits) if batches is None else batches)]
         if not folders:
             raise ValueError(f"no committed batch in {self.path}")
-        return spark.read.option("basePath", self.path).parquet(*folders)
+        kept = self.schema(spark)
+        whole = T.StructType([*kept.fields, T.StructField(BATCH, T.IntegerType())])
+        found = spark.read.schema(whole).option("basePath", self.path).parquet(*folders)
+        return found.select(*[column(n) for n in kept.names], BATCH)
 
     def current(self, spark: SparkSession) -> DataFrame:
         """The target as it is after every batch."""
         batches = self.batches(spark)
         rows = self.read(spark, batches)
         if len(batches) > 1:
-            rows = latest_per_key(rows, list(self.keys), BATCH)
+            # keys of the oldest batch replace nothing: only the later batches are grouped
+            rows = latest_per_key(rows, list(self.keys), BATCH, oldest=batches[0])
         return rows.drop(BATCH)
 
     def write(self, rows: DataFrame, batch: int, mark: str | None = None) -> None:
         """Write one batch; its largest mark is observed by the same job and kept beside the log."""
+        spark = rows.sparkSession
+        self._keep_schema(rows)
+        attempt = self._records(spark, "_started").get(batch, -1) + 1
+        make_folder(spark, f"{self.path}/_started/{batch}.{attempt}")
         if mark is None:
-            rows.write.mode("overwrite").parquet(self._folder(batch))
-            return
-        seen = Observation()
-        observed = rows.observe(seen, F.max(column(mark)).alias("mark"))
-        observed.write.mode("overwrite").parquet(self._folder(batch))
-        schema = T.StructType([T.StructField("mark", rows.schema[mark].dataType)])
-        kept = spark_row(rows.sparkSession, [(seen.get["mark"],)], schema)
-        kept.write.mode("overwrite").parquet(f"{self._marks(mark)}/{BATCH}={batch}")
+            rows.write.mode("error").parquet(self._folder(batch, attempt))
+        else:
+            seen = Observation()
+            observed = rows.observe(seen, F.max(column(mark)).alias("mark"))
+            observed.write.mode("error").parquet(self._folder(batch, attempt))
+            schema = T.StructType([T.StructField("mark", rows.schema[mark].dataType)])
+            kept = spark_row(spark, [(seen.get["mark"],)], schema)
+            kept.write.mode("overwrite").parquet(f"{self._marks(mark)}/{batch}.{attempt}")
+        make_folder(spark, f"{self.path}/_commits/{batch}.{attempt}")
 
     def _marks(self, mark: str) -> str:
         return f"{self.path}/_marks/{mark}"
 
     def high_water_mark(self, spark: SparkSession, mark: str):
         """The largest mark of all batches: from the kept marks, and from the rows of batches without."""
-        known = {n.split("=", 1)[1] for n in child_names(spark, self._marks(mark))}
+        commits = self._commits(spark)
+        names = set(child_names(spark, self._marks(mark)))
+        known = {b: f"{b}.{k}" for b, k in commits.items() if f"{b}.{k}" in names}
         found = []
         if known:
-            found.append(spark.read.parquet(*[f"{self._marks(mark)}/{BATCH}={b}" for b in sorted(known)]))
-        rest = [b for b in self.batches(spark) if str(b) not in known]
+            found.append(spark.read.parquet(*[f"{self._marks(mark)}/{n}" for n in known.values()]))
+        rest = sorted(set(commits) - set(known))
         if rest:
             found.append(self.read(spark, rest).select(column(mark).alias("mark")))
         values = [df.agg(F.max("mark")).first()[0] for df in found]
         return max((v for v in values if v is not None), default=None)
 
-    def load(self, spark: SparkSession, source: DataFrame, mark: str | None = None, inclusive: bool = False) -> int:
-        """Add one batch: everything on a first load, afterwards the rows newer than the mark.
+    def load(self, spark: SparkSession, source: DataFrame, mark: str | None = None, inclusive: bool = True) -> int:
+        """Add one batch: everything on a first load, afterwards the rows from the mark on.
 
-        ``inclusive`` takes the rows at the mark again, which their keys replace: none is missed when
-        several rows share the newest mark.
+        Rows at the mark and rows without one are taken again and replaced by their keys, so that none is
+        missed when several share the newest mark or get it late.  ``inclusive=False`` leaves both out.  Rows
+        with a NULL in the key can't be replaced and are added again each time.
         """
         batch = self._next_batch(spark)
         if mark and self.batches(spark):
@@ -90,17 +149,17 @@ class ChangeLog:
         self.write(source, batch, mark)
         return batch
 
-    def _epochs(self, spark: SparkSession) -> dict[tuple[str, int], int]:
-        """The batch number given to each epoch of each stream, kept as folder names."""
+    def _epochs(self, spark: SparkSession, stream: str | None = None) -> dict[tuple[str, int], int]:
+        """The batch number given to each epoch of a stream, or of all, kept as folder names."""
         found = {}
-        for stream in child_names(spark, f"{self.path}/_streams"):
-            for name in child_names(spark, f"{self.path}/_streams/{stream}"):
-                epoch, batch = map(int, name.split("-"))
-                found[stream, epoch] = batch
+        for name in [stream] if stream else child_names(spark, f"{self.path}/_streams"):
+            for epoch_batch in child_names(spark, f"{self.path}/_streams/{name}"):
+                epoch, batch = map(int, epoch_batch.split("-"))
+                found[name, epoch] = batch
         return found
 
     def _next_batch(self, spark: SparkSession) -> int:
-        return max([-1, *self.batches(spark), *self._epochs(spark).values()]) + 1
+        return max([-1, *self._records(spark, "_started"), *self._epochs(spark).values()]) + 1
 
     def compact(self, spark: SparkSession, path: str) -> "ChangeLog":
         """A new log whose only batch is the current state."""
@@ -111,14 +170,13 @@ class ChangeLog:
     def follow(self, stream: DataFrame, checkpoint: str):
         """Write a stream's micro-batches into the log until its available input is used up.
 
-        An epoch keeps the batch number it got first, so an epoch that runs again replaces itself.  One
-        writer at a time: loads and streams may take turns.
+        An epoch keeps the batch number it got first, so an epoch that runs again replaces itself.
         """
         spark = stream.sparkSession
         name = hashlib.md5(checkpoint.encode()).hexdigest()[:16]
 
         def write(rows: DataFrame, epoch: int) -> None:
-            batch = self._epochs(spark).get((name, epoch))
+            batch = self._epochs(spark, name).get((name, epoch))
             if batch is None:
                 batch = self._next_batch(spark)
                 make_folder(spark, f"{self.path}/_streams/{name}/{epoch}-{batch}")
