@@ -10,7 +10,7 @@ from tests.llm.conftest import words
 from tools.check import digest
 from transferkit.llm import queries_copies
 from transferkit.llm.graph import components
-from transferkit.llm.jaccard import drop_near_copies, jaccard_classes, runs_for
+from transferkit.llm.jaccard import depth_for, drop_near_copies, jaccard_classes, runs_for
 from transferkit.llm.suffixes import remove_repeated, repeated_passages
 from transferkit.llm.warc import archived
 
@@ -88,6 +88,7 @@ def test_one_of_each_class_stays(docs):
 
 def test_runs_reach_the_recall():
     assert runs_for(0.9999, 0.8, 1) == 9 and runs_for(0.9999, 0.8, 3) > runs_for(0.99, 0.8, 3)
+    assert [depth_for(n) for n in (0, 1, 10**6, 10**7, 10**11, 10**13)] == [2, 2, 2, 3, 3, 4]
 
 
 def test_components(spark):

@@ -25,8 +25,9 @@ from transferkit.llm.words import text_of
 SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.9999
-DEPTH = 3
 BUCKET = 256
+# A split leaves about a hundredth of a bucket together; so many documents need one split, their square two.
+DEPTH_DOCUMENTS = 1_000_000
 BLOCK = 1024
 SKETCH = 64
 
@@ -44,6 +45,11 @@ def runs_for(recall: float, threshold: float, depth: int) -> int:
     return math.ceil(-math.log(1 - recall) / (mean * alive))
 
 
+def depth_for(n: int) -> int:
+    """Levels of buckets that ``n`` documents need: 2 up to a million, one more for every further millionfold."""
+    return max(2, 1 + math.ceil(math.log(max(n, 1)) / math.log(DEPTH_DOCUMENTS)))
+
+
 _SALT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -315,11 +321,12 @@ def _verified(clusters: DataFrame, threshold: float) -> DataFrame:
     return map_batches(rows, emit, "node long, links long, root long")
 
 
-def _joined(docs: DataFrame, threshold: float, recall: float, depth: int) -> tuple[DataFrame, DataFrame]:
+def _joined(docs: DataFrame, threshold: float, recall: float, depth: int | None) -> tuple[DataFrame, DataFrame]:
     """Described documents, and ``n, a, b, class, links, copies, rows`` of each class.
 
     ``docs`` has ``id, text, text_hash``.
     """
+    depth = depth or depth_for(docs.count())
     runs = runs_for(recall, threshold, depth)
     described = stored(_describe(docs, runs, threshold), "jaccard_documents")
     classes = described.where("n > 0").groupBy("n", "a", "b").agg(
@@ -372,7 +379,7 @@ def jaccard_classes(
     text_col: str = "text",
     threshold: float = THRESHOLD,
     recall: float = RECALL,
-    depth: int = DEPTH,
+    depth: int | None = None,
 ) -> DataFrame:
     """One row for each input row: its class, its links and its exact copies.
 
@@ -397,7 +404,7 @@ def drop_near_copies(
     text_col: str = "text",
     threshold: float = THRESHOLD,
     recall: float = RECALL,
-    depth: int = DEPTH,
+    depth: int | None = None,
 ) -> DataFrame:
     """The input's columns, and of every class the row with the smallest id; texts without words all stay.
 
