@@ -206,7 +206,8 @@ def _types_mssql(compat):
         "ntext": "'nvarchar(max)'", "text": "'varchar(max)'",
         "int64": "'bigint'", "int32": "'integer'", "int16": "'smallint'",
         "float64": "'float'", "float32": "'real'",
-        "decimal": f"case when {decimal} then {_ps_sql(',')} else 'float' end", "money": "'money'",
+        "decimal": f"case when {decimal} then {_ps_sql(',')} else '{'float' if compat else 'varchar(max)'}' end",
+        "money": "'money'",
         "datetime": "'datetime2'", "datetimetz": "'datetime2'" if compat else "'datetimeoffset'",
         "date": "'date'", "time": "'time'", "varbinary": sized("varbinary", 8000, 8000),
         "blob": "'varbinary(max)'", "uuid": "'uniqueidentifier'", "bool": "'bit'",
@@ -225,7 +226,7 @@ def _types_mysql(compat):
         **dict.fromkeys(("nvarchar", "varchar", "ntext", "text", "xml", "varbit"), "'longtext'"),
         "int64": "'bigint'", "int32": "'integer'", "int16": "'smallint'",
         "float64": "'double'", "float32": "'float'",
-        "decimal": f"case when {decimal} then {_ps_sql(',')} else 'double' end",
+        "decimal": f"case when {decimal} then {_ps_sql(',')} else '{'double' if compat else 'longtext'}' end",
         "money": f"case when {known} then {_ps_sql(',')} else '{'float' if compat else 'decimal(19,4)'}' end",
         "datetime": "'datetime'" if compat else "'datetime(6)'",
         "datetimetz": "'datetime'" if compat else "'datetime(6)'",
@@ -248,7 +249,8 @@ def _types_oracle(compat):
         **dict.fromkeys(("ntext", "text", "json"), "'clob'"),
         "int64": "'number(19)'", "int32": "'number(10)'", "int16": "'number(5)'",
         "float64": "'BINARY_DOUBLE'", "float32": "'BINARY_FLOAT'",
-        "decimal": f"case when {decimal} then {_ps_sql(', ')} else 'BINARY_DOUBLE' end", "money": money,
+        "decimal": f"case when {decimal} then {_ps_sql(', ')} else '{'BINARY_DOUBLE' if compat else 'number'}' end",
+        "money": money,
         "datetime": "'timestamp'", "datetimetz": "'timestamp'" if compat else "'timestamp with time zone'",
         "date": "'date'", "time": "'varchar2(256)'",
         "varbinary": _sized_sql("raw", 1, 2000, "blob", "raw(2000)" if compat else "blob"), "blob": "'blob'",
@@ -262,7 +264,7 @@ def _types_snowflake(compat):
         **dict.fromkeys(("nvarchar", "varchar", "ntext", "text", "xml", "varbit"), "'text'"),
         **dict.fromkeys(("int64", "int32", "int16"), "'number'"),
         "float64": "'real'", "float32": "'real'",
-        "decimal": "'number'" if compat else f"case when {decimal} then {_ps_sql(',', 'number')} else 'real' end",
+        "decimal": "'number'" if compat else f"case when {decimal} then {_ps_sql(',', 'number')} else 'text' end",
         "money": "'number'" if compat else "'number(19,4)'",
         "datetime": "'datetime'", "datetimetz": "'timestamp_tz'", "date": "'date'", "time": "'time'",
         **dict.fromkeys(("varbinary", "blob", "uuid"), "'varbinary'"), "bool": "'boolean'", "json": "'variant'",
@@ -292,9 +294,8 @@ def translated(spark, sf, target, compat):
 
 
 def _create_types(target, compat):
-    return lambda spark, sf: translated(spark, sf, target, compat).select(
-        "table_name", "ordinal", "canonical_type", "target_type"
-    )
+    columns = ["table_name", "ordinal", "canonical_type", "target_type"]
+    return lambda spark, sf: translated(spark, sf, target, compat).select(*columns, *([] if compat else ["lossy"]))
 
 
 def _typed_rows_sql(target, compat):
@@ -310,9 +311,25 @@ for _target in SYSTEMS:
         QUERIES[_name] = _create_types(_target, _compat)
         SQL[_name] = (
             f"with {_typed_rows_sql(_target, _compat)} select table_name, ordinal, data_type as canonical_type, "
-            f"{type_case(_target, _compat)} as target_type from rows"
+            f"{type_case(_target, _compat)} as target_type{'' if _compat else ', false as lossy'} from rows"
         )
 
+
+def cat7_money_error(spark, sf):
+    """Historically Oracle money of too large a precision stops the job: which orders' sizes would, and
+    the types of the others."""
+    orders = table(spark, sf, "orders").select("o_orderkey", (F.col("o_custkey") % 45).cast("int").alias("precision"))
+    wide = F.col("precision") > 38
+    narrow = F.when(~wide, F.col("precision"))
+    known = catalog.create_type(F.lit("money"), narrow, F.lit(2), F.lit(-1), "oracle", True)
+    return orders.select("o_orderkey", wide.alias("refused"), F.when(~wide, known).alias("target_type"))
+
+
+QUERIES["cat7_money_error_oracle"] = cat7_money_error
+SQL["cat7_money_error_oracle"] = """
+select o_orderkey, o_custkey % 45 > 38 as refused,
+  case when o_custkey % 45 <= 38 then 'decimal(' || o_custkey % 45 || ', 2)' end as target_type from orders"""
+
 # --- CAT-8, CAT-9 -----------------------------------------------------------------------------------------
 
 
@@ -371,11 +388,11 @@ def _quoted(system, compat):
 
 
 def reserved_sql(name: str, system: str, compat: bool) -> str:
-    words = SYSTEMS[system].reserved_words()
+    words = SYSTEMS[system].reserved_words(compat)
     if not words or (compat and system == "oracle"):
         return "false"
     listed = ", ".join(f"'{w}'" for w in words)
-    folded = f"upper({name})" if system == "mssql" else name if compat else f"lower({name})"
+    folded = f"lower({name})" if not compat else f"upper({name})" if system == "mssql" else name
     return f"{folded} in ({listed})"
 
 

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from registry.tables import DASHED, TEXT_OF, TYPES, WALL, every_type, select_sql, table
 from transferkit import (
-    SYSTEMS, column_infos, control_text, read_load, tag, to_literals, to_load, write_keys, write_load,
-    write_staged,
+    SYSTEMS, Endpoint, column_infos, control_text, read_load, read_staged, tag, to_literals, to_load, transfer,
+    write_keys, write_load, write_staged,
 )
 from transferkit.operators.project import load_columns
 from transferkit.session import workspace
+from transferkit.sinks.files import NEWLINE, data_files
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -144,30 +145,29 @@ def snk1_staged_csv(spark, sf):
 QUERIES["snk1_staged_csv"] = snk1_staged_csv
 SQL["snk1_staged_csv"] = "select " + CUSTOMER_LINE.replace("{null}", "{nll}") + " as line from customer"
 
-FILE_BYTES = 64_000_000
+FILE_BYTES = 200_000
 
 
 def snk2_file_roll(spark, sf):
-    """No staged file is much longer than asked for, and no row is lost."""
-    path = workspace(spark, "rolled_lineitem")
-    write_staged(table(spark, sf, "lineitem"), path, target_file_bytes=FILE_BYTES)
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    files = lines.groupBy("file").agg(
-        F.count("*").alias("n"), F.sum(F.octet_length("value").cast("long")).alias("bytes")
-    )
-    return files.agg(
-        F.sum("n").alias("n"),
-        F.sum("bytes").alias("bytes"),
-        F.max((F.col("bytes") > 2 * FILE_BYTES).cast("int")).alias("oversized"),
+    """No staged file is longer than asked for, there are many, and no row is lost."""
+    path = workspace(spark, "rolled_documents")
+    rows = table(spark, sf, "documents").select("doc_id", "text")
+    infos = write_staged(rows, path, target_file_bytes=FILE_BYTES)
+    files = spark.read.format("binaryFile").load(path).select("length")
+    rolled = files.agg(
+        F.sum("length").cast("long").alias("bytes"),
+        (F.max("length") <= FILE_BYTES).alias("bounded"),
+        (F.count("*") >= F.sum("length") / FILE_BYTES).alias("rolled"),
     )
+    return rolled.crossJoin(read_staged(spark, path, infos).agg(F.count("*").alias("n")))
 
 
 QUERIES["snk2_file_roll"] = snk2_file_roll
-SQL["snk2_file_roll"] = """
-select count(*) as n, sum(strlen(concat_ws(',', l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
-  l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
-  strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ'))))::bigint as bytes, 0 as oversized
-from lineitem"""
+SQL["snk2_file_roll"] = r"""
+select count(*) as n, sum(strlen(doc_id::varchar) + 2 + strlen(
+  case when text is null then '{nll}' when regexp_matches(text, '[",\r\n]|^[ \t]|[ \t]$|^$|^\\\.$')
+  then '"' || replace(text, '"', '""') || '"' else text end))::bigint as bytes, true as bounded, true as rolled
+from documents"""
 
 
 def snk3_key_file(spark, sf):
@@ -213,25 +213,65 @@ from customer"""
 
 def snk8_control_text(spark, sf):
     o = table(spark, sf, "orders").withColumn("order", F.nullif("o_orderstatus", F.lit("P")))
-    return control_text(o, "my orders", "orders*.csv", "sales")
+    return control_text(o, "my orders", "sales")
+
+
+_CONTROL_SIZES = {
+    "o_orderkey": "o_orderkey::varchar", "o_custkey": "o_custkey::varchar", "o_orderstatus": "o_orderstatus",
+    "o_totalprice": "o_totalprice::varchar", "o_orderpriority": "o_orderpriority",
+    '"order"': "coalesce(nullif(o_orderstatus, 'P'), '{nll}')",
+}
+
+
+_TOKEN = "''{nll}''"  # inside a literal
+
+
+def _control_sql() -> str:
+    fields = [
+        f"'{c} char(' || (max(strlen({value})) + 5) || ') preserve blanks nullif {c} = {_TOKEN}'"
+        for c, value in _CONTROL_SIZES.items()
+    ]
+    fields.insert(4, "'o_orderdate timestamp ''YYYY-MM-DD HH24:MI:SS.FF'' nullif o_orderdate = " + _TOKEN + "'")
+    head = ["load data", "characterset al32utf8", 'append into table sales."my orders"', "fields csv with embedded", "("]
+    lines = ", ".join(f"'{line}', chr(10)" for line in head)
+    return f"select concat({lines}, '  ', concat_ws(',' || chr(10) || '  ', {', '.join(fields)}), chr(10), ')') as control from orders"
 
 
 QUERIES["snk8_control_text_oracle"] = snk8_control_text
-SQL["snk8_control_text_oracle"] = """
-select 'LOAD DATA CHARACTERSET ''AL32UTF8'' infile ''orders*.csv'' append into table sales."my orders" '
-  || 'fields csv with embedded terminated by '','' optionally enclosed by ''"'' ('
-  || 'o_orderkey char(' || (max(strlen(o_orderkey::varchar)) + 5) || ') PRESERVE BLANKS nullif o_orderkey=''{nll}'''
-  || ' ,o_custkey char(' || (max(strlen(o_custkey::varchar)) + 5) || ') PRESERVE BLANKS nullif o_custkey=''{nll}'''
-  || ' ,o_orderstatus char(' || (max(strlen(o_orderstatus)) + 5)
-  || ') PRESERVE BLANKS nullif o_orderstatus=''{nll}'''
-  || ' ,o_totalprice char(' || (max(strlen(o_totalprice::varchar)) + 5)
-  || ') PRESERVE BLANKS nullif o_totalprice=''{nll}'''
-  || ' ,o_orderdate timestamp ''YYYY-MM-DD HH24:MI:SS.FF'' nullif o_orderdate=''{nll}'''
-  || ' ,o_orderpriority char(' || (max(strlen(o_orderpriority)) + 5)
-  || ') PRESERVE BLANKS nullif o_orderpriority=''{nll}'''
-  || ' ,"order" char(' || (max(strlen(coalesce(nullif(o_orderstatus, 'P'), '{nll}'))) + 5)
-  || ') PRESERVE BLANKS nullif "order"=''{nll}'')' as control
-from orders"""
+SQL["snk8_control_text_oracle"] = _control_sql()
+
+COMMAND_FILE_BYTES = 20_000
+
+
+def _load_commands(target):
+    """A transfer into several files: rows of all files, and how many commands name each."""
+
+    def run(spark, sf):
+        path = workspace(spark, f"commands_{target}")
+        moved = transfer(
+            spark, Endpoint("postgresql", path=sf), Endpoint(target), "orders", "sales", table="orders",
+            load_path=path, target_file_bytes=COMMAND_FILE_BYTES, client_folder="/load",
+        )
+        lines = spark.read.option("lineSep", NEWLINE if target == "mssql" else "\n").text(path)
+        rows = lines.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("n"))
+        named = spark.createDataFrame([(f,) for f in data_files(spark, path)], "file string")
+        commands = spark.createDataFrame([(c,) for c in moved.commands], "command string")
+        found = named.join(rows, "file", "left").join(commands, F.contains("command", F.concat(F.lit("/"), "file")), "left")
+        found = found.groupBy("file").agg(F.first("n").alias("n"), F.count("command").alias("commands"))
+        return found.agg(
+            F.sum("n").alias("n"), F.min("commands").alias("least"), F.max("commands").alias("most"),
+            (F.count("*") > 1).alias("several"), (F.min("n") > 0).alias("all_hold_rows"),
+        )
+
+    return run
+
+
+for _target in SYSTEMS:
+    QUERIES[f"snk5_load_commands_{_target}"] = _load_commands(_target)
+    _each = 2 if _target == "snowflake" else 1
+    SQL[f"snk5_load_commands_{_target}"] = (
+        f"select count(*) as n, {_each} as least, {_each} as most, true as several, true as all_hold_rows from orders"
+    )
 
 
 def _load_roundtrip(target):

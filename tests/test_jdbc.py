@@ -129,11 +129,12 @@ def test_order_of_a_jdbc_load(spark, monkeypatch):
         "drop table if exists s.t",
         "create table if not exists s.t (id integer, v text)",
     ]
-    assert sent[1][0] == "drop table if exists s.t_transferkit"
-    assert sent[1][1] == "create table if not exists s.t_transferkit (id integer, v text, transferkit_load_id bigint)"
-    assert sent[2] == "rows into s.t_transferkit"
+    staging = sent[2].removeprefix("rows into ")
+    assert len(staging) == len("s.") + 30 and staging.startswith("s.tk_")
+    assert sent[1][0] == f"drop table if exists {staging}"
+    assert sent[1][1] == f"create table if not exists {staging} (id integer, v text, transferkit_load_id bigint)"
     assert sent[3][0].startswith("delete from s.t where exists") and sent[3][1].startswith("insert into s.t select id, v")
-    assert sent[4] == ["drop table if exists s.t_transferkit"]
+    assert sent[4] == [f"drop table if exists {staging}"]
     sent.clear()
     sink.write_table(df, target, "t", "s", exactly_once=False)
     assert sent == ["rows into s.t"]
@@ -181,3 +182,38 @@ def test_hash_reads_send_their_predicates(spark, monkeypatch):
     assert sent["customSchema"] == "`id` STRING" and sent["table"] == "s.t"
     with pytest.raises(ValueError, match="by_hash needs"):
         read_table(spark, source, "t", "s", by_hash=True)
+
+
+def test_staging_tables_are_never_the_target_nor_shared():
+    long = "t" * 63
+    names = {sink.staging_table("s", long) for _ in range(3)} | {sink.staging_table("s", long[:-1])}
+    assert len(names) == 4 and all(len(n) == 30 and n != long for n in names)
+
+
+def test_connections_are_the_callers():
+    target = Endpoint("postgresql", url=URLS["postgresql"])
+    assert "numPartitions" not in sink.write_jdbc_options(target, "t")
+    assert sink.write_jdbc_options(target, "t", 3)["numPartitions"] == "3"
+
+
+def test_bounds_of_every_kind_of_key():
+    import datetime
+    from decimal import Decimal
+
+    from transferkit.sources.jdbc import whole_bounds
+
+    low, high = Decimal("1.0000000000"), Decimal("99.5")
+    assert whole_bounds("k", low, high, 4).options()["lowerBound"] == "1"
+    assert whole_bounds("k", low, high, 4).options()["upperBound"] == "100"
+    day = datetime.date(2024, 1, 2)
+    assert whole_bounds("k", day, day, 4).options()["lowerBound"] == "2024-01-02"
+    assert whole_bounds("k", None, None, 4).options()["upperBound"] == "1"
+    assert whole_bounds("k", Decimal(10) ** 30, Decimal(10) ** 31, 4).options()["upperBound"] == str(2**63 - 1)
+
+
+def test_a_table_that_would_cut_values_is_not_made(spark, monkeypatch):
+    monkeypatch.setattr(sink.catalog, "is_lossy", lambda *a: F.lit(True))
+    df = spark.createDataFrame([(1,)], "id int")
+    with pytest.raises(ValueError, match="could cut values"):
+        sink._statement_for(df, "mssql", "s", "t", False, False, False)
+    assert sink._statement_for(df, "mssql", "s", "t", False, False, True)

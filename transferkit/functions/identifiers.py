@@ -17,12 +17,12 @@ def is_reserved(name: Column, system: str, compat: bool = False) -> Column:
     """Whether a name is one of the system's key words.  ``compat`` matches the lower-case lists by
     exact case, so that ``SELECT`` would stay unquoted on PostgreSQL and Snowflake."""
     p = profile(system)
-    words = p.reserved_words()
+    words = p.reserved_words(compat)
     if not words or (compat and not p.keywords_compat):
         return name.isNull() & F.lit(False)
-    if p.keyword_case == "upper":
-        return F.upper(name).isin(words)
-    return (name if compat else F.lower(name)).isin(words)
+    if not compat:
+        return F.lower(name).isin([w.lower() for w in words])
+    return (F.upper(name) if p.keyword_case == "upper" else name).isin(words)
 
 
 def needs_quotes(name: Column, system: str, compat: bool = False) -> Column:

@@ -162,7 +162,7 @@ def _decimal(rule: DecimalType, p: Column, s: Column, compat: bool) -> Column:
             0 if wide else 1, rule.max_precision
         )
         fits = fits & (((p > 0) | (s > 0)) if wide else (p > s))
-    return F.when(fits, _ps(rule, p, s)).otherwise(F.lit(rule.fallback))
+    return F.when(fits, _ps(rule, p, s)).otherwise(F.lit(rule.fallback if compat else rule.exact or rule.fallback))
 
 
 def _money(rule: DecimalType, p: Column, s: Column, compat: bool) -> Column:

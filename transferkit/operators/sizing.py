@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,12 +27,10 @@ def max_byte_length(df: DataFrame, null: str = "{nll}", encoded: bool = False) -
     return text.agg(*longest).na.fill(margin)
 
 
-def row_bytes(df: DataFrame):
-    """Text bytes of a row of text columns, without separators."""
-    return reduce(add, [F.coalesce(F.octet_length(column(c)), F.lit(0)) for c in df.columns]).cast("long")
-
+def rows_per_file(lines: DataFrame, separator_bytes: int, target_bytes: int) -> int:
+    """How many rows surely fit ``target_bytes``: as many as if all were as long as the longest line.
 
-def rows_per_file(text_df: DataFrame, target_bytes: int) -> int:
-    """How many average rows fit ``target_bytes`` of text; reads the data once, returns one number."""
-    mean = text_df.agg(F.avg(row_bytes(text_df))).first()[0]
-    return max(1, int(target_bytes / mean)) if mean else 1_000_000
+    Reads the data once and returns one number; at least 1.
+    """
+    longest = lines.agg(F.max(F.octet_length("value"))).first()[0] or 0
+    return max(1, target_bytes // (longest + separator_bytes))

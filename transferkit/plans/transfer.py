@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from transferkit.functions.identifiers import qualify_name, quote_name
 from transferkit.operators import catalog
 from transferkit.operators.incremental import after
-from transferkit.sinks.files import DELIMITER, NEWLINE, load_commands, write_load
+from transferkit.sinks.files import (
+    DELIMITER, NEWLINE, client_path, data_files, load_commands, write_control, write_load,
+)
 from transferkit.sinks.tables import write_table
 from transferkit.sources import jdbc
 from transferkit.sources.endpoint import Endpoint, Partitioning
@@ -96,13 +98,19 @@ def transfer(
     delimiter: str = DELIMITER,
     newline: str = NEWLINE,
     target_file_bytes: int | None = None,
+    connections: int | None = None,
     quote_clash: bool = False,
+    client_folder: str | None = None,
+    allow_loss: bool = False,
     compat: bool = False,
 ) -> TransferResult:
     """Read, translate, write.
 
     With ``load_path`` the rows become files for the target's own bulk loader, and the result has the
-    commands that load them; otherwise they are appended to the target table directly.  Every pair of
+    commands that load them, one or two per file, besides Oracle's control file among them.
+    ``client_folder`` is where the loader's machine sees ``load_path``, which it must be told where that is
+    a remote store.  A table whose columns could cut values is not created unless ``allow_loss`` or
+    ``compat`` says so.  Without ``load_path`` they are appended to the target table directly.  Every pair of
     systems goes through the same canonical types, so no pair needs code of its own.
     """
     check_arguments(source, target, table, schema, query, target_table, target_schema)
@@ -110,19 +118,31 @@ def transfer(
     infos = column_infos(rows)
     if load_path:
         token = null or target.profile.null_token
+        seen_at = client_path(client_folder or load_path)  # fails here rather than after the work
+        lengths = Observation() if target.system == "oracle" and infos else None
         write_load(
             rows, load_path, target.system, source.system, token, delimiter, newline, target_file_bytes,
-            compat=compat, quote_clash=quote_clash,
+            compat=compat, quote_clash=quote_clash, lengths=lengths,
         )
+        control = None
+        if target.system == "oracle":
+            known = lengths.get if lengths else {}
+            # beside the data, where reads of the folder do not look
+            made = write_control(
+                spark, f"{load_path}/_control", infos, known, target_table, target_schema, token, compat
+            )
+            control = f"{seen_at}/_control/{made.rsplit('/', 1)[-1]}"
         back = read_load(spark, load_path, target.system, infos, token, delimiter, newline)
+        files = [f"{seen_at}/{name}" for name in data_files(spark, load_path)]
         commands = load_commands(
-            target.system, target_table, f"{load_path}/*", infos, target_schema or "public", token,
-            delimiter, newline,
+            target.system, target_table, files, infos, target_schema or "public", token, delimiter, newline,
+            control=control,
         )
         return TransferResult(infos, back, commands)
     write_table(
-        rows, target, target_table, target_schema, create_schema, create_table, drop_table, compat=compat
-    )
+        rows, target, target_table, target_schema, create_schema, create_table, drop_table,
+        connections=connections, allow_loss=allow_loss, compat=compat,
+    )
     return TransferResult(infos, read_table(spark, target, target_table, target_schema))
 
 

@@ -7,8 +7,9 @@ job commit makes a folder of files all-or-nothing, also when executors are lost.
 from __future__ import annotations
 
 import uuid
+from shlex import quote
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from transferkit.functions.identifiers import qualify_name, quote_name, string_literal
@@ -16,6 +17,7 @@ from transferkit.functions.load import null_as_empty
 from transferkit.functions.text import may_hold, refuse_token
 from transferkit.operators.project import key_columns, to_canonical, to_load
 from transferkit.operators.sizing import max_byte_length, rows_per_file
+from transferkit.session import child_names
 from transferkit.systems import profile
 from transferkit.types import BINARY, FREE_TEXT, ColumnInfo, column, column_infos
 
@@ -56,12 +58,10 @@ def csv_lines(text: DataFrame, null: str, compat: bool = False, quote_clash: boo
     return text.select(F.concat_ws(",", *[field(i) for i in column_infos(text)]).alias("value"))
 
 
-def _write_lines(
-    lines: DataFrame, text: DataFrame, path: str, newline: str, mode: str, target_file_bytes: int | None
-) -> None:
+def _write_lines(lines: DataFrame, path: str, newline: str, mode: str, target_file_bytes: int | None) -> None:
     writer = lines.write.mode(mode).option("lineSep", newline)
     if target_file_bytes:
-        writer = writer.option("maxRecordsPerFile", rows_per_file(text, target_file_bytes))
+        writer = writer.option("maxRecordsPerFile", rows_per_file(lines, len(newline.encode()), target_file_bytes))
     writer.text(path)
 
 
@@ -76,12 +76,12 @@ def write_staged(
 ) -> list[ColumnInfo]:
     """Canonical text as RFC 4180 files; returns the column descriptions to read them with.
 
-    ``target_file_bytes`` starts a new file after about so many bytes of text, at the price of one more
-    pass over the data that measures the average row.  Without it a file is what one task writes, which
-    ``spark.sql.files.maxPartitionBytes`` bounds.
+    With ``target_file_bytes`` no file holds more bytes than that, unless a single row does, at the price of
+    one more pass over the data that measures the longest row: where rows differ much, files are smaller.
+    Without it a file is what one task writes, which ``spark.sql.files.maxPartitionBytes`` bounds.
     """
     text = to_canonical(df, source, None, compat)
-    _write_lines(csv_lines(text, null, compat), text, path, "\n", mode, target_file_bytes)
+    _write_lines(csv_lines(text, null, compat), path, "\n", mode, target_file_bytes)
     return column_infos(df)
 
 
@@ -124,20 +124,25 @@ def write_load(
     mode: str = "error",
     compat: bool = False,
     quote_clash: bool = False,
+    lengths: Observation | None = None,
 ) -> list[ColumnInfo]:
     """Files ready for ``target``'s bulk loader; returns the column descriptions.
 
+    ``lengths`` gets the longest text of every column, in bytes, from the job that writes the files.
+
     A text equal to the NULL token stops the job.  PostgreSQL and MySQL tell a quoted token from a bare one,
     so ``quote_clash`` lets such values through there, in quotes; ``read_load`` cannot tell the two.
     """
     if quote_clash and target not in ("postgresql", "mysql"):
         raise ValueError(f"the loader of {target} cannot tell a quoted null token from NULL")
     text = to_load(df, target, None, compat, source)
+    if lengths is not None:
+        text = text.observe(lengths, *[F.max(F.octet_length(column(c))).alias(c) for c in text.columns])
     if target == "mssql":
         lines = multichar_lines(text, delimiter, newline)
     else:
         lines, newline = csv_lines(text, null or profile(target).null_token, compat, quote_clash), "\n"
-    _write_lines(lines, text, path, newline, mode, target_file_bytes)
+    _write_lines(lines, path, newline, mode, target_file_bytes)
     return column_infos(df)
 
 
@@ -149,15 +154,23 @@ CONTROL_FORMATS = {
 }
 
 
+def _control(infos: list[ColumnInfo], sizes: dict[str, Column], table: str, schema: str | None, null: str, compat: bool) -> Column:
+    fields: list[Column] = []
+    for i in infos:
+        name = i.name if compat else quote_name(i.name, "oracle")
+        nullif = f" nullif {name} = {string_literal(null)}"
+        if i.type in CONTROL_FORMATS:
+            fields.append(F.lit(f"{name} {CONTROL_FORMATS[i.type]}{nullif}"))
+        else:
+            fields.append(F.concat(F.lit(f"{name} char("), sizes[i.name].cast("string"), F.lit(f") preserve blanks{nullif}")))
+    head = f"load data\ncharacterset al32utf8\nappend into table {qualify_name(schema, table, 'oracle')}\nfields csv with embedded\n(\n  "
+    return F.concat(F.lit(head), F.concat_ws(",\n  ", *fields), F.lit("\n)"))
+
+
 def control_text(
-    df: DataFrame,
-    table: str,
-    infile: str,
-    schema: str | None = None,
-    null: str = "{nll}",
-    compat: bool = False,
+    df: DataFrame, table: str, schema: str | None = None, null: str = "{nll}", compat: bool = False
 ) -> DataFrame:
-    """One row: the control text of Oracle's loader for the load files of ``df``.
+    """One row: the control text of Oracle's loader for the load files of ``df``, whichever they are.
 
     Field lengths are the longest values of the data, measured in one aggregation.
     """
@@ -169,27 +182,47 @@ def control_text(
         if sized
         else df.sparkSession.range(1)
     )
-    full = f"{schema}.{quote_name(table, 'oracle')}" if schema else quote_name(table, "oracle")
-    fields: list[Column] = []
-    for i in infos:
-        name = i.name if compat else quote_name(i.name, "oracle")
-        nullif = f" nullif {name}='{null}'"
-        if i.type in CONTROL_FORMATS:
-            fields.append(F.lit(f"{name} {CONTROL_FORMATS[i.type]}{nullif}"))
-        else:
-            size = column(i.name).cast("string")
-            fields.append(F.concat(F.lit(f"{name} char("), size, F.lit(f") PRESERVE BLANKS{nullif}")))
-    head = (
-        f"LOAD DATA CHARACTERSET 'AL32UTF8' infile {string_literal(infile)} append into table {full} "
-        "fields csv with embedded terminated by ',' optionally enclosed by '\"' ("
-    )
-    return lengths.select(F.concat(F.lit(head), F.concat_ws(" ,", *fields), F.lit(")")).alias("control"))
+    sizes = {c: column(c) for c in sized}
+    return lengths.select(_control(infos, sizes, table, schema, null, compat).alias("control"))
+
+
+def write_control(
+    spark: SparkSession,
+    path: str,
+    infos: list[ColumnInfo],
+    lengths: dict[str, int | None],
+    table: str,
+    schema: str | None = None,
+    null: str = "{nll}",
+    compat: bool = False,
+) -> str:
+    """Write the control text for files whose longest values are known; returns the file's path."""
+    margin = len(null.encode())
+    sizes = {i.name: F.lit(max(lengths.get(i.name) or 0, margin) + margin) for i in infos}
+    text = spark.range(1).select(_control(infos, sizes, table, schema, null, compat).alias("value"))
+    text.coalesce(1).write.text(path)
+    return f"{path}/{data_files(spark, path)[0]}"
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files with rows in a folder, without markers and hidden files."""
+    return sorted(n for n in child_names(spark, path) if not n.startswith(("_", ".")))
+
+
+def client_path(path: str) -> str:
+    """A path as a loader on this machine takes it; loaders can't open what only Hadoop can."""
+    scheme, sep, rest = path.partition(":")
+    if not sep or len(scheme) == 1:
+        return path
+    if scheme != "file":
+        raise ValueError(f"loaders cannot open {path}; say where their machine sees it")
+    return "/" + rest.lstrip("/")
 
 
 def load_commands(
     target: str,
     table: str,
-    path: str,
+    files: list[str],
     columns: list[ColumnInfo],
     schema: str | None = None,
     null: str | None = None,
@@ -197,21 +230,19 @@ def load_commands(
     newline: str = NEWLINE,
     database: str = "",
     load_id: str | None = None,
+    control: str | None = None,
 ) -> list[str]:
-    """What to run in the target's own client to load one file, or a file pattern, of ``write_load``.
+    """What to run in the target's own client to load files of ``write_load``, file by file.
 
-    Columns are loaded by position on every system but Oracle, whose control text names them.
+    Columns are loaded by position on every system but Oracle, whose ``control`` file names them.
     ``load_id`` names the load's folder in a Snowflake stage; a new name by default.
     """
-    load_id = load_id or uuid.uuid4().hex
-    prof = profile(target)
-    token = null or prof.null_token
+    files = [client_path(f) for f in files]
+    token = null or profile(target).null_token
     full = qualify_name(schema, table, target)
     if target == "postgresql":
-        return [
-            f"\\copy {full} from {string_literal(path)} with (format csv, header false, delimiter ',', "
-            f"quote '\"', escape '\"', null {string_literal(token)}, encoding 'UTF8')"
-        ]
+        options = f"format csv, null {string_literal(token)}, encoding 'UTF8'"
+        return [f"\\copy {full} from {string_literal(f)} with ({options})" for f in files]
     if target == "mysql":
         binary = {c.name for c in columns if c.type in ("varbinary", "blob", "uuid")}
         fields, sets = [], []
@@ -220,27 +251,33 @@ def load_commands(
             fields.append(f"@f{n}" if c.name in binary else name)
             if c.name in binary:  # hex text becomes bytes on the way in
                 sets.append(f"{name} = unhex(@f{n})")
-        text = (
-            f"load data local infile {string_literal(path)} into table {full} character set utf8mb4 "
-            "fields terminated by ',' optionally enclosed by '\"' escaped by '' lines terminated by '\\n'"
-        )
-        if sets:
-            text += f" ({', '.join(fields)}) set {', '.join(sets)}"
-        return [text]
+        tail = f" ({', '.join(fields)}) set {', '.join(sets)}" if sets else ""
+        return [
+            f"load data local infile {string_literal(f)} into table {full} character set utf8mb4 "
+            f"fields terminated by ',' optionally enclosed by '\"' escaped by '' lines terminated by '\\n'{tail}"
+            for f in files
+        ]
     if target == "mssql":
-        owner = f"{database}." if database else ""
-        return [f"bcp {owner}{full} in {path} -c -C 65001 -t {delimiter} -r {newline}"]
+        owner = f"{quote_name(database, target)}." if database else ""
+        return [
+            " ".join(["bcp", quote(owner + full), "in", quote(f), "-c -C 65001 -t", quote(delimiter), "-r", quote(newline)])
+            for f in files
+        ]
     if target == "oracle":
-        return [f"sqlldr control={path}"]
+        if not control:
+            raise ValueError("oracle loads need a control file")
+        return [f"sqlldr control={quote(client_path(control))} data={quote(f)}" for f in files]
     if not schema:
-        raise ValueError("snowflake needs a schema for its file format and stage")
-    owner = quote_name(schema, target)
-    return [
-        f"create file format if not exists {owner}.transferkit_csv type = csv "
-        "escape_unenclosed_field = 'NONE' field_optionally_enclosed_by = '\"' "
-        f"empty_field_as_null = false null_if = ({string_literal(token)})",
-        f"create stage if not exists {owner}.transferkit_stage",
-        f"put file://{path} @{owner}.transferkit_stage/{load_id}",
-        f"copy into {full} from @{owner}.transferkit_stage/{load_id} "
-        f"file_format = (format_name = {owner}.transferkit_csv)",
-    ]
+        raise ValueError("snowflake needs a schema for its stage")
+    stage = f"{quote_name(schema, target)}.transferkit_stage"
+    place = f"{stage}/{load_id or uuid.uuid4().hex}"
+    # options in the statement itself: a named format could be one of an earlier load with another token
+    csv = (
+        "type = csv field_optionally_enclosed_by = '\"' escape_unenclosed_field = none "
+        f"empty_field_as_null = false null_if = ({string_literal(token)})"
+    )
+    out = [f"create stage if not exists {stage}"]
+    for f in files:
+        out.append(f"put {string_literal('file://' + f)} @{place} auto_compress = false")
+        out.append(f"copy into {full} from @{place}/{f.rsplit('/', 1)[-1]} file_format = ({csv})")
+    return out

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,18 +67,23 @@ def run_statements(spark: SparkSession, target: Endpoint, statements: list[str])
         connection.close()
 
 
-def _statement_for(df: DataFrame, target: str, schema: str | None, table: str, incremental: bool, compat: bool) -> str:
+def _statement_for(
+    df: DataFrame, target: str, schema: str | None, table: str, incremental: bool, compat: bool, allow_loss: bool
+) -> str:
     rows = catalog.translate(catalog.describe(df, schema or "", table), None, target, compat=compat)
+    if not (compat or allow_loss):
+        lossy = [f"{r.column_name} ({r.target_type})" for r in rows.where("lossy").collect()]
+        if lossy:
+            raise ValueError(f"columns of {table} that could cut values: {', '.join(lossy)}; see allow_loss")
     return catalog.ddl(rows, target, incremental, compat).first()["statement"]
 
 
-def write_jdbc_options(target: Endpoint, table: str, connections: int, batch: int = 10_000) -> dict[str, str]:
-    return {
-        **target.write_options(),
-        "dbtable": table,
-        "numPartitions": str(connections),
-        "batchsize": str(batch),
-    }
+def write_jdbc_options(
+    target: Endpoint, table: str, connections: int | None = None, batch: int = 10_000
+) -> dict[str, str]:
+    """Without ``connections`` every task that writes has one; with it, rows are drawn together into so many."""
+    limit = {"numPartitions": str(connections)} if connections else {}
+    return {**target.write_options(), "dbtable": table, **limit, "batchsize": str(batch)}
 
 
 def for_jdbc(df: DataFrame, target: str) -> DataFrame:
@@ -92,6 +100,12 @@ def for_jdbc(df: DataFrame, target: str) -> DataFrame:
     return df.select(*out)
 
 
+def staging_table(schema: str | None, table: str, load: str | None = None) -> str:
+    """A name of its own for each load, 30 characters whatever the table's: within every system's limit."""
+    load = load or uuid.uuid4().hex
+    return "tk_" + hashlib.md5(f"{schema}|{table}|{load}".encode()).hexdigest()[:27]
+
+
 def merge_statement(target: str, staging: str, full: str, columns: list[ColumnInfo]) -> str:
     """Move staged rows to the table in one statement, one row per load id: a task that ran twice
     left its rows twice.  By position, as the bulk loaders do, but by name on Oracle."""
@@ -125,10 +139,11 @@ def write_table(
     create_table: bool = False,
     drop_table: bool = False,
     incremental: bool = False,
-    connections: int = 16,
+    connections: int | None = None,
     exactly_once: bool = True,
     keys: list[str] | None = None,
     location: str | None = None,
+    allow_loss: bool = False,
     compat: bool = False,
 ) -> None:
     """Append the rows of ``df`` by position, after creating or dropping what the flags say.
@@ -148,7 +163,7 @@ def write_table(
     if target.is_jdbc:
         _write_jdbc(
             df, target, table, schema, create_schema, create_table, drop_table, incremental,
-            connections, exactly_once, keys, compat,
+            connections, exactly_once, keys, allow_loss, compat,
         )
     elif target.path:
         base = file_path(target, table, schema)
@@ -193,7 +208,7 @@ def _write_catalog(df, table, schema, create_schema, create_table, drop_table, l
 
 def _write_jdbc(
     df, target, table, schema, create_schema, create_table, drop_table, incremental, connections,
-    exactly_once, keys, compat,
+    exactly_once, keys, allow_loss, compat,
 ) -> None:
     spark, system = df.sparkSession, target.system
     full = qualify_name(schema, table, system)
@@ -203,7 +218,7 @@ def _write_jdbc(
     if drop_table:
         before.append(drop_statement(system, schema, table))
     if create_table:
-        before.append(_statement_for(df, system, schema, table, incremental, compat))
+        before.append(_statement_for(df, system, schema, table, incremental, compat, allow_loss))
     if before:
         run_statements(spark, target, before)
     infos, df = column_infos(df), for_jdbc(df, system)
@@ -211,7 +226,7 @@ def _write_jdbc(
         df.write.format("jdbc").options(**write_jdbc_options(target, full, connections)).mode("append").save()
         return
     ensure_checkpoint_dir(spark)
-    staging_name = f"{table}_transferkit"
+    staging_name = staging_table(schema, table)
     staging = qualify_name(schema, staging_name, system)
     # checkpointed rows keep their order, so a repeated task gives its rows the same numbers again
     numbered = df.checkpoint().withColumn(LOAD_ID, F.monotonically_increasing_id())
@@ -219,7 +234,7 @@ def _write_jdbc(
     if target.profile.json_from_text:
         shape = tag(numbered, {i.name: "ntext" for i in infos if i.type == "json"})
     drop = drop_statement(system, schema, staging_name)
-    run_statements(spark, target, [drop, _statement_for(shape, system, schema, staging_name, False, compat)])
+    run_statements(spark, target, [drop, _statement_for(shape, system, schema, staging_name, False, compat, True)])
     options = write_jdbc_options(target, staging, connections)
     numbered.write.format("jdbc").options(**options).mode("append").save()
     move = [delete_staged_statement(system, staging, table, schema, keys)] if keys else []

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,7 +58,21 @@ def load_by_predicates(
 def bounds(spark: SparkSession, source: Endpoint, table: str, key: str, partitions: int) -> Partitioning:
     """Range partitioning between the smallest and largest key, asked of the database."""
     row = load(spark, query_options(source, f"select min({key}) lo, max({key}) hi from {table}")).first()
-    return Partitioning(key, row[0] if row[0] is not None else 0, row[1] if row[1] is not None else 1, partitions)
+    return whole_bounds(key, row[0], row[1], partitions)
+
+
+def whole_bounds(key: str, lo, hi, partitions: int) -> Partitioning:
+    """Bounds as Spark takes them: whole numbers around a key's ends, or dates and times as they are.
+
+    Bounds only place the cuts: rows outside them, and NULLs, are in the outer ranges.
+    """
+    if lo is None or hi is None:
+        return Partitioning(key, 0, 1, partitions)
+    if isinstance(lo, (Decimal, float, int)):
+        lo, hi = math.floor(lo), math.ceil(hi)
+        # a range of bigints; a wider key's cuts stay inside it
+        lo, hi = max(lo, -(2**63)), min(max(hi, lo + 1), 2**63 - 1)
+    return Partitioning(key, lo, hi, partitions)
 
 
 def largest(spark: SparkSession, source: Endpoint, table: str, name: str):

@@ -45,6 +45,31 @@ RESULT_TYPES = {
     "bool": "BIT",
     "xml": "XML",
 }
+# The words SQL Server's manual reserves.
+RESERVED = (
+    "add", "all", "alter", "and", "any", "as", "asc", "authorization", "backup", "begin", "between",
+    "break", "browse", "bulk", "by", "cascade", "case", "check", "checkpoint", "close", "clustered",
+    "coalesce", "collate", "column", "commit", "compute", "constraint", "contains", "containstable",
+    "continue", "convert", "create", "cross", "current", "current_date", "current_time",
+    "current_timestamp", "current_user", "cursor", "database", "dbcc", "deallocate", "declare", "default",
+    "delete", "deny", "desc", "disk", "distinct", "distributed", "double", "drop", "dump", "else", "end",
+    "errlvl", "escape", "except", "exec", "execute", "exists", "exit", "external", "fetch", "file",
+    "fillfactor", "for", "foreign", "freetext", "freetexttable", "from", "full", "function", "goto",
+    "grant", "group", "having", "holdlock", "identity", "identity_insert", "identitycol", "if", "in",
+    "index", "inner", "insert", "intersect", "into", "is", "join", "key", "kill", "left", "like", "lineno",
+    "load", "merge", "national", "nocheck", "nonclustered", "not", "null", "nullif", "of", "off", "offsets",
+    "on", "open", "opendatasource", "openquery", "openrowset", "openxml", "option", "or", "order", "outer",
+    "over", "percent", "pivot", "plan", "precision", "primary", "print", "proc", "procedure", "public",
+    "raiserror", "read", "readtext", "reconfigure", "references", "replication", "restore", "restrict",
+    "return", "revert", "revoke", "right", "rollback", "rowcount", "rowguidcol", "rule", "save", "schema",
+    "securityaudit", "select", "semantickeyphrasetable", "semanticsimilaritydetailstable",
+    "semanticsimilaritytable", "session_user", "set", "setuser", "shutdown", "some", "statistics",
+    "system_user", "table", "tablesample", "textsize", "then", "to", "top", "tran", "transaction",
+    "trigger", "truncate", "try_convert", "tsequal", "union", "unique", "unpivot", "update", "updatetext",
+    "use", "user", "values", "varying", "view", "waitfor", "when", "where", "while", "with", "within",
+    "writetext",
+)
+# The words the historical quoting knew.
 KEYWORDS = """
 ADD, ALL, ALTER, AND, ANY, AS, ASC, AUTHORIZATION, BACKUP, BEGIN, BETWEEN, BREAK, BROWSE, BULK, BY, CASCADE,
 CASE, CHECK, CHECKPOINT, CLOSE, CLUSTERED, COALESCE, COLLATE, COLUMN, COMMIT, COMPUTE, CONSTRAINT, CONTAINS,
@@ -99,7 +124,7 @@ MSSQL = SystemProfile(
         "json": _NVARCHAR,
         "varbit": _VARCHAR,
     },
-    decimal=DecimalType(38, 38, "float"),
+    decimal=DecimalType(38, 38, "float", exact="varchar(max)"),
     money=None,
     load=LoadRules(exact_offset=" +00:00", bool_digits=True, empty_as_nul=True),
     literal=LiteralRules(
@@ -110,6 +135,7 @@ MSSQL = SystemProfile(
     ),
     quotes=("[", "]"),
     keywords=KEYWORDS,
+    reserved=RESERVED,
     keyword_case="upper",
     not_found="Invalid object name",
     read_options={"preferTimestampNTZ": "true", "fetchsize": "10000"},

@@ -86,7 +86,7 @@ MYSQL = SystemProfile(
         "blob": "longblob",
     },
     sized_types={},
-    decimal=DecimalType(65, 30, "double", max_scale_compat=65),
+    decimal=DecimalType(65, 30, "double", max_scale_compat=65, exact="longtext"),
     money=DecimalType(65, 30, "decimal(19,4)", fallback_compat="float"),
     load=LoadRules(bare_uuid_exact=True, bool_digits_exact=True),
     literal=LiteralRules(

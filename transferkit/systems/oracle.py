@@ -72,7 +72,7 @@ ORACLE = SystemProfile(
         "varbinary": SizedType("raw", 1, 2000, "blob", "raw(2000)"),
     },
     decimal=DecimalType(
-        38, 38, "BINARY_DOUBLE", separator=", ", min_scale_compat=0, scale_equal_compat=True
+        38, 38, "BINARY_DOUBLE", separator=", ", min_scale_compat=0, scale_equal_compat=True, exact="number"
     ),
     money=DecimalType(38, 38, "decimal(38, 4)", separator=", "),
     load=LoadRules(offset=" +00:00", exact_offset=" +00:00", bare_uuid=True, bool_digits=True),

@@ -29,6 +29,7 @@ class DecimalType:
     separator: str = ","
     min_scale_compat: int = 1  # historical rule: a scale of zero is not accepted
     scale_equal_compat: bool = False  # historical rule: precision must exceed scale
+    exact: str = ""  # for sizes that are unknown or do not fit, where ``fallback`` would cut values
 
 
 @dataclass(frozen=True)
@@ -77,6 +78,7 @@ class SystemProfile:
     quotes: tuple[str, str] = ('"', '"')
     schema_required: bool = True
     keywords: str = ""
+    reserved: tuple[str, ...] = ()  # lower-case words of the vendor's manual; without: ``keywords``
     keyword_case: str = "lower"  # case the word list is written in
     keywords_compat: bool = True  # whether the historical quoting knew the words
     quote_all: bool = False  # quote every name: quotes change nothing there but the words allowed
@@ -102,5 +104,8 @@ class SystemProfile:
             rows.update(self.corrections)
         return sorted(rows.items())
 
-    def reserved_words(self) -> list[str]:
+    def reserved_words(self, compat: bool = False) -> list[str]:
+        """Lower-case words that are no plain names; ``compat``: as the historical quoting had them."""
+        if self.reserved and not compat:
+            return list(self.reserved)
         return [w.strip() for w in self.keywords.replace("\n", " ").split(",") if w.strip()]

@@ -23,6 +23,19 @@ RESULT_TYPES = {
     "varbinary": "BINARY",
     "bool": "BOOLEAN",
 }
+# The words Snowflake's manual reserves.
+RESERVED = (
+    "account", "all", "alter", "and", "any", "as", "between", "by", "case", "cast", "check", "column",
+    "connect", "connection", "constraint", "create", "cross", "current", "current_date", "current_time",
+    "current_timestamp", "current_user", "database", "delete", "distinct", "drop", "else", "exists",
+    "false", "following", "for", "from", "full", "grant", "group", "gscluster", "having", "ilike", "in",
+    "increment", "inner", "insert", "intersect", "into", "is", "issue", "join", "lateral", "left", "like",
+    "localtime", "localtimestamp", "minus", "natural", "not", "null", "of", "on", "or", "order",
+    "organization", "qualify", "regexp", "revoke", "right", "rlike", "row", "rows", "sample", "schema",
+    "select", "set", "some", "start", "table", "tablesample", "then", "to", "trigger", "true", "try_cast",
+    "union", "unique", "update", "using", "values", "view", "when", "whenever", "where", "with",
+)
+# The words the historical quoting knew.
 KEYWORDS = """
 alter, and, as, between, by, case, cast, check, collate, column, create, current_date, current_time,
 current_timestamp, delete, desc, distinct, drop, else, exists, false, for, from, full, grant, group, having,
@@ -63,7 +76,7 @@ SNOWFLAKE = SystemProfile(
     # a bare number has scale 0 and would round fractions away
     exact_create_types={"money": "number(19,4)"},
     sized_types={},
-    decimal=DecimalType(38, 37, "real", name="number"),
+    decimal=DecimalType(38, 37, "real", name="number", exact="text"),
     money=None,
     load=LoadRules(rfc3339_timestamps=True, bare_uuid=True),
     literal=LiteralRules(
@@ -74,6 +87,7 @@ SNOWFLAKE = SystemProfile(
         backslash_escapes=True,
     ),
     keywords=KEYWORDS,
+    reserved=RESERVED,
     upper_names=True,
     lists_keys=False,
     json_from_text="parse_json({})",
