@@ -124,7 +124,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         F.col("value").cast("binary").alias("bytes"),
         F.substring_index("value", END, 1).alias("head"),
     )
-    segments = stored(lines.select("*", F.octet_length("bytes").alias("n")), "warc_segments")
+    segments = stored(lines.select("*", F.octet_length("bytes").alias("n")), "warc_segments", compression="zstd")
     candidates = stored(_candidates(segments), "warc_candidates")
     reached = _reached(candidates)
     marked = candidates.join(reached, ["file", "run"], "left")
@@ -135,7 +135,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         F.last(F.when(real, F.col("start")), True).over(order).alias("record"),
     )
     parts = F.count("*").over(Window.partitionBy("file", "record"))
-    marked = stored(marked.where("record is not null").select("*", parts.alias("parts")), "warc_records")
+    marked = sized(marked.where("record is not null").select("*", parts.alias("parts")), "warc_records")
     rows = segments.join(marked, ["file", "block", "place"])
     single = rows.where("parts = 1").select("file", "record", "head", "bytes")
     # magic inside a payload: its segments are one record again
