@@ -119,7 +119,8 @@ def test_seating():
 
 
 def test_toxicity(spark, docs, no_docs):
-    df, labels = (spark.read.parquet(f"{SF_DIR}/{t}.parquet") for t in ("documents", "labels"))
+    # enough labels to learn from: some hundred toxic ones, of which about a fifth is held out
+    df, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     rows = score_toxicity(df, labels).join(labels, "doc_id").where("toxic is not null").collect()
     assert all(r.held_out == (part(r.doc_id, 5) == 0) and r.predicted == (r.score >= 0.5) for r in rows)
     clean = [r.score for r in rows if r.held_out and not r.toxic]

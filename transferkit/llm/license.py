@@ -27,7 +27,7 @@ class Clause:
     label: str
     text: str
     key: str
-    least: float = 0.7
+    least: float = 0.6
     base: bool = False
 
 
