@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 
 import transferkit
 
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
 
 
 def _lut(word_bytes) -> np.ndarray:
@@ -68,12 +68,20 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def map_batches(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with workers that find this package where the driver has it, as local ones must."""
+    """``mapInArrow`` with workers that find this package where the driver has it, as local ones must.
+
+    Workers live on for later tasks; Arrow's memory goes back to the system at the end of each.
+    """
     root = os.path.dirname(os.path.dirname(os.path.abspath(transferkit.__file__)))
     env = df.sparkSession.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

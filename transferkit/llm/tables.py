@@ -18,6 +18,14 @@ def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a stored table that nothing reads any more."""
+    spark, files = df.sparkSession, df.inputFiles()
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def sized(df: DataFrame, name: str, rows: int = BROADCAST_ROWS) -> DataFrame:
     """The stored rows, to be broadcast if there are at most ``rows`` of them."""
     df = stored(df, name)
