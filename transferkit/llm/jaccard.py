@@ -128,11 +128,16 @@ def _describe(docs: DataFrame, runs: int, threshold: float) -> DataFrame:
     )
 
 
-def _live(rows: DataFrame) -> DataFrame:
-    """``key, node, size`` of buckets with two classes or more; of buckets with the same classes one stays."""
+def _live(rows: DataFrame, whole: int | None) -> DataFrame:
+    """``key, node, size`` of buckets with two classes or more.
+
+    Of buckets with the same classes one is compared; but those above ``whole`` are split, and all of them
+    are: each is another chance for a pair to stay together.
+    """
     rows = rows.distinct()
     sizes = rows.groupBy("key").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("who"))
-    sizes = sizes.where("size > 1").groupBy("size", "who").agg(F.min("key").alias("key"))
+    alone = F.lit(0) if whole is None else F.when(F.col("size") > whole, F.col("key")).otherwise(0)
+    sizes = sizes.where("size > 1").groupBy("size", "who", alone.alias("alone")).agg(F.min("key").alias("key"))
     return rows.join(sizes.select("key", "size"), "key")
 
 
@@ -341,8 +346,8 @@ def _joined(docs: DataFrame, threshold: float, recall: float, depth: int | None)
     rows = classes.select("node", F.explode("keys").alias("key")).select("key", "node")
     leaves = []
     for level in range(depth):
-        live = stored(_live(rows), f"jaccard_level{level + 1}")
         last = level == depth - 1
+        live = stored(_live(rows, None if last else BUCKET), f"jaccard_level{level + 1}")
         leaves.append(live if last else live.where(F.col("size") <= BUCKET))
         large = live.where(F.col("size") > BUCKET)
         if last or large.isEmpty():
