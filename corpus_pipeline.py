@@ -31,7 +31,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Passages that repeat are cut from the texts; documents of which nothing is left go."""
     kept = where_computed(remove_repeated(docs), F.col("text") != "")
     if "n_chars" in docs.columns:
-        kept = kept.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else c for c in docs.columns])
+        chars = F.length("text").cast("long")
+        kept = kept.select(*[chars.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
     return kept
 
 
