@@ -6,6 +6,7 @@ document is never cut.
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterator
 
@@ -70,7 +71,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def map_batches(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with workers that find this package where the driver has it, as local ones must.
 
-    Workers live on for later tasks; Arrow's memory goes back to the system at the end of each.
+    Workers live on for later tasks; what a task has freed goes back to the system at its end.
     """
     root = os.path.dirname(os.path.dirname(os.path.abspath(transferkit.__file__)))
     env = df.sparkSession.sparkContext.environment
@@ -80,6 +81,9 @@ def map_batches(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from fn(batches)
         pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library keeps freed arrays
+        if trim:
+            trim(0)
 
     return df.mapInArrow(run, schema)
 
