@@ -217,3 +217,31 @@ def test_a_table_that_would_cut_values_is_not_made(spark, monkeypatch):
     with pytest.raises(ValueError, match="could cut values"):
         sink._statement_for(df, "mssql", "s", "t", False, False, False)
     assert sink._statement_for(df, "mssql", "s", "t", False, False, True)
+
+
+def test_a_table_with_a_key_is_read_in_parallel(spark, monkeypatch):
+    import importlib
+
+    plans = importlib.import_module("transferkit.plans.transfer")
+
+    seen = {}
+    infos = [ColumnInfo("name", "nvarchar", primary_key=True), ColumnInfo("big", "decimal", primary_key=True),
+             ColumnInfo("id", "int64", primary_key=True), ColumnInfo("v", "int32")]
+    monkeypatch.setattr(plans, "columns", lambda *a: None)
+    monkeypatch.setattr(plans.catalog, "require_columns", lambda found, *a: found)
+    monkeypatch.setattr(plans.catalog, "with_canonical_types", lambda found, *a: found)
+    monkeypatch.setattr(plans.catalog, "infos_from_rows", lambda known: infos)
+    monkeypatch.setattr(plans, "read_table", lambda *a, **kw: seen.update(kw, given=a[4:]))
+    source = Endpoint("postgresql", url=URLS["postgresql"])
+    plans.read_source(spark, source, "t", "s")
+    assert seen["key"] == "id" and seen["partitions"] == max(2, spark.sparkContext.defaultParallelism)
+    plans.read_source(spark, source, "t", "s", key="v", partitions=5, by_hash=True)
+    assert (seen["key"], seen["partitions"], seen["by_hash"]) == ("v", 5, True)
+    seen.clear()
+    given = Partitioning("id", 0, 9, 3)
+    plans.read_source(spark, source, "t", "s", partition=given)
+    assert seen["given"] == (given,) and "key" not in seen
+    infos[:] = infos[3:]
+    seen.clear()
+    plans.read_source(spark, source, "t", "s")
+    assert "key" not in seen and seen["given"] == (None,)

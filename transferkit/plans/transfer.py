@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import types as T
 
 from transferkit.functions.identifiers import qualify_name, quote_name
 from transferkit.operators import catalog
@@ -64,10 +65,16 @@ def read_source(
     query_tables: list[str] | None = None,
     partition: Partitioning | None = None,
     compat: bool = False,
+    key: str | None = None,
+    partitions: int | None = None,
+    by_hash: bool = False,
 ) -> DataFrame:
     """The rows to move, with canonical types in their metadata.
 
     A JDBC table's types come from the source's catalog; a query's and a file's from the result schema.
+    A JDBC table is read in ``partitions`` ranges of ``key`` (or by its remainder, ``by_hash``): by default as
+    many as the session has cores, over the first primary-key column that has an order Spark can cut.  A table
+    without one is read over one connection.
     """
     if query:
         return read_query(spark, source, query, query_tables, partition)
@@ -76,7 +83,20 @@ def read_source(
     found = catalog.require_columns(columns(spark, source, schema, [table]), schema, table)
     known = catalog.with_canonical_types(found, source.system, "table", compat)
     infos = catalog.infos_from_rows(known)
-    return read_table(spark, source, table, schema, partition, infos=infos)
+    key = None if partition else key or partition_key(infos)
+    if key is None:
+        return read_table(spark, source, table, schema, partition, infos=infos)
+    partitions = partitions or max(2, spark.sparkContext.defaultParallelism)
+    return read_table(spark, source, table, schema, partitions=partitions, key=key, infos=infos, by_hash=by_hash)
+
+
+def partition_key(infos: list[ColumnInfo]) -> str | None:
+    """The first primary-key column whose ranges a JDBC read can be cut into; numbers that travel as text can't."""
+    for i in infos:
+        if i.primary_key and i.type in ("int64", "int32", "int16", "decimal", "date", "datetime"):
+            if i.type != "decimal" or i.spark_type() != T.StringType():
+                return i.name
+    return None
 
 
 def transfer(
@@ -90,6 +110,9 @@ def transfer(
     query: str | None = None,
     query_tables: list[str] | None = None,
     partition: Partitioning | None = None,
+    key: str | None = None,
+    partitions: int | None = None,
+    by_hash: bool = False,
     load_path: str | None = None,
     create_schema: bool = False,
     create_table: bool = False,
@@ -114,7 +137,9 @@ def transfer(
     systems goes through the same canonical types, so no pair needs code of its own.
     """
     check_arguments(source, target, table, schema, query, target_table, target_schema)
-    rows = read_source(spark, source, table, schema, query, query_tables, partition, compat)
+    rows = read_source(
+        spark, source, table, schema, query, query_tables, partition, compat, key, partitions, by_hash
+    )
     infos = column_infos(rows)
     if load_path:
         token = null or target.profile.null_token
