@@ -14,6 +14,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -265,7 +266,7 @@ def _compare_dealt(groups: DataFrame, window: int, digit_width: int) -> DataFram
 def repeated_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``id, text_hash, ranges``: byte ranges covered by repeated windows, of documents that have any.
 
-    ``docs`` has ``id, text, text_hash``; ranges are [from, to) and may overlap.
+    ``docs`` has ``id, text, text_hash``; ranges are maximal, [from, to), and in order.
     """
     repeated = stored(_repeated_digits(docs, window), "suffix_digits")
     members = stored(_members(docs, repeated, window), "suffix_members")
@@ -284,23 +285,36 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     part = part.select(
         "id", "text_hash", (F.col("at") + F.col("first")).alias("lo"), (F.col("at") + F.col("last") + window).alias("to")
     )
-    ranges = whole.unionByName(part).groupBy("id", "text_hash")
-    return ranges.agg(F.sort_array(F.collect_set(F.struct("lo", "to"))).alias("ranges"))
+    ranges = whole.unionByName(part).groupBy("id", "text_hash").agg(F.collect_list(F.struct("lo", "to")).alias("ranges"))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = batch.column("ranges")
+            flat, ends = runs.flatten(), np.cumsum([0, *(len(r) for r in runs)])
+            lo, to = flat.field("lo").to_numpy(), flat.field("to").to_numpy()
+            merged = [_union(lo[a:b], to[a:b]) for a, b in zip(ends, ends[1:])]
+            yield pa.record_batch(
+                [batch.column("id"), batch.column("text_hash"), pa.array(merged, batch.schema.field("ranges").type)],
+                names=["id", "text_hash", "ranges"],
+            )
+
+    id_type = docs.schema["id"].dataType.simpleString()
+    return map_batches(ranges, merge, f"id {id_type}, text_hash long, ranges array<struct<lo: long, to: long>>")
 
 
-def _merge(ranges: list[dict] | None) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for r in ranges or ():
-        if out and r["lo"] <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], r["to"]))
-        else:
-            out.append((r["lo"], r["to"]))
-    return out
+def _union(lo: np.ndarray, to: np.ndarray) -> list[dict]:
+    """Maximal runs of ranges that overlap or touch, in order."""
+    order = np.argsort(lo, kind="stable")
+    lo, reach = lo[order], np.maximum.accumulate(to[order])
+    first = np.flatnonzero(np.append(True, lo[1:] > reach[:-1]))
+    last = np.append(first[1:], len(lo)) - 1
+    return [{"lo": a, "to": b} for a, b in zip(lo[first].tolist(), reach[last].tolist())]
 
 
-def _kept(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
-    ends = [0, *(b for _, b in runs)]
-    begins = [*(a for a, _ in runs), len(raw)]
+def _kept(raw: bytes, runs: list[dict] | None) -> bytes:
+    """The bytes outside the runs."""
+    ends = [0, *(r["to"] for r in runs or ())]
+    begins = [*(r["lo"] for r in runs or ()), len(raw)]
     return b"".join(raw[a:b] for a, b in zip(ends, begins))
 
 
@@ -327,7 +341,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         for batch in batches:
             out = []
             for text, ranges in zip(batch.column("text").cast(pa.large_binary()), batch.column("ranges")):
-                raw, runs = text.as_py(), _merge(ranges.as_py())
+                raw, runs = text.as_py(), ranges.as_py() or []
                 kept = _kept(raw, runs)
                 out.append((len(raw), len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest()))
             columns = list(zip(*out)) or [()] * 4
@@ -351,12 +365,8 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     @F.pandas_udf("string")
     def cut(text, ranges):
-        return text.combine(
-            ranges,
-            lambda t, r: t
-            if r is None
-            else _kept(t.encode(), _merge([{"lo": x["lo"], "to": x["to"]} for x in r])).decode("utf-8", "ignore"),
-        )
+        kept = [t if r is None else _kept(t.encode(), list(r)).decode("utf-8", "ignore") for t, r in zip(text, ranges)]
+        return pd.Series(kept, dtype=object)
 
     rows = _with_ranges(docs, id_col, text_col, window)
     text = F.when(F.col("ranges").isNull(), F.col("row")[text_col]).otherwise(cut("text", "ranges"))

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from transferkit.session import workspace
 
-# Rows up to which a measured side is broadcast; beyond that both sides are shuffled by the key.
+# Rows, and bytes as stored, up to which a measured side is broadcast; beyond either both sides are shuffled by
+# the key.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16 << 20
 
 
 def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
@@ -18,18 +20,29 @@ def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the files of a stored table that nothing reads any more."""
+def _place(df: DataFrame):
+    """Folder and file system of a stored table; None if it has no files."""
     spark, files = df.sparkSession, df.inputFiles()
-    if files:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+    if not files:
+        return None
+    folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+    return folder, folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
-def sized(df: DataFrame, name: str, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The stored rows, to be broadcast if there are at most ``rows`` of them."""
-    df = stored(df, name)
-    return F.broadcast(df) if df.count() <= rows else df
+def discard(df: DataFrame) -> None:
+    """Delete the files of a stored table that nothing reads any more."""
+    if place := _place(df):
+        place[1].delete(place[0], True)
+
+
+def sized(df: DataFrame, name: str) -> DataFrame:
+    """The stored rows, to be broadcast if they are few and small."""
+    df = stored(df, name, compression="uncompressed")
+    place = _place(df)
+    small = df.count() <= BROADCAST_ROWS and (
+        place is None or place[1].getContentSummary(place[0]).getLength() <= BROADCAST_BYTES
+    )
+    return F.broadcast(df) if small else df
 
 
 def where_computed(df: DataFrame, condition: Column) -> DataFrame:

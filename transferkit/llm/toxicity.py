@@ -288,7 +288,10 @@ def score_toxicity(
     posterior = np.full((3, 1 << (LEXICON_VOTERS + len(PATTERNS))), share)
     if len(votes):
         posterior[label + 1, votes] = label_model(label, votes, counts["n"].to_numpy(float), share)
-    sample = labelled.orderBy(F.xxhash64("id"), "id", "text").limit(sample_rows)
+    # the bound first, from hashes alone; rows that share the last hash are equal
+    row = F.xxhash64("id", "text")
+    bound = labelled.select(row.alias("h")).orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
+    sample = labelled.where(row <= F.lit(bound)).limit(sample_rows)
     model = train(sample, marked, features, posterior)
     scored = apply(docs, model, id_col, text_col)
     return scored.select(id_col, out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
