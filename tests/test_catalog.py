@@ -230,3 +230,20 @@ def test_a_broken_ordinal_stops_before_the_shuffle(spark):
     df = translate(rows(spark, ("a", "text", None, None, None, False)), "postgresql", "mysql")
     with pytest.raises(Exception, match="more columns than a table can have"):
         ddl(df.withColumn("ordinal", F.lit(40_000)), "mysql").collect()
+
+
+@pytest.mark.parametrize(
+    "system, names, plain",
+    [
+        ("postgresql", "lateral fetch authorization binary cross ilike tablesample Select", "orders name value"),
+        ("snowflake", "start rows row to unique any all qualify sample increment schema some of", "orders name value"),
+        ("mssql", "RAISERROR within raiserror Table", "orders name value RAISEERROR"),
+    ],
+)
+def test_words_of_the_vendors_are_quoted(spark, system, names, plain):
+    from transferkit.functions.identifiers import quote_name, quoted
+
+    for listed, wrapped in ((names.split(), True), (plain.split(), False)):
+        rows = spark.createDataFrame([(n,) for n in listed], "n string").select("n", quoted(F.col("n"), system).alias("q"))
+        assert all((r.n != r.q) == wrapped for r in rows.collect())
+        assert all((quote_name(n, system) != n) == wrapped for n in listed)

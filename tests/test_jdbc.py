@@ -119,6 +119,10 @@ def test_order_of_a_jdbc_load(spark, monkeypatch):
             sent.append(f"rows into {self.opts['dbtable']}")
 
     monkeypatch.setattr(type(spark.range(1)), "write", property(lambda self: Writer()))
+    numbered = lambda df: (df.withColumn(sink.LOAD_ID, F.monotonically_increasing_id()), "a copy")
+    monkeypatch.setattr(sink, "numbered_copy", numbered)
+    removed = []
+    monkeypatch.setattr(sink, "remove_folder", lambda s, path: removed.append(path))
     target = Endpoint("postgresql", url=URLS["postgresql"])
     df = spark.createDataFrame([(1, "x")], "id int, v string")
     sink.write_table(
@@ -131,10 +135,9 @@ def test_order_of_a_jdbc_load(spark, monkeypatch):
     ]
     staging = sent[2].removeprefix("rows into ")
     assert len(staging) == len("s.") + 30 and staging.startswith("s.tk_")
-    assert sent[1][0] == f"drop table if exists {staging}"
-    assert sent[1][1] == f"create table if not exists {staging} (id integer, v text, transferkit_load_id bigint)"
+    assert sent[1] == [f"create table if not exists {staging} (id integer, v text, transferkit_load_id bigint)"]
     assert sent[3][0].startswith("delete from s.t where exists") and sent[3][1].startswith("insert into s.t select id, v")
-    assert sent[4] == [f"drop table if exists {staging}"]
+    assert sent[4] == [f"drop table if exists {staging}"] and removed == ["a copy"]
     sent.clear()
     sink.write_table(df, target, "t", "s", exactly_once=False)
     assert sent == ["rows into s.t"]
@@ -245,3 +248,15 @@ def test_a_table_with_a_key_is_read_in_parallel(spark, monkeypatch):
     seen.clear()
     plans.read_source(spark, source, "t", "s")
     assert "key" not in seen and seen["given"] == (None,)
+
+
+def test_numbers_of_a_copy_stay(spark):
+    from transferkit.session import path_exists, remove_folder
+
+    df = tag(spark.range(100).repartition(3), {"id": "int64"}, keys=["id"])
+    rows, place = sink.numbered_copy(df)
+    first = sorted(map(tuple, rows.collect()))
+    assert first == sorted(map(tuple, rows.collect())) and len({n for _, n in first}) == 100
+    assert rows.schema["id"].metadata == df.schema["id"].metadata
+    remove_folder(spark, place)
+    assert not path_exists(spark, place)

@@ -17,7 +17,8 @@ def workspace(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/transferkit/{name}-{uuid.uuid4().hex[:12]}"
@@ -47,12 +48,13 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(hadoop_path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder made for one job, with what is in it."""
+    hadoop_path, fs = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Reliable checkpoints go to the cluster's shared folder; a local session without one gets its own."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(workspace(spark, "checkpoints"))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from transferkit.functions.identifiers import qualify_name, quote_name, string_literal
 from transferkit.operators import catalog
-from transferkit.session import ensure_checkpoint_dir, path_exists
+from transferkit.session import path_exists, remove_folder, workspace
 from transferkit.sources.endpoint import Endpoint
 from transferkit.sources.tables import file_path
 from transferkit.systems import profile
@@ -149,8 +149,8 @@ def write_table(
     """Append the rows of ``df`` by position, after creating or dropping what the flags say.
 
     Catalog and folder targets commit all rows or none.  JDBC commits task by task, so a lost executor
-    may leave rows of a failed attempt behind: ``exactly_once`` numbers the rows of a reliable
-    checkpoint, loads a staging table and moves each number once.  With ``keys`` the table's rows of the
+    may leave rows of a failed attempt behind: ``exactly_once`` numbers the rows of a copy in the shared
+    folder, loads a staging table, moves each number once, and removes copy and staging table.  With ``keys`` the table's rows of the
     same keys are deleted in the transaction that moves the staged rows (JDBC; use ``upsert`` or
     ``ChangeLog`` elsewhere).  ``location`` is where a new schema of
     the Spark catalog keeps its tables; the default is the session's warehouse.
@@ -206,6 +206,17 @@ def _write_catalog(df, table, schema, create_schema, create_table, drop_table, l
     append_by_position(df, full)
 
 
+def numbered_copy(df: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with numbers that stay as they are, from a copy in the shared folder, and the copy's place.
+
+    A task of the load that runs again sends its rows under the same numbers.
+    """
+    path = workspace(df.sparkSession, "jdbc_load")
+    rows = df.withColumn(LOAD_ID, F.monotonically_increasing_id())
+    rows.write.parquet(path)
+    return df.sparkSession.read.schema(rows.schema).parquet(path), path
+
+
 def _write_jdbc(
     df, target, table, schema, create_schema, create_table, drop_table, incremental, connections,
     exactly_once, keys, allow_loss, compat,
@@ -225,18 +236,19 @@ def _write_jdbc(
     if not exactly_once:
         df.write.format("jdbc").options(**write_jdbc_options(target, full, connections)).mode("append").save()
         return
-    ensure_checkpoint_dir(spark)
     staging_name = staging_table(schema, table)
     staging = qualify_name(schema, staging_name, system)
-    # checkpointed rows keep their order, so a repeated task gives its rows the same numbers again
-    numbered = df.checkpoint().withColumn(LOAD_ID, F.monotonically_increasing_id())
+    numbered, copy = numbered_copy(df)
     shape = numbered
     if target.profile.json_from_text:
         shape = tag(numbered, {i.name: "ntext" for i in infos if i.type == "json"})
     drop = drop_statement(system, schema, staging_name)
-    run_statements(spark, target, [drop, _statement_for(shape, system, schema, staging_name, False, compat, True)])
-    options = write_jdbc_options(target, staging, connections)
-    numbered.write.format("jdbc").options(**options).mode("append").save()
-    move = [delete_staged_statement(system, staging, table, schema, keys)] if keys else []
-    run_statements(spark, target, [*move, merge_statement(system, staging, full, infos)])
-    run_statements(spark, target, [drop])
+    try:
+        run_statements(spark, target, [_statement_for(shape, system, schema, staging_name, False, compat, True)])
+        options = write_jdbc_options(target, staging, connections)
+        numbered.write.format("jdbc").options(**options).mode("append").save()
+        move = [delete_staged_statement(system, staging, table, schema, keys)] if keys else []
+        run_statements(spark, target, [*move, merge_statement(system, staging, full, infos)])
+    finally:  # the names are this load's own: nothing else can need them
+        run_statements(spark, target, [drop])
+        remove_folder(spark, copy)
