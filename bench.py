@@ -49,7 +49,7 @@ def benchmarks(spark: SparkSession) -> dict:
     def table_transfer():
         transfer(
             spark, folder(SF_DIR), Endpoint("postgresql"), "lineitem", "sales", table="lineitem",
-            load_path=workspace(spark, "bench_transfer"),
+            load_path=workspace(spark, "bench_transfer"), client_folder="/load",
         )
 
     return {

@@ -323,7 +323,7 @@ def _table_transfer(target):
     def run(spark, sf):
         moved = transfer(
             spark, folder(sf), Endpoint(target), "orders", "sales", table="orders",
-            load_path=workspace(spark, f"transfer_{target}"),
+            load_path=workspace(spark, f"transfer_{target}"), client_folder="/load",
         )
         return moved.rows
 
@@ -356,7 +356,7 @@ REVENUE = (
 def trf2_query_transfer(spark, sf):
     moved = transfer(
         spark, folder(sf, "mysql"), Endpoint("mssql"), "revenue", "sales", query=REVENUE,
-        query_tables=["lineitem"], load_path=workspace(spark, "transfer_query"),
+        query_tables=["lineitem"], load_path=workspace(spark, "transfer_query"), client_folder="/load",
     )
     return moved.rows.withColumn("revenue", F.col("revenue").cast("string"))
 
