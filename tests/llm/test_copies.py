@@ -86,6 +86,19 @@ def test_one_of_each_class_stays(docs):
     assert sorted(map(str, [x for x in found if not shingles(x[1])])) == sorted(str(x) for x in rows if not shingles(x[1]))
 
 
+def test_classes_that_share_an_id_or_have_none_each_keep_a_row(spark):
+    texts = [" ".join(f"{name}{i}" for i in range(80)) for name in "abcdef"]
+    near = [t + " more" for t in texts]
+    rows = [
+        (None, texts[0]), (None, texts[1]), (None, texts[1]), (None, near[1]),
+        (1, texts[2]), (1, texts[3]), (1, texts[3]), (5, near[2]), (6, near[3]), (None, near[3]), (2, texts[4]), (None, texts[5]),
+    ]
+    found = [tuple(r) for r in drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted((t[0], str(i)) for i, t in found) == [
+        ("a", "None"), ("b", "None"), ("c", "1"), ("d", "1"), ("e", "2"), ("f", "None")
+    ]
+
+
 def test_runs_reach_the_recall():
     assert runs_for(0.9999, 0.8, 1) == 9 and runs_for(0.9999, 0.8, 3) > runs_for(0.99, 0.8, 3)
     assert [depth_for(n) for n in (0, 1, 10**6, 10**7, 10**11, 10**13)] == [2, 2, 2, 3, 3, 4]

@@ -327,7 +327,7 @@ def _verified(clusters: DataFrame, threshold: float) -> DataFrame:
 
 
 def _joined(docs: DataFrame, threshold: float, recall: float, depth: int | None) -> tuple[DataFrame, DataFrame]:
-    """Described documents, and ``n, a, b, class, links, copies, rows`` of each class.
+    """Described documents, and ``n, a, b, label, class, links, copies`` of each set: its class and that one's least id.
 
     ``docs`` has ``id, text, text_hash``.
     """
@@ -370,7 +370,7 @@ def _joined(docs: DataFrame, threshold: float, recall: float, depth: int | None)
     )
     known = stored(known, "jaccard_known")
     ends = known.groupBy("label").agg(F.min("doc").alias("class"), F.count("*").alias("members"))
-    return described, known.join(ends, "label").drop("label")
+    return described, known.join(ends, "label")
 
 
 def _prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -413,13 +413,15 @@ def drop_near_copies(
 ) -> DataFrame:
     """The input's columns, and of every class the row with the smallest id; texts without words all stay.
 
-    Of rows that share that id, and of classes without any id, one row stays.
+    Exactly one row of each class stays: of its rows that share that id, or if none has an id, one with the least
+    hash of its text.
     """
     rows = _prepared(docs, id_col, text_col)
     described, known = _joined(rows, threshold, recall, depth)
     member = described.join(known, ["n", "a", "b"], "left")
-    first = member.where("n > 0").select("id", "text_hash", "class").where(F.col("id").eqNullSafe(F.col("class")))
-    first = first.groupBy("id").agg(F.min("text_hash").alias("text_hash"), F.count("*").alias("rows"))
+    first = member.where("n > 0").where(F.col("id").eqNullSafe(F.col("class")))
+    # by class: an id, or none, may be the least of several
+    first = first.groupBy("label", "id").agg(F.min("text_hash").alias("text_hash"), F.count("*").alias("rows")).drop("label")
     blank = sized(described.where("n = 0").select("text_hash").distinct(), "jaccard_wordless")
     keep = sized(first, "jaccard_kept")
     whole = docs.select(
