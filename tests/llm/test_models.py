@@ -51,6 +51,15 @@ def test_license_labels(spark, no_docs):
     assert scan_licenses(no_docs).count() == 0
 
 
+def test_license_labels_do_not_hang_on_rare_words(spark):
+    text = "granted free of charge to any person obtaining a copy of this software"
+    other = "hereby associated documentation permission is files and"
+    for more in ([], [(2, "granted to this software " * 3), (3, "free of charge to any person obtaining a copy")], [(2, other)]):
+        rows = scan_licenses(spark.createDataFrame([(1, text), *more], "doc_id int, text string")).collect()
+        assert {r.doc_id: r.labels for r in rows} == {1: "mit"} | {i: "" for i, _ in more}
+        assert max(r.score for r in rows) == 13 / 20
+
+
 def test_language(spark, docs, no_docs):
     df = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     rows = identify(df).join(df.select("doc_id", "lang"), "doc_id").where("held_out").collect()

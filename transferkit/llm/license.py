@@ -1,8 +1,9 @@
 """License scans by a positional index over the rarest licence words.
 
-Clauses of known licences are indexed by word and place.  A document's occurrences of a clause's anchors (its
-words of highest IDF over the corpus) give places where the clause may start; the other words' postings are
-intersected there by relative place, and a label stands if its key phrase is whole.
+Clauses of known licences are indexed by word and place.  A document's occurrences of a clause's anchor (the
+word of highest IDF over the corpus in its key phrase) give places where the clause may start; the other words'
+postings are intersected there by relative place, and a label stands if its key phrase is whole.  As it must be,
+the anchor is at every place where the clause stands, whichever of the phrase's words it is.
 """
 
 from __future__ import annotations
@@ -56,11 +57,10 @@ CLAUSES = BASE + (
     Clause("cc0", "dedicated to the public domain under cc0 1 0 universal", "cc0 1 0"),
     Clause("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 )
-ANCHORS = 3
 
 
 class Index:
-    """Word postings of all clauses; ``idf`` by word picks each clause's anchors."""
+    """Word postings of all clauses; ``idf`` by word picks each clause's anchor."""
 
     def __init__(self, clauses: tuple[Clause, ...], idf: dict[str, float] | None = None):
         self.clauses = clauses
@@ -74,11 +74,11 @@ class Index:
         idf = idf or {}
         self.anchors, self.keys = [], []
         for c, t in zip(clauses, self.texts):
-            ranked = sorted(range(len(t)), key=lambda i: (-idf.get(t[i], math.inf), t[i], i))
-            # an exact clause is found by its rarest word; one that may differ by any of several
-            self.anchors.append(ranked[: 1 if c.least == 1.0 else ANCHORS])
             key = c.key.split()
-            self.keys.append((next(i for i in range(len(t)) if t[i : i + len(key)] == key), len(key)))
+            k = next(i for i in range(len(t)) if t[i : i + len(key)] == key)
+            self.keys.append((k, len(key)))
+            # only the key's words must all match
+            self.anchors.append(min(range(k, k + len(key)), key=lambda i: (-idf.get(t[i], math.inf), t[i], i)))
 
     def found(self, hashes: np.ndarray) -> np.ndarray:
         """Vocabulary number of each word, -1 for others."""
@@ -92,10 +92,8 @@ class Index:
         word if what is left of it suffices.
         """
         clause = self.words[c]
-        starts = [np.flatnonzero(number == clause[a]) - a for a in self.anchors[c]]
-        of = np.concatenate([s + a for s, a in zip(starts, self.anchors[c])])
-        start, at = np.unique(np.concatenate(starts), return_index=True)
-        of = of[at]
+        of = np.flatnonzero(number == clause[self.anchors[c]])
+        start = of - self.anchors[c]
         lo, hi = first[of], end[of]
         place = start[:, None] + np.arange(len(clause))
         inside = (place >= lo[:, None]) & (place < hi[:, None])
