@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from tests.llm.conftest import LOW, TOKEN, words
+from transferkit.llm import toxicity
 from transferkit.llm.batches import word_hash
 from transferkit.llm.language import identify
 from transferkit.llm.license import scan_licenses
@@ -142,6 +143,26 @@ def test_toxicity(spark, docs, no_docs):
         assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
 
 
+def test_no_marking_word_is_cut(spark, monkeypatch):
+    """More strong words than there are features: rarer ones that stand in toxic documents only still mark."""
+    rng = np.random.default_rng(4)
+    fill = lambda: [f"fill{i}" for i in rng.integers(0, 300, 40)]
+    strong = lambda: [f"strong{i}" for i in rng.choice(700, 60, replace=False)]
+    rows = [(i, " ".join(fill() + strong()), 1) for i in range(400)]
+    rows += [(1000 + i, " ".join([*fill(), f"rare{i % 25}"]), 1) for i in range(300)]
+    rows += [(2000 + i, " ".join(fill()), 0) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(3)
+    marked = {r.word % (1 << 64) for r in toxicity.lexicon(df.select(df.toxic.alias("label"), "text"))[0].collect()}
+    assert {word_hash(f"strong{i}") for i in range(700)} | {word_hash(f"rare{i}") for i in range(25)} <= marked
+    found = {r.doc_id: r for r in score_toxicity(df.drop("toxic"), df.select("doc_id", "toxic")).collect()}
+    rare = [r.score for i, r in found.items() if r.held_out and 1000 <= i < 2000]
+    clean = [r.score for i, r in found.items() if r.held_out and i >= 2000]
+    assert min(rare) > 0.5 and np.mean(np.array(clean) < 0.5) > 0.95
+    monkeypatch.setattr("transferkit.llm.toxicity.BROADCAST_WORDS", 0)  # joined on the documents' words
+    again = {r.doc_id: r for r in score_toxicity(df.drop("toxic"), df.select("doc_id", "toxic")).collect()}
+    assert all(abs(again[i].score - r.score) < 1e-6 for i, r in found.items()) and len(again) == len(rows)
+
+
 def test_word_hash_is_that_of_batches(spark):
     import pyarrow as pa
 
