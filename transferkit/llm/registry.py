@@ -1,8 +1,8 @@
 """All registered queries of the subpackage, and the SQL of those that SQL can express."""
 
-from transferkit.llm import queries_copies, queries_filters, queries_models
+from transferkit.llm import queries_copies, queries_filters, queries_models, queries_search
 
-MODULES = (queries_filters, queries_models, queries_copies)
+MODULES = (queries_filters, queries_models, queries_copies, queries_search)
 
 
 def queries() -> dict:
