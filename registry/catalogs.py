@@ -475,19 +475,55 @@ def _ddl_sql(target):
         )
     else:
         statement = "'create table if not exists ' || t || ' (' || b || ')'"
-    column_type = type_case(target, False)
-    if target == "mysql":
-        column_type = (
-            "case when is_primary and length between 1 and 768 "
-            "and data_type in ('nvarchar', 'varchar', 'ntext', 'text', 'xml', 'varbit') "
-            f"then 'varchar(' || length || ')' else {column_type} end"
-        )
+    plain = type_case(target, False)
+    column_type = f"case when is_primary then {KEYS_SQL[target].format(plain=plain)} else {plain} end"
     return f"""
 with {rows_sql(names_sql(CANONICAL))},
 c as (select *, {name} as name, {column_type} as target_type from rows),
-g as (select table_schema, table_name, {body} as b from c group by table_schema, table_name),
+g as (
+  select table_schema, table_name, {body} as b,
+    string_agg(column_name, ', ' order by ordinal) filter (where target_type is null) as bad
+  from c group by table_schema, table_name),
 q as (select *, {full} as t from g)
-select table_schema, table_name, {statement} as statement from q"""
+select table_schema, table_name, case when bad is null then {statement} end as statement,
+  'no key type of {target} for: ' || bad as refused
+from q"""
+
+
+# The vendors' rules for columns of a primary key.  MySQL: an index entry of 3,072 bytes, 4 to a character of utf8mb4,
+# and a length for every text and blob.  SQL Server: 900 bytes, no (max) types.  Oracle: no large objects, no
+# TIMESTAMP WITH TIME ZONE.  Numbers without a size travel as text of at most 255 characters.
+KEYS_SQL = {
+    "postgresql": "case when data_type = 'xml' then 'text' else {plain} end",
+    "snowflake": "{plain}",
+    "mysql": """case
+      when data_type in ('nvarchar', 'varchar', 'ntext', 'text', 'xml', 'varbit')
+        then case when length > 0 and 4 * length <= 3072 then 'varchar(' || length || ')' end
+      when data_type in ('varbinary', 'blob')
+        then case when length > 0 and length <= 3072 then 'varbinary(' || length || ')' end
+      when data_type = 'json' then null
+      when data_type = 'decimal' and not (precision between 1 and 65 and scale between 0 and least(precision, 30))
+        then 'varchar(255)'
+      else {plain} end""",
+    "mssql": """case
+      when data_type in ('nvarchar', 'ntext', 'json')
+        then case when length > 0 and 2 * (2 * length) <= 900 then 'nvarchar(' || 2 * length || ')' end
+      when data_type in ('varchar', 'text', 'varbit')
+        then case when length > 0 and 2 * length <= 900 then 'varchar(' || 2 * length || ')' end
+      when data_type in ('varbinary', 'blob')
+        then case when length > 0 and 2 * length <= 900 then 'varbinary(' || 2 * length || ')' end
+      when data_type = 'xml' then null
+      when data_type = 'decimal' and not (precision between 1 and 38 and scale between 0 and precision)
+        then 'varchar(255)'
+      else {plain} end""",
+    "oracle": """case
+      when data_type in ('nvarchar', 'varchar', 'ntext', 'text', 'json', 'xml', 'varbit')
+        then case when length > 0 and 4 * length <= 4000 then 'varchar2(' || 4 * length || ')' end
+      when data_type in ('varbinary', 'blob')
+        then case when length > 0 and length <= 2000 then 'raw(' || length || ')' end
+      when data_type = 'datetimetz' then 'timestamp with local time zone'
+      else {plain} end""",
+}
 
 
 for _target in SYSTEMS:

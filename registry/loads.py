@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from registry.tables import folder, table
 from transferkit import (
-    ChangeLog, Endpoint, delete_by_keys, delete_statements, incremental_transfer,
+    ChangeLog, Endpoint, PlacedTable, delete_by_keys, delete_statements, incremental_transfer,
     latest_per_key, read_stream, read_table, since,
     table_exists, transfer, upsert, write_table,
 )
@@ -92,6 +92,27 @@ SQL["rel1_delete_by_keys"] = """
 select * from orders where o_custkey not in (select c_custkey from customer where c_acctbal < 2500)"""
 
 
+def rel1_delete_by_place(spark, sf):
+    """Deletes noted by file and row, an upsert, and files that lost many rows replaced."""
+    path, orders = workspace(spark, "placed_orders"), table(spark, sf, "orders")
+    orders.repartitionByRange(6, "o_orderkey").write.parquet(path)
+    placed = PlacedTable(path)
+    customers = table(spark, sf, "customer").where("c_acctbal < 2500").select(F.col("c_custkey").alias("o_custkey"))
+    placed.delete(spark, customers, ["o_custkey"])
+    late = orders.where(F.col("o_orderdate") >= _mark()).withColumn("o_orderstatus", F.lit("X"))
+    placed.upsert(spark, late, ["o_orderkey"])
+    placed.delete(spark, orders.where("o_orderkey < 50").select("o_orderkey"), ["o_orderkey"])
+    placed.rewrite(spark, 0.5)
+    return placed.read(spark)
+
+
+QUERIES["rel1_delete_by_place"] = rel1_delete_by_place
+SQL["rel1_delete_by_place"] = f"""
+select * from orders where o_orderdate < {MARK} and o_orderkey >= 50
+  and o_custkey not in (select c_custkey from customer where c_acctbal < 2500)
+union all select * replace ('X' as o_orderstatus) from orders where o_orderdate >= {MARK} and o_orderkey >= 50"""
+
+
 def rel1_delete_null_keys(spark, sf):
     """Two-column keys with NULLs on both sides: a NULL deletes nothing and is never deleted."""
     e = table(spark, sf, "events").withColumn("event_type", F.nullif("event_type", F.lit("click")))
@@ -187,6 +208,51 @@ SQL["rel3_delete_pairs_mssql"] = _statements_sql(
     " or ",
 )
 
+
+
+def _ordered_statements(target):
+    def run(spark, sf):
+        return delete_statements(table(spark, sf, "lineitem").select("l_orderkey"), target, "order lines", "sales")
+
+    return run
+
+
+def _ordered_pairs(target):
+    def run(spark, sf):
+        keys = table(spark, sf, "events").select("user_id", F.nullif("event_type", F.lit("click")).alias("type"))
+        return delete_statements(keys, target, "events", "sales")
+
+    return run
+
+
+def _ordered_sql(keys: str, tuple_text: str, order: str, start: str, end: str, sep: str = ",") -> str:
+    return f"""
+with k as (select distinct * from ({keys})),
+r as (select {tuple_text} as t, row_number() over (order by {order}) - 1 as n from k)
+select 0::bigint as bucket, n // 6 as batch, '{start}' || string_agg(t, '{sep}' order by n) || '{end}' as statement
+from r group by n // 6"""
+
+
+for _target, _full, _column in (
+    ("postgresql", 'sales."order lines"', "l_orderkey"), ("mysql", "`order lines`", "`l_orderkey`"),
+    ("oracle", 'sales."order lines"', "l_orderkey"), ("snowflake", 'sales."order lines"', "l_orderkey"),
+):
+    QUERIES[f"rel3_delete_in_order_{_target}"] = _ordered_statements(_target)
+    SQL[f"rel3_delete_in_order_{_target}"] = _ordered_sql(
+        "select l_orderkey from lineitem", "'('||l_orderkey||')'", "l_orderkey",
+        f"delete from {_full} where ({_column}) in (", ")",
+    )
+QUERIES["rel3_delete_in_order_mssql"] = _ordered_statements("mssql")
+SQL["rel3_delete_in_order_mssql"] = _ordered_sql(
+    "select l_orderkey from lineitem", "l_orderkey::varchar", "l_orderkey",
+    "delete from sales.[order lines] where l_orderkey in (", ")",
+)
+QUERIES["rel3_pairs_in_order_mssql"] = _ordered_pairs("mssql")
+SQL["rel3_pairs_in_order_mssql"] = _ordered_sql(
+    _PAIR_KEYS, f"'(user_id = '||user_id||' and type = '||{_PAIR_TYPE}||')'", "user_id, type nulls first",
+    "delete from sales.events where ", "", " or ",
+)
+
 # --- INC -------------------------------------------------------------------------------------------------
 
 
@@ -363,3 +429,23 @@ def trf2_query_transfer(spark, sf):
 
 QUERIES["trf2_query_transfer"] = trf2_query_transfer
 SQL["trf2_query_transfer"] = REVENUE.replace("as decimal(38,2))", "as decimal(38,2))::varchar")
+
+
+EQUAL_NAMES = (
+    "select o.o_orderkey, c.c_custkey as o_orderkey, o.o_orderstatus as status, c.c_mktsegment as Status, "
+    "c.c_acctbal as status_2 from orders o join customer c on c.c_custkey = o.o_custkey"
+)
+
+
+def trf2_equal_names(spark, sf):
+    """A query whose columns share names: they are moved by position, the later ones under a number."""
+    return transfer(
+        spark, folder(sf), Endpoint("mysql"), "pairs", "sales", query=EQUAL_NAMES, query_tables=["orders", "customer"],
+        load_path=workspace(spark, "transfer_equal_names"), client_folder="/load",
+    ).rows
+
+
+QUERIES["trf2_equal_names"] = trf2_equal_names
+SQL["trf2_equal_names"] = """
+select o_orderkey, c_custkey as o_orderkey_2, o_orderstatus as status, c_mktsegment as "Status_3", c_acctbal as status_2
+from orders join customer on c_custkey = o_custkey"""

@@ -99,6 +99,32 @@ for _t in ("documents", "pages", "conversations", "orders"):
     SQL[f"src8_staged_roundtrip_{_t}"] = f"select * from {_t}"
 
 
+def _split_roundtrip(name):
+    """One file of all rows, read by many tasks: records go over line ends and over the ends of splits."""
+
+    def run(spark, sf):
+        path, read = workspace(spark, f"one_file_{name}"), workspace(spark, f"one_file_{name}_rows")
+        infos = write_staged(table(spark, sf, name).coalesce(1), path)
+        small = {"spark.sql.files.maxPartitionBytes": "20000", "spark.sql.files.openCostInBytes": "1"}
+        before = {k: spark.conf.get(k) for k in small}
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        try:
+            rows = read_staged(spark, path, infos, typed=True, split=True)
+            rows.write.parquet(read)
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+        return spark.read.schema(rows.schema).parquet(read)
+
+    return run
+
+
+for _t in ("documents", "pages"):
+    QUERIES[f"src8_split_file_{_t}"] = _split_roundtrip(_t)
+    SQL[f"src8_split_file_{_t}"] = f"select * from {_t}"
+
+
 def src8_empty_and_null(spark, sf):
     """Empty text and NULL stay different through a staged file, also in a one-column table."""
     note = F.when(F.col("o_orderstatus") == "F", F.lit("")).when(

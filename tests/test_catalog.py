@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from transferkit import SYSTEMS, ddl, primary_keys, translate
 from transferkit.functions.identifiers import is_reserved, qualify_name, quote_name, quoted
 from transferkit.operators import catalog
+from transferkit.types import CANONICAL_TYPES
 
 from conftest import random_text
 
@@ -247,3 +248,44 @@ def test_words_of_the_vendors_are_quoted(spark, system, names, plain):
         rows = spark.createDataFrame([(n,) for n in listed], "n string").select("n", quoted(F.col("n"), system).alias("q"))
         assert all((r.n != r.q) == wrapped for r in rows.collect())
         assert all((quote_name(n, system) != n) == wrapped for n in listed)
+
+
+def keyed(spark, target, canonical, precision=-1, scale=-1, length=-1):
+    rows = [("s", "t", "k", 1, canonical, precision, scale, length, False, True), ("s", "t", "v", 2, "ntext", -1, -1, -1, True, False)]
+    columns = spark.createDataFrame(rows, catalog.CATALOG_SCHEMA).withColumnRenamed("data_type", "canonical_type")
+    return ddl(catalog.translate(columns, None, target), target, incremental=True).first()
+
+
+def test_key_columns_have_types_that_can_be_keys(spark):
+    number = keyed(spark, "mysql", "decimal", length=22)  # an unsized NUMBER says it is 22 bytes long
+    assert "`k` varchar(255)" in number.statement and number.refused is None
+    assert "k varchar(255)" in keyed(spark, "mssql", "decimal").statement
+    assert "k number," in keyed(spark, "oracle", "decimal").statement
+    assert "`k` decimal(38,2)" in keyed(spark, "mysql", "decimal", 38, 2).statement
+    assert "`k` varchar(768)" in keyed(spark, "mysql", "ntext", length=768).statement
+    assert "k nvarchar(450)" in keyed(spark, "mssql", "nvarchar", length=225).statement
+    assert "k varchar2(40)" in keyed(spark, "oracle", "ntext", length=10).statement
+    assert "k raw(16)" in keyed(spark, "oracle", "blob", length=16).statement
+    assert "k timestamp with local time zone" in keyed(spark, "oracle", "datetimetz").statement
+    assert "k text" in keyed(spark, "postgresql", "xml").statement
+
+
+@pytest.mark.parametrize(
+    "target, canonical, length",
+    [("mysql", "ntext", -1), ("mysql", "nvarchar", 769), ("mysql", "json", 10), ("mssql", "nvarchar", 226), ("mssql", "xml", 5),
+     ("mssql", "blob", -1), ("oracle", "text", -1), ("oracle", "varbinary", 2001)],
+)
+def test_a_key_that_cannot_be_one_is_refused(spark, target, canonical, length):
+    row = keyed(spark, target, canonical, length=length)
+    assert row.statement is None and row.refused == f"no key type of {target} for: k"
+
+
+def test_no_key_has_an_unbounded_type(spark):
+    sizes = [(-1, -1, -1), (10, 2, 30), (60, 40, 4000), (70, 5, 100_000)]
+    for target in ("mysql", "mssql", "oracle"):
+        for canonical in CANONICAL_TYPES:
+            for p, s, length in sizes:
+                text = keyed(spark, target, canonical, p, s, length).statement
+                if text:
+                    key = text.replace("`", "").split("(k ", 1)[1].split(", v ")[0].lower()
+                    assert key not in ("longtext", "longblob", "clob", "blob", "json", "xml") and "max" not in key, (target, canonical)

@@ -13,6 +13,7 @@ from transferkit import (
     SYSTEMS, column_infos, control_text, load_commands, max_byte_length, read_keys, read_load, read_staged, tag,
     to_load, write_keys, write_load, write_staged,
 )
+from transferkit.sinks.files import data_files
 from transferkit.types import ColumnInfo
 
 
@@ -107,9 +108,60 @@ def test_a_value_with_a_separator_stops_the_write(spark, folder):
 def test_file_roll(spark, folder):
     df = spark.range(0, 20_000, 1, 2).select("id", F.lpad(F.col("id").cast("string"), 40, "x").alias("t"))
     write_staged(df, f"{folder}/s", target_file_bytes=100_000)
-    sizes = [os.path.getsize(p) for p in parts(f"{folder}/s")]
-    assert len(sizes) >= 9 and max(sizes) <= 100_000
-    assert len(python_rows(f"{folder}/s")) == 20_000
+    sizes = [os.path.getsize(f"{folder}/s/{p}") for p in data_files(spark, f"{folder}/s")]
+    assert len(sizes) == 10 and max(sizes) <= 100_000
+    assert read_staged(spark, f"{folder}/s", column_infos(df)).count() == 20_000
+
+
+@pytest.mark.parametrize("huge", [0, 50_000, 300_000])
+def test_one_long_row_does_not_shrink_the_files(spark, folder, huge):
+    long = F.when(F.col("id") == 4321, F.repeat(F.lit("y"), huge)).otherwise(F.lpad(F.col("id").cast("string"), 40, "x"))
+    df = spark.range(0, 20_000, 1, 1).select("id", long.alias("t"))
+    write_staged(df, f"{folder}/s", target_file_bytes=100_000)
+    sizes = sorted(os.path.getsize(f"{folder}/s/{p}") for p in data_files(spark, f"{folder}/s"))
+    assert sum(s > 100_000 for s in sizes) == (huge > 100_000)
+    small = [s for s in sizes if s <= 100_000]
+    assert sum(small) / len(small) > 80_000
+    assert sorted(map(tuple, read_staged(spark, f"{folder}/s", column_infos(df), typed=True).collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_files_of_one_name_have_places_of_their_own():
+    files = ["/d/file_number=0/part-1.txt", "/d/file_number=1/part-1.txt"]
+    found = load_commands("snowflake", "t", files, [ColumnInfo("id", "int64")], "s", load_id="x")
+    assert "@s.transferkit_stage/x/0 " in found[1] and "@s.transferkit_stage/x/1/part-1.txt " in found[4]
+
+
+@pytest.mark.parametrize("split_bytes", [40, 1000, 1 << 20])
+def test_a_file_read_by_many_tasks(spark, folder, split_bytes):
+    rng = random.Random(split_bytes)
+    values = [None, "", "{", '"', '""', "\n", "\r\n", '"\n"', ",", "a\n\n\nb", '\n"', "x" * 300, ("long\n" * 60) + '"']
+    rows = [(i, rng.choice(values) if rng.random() < 0.6 else random_text(rng, 30), rng.choice(values)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, `a b` string, c string").coalesce(2)
+    infos = write_staged(df, f"{folder}/s")
+    small = {"spark.sql.files.maxPartitionBytes": str(split_bytes), "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        found = read_staged(spark, f"{folder}/s", infos, typed=True)
+        again = read_staged(spark, f"{folder}/s", infos, typed=True, split=True)
+        assert sorted(map(tuple, again.collect()), key=repr) == sorted(rows, key=repr)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert ("MapInArrow" in plan) == (split_bytes < 10_000) and plan.count("from_csv(") <= 1
+        assert found.rdd.getNumPartitions() > (10 if split_bytes < 10_000 else 0)
+        one = read_staged(spark, f"{folder}/s", infos[:1], split=True)
+        with pytest.raises(Exception, match="(?i)malformed"):
+            one.collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_an_open_quote_stops_the_read(spark, folder):
+    with open(f"{folder}/f.txt", "w") as f:
+        f.write('1,"a\nb"\n2,"c\n')
+    with pytest.raises(Exception, match="does not end in its file"):
+        read_staged(spark, folder, [ColumnInfo("id", "int32"), ColumnInfo("t", "ntext")], split=True).collect()
 
 
 def test_key_files(spark, folder):

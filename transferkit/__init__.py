@@ -9,6 +9,7 @@ from transferkit.operators.incremental import (
     since,
     upsert,
 )
+from transferkit.operators.places import PlacedTable
 from transferkit.operators.project import from_canonical, key_columns, to_canonical, to_literals, to_load
 from transferkit.operators.sizing import max_byte_length
 from transferkit.plans.transfer import TransferResult, incremental_transfer, transfer
@@ -32,7 +33,7 @@ from transferkit.sources import (
     read_table,
     table_exists,
 )
-from transferkit.streaming import ChangeLog
+from transferkit.streaming import ChangeLog, TableStream, follow_table
 from transferkit.systems import SYSTEMS
 from transferkit.types import ColumnInfo, column_infos, nested_as_json, tag
 
@@ -41,6 +42,8 @@ __all__ = [
     "ChangeLog",
     "ColumnInfo",
     "Endpoint",
+    "PlacedTable",
+    "TableStream",
     "TransferResult",
     "append_by_position",
     "column_infos",
@@ -50,6 +53,7 @@ __all__ = [
     "delete_by_keys",
     "delete_statements",
     "describe",
+    "follow_table",
     "from_canonical",
     "high_water_mark",
     "incremental_transfer",

@@ -232,8 +232,32 @@ def translate(
     return rows.withColumn("lossy", is_lossy(*args[:3], F.col("target_type"), target, compat))
 
 
+def key_type(canonical: Column, length: Column, target_type: Column, target: str) -> Column:
+    """The type of a column as a key of ``target``; NULL where none can be a key.
+
+    A target's unbounded types are no keys there: a text or bytes of known length get a type of that length as far
+    as an index entry goes, numbers without a size a text that holds them.
+    """
+    prof = profile(target)
+    chain = F.when(F.lit(False), target_type)
+    for t, rule in prof.key_types.items():
+        this = canonical == t
+        if t == "decimal":  # only where no sized type was found
+            this = this & (target_type == F.lit(prof.decimal.exact))
+        if isinstance(rule, SizedType):
+            size = length * F.lit(rule.factor)
+            sized = F.concat(F.lit(f"{rule.name}("), size.cast("string"), F.lit(")"))
+            chain = chain.when(this, F.when((length > 0) & (size <= rule.limit), sized))
+        else:
+            chain = chain.when(this, F.lit(rule or None).cast("string"))
+    return chain.otherwise(target_type)
+
+
 def ddl(columns: DataFrame, target: str, incremental: bool = False, compat: bool = False) -> DataFrame:
-    """One create-table statement per table, from translated column rows.
+    """One create-table statement per table, from translated column rows, and what speaks against one.
+
+    With ``incremental`` the key columns get types that can be keys.  A table with a key column of which ``target`` can
+    make no key has no statement; ``refused`` then names those columns.
 
     A table's columns are gathered by one grouped aggregation; its size is bounded by the number of
     columns a table can have, which is checked on every row before the shuffle.
@@ -243,16 +267,16 @@ def ddl(columns: DataFrame, target: str, incremental: bool = False, compat: bool
     bare = compat and target == "oracle"
     name = F.col("column_name") if bare else quoted(F.col("column_name"), target, compat)
     column_type = F.col("target_type")
-    if target == "mysql" and incremental and not compat:  # a text without length cannot be a key
-        keyed = F.col("is_primary") & (column_type == "longtext") & F.col("length").between(1, 768)
-        sized = F.concat(F.lit("varchar("), F.col("length").cast("string"), F.lit(")"))
-        column_type = F.when(keyed, sized).otherwise(column_type)
+    if incremental and not compat:
+        keyed = key_type(F.col("canonical_type"), F.col("length"), column_type, target)
+        column_type = F.when(F.col("is_primary"), keyed).otherwise(column_type)
     rows = columns.select(
         *TABLE,
         F.struct(
             ordinal.alias("ordinal"),
             F.concat_ws(" ", name, column_type).alias("definition"),
             F.when(F.col("is_primary"), name).alias("key"),
+            F.when(column_type.isNull(), F.col("column_name")).alias("refused"),
         ).alias("c"),
     )
     tables = rows.groupBy(*TABLE).agg(F.array_sort(F.collect_list("c")).alias("cols"))
@@ -265,7 +289,9 @@ def ddl(columns: DataFrame, target: str, incremental: bool = False, compat: bool
             F.when(keys != "", F.concat(F.lit(", primary key ("), keys, F.lit(")"))).otherwise(F.lit("")),
         )
     statement = create_statement(F.col("table_schema"), F.col("table_name"), body, target, compat)
-    return tables.select(*TABLE, statement.alias("statement"))
+    bad = F.array_join(F.filter(F.transform("cols", lambda c: c.refused), lambda k: k.isNotNull()), ", ")
+    refused = F.when(bad != "", F.concat(F.lit(f"no key type of {target} for: "), bad))
+    return tables.select(*TABLE, F.when(bad == "", statement).alias("statement"), refused.alias("refused"))
 
 
 def create_statement(schema: Column, table: Column, body: Column, target: str, compat: bool = False) -> Column:

@@ -13,13 +13,15 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from transferkit.functions.identifiers import qualify_name, quote_name
+from transferkit.operators.numbering import numbered
 from transferkit.operators.project import to_literals
-from transferkit.types import column
+from transferkit.types import column, tag
 
 KEYS_PER_STATEMENT = 6
-KEYS_PER_BUCKET = 50_000
+_NUMBER = "transferkit_number"
 
 
 def _distinct_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -51,6 +53,21 @@ def _bucket(text: Column, buckets: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 7), 16, 10).cast("long") % F.lit(buckets)
 
 
+def _key_tuples(
+    target: str, keys: list[str], table: str, schema: str | None, compat: bool
+) -> tuple[Column, str, str, str]:
+    """A key tuple from columns of literals, and what stands before, after and between tuples in a statement."""
+    names = [quote_name(k, target) for k in keys]
+    start = f"delete from {qualify_name(schema, table, target)} where "
+    if target == "mssql" and not compat:  # no row values in T-SQL
+        if len(keys) == 1:
+            return column(keys[0]), f"{start}{names[0]} in (", ")", ","
+        parts = [F.concat(F.lit(f"{n} = "), column(k)) for n, k in zip(names, keys)]
+        return F.concat(F.lit("("), F.concat_ws(" and ", *parts), F.lit(")")), start, "", " or "
+    text = F.concat(F.lit("("), F.concat_ws(",", *[column(k) for k in keys]), F.lit(")"))
+    return text, f"{start}({','.join(names)}) in (", ")", ","
+
+
 def delete_statements(
     keys_df: DataFrame,
     target: str,
@@ -63,35 +80,30 @@ def delete_statements(
 ) -> DataFrame:
     """Delete statements of ``batch`` key tuples each: columns ``bucket``, ``batch``, ``statement``.
 
-    Keys are spread over hash buckets and numbered within, so no window runs over more than a bucket.  The
-    default counts the keys and takes about 50,000 to a bucket: every key is in one statement, but which one
-    changes as the keys grow in number; give ``buckets`` for statements that stay.  For large key sets
-    ``write_table`` with ``keys`` deletes by a staged table instead.
+    By default the keys are numbered in their order, over all of them: every statement but the last is full and
+    ``bucket`` is 0.  With ``buckets`` they are spread over so many hash buckets and numbered within, so that other keys
+    change few statements; a window then runs over a bucket.  For large key sets ``write_table`` with ``keys``
+    deletes by a staged table instead.
     """
     keys = keys or keys_df.columns
     if buckets is None:
-        buckets = max(1, -(-keys_df.count() // KEYS_PER_BUCKET))
+        distinct = keys_df.select(*[column(k) for k in keys]).distinct()
+        numbers = tag(numbered(distinct, keys, _NUMBER), {_NUMBER: "int64"})
+        literals = to_literals(numbers, target, "null", compat)
+        text, head, tail, sep = _key_tuples(target, keys, table, schema, compat)
+        in_order = F.array_sort(F.collect_list(F.struct(column(_NUMBER).cast("long").alias("n"), text.alias("t"))))
+        batches = literals.groupBy(F.floor(column(_NUMBER).cast("long") / F.lit(batch)).alias("batch"))
+        tuples = F.array_join(F.transform(in_order, lambda x: x["t"]), sep)
+        found = batches.agg(F.concat(F.lit(head), tuples, F.lit(tail)).alias("statement"))
+        return found.select(F.lit(0).cast("long").alias("bucket"), "batch", "statement")
     literals = to_literals(keys_df.select(*[column(k) for k in keys]), target, "null", compat)
-    names = [quote_name(k, target) for k in keys]
-    by_pair = target == "mssql" and len(keys) > 1 and not compat
-    if by_pair:  # no row values in T-SQL
-        parts = [F.concat(F.lit(f"{n} = "), column(k)) for n, k in zip(names, keys)]
-        tuple_text = F.concat(F.lit("("), F.concat_ws(" and ", *parts), F.lit(")"))
-        head, tail, sep = "", "", " or "
-    else:
-        tuple_text = F.concat(F.lit("("), F.concat_ws(",", *[column(k) for k in keys]), F.lit(")"))
-        if target == "mssql" and not compat:
-            tuple_text = column(keys[0])
-            head, tail, sep = f"{names[0]} in (", ")", ","
-        else:
-            head, tail, sep = f"({','.join(names)}) in (", ")", ","
-    start = f"delete from {qualify_name(schema, table, target)} where {head}"
+    tuple_text, start, tail, sep = _key_tuples(target, keys, table, schema, compat)
     text = literals.select(tuple_text.alias("t")).distinct()
     bucketed = text.withColumn("bucket", _bucket(F.col("t"), buckets))
     order = Window.partitionBy("bucket").orderBy("t")
-    numbered = bucketed.withColumn("batch", F.floor((F.row_number().over(order) - 1) / F.lit(batch)))
+    placed = bucketed.withColumn("batch", F.floor((F.row_number().over(order) - 1) / F.lit(batch)))
     tuples = F.array_join(F.array_sort(F.collect_list("t")), sep)
-    return numbered.groupBy("bucket", "batch").agg(
+    return placed.groupBy("bucket", "batch").agg(
         F.concat(F.lit(start), tuples, F.lit(tail)).alias("statement")
     )
 
@@ -101,6 +113,31 @@ def high_water_mark(target_df: DataFrame, mark: str):
     return target_df.agg(F.max(column(mark))).first()[0]
 
 
+def mark_literal(values: DataFrame, to: T.DataType) -> Column | None:
+    """The largest value of a one-column table as a literal of type ``to``, or None.
+
+    Times come to the driver as numbers or text, never as its own times: those would be moved by the zones of
+    driver and session.  A time without zone beside one with a zone is UTC, as the transfers write it.
+    """
+    of = values.schema.fields[0].dataType
+    newest = F.max(column(values.columns[0]))
+    if isinstance(of, T.TimestampType):
+        found = values.agg(F.unix_micros(newest)).first()[0]
+        if found is None:
+            return None
+        instant = F.timestamp_micros(F.lit(found))
+        if isinstance(to, T.TimestampNTZType):
+            return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+        return instant.cast(to)
+    if isinstance(of, T.TimestampNTZType):
+        found = values.agg(newest.cast("string")).first()[0]
+        if found is None:
+            return None
+        return F.lit(f"{found}Z" if isinstance(to, T.TimestampType) else found).cast(to)
+    found = values.agg(newest).first()[0]
+    return None if found is None else F.lit(found).cast(to)
+
+
 def since(df: DataFrame, mark: str, target_df: DataFrame, inclusive: bool) -> DataFrame:
     """Source rows from the target's newest mark on; all rows when the target has none.
 
@@ -108,18 +145,22 @@ def since(df: DataFrame, mark: str, target_df: DataFrame, inclusive: bool) -> Da
     again, and none is missed.  ``inclusive=False`` takes only what is strictly newer, for targets without
     keys: rows that reach the mark late are lost.  The mark is one aggregate over the target.
     """
-    return after(df, mark, high_water_mark(target_df, mark), inclusive)
+    return after(df, mark, mark_literal(target_df.select(column(mark)), df.schema[mark].dataType), inclusive)
 
 
 def after(df: DataFrame, mark: str, value, inclusive: bool = True) -> DataFrame:
     """Source rows at or after a known mark, and those without one; or only those after it.
 
-    The literal is pushed to the source.
+    ``value`` is a literal (see ``mark_literal``) or a Python value.  It is pushed to the source.
     """
     if value is None:
         return df
     # a literal of the column's own type, so that no cast hides the column from the source
-    known = F.lit(value).cast(df.schema[mark].dataType)
+    of = df.schema[mark].dataType
+    if not isinstance(value, Column):
+        # a time without zone goes as text: as a Python time it would be an instant of the driver's zone
+        value = F.lit(str(value) if isinstance(of, T.TimestampNTZType) else value)
+    known = value.cast(of)
     return df.where((column(mark) >= known) | column(mark).isNull() if inclusive else column(mark) > known)
 
 

@@ -1,8 +1,12 @@
-"""Byte sizes of text columns, measured in one pass."""
+"""Byte sizes of text columns, measured in one pass, and files filled by size."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transferkit.operators.project import to_canonical
@@ -27,10 +31,29 @@ def max_byte_length(df: DataFrame, null: str = "{nll}", encoded: bool = False) -
     return text.agg(*longest).na.fill(margin)
 
 
-def rows_per_file(lines: DataFrame, separator_bytes: int, target_bytes: int) -> int:
-    """How many rows surely fit ``target_bytes``: as many as if all were as long as the longest line.
+def file_number(size: Column, target_bytes: int) -> Column:
+    """The number, within its task, of the file a row of ``size`` bytes goes to: files are filled one after the other.
 
-    Reads the data once and returns one number; at least 1.
+    A file ends before the row that would take it past ``target_bytes``; a longer row is a file of its own.  The sums
+    run along each task, so nothing is shuffled or read twice; only the sizes go through Python.
     """
-    longest = lines.agg(F.max(F.octet_length("value"))).first()[0] or 0
-    return max(1, target_bytes // (longest + separator_bytes))
+
+    @F.pandas_udf("int")
+    def number(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        at, used = 0, 0
+        for sizes in batches:
+            total = np.concatenate([[0], np.cumsum(sizes.to_numpy(np.int64))])
+            out = np.empty(len(sizes), np.int32)
+            i = 0
+            while i < len(out):
+                j = int(np.searchsorted(total, total[i] + target_bytes - used, "right")) - 1
+                if j <= i and used:
+                    at, used = at + 1, 0
+                    continue
+                j = max(j, i + 1)
+                out[i:j] = at
+                used += int(total[j] - total[i])
+                i = j
+            yield pd.Series(out)
+
+    return number.asNondeterministic()(size)

@@ -5,17 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import types as T
 
 from transferkit.functions.identifiers import qualify_name, quote_name
 from transferkit.operators import catalog
-from transferkit.operators.incremental import after
+from transferkit.operators.incremental import after, mark_literal
 from transferkit.sinks.files import (
     DELIMITER, NEWLINE, client_path, data_files, load_commands, write_control, write_load,
 )
 from transferkit.sinks.tables import write_table
 from transferkit.sources import jdbc
 from transferkit.sources.endpoint import Endpoint, Partitioning
+from transferkit.sources.splits import split_keys
 from transferkit.sources.staged import read_load
 from transferkit.sources.tables import columns, file_path, read_query, read_table, table_exists
 from transferkit.streaming.changes import ChangeLog
@@ -65,40 +65,32 @@ def read_source(
     query_tables: list[str] | None = None,
     partition: Partitioning | None = None,
     compat: bool = False,
-    key: str | None = None,
+    key: str | list[str] | None = None,
     partitions: int | None = None,
     by_hash: bool = False,
 ) -> DataFrame:
     """The rows to move, with canonical types in their metadata.
 
-    A JDBC table's types come from the source's catalog; a query's and a file's from the result schema.
-    A JDBC table is read in ``partitions`` ranges of ``key`` (or by its remainder, ``by_hash``): by default as
-    many as the session has cores, over the first primary-key column that has an order Spark can cut.  A table
-    without one is read over one connection.
+    A JDBC table's types come from the source's catalog, a query's from the metadata of its statement, a file's from
+    its schema.
+    A JDBC table is read in ``partitions`` parts of equal size along ``key`` (or by its remainder, ``by_hash``): by
+    default as many as the session has cores, along the primary key, whatever its types and number of columns.  A
+    table without one is read over one connection.
     """
     if query:
-        return read_query(spark, source, query, query_tables, partition)
+        return read_query(spark, source, query, query_tables, partition, compat)
     if not source.is_jdbc:
         return read_table(spark, source, table, schema)
     found = catalog.require_columns(columns(spark, source, schema, [table]), schema, table)
     known = catalog.with_canonical_types(found, source.system, "table", compat)
     infos = catalog.infos_from_rows(known)
-    key = None if partition else key or partition_key(infos)
-    if key is None:
+    key = None if partition else key or [i.name for i in split_keys(infos)]
+    if not key:
         return read_table(spark, source, table, schema, partition, infos=infos)
     partitions = partitions or max(2, spark.sparkContext.defaultParallelism)
     return read_table(spark, source, table, schema, partitions=partitions, key=key, infos=infos, by_hash=by_hash)
 
 
-def partition_key(infos: list[ColumnInfo]) -> str | None:
-    """The first primary-key column whose ranges a JDBC read can be cut into; numbers that travel as text can't."""
-    for i in infos:
-        if i.primary_key and i.type in ("int64", "int32", "int16", "decimal", "date", "datetime"):
-            if i.type != "decimal" or i.spark_type() != T.StringType():
-                return i.name
-    return None
-
-
 def transfer(
     spark: SparkSession,
     source: Endpoint,
@@ -110,7 +102,7 @@ def transfer(
     query: str | None = None,
     query_tables: list[str] | None = None,
     partition: Partitioning | None = None,
-    key: str | None = None,
+    key: str | list[str] | None = None,
     partitions: int | None = None,
     by_hash: bool = False,
     load_path: str | None = None,
@@ -122,6 +114,7 @@ def transfer(
     newline: str = NEWLINE,
     target_file_bytes: int | None = None,
     connections: int | None = None,
+    load_id: str | None = None,
     quote_clash: bool = False,
     client_folder: str | None = None,
     allow_loss: bool = False,
@@ -133,8 +126,9 @@ def transfer(
     commands that load them, one or two per file, besides Oracle's control file among them.
     ``client_folder`` is where the loader's machine sees ``load_path``, which it must be told where that is
     a remote store.  A table whose columns could cut values is not created unless ``allow_loss`` or
-    ``compat`` says so.  Without ``load_path`` they are appended to the target table directly.  Every pair of
-    systems goes through the same canonical types, so no pair needs code of its own.
+    ``compat`` says so.  Without ``load_path`` they are appended to the target table directly; over JDBC under
+    ``load_id``, with which a load that was cut off goes on.  Every pair of systems goes through the same canonical
+    types, so no pair needs code of its own.
     """
     check_arguments(source, target, table, schema, query, target_table, target_schema)
     rows = read_source(
@@ -166,7 +160,7 @@ def transfer(
         return TransferResult(infos, back, commands)
     write_table(
         rows, target, target_table, target_schema, create_schema, create_table, drop_table,
-        connections=connections, allow_loss=allow_loss, compat=compat,
+        connections=connections, load_id=load_id, allow_loss=allow_loss, compat=compat,
     )
     return TransferResult(infos, read_table(spark, target, target_table, target_schema))
 
@@ -203,7 +197,7 @@ def incremental_transfer(
     if not first:
         full = qualify_name(target_schema, target_table, target.system)
         newest = jdbc.largest(spark, target, full, quote_name(mark, target.system))
-        rows = after(rows, mark, newest, inclusive)
+        rows = after(rows, mark, mark_literal(newest, rows.schema[mark].dataType), inclusive)
     write_table(
         rows, target, target_table, target_schema, create_table=first, incremental=True,
         keys=None if first else keys,

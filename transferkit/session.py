@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -30,6 +31,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def larger_than_a_split(spark: SparkSession, path: str) -> bool:
+    """Whether a file under a path is longer than what Spark gives to one task; only lengths are read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return (files.agg(F.max("length")).first()[0] or 0) > most
+
+
 def is_folder(spark: SparkSession, path: str) -> bool:
     hadoop_path, fs = _file_system(spark, path)
     return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory()
@@ -43,6 +51,17 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hadoop_path)]
 
 
+def file_paths(spark: SparkSession, path: str) -> list[str]:
+    """Paths, from a folder on, of the files in it and in folders below; hidden ones and their folders are left out."""
+    found = []
+    for name in child_names(spark, path):
+        if name.startswith(("_", ".")):
+            continue
+        below = f"{path}/{name}"
+        found += [f"{name}/{f}" for f in file_paths(spark, below)] if is_folder(spark, below) else [name]
+    return sorted(found)
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _file_system(spark, path)
     fs.mkdirs(hadoop_path)
@@ -54,7 +73,13 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
-def _file_system(spark: SparkSession, path: str):
+def remove_file(spark: SparkSession, uri: str) -> bool:
+    """Delete a file that Spark's metadata names; False if it is gone already."""
+    hadoop_path, fs = _file_system(spark, spark._jvm.java.net.URI(uri))
+    return fs.delete(hadoop_path, False)
+
+
+def _file_system(spark: SparkSession, path):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path, hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 

@@ -16,13 +16,14 @@ from transferkit.functions.identifiers import qualify_name, quote_name, string_l
 from transferkit.functions.load import null_as_empty
 from transferkit.functions.text import may_hold, refuse_token
 from transferkit.operators.project import key_columns, to_canonical, to_load
-from transferkit.operators.sizing import max_byte_length, rows_per_file
-from transferkit.session import child_names
+from transferkit.operators.sizing import file_number, max_byte_length
+from transferkit.session import file_paths
 from transferkit.systems import profile
 from transferkit.types import BINARY, FREE_TEXT, ColumnInfo, column, column_infos
 
 DELIMITER = "{dlm}"
 NEWLINE = "{nwln}"
+FILE_NUMBER = "file_number"
 
 # What must be quoted: separators, quotes, line ends, outer blanks, the empty text (an unquoted one is a
 # NULL to some loaders), and \. which ends the input of PostgreSQL's copy.
@@ -59,10 +60,13 @@ def csv_lines(text: DataFrame, null: str, compat: bool = False, quote_clash: boo
 
 
 def _write_lines(lines: DataFrame, path: str, newline: str, mode: str, target_file_bytes: int | None) -> None:
-    writer = lines.write.mode(mode).option("lineSep", newline)
     if target_file_bytes:
-        writer = writer.option("maxRecordsPerFile", rows_per_file(lines, len(newline.encode()), target_file_bytes))
-    writer.text(path)
+        size = F.octet_length("value") + F.lit(len(newline.encode()))
+        numbered = lines.withColumn(FILE_NUMBER, file_number(size, target_file_bytes))
+        writer = numbered.write.partitionBy(FILE_NUMBER)
+    else:
+        writer = lines.write
+    writer.mode(mode).option("lineSep", newline).text(path)
 
 
 def write_staged(
@@ -76,8 +80,8 @@ def write_staged(
 ) -> list[ColumnInfo]:
     """Canonical text as RFC 4180 files; returns the column descriptions to read them with.
 
-    With ``target_file_bytes`` no file holds more bytes than that, unless a single row does, at the price of
-    one more pass over the data that measures the longest row: where rows differ much, files are smaller.
+    With ``target_file_bytes`` no file holds more bytes than that, unless a single row does: every task fills its files
+    one after the other, all but its last to within a row.  Files of one number, of all tasks, are in one folder.
     Without it a file is what one task writes, which ``spark.sql.files.maxPartitionBytes`` bounds.
     """
     text = to_canonical(df, source, None, compat)
@@ -205,8 +209,8 @@ def write_control(
 
 
 def data_files(spark: SparkSession, path: str) -> list[str]:
-    """Names of the files with rows in a folder, without markers and hidden files."""
-    return sorted(n for n in child_names(spark, path) if not n.startswith(("_", ".")))
+    """Files with rows, as paths from a folder on, without markers and hidden files."""
+    return file_paths(spark, path)
 
 
 def client_path(path: str) -> str:
@@ -278,6 +282,10 @@ def load_commands(
     )
     out = [f"create stage if not exists {stage}"]
     for f in files:
-        out.append(f"put {string_literal('file://' + f)} @{place} auto_compress = false")
-        out.append(f"copy into {full} from @{place}/{f.rsplit('/', 1)[-1]} file_format = ({csv})")
+        # files of one task have one name, so each folder of files has a place of its own
+        folder, name = f.rsplit("/", 1) if "/" in f else ("", f)
+        number = folder.rsplit("/", 1)[-1].partition(f"{FILE_NUMBER}=")[2]
+        at = f"{place}/{number}" if number else place
+        out.append(f"put {string_literal('file://' + f)} @{at} auto_compress = false")
+        out.append(f"copy into {full} from @{at}/{name} file_format = ({csv})")
     return out

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,13 +10,14 @@ from pyspark.sql import types as T
 
 from transferkit.functions.identifiers import qualify_name, quote_name, string_literal
 from transferkit.operators import catalog
-from transferkit.session import path_exists, remove_folder, workspace
+from transferkit.session import path_exists
+from transferkit.sinks import ledger
+from transferkit.sources import jdbc
 from transferkit.sources.endpoint import Endpoint
+from transferkit.sources.metadata import connect
 from transferkit.sources.tables import file_path
 from transferkit.systems import profile
-from transferkit.types import ColumnInfo, column, column_infos, tag
-
-LOAD_ID = "transferkit_load_id"
+from transferkit.types import column, column_infos, tag
 
 
 def schema_statement(target: str, schema: str) -> str | None:
@@ -48,14 +48,7 @@ def drop_statement(target: str, schema: str | None, table: str) -> str:
 def run_statements(spark: SparkSession, target: Endpoint, statements: list[str]) -> None:
     """Run DDL or one-statement DML on a JDBC database, once, from the driver, in one transaction where
     the database has transactional DDL.  Only statement text passes through here, never rows."""
-    options = target.write_options()
-    jvm = spark._jvm
-    properties = jvm.java.util.Properties()
-    for name, value in options.items():
-        if name not in ("url", "driver"):
-            properties.setProperty(name, value)
-    loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
-    connection = loader.loadClass(options["driver"]).newInstance().connect(target.url, properties)
+    connection = connect(spark, target.write_options())
     try:
         connection.setAutoCommit(False)
         for text in statements:
@@ -75,7 +68,10 @@ def _statement_for(
         lossy = [f"{r.column_name} ({r.target_type})" for r in rows.where("lossy").collect()]
         if lossy:
             raise ValueError(f"columns of {table} that could cut values: {', '.join(lossy)}; see allow_loss")
-    return catalog.ddl(rows, target, incremental, compat).first()["statement"]
+    made = catalog.ddl(rows, target, incremental, compat).first()
+    if made["refused"]:
+        raise ValueError(f"{table}: {made['refused']}")
+    return made["statement"]
 
 
 def write_jdbc_options(
@@ -100,36 +96,6 @@ def for_jdbc(df: DataFrame, target: str) -> DataFrame:
     return df.select(*out)
 
 
-def staging_table(schema: str | None, table: str, load: str | None = None) -> str:
-    """A name of its own for each load, 30 characters whatever the table's: within every system's limit."""
-    load = load or uuid.uuid4().hex
-    return "tk_" + hashlib.md5(f"{schema}|{table}|{load}".encode()).hexdigest()[:27]
-
-
-def merge_statement(target: str, staging: str, full: str, columns: list[ColumnInfo]) -> str:
-    """Move staged rows to the table in one statement, one row per load id: a task that ran twice
-    left its rows twice.  By position, as the bulk loaders do, but by name on Oracle."""
-    prof = profile(target)
-    names = [quote_name(c.name, target) for c in columns]
-    values = [
-        prof.json_from_text.format(n) if c.type == "json" and prof.json_from_text else n
-        for n, c in zip(names, columns)
-    ]
-    listed = f" ({', '.join(names)})" if prof.loads_by_name else ""
-    ranked = (
-        f"select {', '.join(names)}, row_number() over (partition by {LOAD_ID} order by {LOAD_ID}) "
-        f"as transferkit_n from {staging}"
-    )
-    return f"insert into {full}{listed} select {', '.join(values)} from ({ranked}) s where transferkit_n = 1"
-
-
-def delete_staged_statement(target: str, staging: str, table: str, schema: str | None, keys: list[str]) -> str:
-    """Delete the table's rows whose key is among the staged rows."""
-    name = quote_name(table, target)
-    on = " and ".join(f"s.{quote_name(k, target)} = {name}.{quote_name(k, target)}" for k in keys)
-    return f"delete from {qualify_name(schema, table, target)} where exists (select 1 from {staging} s where {on})"
-
-
 def write_table(
     df: DataFrame,
     target: Endpoint,
@@ -142,6 +108,7 @@ def write_table(
     connections: int | None = None,
     exactly_once: bool = True,
     keys: list[str] | None = None,
+    load_id: str | None = None,
     location: str | None = None,
     allow_loss: bool = False,
     compat: bool = False,
@@ -149,21 +116,23 @@ def write_table(
     """Append the rows of ``df`` by position, after creating or dropping what the flags say.
 
     Catalog and folder targets commit all rows or none.  JDBC commits task by task, so a lost executor
-    may leave rows of a failed attempt behind: ``exactly_once`` numbers the rows of a copy in the shared
-    folder, loads a staging table, moves each number once, and removes copy and staging table.  With ``keys`` the table's rows of the
-    same keys are deleted in the transaction that moves the staged rows (JDBC; use ``upsert`` or
-    ``ChangeLog`` elsewhere).  ``location`` is where a new schema of
+    may leave rows of a failed attempt behind: ``exactly_once`` stages the rows by part and attempt and moves each part
+    once, under a ledger in the target's schema.  ``load_id`` names the load there: a run under the name of an
+    unfinished load goes on with it.  With ``keys`` the table's rows of the same keys are deleted in the transaction
+    that moves all staged rows (JDBC; use ``upsert`` or ``ChangeLog`` elsewhere).  ``location`` is where a new schema of
     the Spark catalog keeps its tables; the default is the session's warehouse.
     """
     if target.profile.schema_required and target.is_jdbc and not schema:
         raise ValueError(f"{target.system} targets need a schema")
     if keys and not (target.is_jdbc and exactly_once):
         raise ValueError("keys need a JDBC target with exactly_once; see upsert and ChangeLog")
+    if load_id and not (target.is_jdbc and exactly_once):
+        raise ValueError("a load_id needs a JDBC target with exactly_once")
     spark = df.sparkSession
     if target.is_jdbc:
         _write_jdbc(
             df, target, table, schema, create_schema, create_table, drop_table, incremental,
-            connections, exactly_once, keys, allow_loss, compat,
+            connections, exactly_once, keys, load_id, allow_loss, compat,
         )
     elif target.path:
         base = file_path(target, table, schema)
@@ -206,49 +175,41 @@ def _write_catalog(df, table, schema, create_schema, create_table, drop_table, l
     append_by_position(df, full)
 
 
-def numbered_copy(df: DataFrame) -> tuple[DataFrame, str]:
-    """The rows with numbers that stay as they are, from a copy in the shared folder, and the copy's place.
-
-    A task of the load that runs again sends its rows under the same numbers.
-    """
-    path = workspace(df.sparkSession, "jdbc_load")
-    rows = df.withColumn(LOAD_ID, F.monotonically_increasing_id())
-    rows.write.parquet(path)
-    return df.sparkSession.read.schema(rows.schema).parquet(path), path
-
-
 def _write_jdbc(
     df, target, table, schema, create_schema, create_table, drop_table, incremental, connections,
-    exactly_once, keys, allow_loss, compat,
+    exactly_once, keys, load_id, allow_loss, compat,
 ) -> None:
     spark, system = df.sparkSession, target.system
     full = qualify_name(schema, table, system)
-    before = []
+    # what needs no connection comes first: a table that is refused leaves nothing behind
+    schemas = []
     if create_schema and schema and target.profile.schema_required:
-        before += filter(None, [schema_statement(system, schema)])
-    if drop_table:
-        before.append(drop_statement(system, schema, table))
+        schemas += filter(None, [schema_statement(system, schema)])
+    before = [drop_statement(system, schema, table)] if drop_table else []
     if create_table:
         before.append(_statement_for(df, system, schema, table, incremental, compat, allow_loss))
-    if before:
-        run_statements(spark, target, before)
     infos, df = column_infos(df), for_jdbc(df, system)
     if not exactly_once:
+        if schemas + before:
+            run_statements(spark, target, schemas + before)
         df.write.format("jdbc").options(**write_jdbc_options(target, full, connections)).mode("append").save()
         return
-    staging_name = staging_table(schema, table)
-    staging = qualify_name(schema, staging_name, system)
-    numbered, copy = numbered_copy(df)
-    shape = numbered
-    if target.profile.json_from_text:
-        shape = tag(numbered, {i.name: "ntext" for i in infos if i.type == "json"})
-    drop = drop_statement(system, schema, staging_name)
-    try:
-        run_statements(spark, target, [_statement_for(shape, system, schema, staging_name, False, compat, True)])
-        options = write_jdbc_options(target, staging, connections)
-        numbered.write.format("jdbc").options(**options).mode("append").save()
-        move = [delete_staged_statement(system, staging, table, schema, keys)] if keys else []
-        run_statements(spark, target, [*move, merge_statement(system, staging, full, infos)])
-    finally:  # the names are this load's own: nothing else can need them
-        run_statements(spark, target, [drop])
-        remove_folder(spark, copy)
+    load = ledger.Load(load_id or uuid.uuid4().hex, system, table, schema, infos, tuple(keys or ()))
+    staged = ledger.with_attempt(df)
+    shape = tag(staged, {i.name: "ntext" for i in infos if i.type == "json"}) if target.profile.json_from_text else staged
+    run_statements(spark, target, [*schemas, ledger.ledger_statement(spark, system, schema)])
+
+    def stage() -> None:
+        options = write_jdbc_options(target, load.staging, connections)
+        staged.write.format("jdbc").options(**options).mode("append").save()
+
+    ledger.run_load(
+        load,
+        lambda statements: run_statements(spark, target, statements),
+        lambda text: jdbc.load(spark, jdbc.query_options(target, text)).collect(),
+        stage,
+        before,
+        [_statement_for(shape, system, schema, load.staging_name, False, compat, True)],
+        [drop_statement(system, schema, load.staging_name)],
+        connections,
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transferkit.functions.identifiers import string_literal
-from transferkit.sources.endpoint import Endpoint, Partitioning, hash_predicates
-from transferkit.types import ColumnInfo
+from transferkit.sources import splits
+from transferkit.sources.endpoint import Endpoint, Partitioning
+from transferkit.sources.metadata import positional
+from transferkit.types import ColumnInfo, apply_infos
 
 
 def query_options(source: Endpoint, query: str, partition: Partitioning | None = None) -> dict[str, str]:
@@ -36,25 +39,70 @@ def custom_schema(columns: list[ColumnInfo]) -> dict[str, str]:
     return {"customSchema": ", ".join(f"`{c.name.replace('`', '``')}` STRING" for c in text)}
 
 
+def query_plan(
+    source: Endpoint, query: str, labels: list[str], infos: list[ColumnInfo], partition: Partitioning | None = None
+) -> dict[str, str]:
+    """Options that read a query's result by position.
+
+    The query is left as it is unless Spark could not name its columns apart; then it becomes a derived table with
+    names of its own, and a partition's column is found by its label.
+    """
+    apart = [i.name for i in infos] == labels
+    if not apart:
+        names = [f"c{n}" for n in range(len(infos))]
+        if partition:
+            places = [n for n, label in enumerate(labels) if label.lower() == partition.column.lower()]
+            if not places:
+                raise ValueError(f"the query has no column {partition.column}")
+            partition = replace(partition, column=names[places[0]])
+        infos = [replace(i, name=n) for i, n in zip(infos, names)]
+        table = positional(source.system, query.strip().rstrip(";"), names)
+        options = {**source.read_options(), "dbtable": table, **(partition.options() if partition else {})}
+    else:
+        options = query_options(source, query, partition)
+    return {**options, **custom_schema(infos)}
+
+
+def load_query(
+    spark: SparkSession,
+    source: Endpoint,
+    query: str,
+    labels: list[str],
+    infos: list[ColumnInfo],
+    partition: Partitioning | None = None,
+) -> DataFrame:
+    return apply_infos(load(spark, query_plan(source, query, labels, infos, partition)), infos)
+
+
 def load(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.read.format("jdbc").options(**options).load()
 
 
 def load_by_predicates(
-    spark: SparkSession,
-    source: Endpoint,
-    table: str,
-    key: str,
-    partitions: int,
-    infos: list[ColumnInfo] | None = None,
+    spark: SparkSession, source: Endpoint, table: str, predicates: list[str], infos: list[ColumnInfo] | None = None
 ) -> DataFrame:
-    """One query per remainder of an integer key, and one for its NULLs."""
+    """One query, and one task, for each condition."""
     properties = {**source.read_options(), **custom_schema(infos or [])}
     url = properties.pop("url")
-    predicates = hash_predicates(key, partitions, source.system)
     return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
 
 
+def split_predicates(
+    spark: SparkSession, source: Endpoint, table: str, names: list[str], keys: list[ColumnInfo], partitions: int
+) -> list[str]:
+    """Conditions for parts of about equal size: two queries, which return a count and a key per part.
+
+    A key that may be NULL, as any that is not the table's primary key, gets a part for its NULLs.
+    """
+    rows = int(load(spark, query_options(source, f"select count(*) as n from {table}")).first()[0])
+    fraction = min(1.0, splits.SAMPLED_PER_PART * partitions / max(rows, 1))
+    query = splits.cuts_query(source.system, table, names, keys, partitions, fraction)
+    cuts = load(spark, {**query_options(source, query), **custom_schema(keys)})
+    cuts = apply_infos(cuts, [*keys, ColumnInfo("tk_row", "int64")])
+    literals = splits.cut_literals(cuts, source.system, names)
+    return splits.range_predicates(names, literals, not all(k.primary_key for k in keys))
+
+
 def bounds(spark: SparkSession, source: Endpoint, table: str, key: str, partitions: int) -> Partitioning:
     """Range partitioning between the smallest and largest key, asked of the database."""
     row = load(spark, query_options(source, f"select min({key}) lo, max({key}) hi from {table}")).first()
@@ -75,9 +123,9 @@ def whole_bounds(key: str, lo, hi, partitions: int) -> Partitioning:
     return Partitioning(key, lo, hi, partitions)
 
 
-def largest(spark: SparkSession, source: Endpoint, table: str, name: str):
-    """The largest value of a column, asked of the database; None for an empty table."""
-    return load(spark, query_options(source, f"select max({name}) as m from {table}")).first()[0]
+def largest(spark: SparkSession, source: Endpoint, table: str, name: str) -> DataFrame:
+    """One row: the largest value of a column, asked of the database; NULL for an empty table."""
+    return load(spark, query_options(source, f"select max({name}) as m from {table}"))
 
 
 _SIZES = "numeric_precision as col_precision, numeric_scale as col_scale, character_maximum_length as col_length"

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from transferkit.functions.load import NUL
 from transferkit.operators.project import from_canonical
+from transferkit.session import larger_than_a_split
+from transferkit.sources.records import records
 from transferkit.types import META, TEXT, ColumnInfo, column
 
 # RFC 4180: quotes are doubled, fields may span lines, blanks count, "" is an empty text.
@@ -29,13 +31,27 @@ def text_schema(columns: list[ColumnInfo]) -> T.StructType:
 
 
 def read_staged(
-    spark: SparkSession, path: str, columns: list[ColumnInfo], null: str = "{nll}", typed: bool = False
+    spark: SparkSession,
+    path: str,
+    columns: list[ColumnInfo],
+    null: str = "{nll}",
+    typed: bool = False,
+    split: bool | None = None,
 ) -> DataFrame:
     """Rows of a staged CSV folder, as canonical text with true NULLs, or as typed values.
 
-    Fields may span lines, so a file is one task: write files of moderate size.
+    Fields may span lines, so Spark's own reader takes a file for one task.  ``split`` reads a file by many tasks, at the
+    price of a pass over the text that finds where records begin; by default where a file is larger than
+    ``spark.sql.files.maxPartitionBytes``.
     """
-    df = spark.read.schema(text_schema(columns)).options(**CSV_READ, nullValue=null).csv(path)
+    options = {**CSV_READ, "nullValue": null}
+    if larger_than_a_split(spark, path) if split is None else split:
+        fields = ", ".join(f"c{n} string" for n in range(len(columns)))
+        parsed = records(spark, path).select(F.from_csv("value", fields, options).alias("r"))
+        df = parsed.select(*[F.col("r")[f"c{n}"].alias(c.name) for n, c in enumerate(columns)])
+    else:
+        reader = spark.read.schema(text_schema(columns)).options(**options, recursiveFileLookup="true")
+        df = reader.csv(path)
     # the reader drops column metadata; the order of columns is the contract
     return from_canonical(df, columns, null=None) if typed else _described(df, columns)
 
@@ -59,7 +75,7 @@ def read_load(
     """Load files of ``target`` back to typed rows, as its bulk loader would read them."""
     if target != "mssql":
         return read_staged(spark, path, columns, null, typed=True)
-    lines = spark.read.option("lineSep", newline).text(path)
+    lines = spark.read.option("lineSep", newline).option("recursiveFileLookup", "true").text(path)
     parts = F.split(F.col("value"), _literal_pattern(delimiter), -1)
     fields = lines.select(*[parts[i].alias(c.name) for i, c in enumerate(columns)])
     out = []

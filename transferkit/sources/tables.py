@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from transferkit.functions.identifiers import qualify_name, quote_name
 from transferkit.operators import catalog
 from transferkit.session import is_folder, path_exists
-from transferkit.sources import jdbc
-from transferkit.sources.endpoint import Endpoint, Partitioning
+from transferkit.sources import jdbc, metadata
+from transferkit.sources.endpoint import Endpoint, Partitioning, hash_predicates
 from transferkit.types import ColumnInfo, apply_infos
 
 
@@ -27,28 +27,38 @@ def read_table(
     schema: str | None = None,
     partition: Partitioning | None = None,
     partitions: int | None = None,
-    key: str | None = None,
+    key: str | list[str] | None = None,
     infos: list[ColumnInfo] | None = None,
     by_hash: bool = False,
 ) -> DataFrame:
     """A full table.
 
     Nothing is read yet: filters and column choices made on the result are pushed to the files or to
-    the database.  Over JDBC, ``partition`` (or ``key`` and ``partitions``, which asks the database for
-    the key's bounds) makes the read parallel; without it one connection reads everything.  ``by_hash`` splits an integer
-    key by its remainder, for keys whose values crowd in one range.  ``infos``, the
-    columns as the source's catalog has them, sets the canonical types and keeps wide numbers whole.
+    the database.  Over JDBC, ``partition``, or ``key`` and ``partitions``, makes the read parallel; without it one
+    connection reads everything.  Along ``key``, a column or several of any type with an order, the table is cut into
+    parts of equal size where the database's own quantiles lie; without ``infos``, which name the key's types, into
+    equal ranges between its bounds.  ``by_hash`` splits an integer key by its remainder, for keys of which one value
+    has very many rows.  ``infos``, the columns as the source's catalog has them, also sets the canonical types and
+    keeps wide numbers whole.
     """
     if source.is_jdbc:
         full = qualify_name(schema, table, source.system)
-        name = quote_name(key, source.system) if key else None
+        keys = [key] if isinstance(key, str) else key or []
+        names = [quote_name(k, source.system) for k in keys]
+        known = {i.name: i for i in infos or []}
         if by_hash:
-            if not (key and partitions):
-                raise ValueError("by_hash needs key and partitions")
-            rows = jdbc.load_by_predicates(spark, source, full, name, partitions, infos)
+            if not (len(keys) == 1 and partitions):
+                raise ValueError("by_hash needs one key column and partitions")
+            predicates = hash_predicates(names[0], partitions, source.system)
+            rows = jdbc.load_by_predicates(spark, source, full, predicates, infos)
+        elif partition is None and partitions and keys and all(k in known for k in keys):
+            predicates = jdbc.split_predicates(spark, source, full, names, [known[k] for k in keys], partitions)
+            rows = jdbc.load_by_predicates(spark, source, full, predicates, infos)
         else:
-            if partition is None and key and partitions:
-                partition = jdbc.bounds(spark, source, full, name, partitions)
+            if partition is None and keys and partitions:
+                if len(keys) > 1:
+                    raise ValueError("several key columns need infos")
+                partition = jdbc.bounds(spark, source, full, names[0], partitions)
             rows = jdbc.load(spark, {**jdbc.table_options(source, full, partition), **jdbc.custom_schema(infos or [])})
         return apply_infos(rows, infos) if infos else rows
     if source.path:
@@ -80,18 +90,23 @@ def read_query(
     query: str,
     tables: list[str] | None = None,
     partition: Partitioning | None = None,
+    compat: bool = False,
 ) -> DataFrame:
     """The result of the caller's SQL, passed unchanged.
 
-    Over JDBC the source database runs it, once, or once per range of ``partition``.  Elsewhere Spark does, with the folder's tables that the
-    query names (``tables``) as views.
+    Over JDBC the source database runs it, once, or once per range of ``partition``; the columns' types are those the
+    database gives for the statement.  Elsewhere Spark does, with the folder's tables that the query names
+    (``tables``) as views.  Columns go by position: of equal names the later ones get a number.
     """
     if source.is_jdbc:
-        return jdbc.load(spark, jdbc.query_options(source, query, partition))
+        found = metadata.statement_columns(spark, source, query.strip().rstrip(";"))
+        infos = metadata.query_infos(spark, source.system, found, compat)
+        return jdbc.load_query(spark, source, query, [c[0] for c in found], infos, partition)
     if source.path:
         for t in tables or []:
             read_table(spark, source, t).createOrReplaceTempView(t)
-    return spark.sql(query)
+    rows = spark.sql(query)
+    return rows.toDF(*metadata.unique_names(rows.columns))
 
 
 def columns(

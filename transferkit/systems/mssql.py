@@ -1,4 +1,4 @@
-from transferkit.systems.profile import DecimalType, LiteralRules, LoadRules, SizedType, SystemProfile
+from transferkit.systems.profile import UNSIZED_NUMBER_KEY, DecimalType, LiteralRules, LoadRules, SizedType, SystemProfile
 
 # SQL Server type names and key words.
 CATALOG_TYPES = {
@@ -45,6 +45,8 @@ RESULT_TYPES = {
     "bool": "BIT",
     "xml": "XML",
 }
+# Further names of the JDBC driver.
+STATEMENT_TYPES = {"nvarchar": "sysname", "varbinary": "timestamp"}
 # The words SQL Server's manual reserves.
 RESERVED = (
     "add", "all", "alter", "and", "any", "as", "asc", "authorization", "backup", "begin", "between",
@@ -97,6 +99,7 @@ MSSQL = SystemProfile(
     driver="com.microsoft.sqlserver.jdbc.SQLServerDriver",
     catalog_types=CATALOG_TYPES,
     result_types=RESULT_TYPES,
+    statement_types=STATEMENT_TYPES,
     corrections={"varbinary": "blob"},
     create_types={
         "ntext": "nvarchar(max)",
@@ -126,6 +129,14 @@ MSSQL = SystemProfile(
     },
     decimal=DecimalType(38, 38, "float", exact="varchar(max)"),
     money=None,
+    # the key of a clustered index has at most 900 bytes
+    key_types={
+        **dict.fromkeys(("nvarchar", "ntext", "json"), SizedType("nvarchar", 2, 450, "", "")),
+        **dict.fromkeys(("varchar", "text", "varbit"), SizedType("varchar", 2, 900, "", "")),
+        **dict.fromkeys(("varbinary", "blob"), SizedType("varbinary", 2, 900, "", "")),
+        "xml": "",
+        "decimal": UNSIZED_NUMBER_KEY,
+    },
     load=LoadRules(exact_offset=" +00:00", bool_digits=True, empty_as_nul=True),
     literal=LiteralRules(
         binary=("0x", ""),

@@ -1,4 +1,4 @@
-from transferkit.systems.profile import DecimalType, LiteralRules, LoadRules, SystemProfile
+from transferkit.systems.profile import UNSIZED_NUMBER_KEY, DecimalType, LiteralRules, LoadRules, SizedType, SystemProfile
 
 # MySQL type names.
 CATALOG_TYPES = {
@@ -36,12 +36,20 @@ RESULT_TYPES = {
     "json": "JSON",
     "varbit": "BIT",
 }
+# Further names of the JDBC driver.
+STATEMENT_TYPES = {
+    "nvarchar": "enum, set",
+    "ntext": "tinytext, mediumtext, longtext",
+    "blob": "tinyblob, mediumblob, longblob",
+    "int32": "unsigned mediumint",
+}
 
 MYSQL = SystemProfile(
     name="mysql",
     driver="com.mysql.cj.jdbc.Driver",
     catalog_types=CATALOG_TYPES,
     result_types=RESULT_TYPES,
+    statement_types=STATEMENT_TYPES,
     # one mapping for both paths: the wider canonical type; unsigned 64-bit does not fit int64
     corrections={
         "binary": "blob",
@@ -88,6 +96,13 @@ MYSQL = SystemProfile(
     sized_types={},
     decimal=DecimalType(65, 30, "double", max_scale_compat=65, exact="longtext"),
     money=DecimalType(65, 30, "decimal(19,4)", fallback_compat="float"),
+    # an index entry has at most 3,072 bytes, four to a character; texts and blobs need a length, JSON has no order
+    key_types={
+        **dict.fromkeys(("nvarchar", "varchar", "ntext", "text", "xml", "varbit"), SizedType("varchar", 1, 768, "", "")),
+        **dict.fromkeys(("varbinary", "blob"), SizedType("varbinary", 1, 3072, "", "")),
+        "json": "",
+        "decimal": UNSIZED_NUMBER_KEY,
+    },
     load=LoadRules(bare_uuid_exact=True, bool_digits_exact=True),
     literal=LiteralRules(
         binary=("UNHEX('", "')"),

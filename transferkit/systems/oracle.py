@@ -25,6 +25,13 @@ RESULT_TYPES = {
     "varbinary": "RAW",
     "blob": "OCIBlobLocator, OCIFileLocator",
 }
+# Further names of the JDBC driver.
+STATEMENT_TYPES = {
+    "nvarchar": "nvarchar2, intervalym, intervalds",
+    "ntext": "nclob",
+    "blob": "bfile, long raw",
+    "decimal": "integer, smallint",
+}
 # Reserved words of Oracle's SQL language reference.
 KEYWORDS = """
 access, add, all, alter, and, any, as, asc, audit, between, by, char, check, cluster, column, column_value,
@@ -38,12 +45,14 @@ update, user, validate, values, varchar, varchar2, view, whenever, where, with
 """
 
 _VARCHAR2 = SizedType("varchar2", 4, 4000, "clob", "varchar2(4000)")
+_VARCHAR2_KEY = SizedType("varchar2", 4, 4000, "", "")
 
 ORACLE = SystemProfile(
     name="oracle",
     driver="oracle.jdbc.OracleDriver",
     catalog_types=CATALOG_TYPES,
     result_types=RESULT_TYPES,
+    statement_types=STATEMENT_TYPES,
     # an Oracle DATE has a time of day, which the date type would drop
     corrections={"date": "datetime"},
     create_types={
@@ -75,6 +84,12 @@ ORACLE = SystemProfile(
         38, 38, "BINARY_DOUBLE", separator=", ", min_scale_compat=0, scale_equal_compat=True, exact="number"
     ),
     money=DecimalType(38, 38, "decimal(38, 4)", separator=", "),
+    # neither large objects nor instants with a zone of their own can be keys
+    key_types={
+        **dict.fromkeys(("nvarchar", "varchar", "xml", "varbit", "ntext", "text", "json"), _VARCHAR2_KEY),
+        **dict.fromkeys(("varbinary", "blob"), SizedType("raw", 1, 2000, "", "")),
+        "datetimetz": "timestamp with local time zone",
+    },
     load=LoadRules(offset=" +00:00", exact_offset=" +00:00", bare_uuid=True, bool_digits=True),
     literal=LiteralRules(
         binary=("HEXTORAW('", "')"),

@@ -5,6 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 
+# Holds the text of every number a source can send: 38 digits and an exponent of three, or 255 digits written out.
+UNSIZED_NUMBER_KEY = "varchar(255)"
+
+
 @dataclass(frozen=True)
 class SizedType:
     """A type with a length: ``name(factor * length)`` up to ``limit``, else ``overflow``."""
@@ -75,6 +79,10 @@ class SystemProfile:
     money: DecimalType | None
     load: LoadRules
     literal: LiteralRules
+    # canonical type -> further names that the JDBC driver gives in the metadata of a statement
+    statement_types: dict[str, str] = field(default_factory=dict)
+    # canonical types whose column type cannot be a key: what a key column gets instead, '' for nothing
+    key_types: dict[str, SizedType | str] = field(default_factory=dict)
     quotes: tuple[str, str] = ('"', '"')
     schema_required: bool = True
     keywords: str = ""
@@ -92,13 +100,20 @@ class SystemProfile:
     write_options: dict[str, str] = field(default_factory=dict)
 
     def type_rows(self, path: str, compat: bool) -> list[tuple[str, str]]:
-        """(lower-case type name, canonical type) of the table path (the system's catalog) or the
-        query path (result-set metadata)."""
-        if path not in ("table", "query"):
-            raise ValueError(f"path must be 'table' or 'query', not {path!r}")
-        source = self.catalog_types if path == "table" else self.result_types
+        """(lower-case type name, canonical type) of the table path (the system's catalog), the query path (result-set
+        metadata), or of JDBC statements, whose drivers use names of both and some of their own."""
+        sources = {
+            "table": [self.catalog_types],
+            "query": [self.result_types],
+            "statement": [self.catalog_types, self.result_types, self.statement_types],
+        }
+        if path not in sources:
+            raise ValueError(f"path must be 'table', 'query' or 'statement', not {path!r}")
         rows = {
-            n.strip().lower(): canonical for canonical, names in source.items() for n in names.split(",")
+            n.strip().lower(): canonical
+            for source in sources[path]
+            for canonical, names in source.items()
+            for n in names.split(",")
         }
         if not compat:
             rows.update(self.corrections)

@@ -23,6 +23,14 @@ RESULT_TYPES = {
     "varbinary": "BINARY",
     "bool": "BOOLEAN",
 }
+# Further names of the JDBC driver.
+STATEMENT_TYPES = {
+    "nvarchar": "varchar, char",
+    "float64": "double",
+    "datetime": "timestampntz",
+    "datetimetz": "timestampltz, timestamptz",
+    "varbinary": "geography, geometry",
+}
 # The words Snowflake's manual reserves.
 RESERVED = (
     "account", "all", "alter", "and", "any", "as", "between", "by", "case", "cast", "check", "column",
@@ -48,6 +56,7 @@ SNOWFLAKE = SystemProfile(
     driver="net.snowflake.client.jdbc.SnowflakeDriver",
     catalog_types=CATALOG_TYPES,
     result_types=RESULT_TYPES,
+    statement_types=STATEMENT_TYPES,
     corrections={"object": "nvarchar"},
     create_types={
         "nvarchar": "text",
