@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from registry.tables import folder, table
 from transferkit import (
-    ChangeLog, Endpoint, PlacedTable, delete_by_keys, delete_statements, incremental_transfer,
-    latest_per_key, read_stream, read_table, since,
-    table_exists, transfer, upsert, write_table,
+    ChangeLog, Endpoint, PlacedTable, ddl, delete_by_keys, delete_statements, describe, incremental_transfer,
+    latest_per_key, read_stream, read_table, since, sized_by_values, table_exists, tag, transfer, translate, upsert,
+    value_profile, write_table,
 )
 from transferkit.session import workspace
 
@@ -449,3 +449,95 @@ QUERIES["trf2_equal_names"] = trf2_equal_names
 SQL["trf2_equal_names"] = """
 select o_orderkey, c_custkey as o_orderkey_2, o_orderstatus as status, c_mktsegment as "Status_3", c_acctbal as status_2
 from orders join customer on c_custkey = o_custkey"""
+
+
+# Every default token, alone and inside a text, and one of those looked for.
+TOKENS = ("{nll}", "NULL", "{dlm}", "{nwln}", "{k000}", "a{k001}{k002}")
+
+
+def _tokens_in_values(target):
+    """Rows that hold every default token arrive whole: others are found."""
+
+    def run(spark, sf):
+        source, o = _place(spark, "tokens"), table(spark, sf, "orders")
+        tokens = F.array(*[F.lit(t) for t in TOKENS])
+        token = F.element_at(tokens, (F.col("o_custkey") % len(TOKENS) + 1).cast("int"))
+        rows = o.select(
+            "o_orderkey",
+            F.when(F.col("o_orderstatus") != "P", token).alias("token"),
+            F.concat("o_orderpriority", token, F.lit(",\"")).alias("note"),
+        )
+        write_table(rows, source, "tokens", create_table=True)
+        return transfer(
+            spark, source, Endpoint(target), "tokens", "sales", table="tokens", find_tokens=True,
+            load_path=workspace(spark, f"tokens_{target}"), client_folder="/load",
+        ).rows
+
+    return run
+
+
+for _target in ("postgresql", "mssql", "mysql", "oracle", "snowflake"):
+    QUERIES[f"snk5_tokens_in_values_{_target}"] = _tokens_in_values(_target)
+    SQL[f"snk5_tokens_in_values_{_target}"] = f"""
+with o as (select *, {list(TOKENS)}[o_custkey % {len(TOKENS)} + 1] as t from orders)
+select o_orderkey, case when o_orderstatus <> 'P' then t end as token, o_orderpriority || t || ',"' as note from o"""
+
+
+def trf1_measured(spark, sf):
+    """Numbers without a size and texts without a length get those of their values, and with them can be keys."""
+    o = table(spark, sf, "orders").select(
+        F.col("o_totalprice").cast("decimal(20,4)").cast("string").alias("price"), "o_orderpriority",
+        F.col("o_orderkey").cast("string").alias("no"),
+    )
+    rows = sized_by_values(tag(o, {"price": "decimal", "no": "decimal"}, keys=["no", "o_orderpriority"]))
+    made = [
+        ddl(translate(describe(rows, "sales", "o"), None, t), t, incremental=True).select(F.lit(t).alias("target"), "statement", "refused")
+        for t in ("postgresql", "mssql", "mysql", "oracle", "snowflake")
+    ]
+    out = made[0]
+    for m in made[1:]:
+        out = out.unionByName(m)
+    return out
+
+
+QUERIES["trf1_measured_types"] = trf1_measured
+SQL["trf1_measured_types"] = """
+with m as (
+  select max(length(floor(o_totalprice::decimal(20,4))::bigint::varchar)) as whole,
+    max(length(rtrim(split_part(o_totalprice::decimal(20,4)::varchar, '.', 2), '0'))) as part,
+    max(length(o_orderkey::varchar)) as digits, max(length(o_orderpriority)) as chars from orders),
+t as (select *, '(' || (whole + part) || ',' || part || ')' as ps, '(' || digits || ',0)' as no from m),
+s as (
+  select 'postgresql' as target, 'create table if not exists sales.o (price decimal' || ps || ', o_orderpriority text, no decimal'
+    || no || ', primary key (o_orderpriority,no))' as statement from t
+  union all select 'snowflake', 'create table if not exists sales.o (price number' || ps || ', o_orderpriority text, no number'
+    || no || ', primary key (o_orderpriority,no))' from t
+  union all select 'mysql', 'create table if not exists `o` (`price` decimal' || ps || ', `o_orderpriority` varchar(' || chars
+    || '), `no` decimal' || no || ', primary key (`o_orderpriority`,`no`))' from t
+  union all select 'mssql', 'if object_id(''sales.o'', ''U'') is null create table sales.o (price decimal' || ps
+    || ', o_orderpriority nvarchar(' || 2 * chars || '), no decimal' || no || ', primary key (o_orderpriority,no))' from t
+  union all select 'oracle', 'begin execute immediate ''create table sales.o (price decimal' || replace(ps, ',', ', ')
+    || ', o_orderpriority varchar2(' || 4 * chars || '), no decimal' || replace(no, ',', ', ')
+    || ', primary key (o_orderpriority,no))''; exception when others then if sqlcode != -955 then raise; end if; end;' from t)
+select target, statement, null::varchar as refused from s"""
+
+
+def agg1_value_profile(spark, sf):
+    events = table(spark, sf, "events")
+    rows = tag(events.withColumn("value", F.col("value").cast("decimal(18,6)").cast("string")), {"value": "decimal"})
+    return value_profile(rows)
+
+
+QUERIES["agg1_value_profile"] = agg1_value_profile
+SQL["agg1_value_profile"] = r"""
+with e as (select *, value::decimal(18,6)::varchar as v from events)
+select 'event_id' as column_name, 1 as ordinal, 'int64' as canonical_type, count(*) filter (where event_id is null) as nulls,
+  null::int as integer_digits, null::int as fraction_digits, null::int as characters, null::int as bytes from e
+union all select 'ts', 2, 'datetime', count(*) filter (where ts is null), null, null, null, null from e
+union all select 'user_id', 3, 'int64', count(*) filter (where user_id is null), null, null, null, null from e
+union all select 'event_type', 4, 'ntext', count(*) filter (where event_type is null), null, null,
+  max(length(event_type))::int, max(strlen(event_type))::int from e
+union all select 'value', 5, 'decimal', count(*) filter (where v is null),
+  max(length(regexp_extract(v, '^[+-]?0*([0-9]*)', 1)))::int, max(length(rtrim(split_part(v, '.', 2), '0')))::int, null, null from e
+union all select 'props', 6, 'ntext', count(*) filter (where props is null), null, null,
+  max(length(props))::int, max(strlen(props))::int from e"""

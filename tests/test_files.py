@@ -128,7 +128,8 @@ def test_one_long_row_does_not_shrink_the_files(spark, folder, huge):
 def test_files_of_one_name_have_places_of_their_own():
     files = ["/d/file_number=0/part-1.txt", "/d/file_number=1/part-1.txt"]
     found = load_commands("snowflake", "t", files, [ColumnInfo("id", "int64")], "s", load_id="x")
-    assert "@s.transferkit_stage/x/0 " in found[1] and "@s.transferkit_stage/x/1/part-1.txt " in found[4]
+    assert "@s.transferkit_stage/x/file_number=0 " in found[1]
+    assert "@s.transferkit_stage/x/file_number=1/part-1.txt " in found[4]
 
 
 @pytest.mark.parametrize("split_bytes", [40, 1000, 1 << 20])

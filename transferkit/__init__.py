@@ -12,6 +12,7 @@ from transferkit.operators.incremental import (
 from transferkit.operators.places import PlacedTable
 from transferkit.operators.project import from_canonical, key_columns, to_canonical, to_literals, to_load
 from transferkit.operators.sizing import max_byte_length
+from transferkit.operators.values import free_tokens, sized_by_values, value_profile
 from transferkit.plans.transfer import TransferResult, incremental_transfer, transfer
 from transferkit.sinks import (
     append_by_position,
@@ -54,6 +55,7 @@ __all__ = [
     "delete_statements",
     "describe",
     "follow_table",
+    "free_tokens",
     "from_canonical",
     "high_water_mark",
     "incremental_transfer",
@@ -70,6 +72,7 @@ __all__ = [
     "read_stream",
     "read_table",
     "since",
+    "sized_by_values",
     "table_exists",
     "tag",
     "to_canonical",
@@ -78,6 +81,7 @@ __all__ = [
     "transfer",
     "translate",
     "upsert",
+    "value_profile",
     "write_keys",
     "write_load",
     "write_staged",

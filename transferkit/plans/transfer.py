@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from transferkit.functions.identifiers import qualify_name, quote_name
 from transferkit.operators import catalog
 from transferkit.operators.incremental import after, mark_literal
+from transferkit.operators.project import to_load
+from transferkit.operators.values import free_tokens, sized_by_values
 from transferkit.sinks.files import (
     DELIMITER, NEWLINE, client_path, data_files, load_commands, write_control, write_load,
 )
@@ -116,6 +118,8 @@ def transfer(
     connections: int | None = None,
     load_id: str | None = None,
     quote_clash: bool = False,
+    find_tokens: bool = False,
+    measure: bool = False,
     client_folder: str | None = None,
     allow_loss: bool = False,
     compat: bool = False,
@@ -125,7 +129,9 @@ def transfer(
     With ``load_path`` the rows become files for the target's own bulk loader, and the result has the
     commands that load them, one or two per file, besides Oracle's control file among them.
     ``client_folder`` is where the loader's machine sees ``load_path``, which it must be told where that is
-    a remote store.  A table whose columns could cut values is not created unless ``allow_loss`` or
+    a remote store.  Values that hold a NULL token or separator stop the job; ``find_tokens`` looks for ones that no
+    value holds, in a pass of its own.  ``measure`` gives columns without a size the smallest that holds their values,
+    in another: numbers then need not travel as text, and texts can be keys.  A table whose columns could cut values is not created unless ``allow_loss`` or
     ``compat`` says so.  Without ``load_path`` they are appended to the target table directly; over JDBC under
     ``load_id``, with which a load that was cut off goes on.  Every pair of systems goes through the same canonical
     types, so no pair needs code of its own.
@@ -134,8 +140,12 @@ def transfer(
     rows = read_source(
         spark, source, table, schema, query, query_tables, partition, compat, key, partitions, by_hash
     )
+    if measure:
+        rows = sized_by_values(rows)
     infos = column_infos(rows)
     if load_path:
+        if find_tokens:
+            null, delimiter, newline = free_tokens(to_load(rows, target.system, None, compat, source.system))
         token = null or target.profile.null_token
         seen_at = client_path(client_folder or load_path)  # fails here rather than after the work
         lengths = Observation() if target.system == "oracle" and infos else None

@@ -284,8 +284,8 @@ def load_commands(
     for f in files:
         # files of one task have one name, so each folder of files has a place of its own
         folder, name = f.rsplit("/", 1) if "/" in f else ("", f)
-        number = folder.rsplit("/", 1)[-1].partition(f"{FILE_NUMBER}=")[2]
-        at = f"{place}/{number}" if number else place
+        own = folder.rsplit("/", 1)[-1]
+        at = f"{place}/{own}" if own.startswith(f"{FILE_NUMBER}=") else place
         out.append(f"put {string_literal('file://' + f)} @{at} auto_compress = false")
         out.append(f"copy into {full} from @{at}/{name} file_format = ({csv})")
     return out
