@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registry.tables import table
-from transferkit import SYSTEMS, ddl, describe, max_byte_length, primary_keys, translate
+from registry.vendors import QUOTES, VENDORS, reserved_words, type_pairs
+from transferkit import ddl, describe, max_byte_length, primary_keys, translate
 from transferkit.functions.identifiers import is_reserved, qualified, quoted
 from transferkit.operators import catalog
 
@@ -18,7 +19,7 @@ SQL: dict[str, str] = {}
 
 
 def type_names(system: str, path: str, compat: bool) -> list[str]:
-    return [name for name, _ in SYSTEMS[system].type_rows(path, compat)]
+    return [name for name, _ in type_pairs(system, path, compat)]
 
 
 def _pick(names: list[str], index):
@@ -124,7 +125,7 @@ from orders"""
 
 def _canonical_types(path, compat):
     def run(spark, sf):
-        names = list(SYSTEMS)
+        names = list(VENDORS)
         system = _pick(names, F.col("o_orderkey"))
         typed = F.lit(None).cast("string")
         for s in names:
@@ -138,11 +139,11 @@ def _canonical_types(path, compat):
 
 
 def _canonical_sql(path, compat):
-    names = list(SYSTEMS)
+    names = list(VENDORS)
     pick = " ".join(
         f"when '{s}' then {names_sql(type_names(s, path, compat))}" for s in names
     )
-    pairs = [(s, n, c) for s in names for n, c in SYSTEMS[s].type_rows(path, compat)]
+    pairs = [(s, n, c) for s in names for n, c in type_pairs(s, path, compat)]
     values = ", ".join(f"('{s}', '{n}', '{c}')" for s, n, c in pairs)
     return f"""
 with o as (select o_orderkey, o_custkey, {_list(names)}[o_orderkey % {len(names)} + 1] as system from orders),
@@ -305,7 +306,7 @@ def _typed_rows_sql(target, compat):
     return rows
 
 
-for _target in SYSTEMS:
+for _target in VENDORS:
     for _compat, _suffix in ((True, ""), (False, "_exact")):
         _name = f"cat7_create_types_{_target}{_suffix}"
         QUERIES[_name] = _create_types(_target, _compat)
@@ -388,16 +389,16 @@ def _quoted(system, compat):
 
 
 def reserved_sql(name: str, system: str, compat: bool) -> str:
-    words = SYSTEMS[system].reserved_words(compat)
+    words = reserved_words(system, compat)
     if not words or (compat and system == "oracle"):
         return "false"
     listed = ", ".join(f"'{w}'" for w in words)
-    folded = f"lower({name})" if not compat else f"upper({name})" if system == "mssql" else name
+    folded = f"lower({name})" if not compat or system == "mssql" else name
     return f"{folded} in ({listed})"
 
 
 def quoted_sql(name: str, system: str, compat: bool) -> str:
-    before, after = SYSTEMS[system].quotes
+    before, after = QUOTES[system]
     inner = name if compat else f"replace({name}, '{after}', '{after}{after}')"
     if system == "mysql" and not compat:
         return f"case when {name} <> '' then '`' || {inner} || '`' else {name} end"
@@ -408,7 +409,7 @@ def quoted_sql(name: str, system: str, compat: bool) -> str:
     )
 
 
-for _system in SYSTEMS:
+for _system in VENDORS:
     for _compat, _suffix in ((True, ""), (False, "_exact")):
         QUERIES[f"cat10_quote_{_system}{_suffix}"] = _quoted(_system, _compat)
         _name = quoted_sql("name", _system, _compat)
@@ -435,7 +436,7 @@ SQL["cat11_reserved_words"] = (
 def cat12_qualified(spark, sf):
     s = table(spark, sf, "supplier")
     schema, name = F.col("s_name"), F.concat(F.lit("stock "), F.col("s_nationkey").cast("string"))
-    return s.select("s_suppkey", *[qualified(schema, name, t).alias(t) for t in SYSTEMS])
+    return s.select("s_suppkey", *[qualified(schema, name, t).alias(t) for t in VENDORS])
 
 
 QUERIES["cat12_qualified_names"] = cat12_qualified
@@ -445,7 +446,7 @@ SQL["cat12_qualified_names"] = (
         (f"{quoted_sql('b', t, False)} as {t}")
         if t == "mysql"
         else f"({quoted_sql('a', t, False)}) || '.' || ({quoted_sql('b', t, False)}) as {t}"
-        for t in SYSTEMS
+        for t in VENDORS
     )
     + " from s"
 )
@@ -526,6 +527,6 @@ KEYS_SQL = {
 }
 
 
-for _target in SYSTEMS:
+for _target in VENDORS:
     QUERIES[f"cat13_ddl_{_target}"] = _ddl(_target)
     SQL[f"cat13_ddl_{_target}"] = _ddl_sql(_target)

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registry.tables import DASHED, TEXT_OF, TYPES, WALL, every_type, select_sql, table
+from registry.vendors import NULL_TOKENS, VENDORS
 from transferkit import (
-    SYSTEMS, Endpoint, column_infos, control_text, read_load, read_staged, tag, to_literals, to_load, transfer,
+    Endpoint, column_infos, control_text, read_load, read_staged, tag, to_literals, to_load, transfer,
     write_keys, write_load, write_staged,
 )
 from transferkit.operators.project import load_columns
@@ -108,7 +109,7 @@ def _literal(target, compat):
     return lambda spark, sf: to_literals(every_type(spark, sf), target, compat=compat)
 
 
-for _target in SYSTEMS:
+for _target in VENDORS:
     for _compat, _suffix in ((True, ""), (False, "_exact")):
         QUERIES[f"prj2_load_text_{_target}{_suffix}"] = _load(_target, _compat)
         SQL[f"prj2_load_text_{_target}{_suffix}"] = select_sql(load_exprs(_target, _compat))
@@ -218,7 +219,7 @@ def _load_lines(target):
 for _id, _target in (("snk5", "postgresql"), ("snk6", "mysql"), ("snk8", "oracle"), ("snk9", "snowflake")):
     _name = f"{_id}_load_csv_{_target}"
     QUERIES[_name] = _load_lines(_target)
-    SQL[_name] = f"select {CUSTOMER_LINE.replace('{null}', SYSTEMS[_target].null_token)} as line from customer"
+    SQL[_name] = f"select {CUSTOMER_LINE.replace('{null}', NULL_TOKENS[_target])} as line from customer"
 
 
 def snk7_multichar_text(spark, sf):
@@ -291,7 +292,7 @@ def _load_commands(target):
     return run
 
 
-for _target in SYSTEMS:
+for _target in VENDORS:
     QUERIES[f"snk5_load_commands_{_target}"] = _load_commands(_target)
     _each = 2 if _target == "snowflake" else 1
     SQL[f"snk5_load_commands_{_target}"] = (
@@ -303,7 +304,7 @@ def _load_roundtrip(target):
     def run(spark, sf):
         rows = every_type(spark, sf)
         path = workspace(spark, f"load_every_type_{target}")
-        token = SYSTEMS[target].null_token
+        token = NULL_TOKENS[target]
         write_load(rows, path, target)
         back = read_load(spark, path, target, column_infos(rows), token)
         return to_load(back, target)
@@ -311,7 +312,7 @@ def _load_roundtrip(target):
     return run
 
 
-for _target in SYSTEMS:
+for _target in VENDORS:
     QUERIES[f"snk4_load_file_roundtrip_{_target}"] = _load_roundtrip(_target)
     SQL[f"snk4_load_file_roundtrip_{_target}"] = select_sql(load_exprs(_target, False))
 
@@ -325,7 +326,7 @@ def _routes(source):
     def run(spark, sf):
         rows = every_type(spark, sf, source if source in ("mssql", "mysql") else None)
         out = []
-        for target in SYSTEMS:
+        for target in VENDORS:
             # one projection per target keeps each compiled method small enough for the JIT
             text = load_columns(rows, target, "{nll}", source=source)
             line = F.md5(F.concat_ws("|", *text.values()))
@@ -339,7 +340,7 @@ def _routes_sql(source):
     from registry.values import GUID
 
     parts = []
-    for target in SYSTEMS:
+    for target in VENDORS:
         exprs = load_exprs(target, False)
         if source == "mssql":
             exprs["uid"] = f"replace({GUID}, '-', '')" if exprs["uid"] == "digest" else GUID
@@ -350,6 +351,6 @@ def _routes_sql(source):
     return select_sql({"x": "1"}).rsplit("select", 1)[0] + " union all ".join(parts)
 
 
-for _source in SYSTEMS:
+for _source in VENDORS:
     QUERIES[f"trf3_routes_from_{_source}"] = _routes(_source)
     SQL[f"trf3_routes_from_{_source}"] = _routes_sql(_source)
