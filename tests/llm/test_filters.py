@@ -79,7 +79,7 @@ def test_contamination(spark, docs, no_docs, monkeypatch):
     expected = sorted((r.doc_id or -1, *brute_hits(r.text, ITEMS)) for r in docs.collect())
     found = contamination(docs, items).collect()
     assert sorted((r.doc_id or -1, r.n_words, r.n_hit, r.n_items) for r in found) == expected
-    monkeypatch.setattr("transferkit.llm.decontaminate.BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr("transferkit.llm.decontaminate.BROADCAST_HASHES", 4)
     again = contamination(docs, items).collect()
     assert sorted(map(str, again)) == sorted(map(str, found))
     assert contamination(no_docs, items).count() == 0

@@ -9,22 +9,19 @@ from transferkit.llm.tables import sized, stored
 from transferkit.llm.words import BETWEEN, places, text_of, words
 
 WIDTH = 10
-# Distinct windows up to which the set is broadcast (some 300 bytes each); a larger set is joined by shuffle.
-BROADCAST_WINDOWS = 100_000
+# Window hashes up to which the set is broadcast whole, 32 bytes each in a worker; a larger set is met by its cells first,
+# as many numbers, and only what shares a cell is shuffled.
+BROADCAST_HASHES = 1 << 21
 BETWEEN_OR_WORDS = rf"{BETWEEN}|[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
-def _second(window: Column) -> Column:
-    return F.xxhash64(F.lit(1), window)
-
-
 def item_windows(benchmark: DataFrame, item_col: str, text_col: str, width: int) -> DataFrame:
     """Each distinct window once: its hash, words, length, and the ids of the items that hold it."""
     b = benchmark.select(F.col(item_col).cast("string").alias("item"), words(text_of(text_col)).alias("w"))
     b = b.select("item", "w", F.least(F.size("w"), F.lit(width)).alias("k")).where("k > 0")
     b = b.select("item", "k", F.explode(F.transform(places(F.size("w"), F.col("k")), lambda i: F.slice("w", i + 1, F.col("k")))).alias("words"))
     b = b.groupBy("words", "k").agg(F.collect_set("item").alias("items"))
-    return b.select(F.xxhash64("words").alias("hash"), _second(F.col("words")).alias("hash2"), "words", "k", "items")
+    return b.select(F.xxhash64("words").alias("hash"), "words", "k", "items")
 
 
 def _starts(w: Column, k: int) -> Column:
@@ -37,39 +34,62 @@ def _starts(w: Column, k: int) -> Column:
     )
 
 
+def _meeting(starts: DataFrame, hashes: DataFrame, n: int) -> DataFrame:
+    """Markers, and the windows whose hash is in the set."""
+    known = hashes.select(F.col("hash").alias("h"), F.lit(True).alias("known"))
+    if n <= BROADCAST_HASHES:
+        known = F.broadcast(known)
+    else:
+        cell = F.pmod("h", F.lit(BROADCAST_HASHES))
+        cells = known.select(cell.alias("cell")).distinct().withColumn("near", F.lit(True))
+        starts = starts.withColumn("cell", cell).join(F.broadcast(cells), "cell", "left").where("len = 0 or near").drop("cell", "near")
+    return starts.join(known, "h", "left").where("len = 0 or known")
+
+
 def _hits(
     docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, width: int
 ) -> DataFrame:
     """Per distinct (id, text): its words, hit places and items, and how many input rows it stands for.
 
-    Each document gives one marker row and one row per window; only markers and verified hits are shuffled.
+    A document's windows go out as hashes alone, so the work grows with its length; only a marker for each document and the
+    windows met are shuffled.  The words of documents with such windows are then looked up and compared.
     """
     windows = stored(item_windows(benchmark, item_col, item_text_col, width), "benchmark_windows")
-    n_windows = windows.count()
+    hashes = windows.select("hash").distinct()
     lengths = sorted(r.k for r in windows.select("k").distinct().collect())  # at most ``width`` numbers
-    d = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    d = d.select("id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"))
-    marker = F.array(F.struct(F.lit(0).alias("len"), F.lit(0).alias("at"), F.lit(None).cast("long").alias("h")))
-    starts = [_starts(F.col("w"), k) for k in lengths]
-    d = d.select("id", "text_hash", "w", F.explode(F.concat(marker, *starts)).alias("x"))
-    d = d.select("id", "text_hash", "w", F.size("w").alias("n"), "x.*")
-    hit = F.slice("w", F.col("at") + 1, F.col("len"))
-    if n_windows <= BROADCAST_WINDOWS:
-        d = d.join(F.broadcast(windows), (d.h == windows.hash) & (d.len == windows.k) & (hit == windows.words), "left")
-    else:  # words stay behind: 128 bits of hash stand for them
-        d = d.select("id", "text_hash", "n", "len", "at", "h", _second(hit).alias("h2"))
-        other = windows.drop("words")
-        d = d.join(other, (d.h == other.hash) & (d.h2 == other.hash2) & (d.len == other.k), "left")
-    d = d.where("len = 0 or hash is not null")
-    span = F.when(F.col("len") > 0, F.struct("at", "len"))
-    d = d.groupBy("id", "text_hash").agg(
+    texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    texts = texts.select("id", "text", F.xxhash64("text").alias("text_hash"))
+    d = texts.select("id", "text_hash", words(F.col("text")).alias("w")).select("*", F.size("w").alias("n"))
+    # a marker's own hash, so that markers are dealt out evenly
+    marker = F.array(F.struct(F.lit(0).alias("len"), F.lit(0).alias("at"), F.xxhash64(F.lit(-1), "text_hash").alias("h")))
+    # exploded where it is made: a filter on a column of its own would be pushed below the words and make them anew
+    starts = F.explode(F.concat(marker, *[_starts(F.col("w"), k) for k in lengths]))
+    d = d.select("id", "text_hash", "n", starts.alias("x")).select("id", "text_hash", "n", "x.*")
+    met = _meeting(d, hashes, hashes.count()).groupBy("id", "text_hash").agg(
         F.max("n").alias("n"),
         F.sum((F.col("len") == 0).cast("int")).alias("rows"),
-        F.collect_set(span).alias("spans"),
-        F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
+        F.collect_set(F.when(F.col("len") > 0, F.struct("at", "len", "h"))).alias("spans"),
     )
-    at = F.transform("spans", lambda s: F.sequence(s["at"], s["at"] + s["len"] - 1))
-    return d.select("id", "text_hash", "n", "rows", F.array_distinct(F.flatten(at)).alias("hit"), "items")
+    met = stored(met, "met_windows")
+    spans = met.where(F.size("spans") > 0).select("id", "text_hash", F.explode("spans").alias("s"))
+    spans = spans.join(windows, (F.col("s.h") == F.col("hash")) & (F.col("s.len") == F.col("k")))
+    claims = spans.groupBy("id", "text_hash").agg(F.collect_list(F.struct("s.at", "s.len", "words", "items")).alias("claims"))
+    claims = sized(claims.withColumnsRenamed({"id": "claim_id", "text_hash": "claim_hash"}), "claimed_windows")
+    same = F.col("id").eqNullSafe(F.col("claim_id")) & (F.col("text_hash") == F.col("claim_hash"))
+    checked = texts.join(claims, same).select("claim_id", "claim_hash", words(F.col("text")).alias("w"), "claims")
+    held = F.filter("claims", lambda c: F.slice("w", c["at"] + 1, c["len"]) == c["words"])
+    checked = checked.select("claim_id", "claim_hash", held.alias("held"))
+    at = F.flatten(F.transform("held", lambda c: F.sequence(c["at"], c["at"] + c["len"] - 1)))
+    items = F.flatten(F.transform("held", lambda c: c["items"]))
+    checked = checked.select("claim_id", "claim_hash", F.array_distinct(at).alias("hit"), F.array_distinct(items).alias("items"))
+    # repeated rows were looked up as often as they stand, with one result
+    checked = checked.groupBy("claim_id", "claim_hash").agg(F.first("hit").alias("hit"), F.first("items").alias("items"))
+    out = met.drop("spans").join(checked, same, "left")
+    none = F.expr("array()")
+    return out.select(
+        "id", "text_hash", "n", "rows",
+        F.coalesce("hit", none.cast("array<int>")).alias("hit"), F.coalesce("items", none.cast("array<string>")).alias("items"),
+    )
 
 
 def contamination(
