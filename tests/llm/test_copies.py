@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 
 import duckdb
 import pytest
@@ -100,10 +101,37 @@ def test_classes_that_share_an_id_or_have_none_each_keep_a_row(spark):
 
 
 def test_runs_reach_the_recall():
-    assert runs_for(0.9999, 0.8, 1) == 9 and runs_for(0.9999, 0.8, 3) > runs_for(0.99, 0.8, 3)
+    assert runs_for(0.9999, 0.8, 1) == 10 and runs_for(0.9999, 0.8, 3) > runs_for(0.99, 0.8, 3)
     assert [depth_for(n) for n in (0, 1, 10**6, 10**7, 10**11, 10**13)] == [2, 2, 2, 3, 3, 4]
 
 
+def test_planted_pairs_are_found(spark):
+    """Pairs at 0.8 to 0.85, every other one a text inside the other: all are found, and no pair below 0.8."""
+    rng = random.Random(41)
+    rows, near, far = [], [], []
+    for n in range(2400):
+        # unrelated texts share no words; a changed word changes five shingles, a missing end as many as it has words
+        size = rng.randrange(60, 400)
+        text = [f"{n}w{i}x{rng.randrange(9)}" for i in range(size)]
+        other = list(text)
+        if n % 2:
+            other = other[: size - rng.randrange(size // 7, size // 4)]
+        else:
+            for i in rng.sample(range(3, size - 3), max(1, size // 52 + rng.randrange(2))):
+                other[i] = "changed"
+        a, b = shingles(" ".join(text)), shingles(" ".join(other))
+        share = len(a & b) / len(a | b)
+        if share > 0.85:
+            continue
+        (near if share >= 0.8 else far).append(2 * n)
+        rows += [(2 * n, " ".join(text)), (2 * n + 1, " ".join(other))]
+    found = jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    tied = {r.doc_id for r in found if r.n_links}
+    pairs = {x for i in near for x in (i, i + 1)}
+    assert len(near) > 700 and len(far) > 300 and tied <= pairs
+    assert len(tied) >= 0.999 * len(pairs)
+
+
 def test_components(spark):
     edges = [(i + 1, i) for i in range(40)] + [(100, 200), (200, 300), (7, 7)] + [(500, 501 + i) for i in range(30)]
     found = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -30,15 +30,19 @@ BUCKET = 256
 DEPTH_DOCUMENTS = 1_000_000
 BLOCK = 1024
 SKETCH = 64
+# Standard deviations by which the cells of two sketches may fall short of the threshold: the sketch is the same in every
+# run, so what it drops stays dropped; at 0.8 and 64 cells that is less than one pair in a million.
+DEVIATIONS = 5.5
 
 
 def runs_for(recall: float, threshold: float, depth: int) -> int:
     """Runs after which a pair at the threshold is found with the target chance.
 
-    Two such sets of one size share 2t/(1+t) of their tokens; a run gives them on average that share / t
-    common buckets, and each further level keeps a common bucket with the survival chance of that branching.
+    A run gives two such sets on average as many common buckets as they share tokens, over t times the larger set: 2/(1+t)
+    where they have one size, and 1 where one contains the other, the least there can be.  Each further level keeps a
+    common bucket with the survival chance of that branching.
     """
-    mean = 2 / (1 + threshold)
+    mean = 1.0
     alive = 1.0
     for _ in range(depth - 1):
         alive = 1 - math.exp(-mean * alive)
@@ -228,13 +232,13 @@ def _roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def _sketch_links(size: np.ndarray, sketch: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that may reach the threshold: their sizes allow it, and their sketches agree up to four deviations."""
+    """Pairs that may reach the threshold: their sizes allow it, and their sketches agree up to ``DEVIATIONS``."""
     left, right = [], []
     for a in range(0, len(size), 64):
         x, n = sketch[a : a + 64, None, :], size[a : a + 64, None]
         used = ((x != 0) | (sketch[None] != 0)).sum(axis=2)
         same = ((x == sketch[None]) & (x != 0)).sum(axis=2)
-        near = same >= used * threshold - 4 * np.sqrt(used * threshold * (1 - threshold))
+        near = same >= used * threshold - DEVIATIONS * np.sqrt(used * threshold * (1 - threshold))
         near &= np.minimum(n, size) >= threshold * np.maximum(n, size)
         i, j = np.nonzero(near)
         i += a
