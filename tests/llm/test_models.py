@@ -172,3 +172,42 @@ def test_word_hash_is_that_of_batches(spark):
     batch = pa.record_batch({"text": texts})
     found = [h for _, data, starts in pieces(batch, "text", 3) for h in hashed(data, starts)[0].tolist()]
     assert found == [word_hash(w) for w in ("a", "bc", "éé", "a", "b")]
+
+
+def gram_buckets(text):
+    """Buckets of a text's character n-grams, one number at a time."""
+    small = [c.lower() if len(c.lower()) == 1 and ord(c) < 1 << 16 else c for c in text]
+    shape = [0x20 if ord(c) < 128 and not "a" <= c <= "z" else ord(c) for c in small]
+    for n in range(1, 5):
+        for i in range(len(shape) - n + 1):
+            code = 0
+            for x in shape[i : i + n]:
+                code = (code * 0x9E3779B97F4A7C15 + x) % 2**64
+            code ^= n * 0x3C6EF372FE94F82B % 2**64
+            code ^= code >> 29
+            yield code * 0xBF58476D1CE4E5B9 % 2**64 >> 48
+
+
+def test_language_by_hand(spark):
+    words_of = {"en": "the of and to in is", "de": "der die und zu in ist ß", "zh": "的 是 不 了 在 人", "ru": "И не на Что он как"}
+    rng = np.random.default_rng(9)
+    rows = [
+        (i, " ".join(rng.choice(words_of[lang].split(), rng.integers(1, 9))), lang if i % 11 else None)
+        for i, lang in enumerate(rng.choice(list(words_of), 150).tolist())
+    ] + [(900, "ЧТО", "ru"), (901, "😀ß中", "zh"), (902, None, "en"), (903, "12", "en")]
+    counts, priors = collections.defaultdict(collections.Counter), collections.Counter()
+    for i, text, lang in rows:
+        if lang is not None and part(i, 3) != 1:
+            priors[lang] += 1
+            counts[lang].update(gram_buckets(text or ""))
+    found = {r.doc_id: r for r in identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    for i, text, _ in rows:
+        logs = {}
+        for lang, seen in counts.items():
+            whole = sum(seen.values()) + 0.1 * 65536
+            logs[lang] = math.log(priors[lang] / sum(priors.values())) + sum(math.log((seen[b] + 0.1) / whole) for b in gram_buckets(text or ""))
+        best = max(sorted(logs), key=logs.get)
+        lettered = any(c.isalpha() for c in text or "")
+        assert found[i].lang_pred == (best if lettered else "und")
+        sure = 1 / sum(math.exp(x - logs[best]) for x in logs.values())
+        assert abs(found[i].score - (sure if lettered else 0)) < 1e-3

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transferkit.llm.batches import FOLD, map_batches, pieces
+from transferkit.llm.batches import map_batches, pieces
 from transferkit.llm.words import text_of
 
 ORDERS = (1, 2, 3, 4)
@@ -19,22 +19,46 @@ UNDECIDED = "und"
 # Count tables a training task holds before it hands them on, each half a megabyte.
 HELD = 64
 
-# what is no letter of ASCII is a blank to the model
-_SHAPE = FOLD.copy()
-_SHAPE[[b for b in range(128) if not 0x61 <= FOLD[b] <= 0x7A]] = 0x20
-
-
-def grams(data: np.ndarray, starts: np.ndarray, bits: int = BUCKET_BITS) -> Iterator[np.ndarray]:
-    """For every order, each byte's n-gram as a bucket; one bucket more where it would leave the document."""
-    shape = _SHAPE[data].astype(np.uint32)
-    code = np.zeros(len(shape), np.uint32)
+# small letters of the characters below; an ASCII character that is no letter is a blank to the model
+_SHAPES = 1 << 16
+_SHAPE = np.arange(_SHAPES, dtype=np.uint32)
+for _c in range(_SHAPES):
+    _small = chr(_c).lower()
+    _SHAPE[_c] = ord(_small) if len(_small) == 1 else _c
+_SHAPE[[c for c in range(128) if not 0x61 <= _SHAPE[c] <= 0x7A]] = 0x20
+
+
+def characters(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of UTF-8 bytes, in small letters, and where each document's begin, one more at the end."""
+    lead = (data & 0xC0) != 0x80
+    at = np.flatnonzero(lead)
+    padded = np.concatenate([data, np.zeros(3, np.uint8)])
+    first, second, third, fourth = (padded[at + k].astype(np.uint32) for k in range(4))
+    second, third, fourth = second & 0x3F, third & 0x3F, fourth & 0x3F
+    code = np.where(
+        first < 0xC0,
+        first,
+        np.where(
+            first < 0xE0,
+            (first & 0x1F) << 6 | second,
+            np.where(first < 0xF0, (first & 0x0F) << 12 | second << 6 | third, (first & 0x07) << 18 | second << 12 | third << 6 | fourth),
+        ),
+    ).astype(np.uint32)
+    low = code < _SHAPES
+    code[low] = _SHAPE[code[low]]
+    return code, np.concatenate([[0], np.cumsum(lead)])[starts]
+
+
+def grams(shape: np.ndarray, starts: np.ndarray, bits: int = BUCKET_BITS) -> Iterator[np.ndarray]:
+    """For every order, each character's n-gram as a bucket; one bucket more where it would leave the document."""
+    code = np.zeros(len(shape), np.uint64)
     for n in range(1, max(ORDERS) + 1):
-        code <<= np.uint32(8)
-        code[: len(shape) - n + 1] |= shape[n - 1 :]
+        code *= np.uint64(0x9E3779B97F4A7C15)
+        code[: len(shape) - n + 1] += shape[n - 1 :]
         if n in ORDERS:
-            mixed = (code ^ np.uint32(n * 0x3C6EF372 & 0xFFFFFFFF)) * np.uint32(0x9E3779B1)
-            mixed ^= mixed >> np.uint32(15)
-            bucket = ((mixed * np.uint32(0x85EBCA77)) >> np.uint32(32 - bits)).astype(np.int64)
+            mixed = code ^ np.uint64(n * 0x3C6EF372FE94F82B & 0xFFFFFFFFFFFFFFFF)
+            mixed ^= mixed >> np.uint64(29)
+            bucket = ((mixed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - bits)).astype(np.int64)
             for back in range(1, n):
                 at = starts[1:] - back
                 bucket[at[at >= 0]] = 1 << bits
@@ -57,6 +81,7 @@ def language_counts(training: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
         for batch in batches:
             for rows, data, starts in pieces(batch, "text"):
                 langs = np.asarray(rows.column("lang").to_pylist(), object)
+                data, starts = characters(data, starts)
                 for lang in dict.fromkeys(langs):
                     if lang not in held and len(held) >= HELD:
                         yield from rows_of(held)
@@ -103,6 +128,7 @@ def predict(docs: DataFrame, model: tuple, id_col: str = "doc_id", text_col: str
         bits = (len(logs) - 1).bit_length() - 1
         for batch in batches:
             for rows, data, starts in pieces(batch, "text"):
+                data, starts = characters(data, starts)
                 total = np.tile(prior, (rows.num_rows, 1))
                 full = np.flatnonzero(np.diff(starts))
                 if len(full) and langs:
