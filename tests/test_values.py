@@ -54,3 +54,19 @@ def test_tokens_are_in_no_value(spark):
     many = tag(spark.createDataFrame([("".join(f"{{k{i:03x}}}" for i in range(4095)),)], "v string"))
     assert free_tokens(many, 1) == ["{kfff}"] and free_tokens(many, 2) == ["{k0000}", "{k0001}"]
     assert free_tokens(spark.range(3), 1) == ["{k000}"]
+
+
+def test_staged_folders_are_removed(spark):
+    from transferkit.operators.numbering import numbered
+    from transferkit.session import _workspaces, path_exists, remove_workspaces, staging, workspace
+
+    before = len(_workspaces)
+    kept = workspace(spark, "kept")
+    spark.range(3).write.parquet(kept)
+    with pytest.raises(KeyError), staging(spark):
+        rows = numbered(spark.range(9).toDF("a"), ["a"], "n")
+        files = rows.inputFiles()
+        assert rows.count() == 9 and path_exists(spark, files[0])
+        raise KeyError
+    assert not path_exists(spark, files[0]) and path_exists(spark, kept)
+    assert remove_workspaces(spark, before) == 1 and not path_exists(spark, kept) and remove_workspaces(spark, before) == 0

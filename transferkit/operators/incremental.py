@@ -125,10 +125,11 @@ def mark_literal(values: DataFrame, to: T.DataType) -> Column | None:
         found = values.agg(F.unix_micros(newest)).first()[0]
         if found is None:
             return None
-        instant = F.timestamp_micros(F.lit(found))
-        if isinstance(to, T.TimestampNTZType):
-            return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
-        return instant.cast(to)
+        if isinstance(to, T.TimestampNTZType):  # by counting: a wall clock has hours that come twice
+            days, micros = divmod(found, 86_400_000_000)
+            seconds = f"{micros // 1_000_000}.{micros % 1_000_000:06d}"
+            return F.expr(f"timestamp_ntz '1970-01-01 00:00:00' + make_dt_interval({days}, 0, 0, {seconds})")
+        return F.timestamp_micros(F.lit(found)).cast(to)
     if isinstance(of, T.TimestampNTZType):
         found = values.agg(newest.cast("string")).first()[0]
         if found is None:

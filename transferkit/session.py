@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Folders named by this process, for ``remove_workspaces``.
+_workspaces: list[str] = []
 
 
 def workspace(spark: SparkSession, name: str) -> str:
@@ -22,7 +25,31 @@ def workspace(spark: SparkSession, name: str) -> str:
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         root = tempfile.gettempdir()
-    return f"{root.rstrip('/')}/transferkit/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root.rstrip('/')}/transferkit/{name}-{uuid.uuid4().hex[:12]}"
+    _workspaces.append(path)
+    return path
+
+
+def remove_workspaces(spark: SparkSession, since: int = 0) -> int:
+    """Delete the folders that ``workspace`` has named, after the first ``since``; returns how many there were.
+
+    For the end of a job: tables that read from such folders, as results of numbered or stored rows do, are gone then.
+    """
+    gone = [p for p in _workspaces[since:] if path_exists(spark, p)]
+    for p in gone:
+        remove_folder(spark, p)
+    del _workspaces[since:]
+    return len(gone)
+
+
+@contextmanager
+def staging(spark: SparkSession):
+    """Folders named inside are deleted at the end of the block, also after an error."""
+    before = len(_workspaces)
+    try:
+        yield
+    finally:
+        remove_workspaces(spark, before)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
