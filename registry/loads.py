@@ -79,6 +79,65 @@ def snk13_drop_table(spark, sf):
 QUERIES["snk13_drop_table"] = snk13_drop_table
 SQL["snk13_drop_table"] = "select * from orders where o_orderstatus = 'P'"
 
+
+
+def _create_statements(target):
+    """The statement ``write_table`` makes its table with, for tables whose texts have the length of their values."""
+
+    def run(spark, sf):
+        out = None
+        for name, key in (("customer", "c_custkey"), ("part", "p_name"), ("supplier", "s_name")):
+            rows = tag(sized_by_values(table(spark, sf, name)), keys=[key])
+            columns = translate(describe(rows, "sales", name), None, target)
+            made = ddl(columns, target, incremental=True).select("table_name", "statement", "refused")
+            out = made if out is None else out.unionByName(made)
+        return out
+
+    return run
+
+
+_SIZED = {
+    "mssql": ("'nvarchar(' || 2 * n || ')'", "bigint", "integer", "float", "if object_id(''sales.{0}'', ''U'') is null create table sales.{0} ("),
+    "mysql": ("'longtext'", "bigint", "integer", "double", "create table if not exists `{0}` ("),
+    "postgresql": ("'text'", "bigint", "integer", "double precision", "create table if not exists sales.{0} ("),
+}
+
+
+_COLUMNS = {
+    "customer": [
+        ("c_custkey", "big"), ("c_name", "text"), ("c_nationkey", "whole"), ("c_acctbal", "real"), ("c_mktsegment", "text"),
+    ],
+    "part": [
+        ("p_partkey", "big"), ("p_name", "text"), ("p_brand", "text"), ("p_type", "text"), ("p_size", "whole"),
+        ("p_retailprice", "real"),
+    ],
+    "supplier": [("s_suppkey", "big"), ("s_name", "text"), ("s_nationkey", "whole"), ("s_acctbal", "real")],
+}
+
+
+def _create_sql(target):
+    text, big, whole, real, start = _SIZED[target]
+    key_text = "'varchar(' || n || ')'" if target == "mysql" else text
+    out = []
+    for name, key in (("customer", "c_custkey"), ("part", "p_name"), ("supplier", "s_name")):
+        parts = []
+        for column, kind in _COLUMNS[name]:
+            quoted = f"`{column}`" if target == "mysql" else column
+            if kind == "text":
+                value = key_text if column == key else text
+                parts.append(f"'{quoted} ' || " + value.replace("n ||", f"(select max(length({column})) from {name}) ||"))
+            else:
+                parts.append(f"'{quoted} {dict(big=big, whole=whole, real=real)[kind]}'")
+        last = f"', primary key ({f'`{key}`' if target == 'mysql' else key}))'"
+        body = " || ', ' || ".join(parts)
+        out.append(f"select '{name}' as table_name, '{start.format(name)}' || {body} || {last} as statement, null::varchar as refused")
+    return " union all ".join(out)
+
+
+for _target in _SIZED:
+    QUERIES[f"snk12_create_statements_{_target}"] = _create_statements(_target)
+    SQL[f"snk12_create_statements_{_target}"] = _create_sql(_target)
+
 # --- REL -------------------------------------------------------------------------------------------------
 
 

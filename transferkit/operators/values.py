@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from transferkit.types import BINARY, FREE_TEXT, META, TEXT, ColumnInfo, column, column_infos
 
+BOUNDED = {"ntext": "nvarchar", "text": "varchar"}
 WIDEST = 38  # digits of Spark's decimals
 PLAIN_NUMBER = r"^[+-]?[0-9]*\.?[0-9]*$"
 # Tokens are {k000}, {k001}, ...: an opening brace stands only first in them, so one cannot begin inside another.
@@ -61,8 +62,9 @@ def sized_by_values(df: DataFrame) -> DataFrame:
     """The table with the smallest sizes that hold its values, where its columns have none.
 
     Numbers without a size that travel as text become decimals of up to 38 digits; wider ones, and those in exponent
-    form, stay text.  Texts and bytes without a length get that of the longest value, which a key needs on most
-    systems.  Sizes that are known stay; an empty column gets none.
+    form, stay text.  Texts and bytes without a length get that of the longest value, and unbounded text becomes bounded:
+    keys need that on most systems.  Sizes that are known stay; an empty column gets none.  Later loads may bring longer
+    values than these.
     """
     unsized = [
         i
@@ -86,7 +88,7 @@ def sized_by_values(df: DataFrame) -> DataFrame:
                 info = replace(info, precision=precision, scale=row.fraction_digits)
                 c = c.cast(T.DecimalType(precision, row.fraction_digits))
         elif size := (row.bytes if info.type in BINARY else row.characters):
-            info = replace(info, length=size)
+            info = replace(info, type=BOUNDED.get(info.type, info.type), length=size)
         out.append(c.alias(info.name, metadata={META: info.metadata()}))
     return df.select(*out)
 
