@@ -106,7 +106,8 @@ def read_query(
         for t in tables or []:
             read_table(spark, source, t).createOrReplaceTempView(t)
     rows = spark.sql(query)
-    return rows.toDF(*metadata.unique_names(rows.columns))
+    names = metadata.unique_names(rows.columns)
+    return rows if names == rows.columns else rows.toDF(*names)
 
 
 def columns(
