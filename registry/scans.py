@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from registry.tables import folder, table
+from registry.tables import folder, in_few_tasks, table
 from transferkit import (
     column_infos, read_keys, read_query, read_staged, tag, write_keys, write_staged,
 )
-from transferkit.session import workspace
+from transferkit.session import stored_bytes, workspace
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -99,13 +99,21 @@ for _t in ("documents", "pages", "conversations", "orders"):
     SQL[f"src8_staged_roundtrip_{_t}"] = f"select * from {_t}"
 
 
+SPLIT_BYTES, SPLITS = 20_000, 256
+
+
 def _split_roundtrip(name):
-    """One file of all rows, read by many tasks: records go over line ends and over the ends of splits."""
+    """One file, or few of a large table, read by many tasks: records go over line ends and over the ends of splits.
+
+    Splits have ``SPLIT_BYTES``, and grow with the files beyond ``SPLITS`` of them, up to what the session gives a task.
+    """
 
     def run(spark, sf):
         path, read = workspace(spark, f"one_file_{name}"), workspace(spark, f"one_file_{name}_rows")
-        infos = write_staged(table(spark, sf, name).coalesce(1), path)
-        small = {"spark.sql.files.maxPartitionBytes": "20000", "spark.sql.files.openCostInBytes": "1"}
+        infos = write_staged(in_few_tasks(spark, sf, name), path)
+        most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+        split = max(SPLIT_BYTES, min(most, stored_bytes(spark, path) // SPLITS))
+        small = {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.files.openCostInBytes": "1"}
         before = {k: spark.conf.get(k) for k in small}
         for k, v in small.items():
             spark.conf.set(k, v)

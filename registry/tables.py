@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transferkit import Endpoint, read_table, tag
+from transferkit.session import stored_bytes
+from transferkit.sources.tables import stored_path
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -21,6 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, folder(sf_dir), name)
 
 
+# Stored bytes of a table that one task reads where a query wants few files.
+TASK_BYTES = 256 << 20
+
+
+def in_few_tasks(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table read by as few tasks as its size allows: one up to ``TASK_BYTES``, so many times more beyond."""
+    tasks = -(-stored_bytes(spark, stored_path(spark, folder(sf_dir), name)) // TASK_BYTES)
+    return table(spark, sf_dir, name).coalesce(max(1, tasks))
+
+
 TYPES = {
     "event_id": "int64",
     "i32": "int32",

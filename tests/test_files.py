@@ -13,6 +13,8 @@ from transferkit import (
     SYSTEMS, column_infos, control_text, load_commands, max_byte_length, read_keys, read_load, read_staged, tag,
     to_load, write_keys, write_load, write_staged,
 )
+from registry import scans, tables, targets
+from transferkit.session import stored_bytes
 from transferkit.sinks.files import data_files
 from transferkit.types import ColumnInfo
 
@@ -212,3 +214,53 @@ def test_load_commands():
 def test_encoding_stays_in_generated_code(spark, awkward):
     plan = to_load(awkward, "oracle")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Project" in plan
+
+
+def test_listing_leaves_hidden_files_and_folders_out(spark, folder):
+    for p in ("b=1/x.txt", "a/c/y z.txt", "top{1}.txt", "_SUCCESS", "_control/z.txt", "a/.hid.crc", ".h/q.txt"):
+        os.makedirs(os.path.dirname(f"{folder}/{p}"), exist_ok=True)
+        with open(f"{folder}/{p}", "w") as f:
+            f.write("123")
+    assert data_files(spark, folder) == data_files(spark, folder + "/") == ["a/c/y z.txt", "b=1/x.txt", "top{1}.txt"]
+    assert data_files(spark, f"{folder}/none") == [] and stored_bytes(spark, f"{folder}/b=1") == 3
+
+
+def _tables(spark, folder, rows):
+    """Documents in files of 50 rows, and orders."""
+    text = F.concat(F.lit('a "b"\n'), F.repeat(F.lit("word "), 40), F.col("id").cast("string"))
+    line = F.concat(F.lit("a b "), F.repeat(F.lit("word "), 40), F.col("id").cast("string"))
+    docs = spark.range(0, rows, 1, rows // 50).select(F.col("id").alias("doc_id"), text.alias("text"))
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.range(0, rows, 1, 2).select(F.col("id").alias("o_orderkey"), line.alias("o_comment")).write.parquet(f"{folder}/orders.parquet")
+
+
+def test_large_tables_go_to_more_files_and_longer_splits(spark, folder, monkeypatch):
+    _tables(spark, folder, 2000)
+    small = {"spark.sql.files.maxPartitionBytes": "4000", "spark.sql.files.openCostInBytes": "1"}
+    monkeypatch.setattr(tables, "TASK_BYTES", stored_bytes(spark, f"{folder}/documents.parquet") // 4 + 1)
+    monkeypatch.setattr(scans, "SPLIT_BYTES", 1000)
+    monkeypatch.setattr(scans, "SPLITS", 20)
+    splits = []
+    monkeypatch.setattr(scans, "read_staged", lambda *a, **k: splits.append(spark.conf.get("spark.sql.files.maxPartitionBytes")) or read_staged(*a, **k))
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        assert tables.in_few_tasks(spark, folder, "documents").rdd.getNumPartitions() == 4
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    found = scans.QUERIES["src8_split_file_documents"](spark, folder)
+    expected = spark.read.parquet(f"{folder}/documents.parquet")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    assert int(splits[0]) > 10 * 1000
+
+
+@pytest.mark.parametrize("target", ["postgresql", "mssql", "mysql", "oracle", "snowflake"])
+def test_commands_meet_their_files_by_equality(spark, folder, target):
+    _tables(spark, folder, 1000)
+    found = targets.QUERIES[f"snk5_load_commands_{target}"](spark, folder)
+    each = 2 if target == "snowflake" else 1
+    assert [tuple(r) for r in found.collect()] == [(1000, each, each, True, True)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

@@ -58,9 +58,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+@contextmanager
+def few_listing_tasks(spark: SparkSession):
+    """Folders read inside are listed by some tasks per core; by default Spark takes a task for every folder below."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def larger_than_a_split(spark: SparkSession, path: str) -> bool:
     """Whether a file under a path is longer than what Spark gives to one task; only lengths are read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    with few_listing_tasks(spark):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     return (files.agg(F.max("length")).first()[0] or 0) > most
 
@@ -70,6 +83,12 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path) and fs.getFileStatus(hadoop_path).isDirectory()
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files under a folder; only lengths are read."""
+    hadoop_path, fs = _file_system(spark, path)
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly under a folder; none where there is no folder."""
     hadoop_path, fs = _file_system(spark, path)
@@ -79,13 +98,25 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def file_paths(spark: SparkSession, path: str) -> list[str]:
-    """Paths, from a folder on, of the files in it and in folders below; hidden ones and their folders are left out."""
-    found = []
-    for name in child_names(spark, path):
-        if name.startswith(("_", ".")):
-            continue
-        below = f"{path}/{name}"
-        found += [f"{name}/{f}" for f in file_paths(spark, below)] if is_folder(spark, below) else [name]
+    """Paths, from a folder on, of the files in it and in folders below; hidden ones and their folders are left out.
+
+    One call lists a folder, and its entries say what they are: rolled files have a folder each.
+    """
+    hadoop_path, fs = _file_system(spark, path)
+    if not fs.exists(hadoop_path):
+        return []
+    found, folders = [], [("", hadoop_path)]
+    while folders:
+        above, folder = folders.pop()
+        for status in fs.listStatus(folder):
+            below = status.getPath()
+            name = below.getName()
+            if name.startswith(("_", ".")):
+                continue
+            if status.isDirectory():
+                folders.append((f"{above}{name}/", below))
+            else:
+                found.append(above + name)
     return sorted(found)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from transferkit.functions.load import NUL
 from transferkit.operators.project import from_canonical
-from transferkit.session import larger_than_a_split
+from transferkit.session import few_listing_tasks, larger_than_a_split
 from transferkit.sources.records import records
 from transferkit.types import META, TEXT, ColumnInfo, column
 
@@ -51,7 +51,8 @@ def read_staged(
         df = parsed.select(*[F.col("r")[f"c{n}"].alias(c.name) for n, c in enumerate(columns)])
     else:
         reader = spark.read.schema(text_schema(columns)).options(**options, recursiveFileLookup="true")
-        df = reader.csv(path)
+        with few_listing_tasks(spark):
+            df = reader.csv(path)
     # the reader drops column metadata; the order of columns is the contract
     return from_canonical(df, columns, null=None) if typed else _described(df, columns)
 
@@ -75,7 +76,8 @@ def read_load(
     """Load files of ``target`` back to typed rows, as its bulk loader would read them."""
     if target != "mssql":
         return read_staged(spark, path, columns, null, typed=True)
-    lines = spark.read.option("lineSep", newline).option("recursiveFileLookup", "true").text(path)
+    with few_listing_tasks(spark):
+        lines = spark.read.option("lineSep", newline).option("recursiveFileLookup", "true").text(path)
     parts = F.split(F.col("value"), _literal_pattern(delimiter), -1)
     fields = lines.select(*[parts[i].alias(c.name) for i, c in enumerate(columns)])
     out = []

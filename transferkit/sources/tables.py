@@ -20,6 +20,13 @@ def file_path(endpoint: Endpoint, table: str, schema: str | None = None) -> str:
     return os.path.join(*parts)
 
 
+def stored_path(spark: SparkSession, source: Endpoint, table: str, schema: str | None = None) -> str:
+    """Where a folder endpoint has a table: a file or folder with the format's ending, or else a folder without."""
+    base = file_path(source, table, schema)
+    single = f"{base}.{source.file_format}"
+    return single if path_exists(spark, single) else base
+
+
 def read_table(
     spark: SparkSession,
     source: Endpoint,
@@ -62,9 +69,7 @@ def read_table(
             rows = jdbc.load(spark, {**jdbc.table_options(source, full, partition), **jdbc.custom_schema(infos or [])})
         return apply_infos(rows, infos) if infos else rows
     if source.path:
-        base = file_path(source, table, schema)
-        single = f"{base}.{source.file_format}"
-        path = single if path_exists(spark, single) else base
+        path = stored_path(spark, source, table, schema)
         return spark.read.format(source.file_format).options(**source.options).load(path)
     return spark.table(f"{schema}.{table}" if schema else table)
 
