@@ -7,14 +7,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registry.tables import DASHED, TEXT_OF, TYPES, WALL, every_type, select_sql, table
+from registry.tables import DASHED, TEXT_OF, TYPES, WALL, every_type, in_few_tasks, select_sql, table
 from registry.vendors import NULL_TOKENS, VENDORS
 from transferkit import (
     Endpoint, column_infos, control_text, read_load, read_staged, tag, to_literals, to_load, transfer,
     write_keys, write_load, write_staged,
 )
 from transferkit.operators.project import load_columns
-from transferkit.session import workspace
+from transferkit.session import few_listing_tasks, workspace
 from transferkit.sinks.files import NEWLINE, data_files
 
 QUERIES: dict = {}
@@ -175,9 +175,10 @@ def snk2_filled_files(spark, sf):
     """Files are filled to four fifths on average, though a row of a third of a file stands among short ones."""
     path = workspace(spark, "filled_documents")
     text = F.when(F.col("doc_id") % 200 == 7, F.repeat(F.lit("long "), FILE_BYTES // 15)).otherwise(F.col("text"))
-    rows = table(spark, sf, "documents").select("doc_id", text.alias("text"))
-    write_staged(rows.coalesce(1), path, target_file_bytes=FILE_BYTES)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("length")
+    rows = in_few_tasks(spark, sf, "documents").select("doc_id", text.alias("text"))
+    write_staged(rows, path, target_file_bytes=FILE_BYTES)
+    with few_listing_tasks(spark):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("length")
     return files.agg(
         F.sum("length").cast("long").alias("bytes"),
         (F.max("length") <= FILE_BYTES).alias("bounded"),
