@@ -267,6 +267,8 @@ QUERIES["snk8_control_text_oracle"] = snk8_control_text
 SQL["snk8_control_text_oracle"] = _control_sql()
 
 COMMAND_FILE_BYTES = 20_000
+# Behind each slash a folder and a name in it, as Spark writes them: without blanks, quotes and slashes.
+COMMAND_PLACE = r"/(?=([^/\s']+/[^/\s']+))"
 
 
 def _load_commands(target):
@@ -278,12 +280,16 @@ def _load_commands(target):
             spark, Endpoint("postgresql", path=sf), Endpoint(target), "orders", "sales", table="orders",
             load_path=path, target_file_bytes=COMMAND_FILE_BYTES, client_folder="/load",
         )
-        lines = spark.read.option("lineSep", NEWLINE if target == "mssql" else "\n").text(path)
-        file = F.regexp_extract(F.col("_metadata.file_path"), "([^/]*/[^/]*)$", 1)
-        rows = lines.groupBy(file.alias("file")).agg(F.count("*").alias("n"))
+        with few_listing_tasks(spark):
+            lines = spark.read.option("lineSep", NEWLINE if target == "mssql" else "\n").text(path)
+        rows = lines.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("n"))
+        rows = rows.select(F.substring_index("path", "/", -2).alias("file"), "n")
         named = spark.createDataFrame([(f,) for f in data_files(spark, path)], "file string")
         commands = spark.createDataFrame([(c,) for c in moved.commands], "command string")
-        found = named.join(rows, "file", "left").join(commands, F.contains("command", F.concat(F.lit("/"), "file")), "left")
+        # every folder and name in a command once, so that files and commands meet by equality
+        places = F.array_distinct(F.regexp_extract_all("command", F.lit(COMMAND_PLACE), F.lit(1)))
+        commands = commands.select("command", F.explode(places).alias("file"))
+        found = named.join(rows, "file", "left").join(commands, "file", "left")
         found = found.groupBy("file").agg(F.first("n").alias("n"), F.count("command").alias("commands"))
         return found.agg(
             F.sum("n").alias("n"), F.min("commands").alias("least"), F.max("commands").alias("most"),
