@@ -6,9 +6,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import LOW, TOKEN, words
-from transferkit.llm import toxicity
+from transferkit.llm import lm, toxicity
 from transferkit.llm.batches import word_hash
 from transferkit.llm.language import identify
 from transferkit.llm.license import scan_licenses
@@ -121,6 +122,45 @@ def test_probabilities_add_up():
         assert abs((10**p).sum() - 1) < 1e-9
 
 
+def test_contexts_are_the_tokens_before(spark):
+    """Restaurants by hand: as many as there are tokens before others, with all customers whatever part they lie in."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 400, 300)) for _ in range(20)] + ["w1 w1 w1", "", "w2"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").withColumn("held", F.col("id") % 5 == 0)
+    chunks = lm._chunks(df.repartition(3))
+    counted = lm._count(lm._requests(chunks, 8, training=True), 8)
+    found = collections.Counter()
+    for row in (r.asDict() for r in counted.collect()):
+        words, (contexts, word, ks, cs) = np.frombuffer(row["words"], np.uint64), lm._pairs_of(row)
+        found.update({(int(contexts[k]), int(words[w])): int(c) for w, k, c in zip(word, ks, cs)})
+    hashes = {t: word_hash(t) for text in texts for t in text.split()}
+    expected = collections.Counter()
+    for i, text in enumerate(texts):
+        tokens = [hashes[t] for t in text.split()]
+        if i % 5:
+            expected.update(zip([int(lm.START), *tokens], [*tokens, int(lm.END)]))
+    assert found == expected and len({k for k, _ in expected}) > 2 * CLASSES
+    customers = collections.Counter()
+    for (k, _), c in expected.items():
+        customers[k] += c
+    places = {r.part: np.frombuffer(r.contexts, np.uint64) for r in counted.collect()}
+    for r in lm._context_totals(counted, 8).collect():
+        totals = np.frombuffer(b"".join(bytes(x) for x in r.customers), np.int64)
+        assert [customers[int(k)] for k in places[r.part]] == totals.tolist()
+
+
+def test_a_token_follows_the_one_it_followed(spark):
+    """Pairs seen in training beat the same words in another order; by class of the token before they hardly differ."""
+    rng = np.random.default_rng(6)
+    pairs = [(f"a{i}", f"b{i}") for i in range(300)]
+    rows = [(i, " ".join(" ".join(pairs[j]) for j in rng.permutation(300))) for i in range(40)]
+    ids = [i for i in range(40, 400) if part(i, 7) == 2][:2]
+    rows += [(ids[0], " ".join(f"{a} {b}" for a, b in pairs))]
+    rows += [(ids[1], " ".join(f"{a} {pairs[j][1]}" for (a, _), j in zip(pairs, rng.permutation(300))))]
+    score = {r.doc_id: r.score for r in score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert score[ids[0]] > score[ids[1]] + 200
+
+
 def test_seating():
     rng = np.random.default_rng(2)
     c = np.array([0, 1, 2, 1000, 1_000_000])

@@ -1,13 +1,14 @@
 """Language-model scoring by a hierarchical Pitman-Yor model.
 
-A token's context is the class of the token before it, one of ``CLASSES`` by hash; every class is a restaurant,
-and all share one parent over words, whose base is uniform.  Customers are the training tokens.  Gibbs sweeps
+A token's context is the token before it, or the start of the document; every context is a restaurant, and all
+share one parent over words, whose base is uniform.  Customers are the training tokens.  Gibbs sweeps
 take each word's customers out of a restaurant and seat them again given all other tables; predictive
 probabilities are averaged over the sweeps after the first ones.
 
 Documents are packed into chunks of distinct words and token numbers.  A chunk asks the parts of the vocabulary
-for its distinct (word, class) pairs, so what is shuffled is a pair per chunk and not a token; parts hold all
-classes of their words, and beyond them a sweep needs only totals per class.
+for its distinct (word, context) pairs, so what is shuffled is a pair per chunk and not a token; parts hold all
+contexts of their words.  Beyond them a sweep needs the totals of each context, which lie in many parts: every part
+sends its sums to the part a context's hash names, which adds them up and sends them back.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from transferkit.llm.jaccard import _grouped
 from transferkit.llm.tables import discard, stored
 from transferkit.llm.words import text_of
 
-CLASS_BITS = 7
-CLASSES = 1 << CLASS_BITS
+# Contexts of a part made by hand; those of a corpus are as many as its words.
+CLASSES = 128
 CHUNK_TOKENS = 1_000_000
 PART_TOKENS = 1_000_000
 DISCOUNT, CONCENTRATION = 0.75, 5.0
@@ -41,6 +42,18 @@ def _raw(x: np.ndarray, kind) -> bytes:
     return np.ascontiguousarray(x, kind).tobytes()
 
 
+def _narrow(x: np.ndarray) -> bytes:
+    """Counts or numbers in as few bytes each as the largest needs."""
+    most = int(x.max(initial=0))
+    return _raw(x, next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(k).max))
+
+
+def _wide(raw, n: int) -> np.ndarray:
+    """``n`` numbers of ``_narrow``."""
+    raw = bytes(raw)
+    return np.frombuffer(raw, f"u{len(raw) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
+
+
 def _chunks(docs: DataFrame) -> DataFrame:
     """Rows of ``id, held, text`` packed: ids, flags and lengths of documents, distinct words, token numbers."""
     kind = docs.schema["id"].dataType.simpleString()
@@ -93,17 +106,15 @@ def _chunks(docs: DataFrame) -> DataFrame:
 
 
 def _pairs(words: np.ndarray, numbers: np.ndarray, counts: np.ndarray, held: np.ndarray):
-    """Distinct (word, class) pairs of a chunk: word number, class, training tokens; and each token's pair."""
-    classes = (mix64(words) >> np.uint64(64 - CLASS_BITS)).astype(np.uint8)
-    kind = np.uint32 if len(words) < 1 << (32 - CLASS_BITS) else np.uint64
-    code = numbers.astype(kind) << kind(CLASS_BITS)
-    first = np.cumsum(counts) - counts
-    after_start = code[first] | kind(mix64(np.array([START]))[0] >> np.uint64(64 - CLASS_BITS))
-    code[1:] |= classes[numbers[:-1]]
-    code[first] = after_start
-    pair, of = np.unique(code, return_inverse=True)
+    """Distinct (word, token before) pairs of a chunk: word number, context, training tokens; and each token's pair."""
+    contexts = np.append(words, START)
+    kind = np.uint32 if len(contexts) ** 2 <= 1 << 32 else np.uint64
+    before = np.empty(len(numbers), kind)
+    before[1:] = numbers[:-1]
+    before[np.cumsum(counts) - counts] = len(words)
+    pair, of = np.unique(numbers.astype(kind) * kind(len(contexts)) + before, return_inverse=True)
     n = np.bincount(of, np.repeat(held == 0, counts), len(pair)).astype(np.int64)
-    return (pair >> kind(CLASS_BITS)).astype(np.int64), (pair & kind(CLASSES - 1)).astype(np.uint8), n, of
+    return (pair // kind(len(contexts))).astype(np.int64), contexts[pair % kind(len(contexts))], n, of
 
 
 def _rows(batch: pa.RecordBatch, *columns: str) -> Iterator[list[np.ndarray]]:
@@ -135,16 +146,13 @@ _REQUEST = "part long, chunk long, words binary, per binary, ks binary, ns binar
 
 
 def _requests(chunks: DataFrame, parts: int, training: bool) -> DataFrame:
-    """A chunk's pairs by part: distinct words, pairs of each, classes; and training tokens if wanted."""
+    """A chunk's pairs by part: distinct words, pairs of each, contexts; and training tokens if wanted."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, raw in zip(batch.column("chunk").to_pylist(), _rows(batch, "words", "numbers", "counts", "held")):
                 words, numbers, counts, held = _chunk_arrays(*raw)
                 word, k, n, _ = _pairs(words, numbers, counts, held)
-                if training:
-                    some = n > 0
-                    word, k, n = word[some], k[some], n[some]
                 order, some, at = _by_part(words, word, parts)
                 out = []
                 for a, b in zip(at, at[1:]):
@@ -152,8 +160,8 @@ def _requests(chunks: DataFrame, parts: int, training: bool) -> DataFrame:
                     own, per = np.unique(word[mine], return_counts=True)
                     out.append(
                         (
-                            _raw(words[own], np.uint64), _raw(per, np.uint8), _raw(k[mine], np.uint8),
-                            _raw(n[mine], np.uint32 if n.max(initial=0) < 1 << 32 else np.uint64) if training else None,
+                            _raw(words[own], np.uint64), _narrow(per), _raw(k[mine], np.uint64),
+                            _narrow(n[mine]) if training else None,
                         )
                     )
                 columns = list(zip(*out)) or [()] * 4
@@ -165,24 +173,25 @@ def _requests(chunks: DataFrame, parts: int, training: bool) -> DataFrame:
     return map_batches(chunks.select("chunk", "words", "numbers", "counts", "held"), emit, _REQUEST)
 
 
-_STATE = "part long, per binary, ks binary, cs binary, t binary, m binary, kept binary, kept_m binary, totals array<long>"
+_STATE = (
+    "part long, contexts binary, per binary, ks binary, cs binary, t binary, m binary, kept binary, kept_m binary, "
+    "totals array<long>"
+)
 
 
-def _totals(ks: np.ndarray, cs: np.ndarray, t: np.ndarray, m: np.ndarray) -> list[int]:
-    """Customers of every class, tables of every class, then words and the root's tables."""
-    return [
-        *np.bincount(ks, cs, CLASSES).astype(np.int64).tolist(),
-        *np.bincount(ks, t, CLASSES).astype(np.int64).tolist(),
-        len(m),
-        int(m.sum()),
-    ]
+def _totals(cs: np.ndarray, t: np.ndarray, m: np.ndarray) -> list[int]:
+    """Customers and tables of all restaurants, words, and the root's tables."""
+    return [int(cs.sum()), int(t.sum()), len(m), int(m.sum())]
 
 
 _COUNTED = _STATE.replace("part long, ", "part long, words binary, ")
 
 
-def _count(requests: DataFrame) -> DataFrame:
-    """The model of every part: its words, and for each its classes with customers, at one table each."""
+def _count(requests: DataFrame, parts: int) -> DataFrame:
+    """The model of every part: its words, and for each its contexts with customers, at one table each.
+
+    ``contexts`` are all that are asked for, of held-out documents too, by owner and hash; ``ks`` are places in them.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _grouped(batches, ("part",)):
@@ -190,22 +199,30 @@ def _count(requests: DataFrame) -> DataFrame:
             words, ks, ns = [], [], []
             for batch in table.to_batches():
                 for w, per, k, n in _rows(batch, "words", "per", "ks", "ns"):
-                    words.append(np.repeat(_as(w, np.uint64), per))
+                    w, k = _as(w, np.uint64), _as(k, np.uint64)
+                    words.append(np.repeat(w, _wide(per, len(w))))
                     ks.append(k)
-                    ns.append(_as(n, np.uint32 if len(n) == 4 * len(k) else np.uint64).astype(np.int64))
+                    ns.append(_wide(n, len(k)))
             words, ks, ns = np.concatenate(words), np.concatenate(ks), np.concatenate(ns)
+            contexts, ks = np.unique(ks, return_inverse=True)
+            order = np.argsort(contexts % np.uint64(parts), kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            contexts, some = contexts[order], ns > 0
+            words, ks, ns = words[some], place[ks][some], ns[some]
             own, at = np.unique(words, return_inverse=True)
-            pair, of = np.unique(at * CLASSES + ks, return_inverse=True)
+            pair, of = np.unique(at * len(contexts) + ks, return_inverse=True)
             cs = np.bincount(of, ns, len(pair)).astype(np.int64)
-            ks = (pair % CLASSES).astype(np.uint8)
-            per = np.bincount(pair // CLASSES, minlength=len(own))
+            ks = pair % len(contexts)
+            per = np.bincount(pair // len(contexts), minlength=len(own))
             t, m = np.ones(len(cs), np.int64), np.ones(len(own), np.int64)
             yield pa.record_batch(
                 [
                     pa.array([part]),
-                    *[pa.array([x]) for x in (_raw(own, np.uint64), _raw(per, np.uint8), _raw(ks, np.uint8), _raw(cs, np.int64))],
-                    *[pa.array([x]) for x in (_raw(t, np.int64), _raw(m, np.int64), b"", b"")],
-                    pa.array([_totals(ks, cs, t, m)]),
+                    *[pa.array([_raw(x, np.uint64)]) for x in (own, contexts)],
+                    *[pa.array([_narrow(x)]) for x in (per, ks, cs, t, m)],
+                    *[pa.array([b""])] * 2,
+                    pa.array([_totals(cs, t, m)]),
                 ],
                 names=[f.split()[0] for f in _COUNTED.split(", ")],
             )
@@ -214,6 +231,57 @@ def _count(requests: DataFrame) -> DataFrame:
     return map_batches(rows.repartition("part").sortWithinPartitions("part"), emit, _COUNTED)
 
 
+def _pairs_of(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A part's context hashes, and of each pair the word's number, the context's place, and the customers."""
+    contexts = np.frombuffer(row["contexts"], np.uint64)
+    n = row["totals"][2]
+    per = _wide(row["per"], n)
+    word = np.repeat(np.arange(n), per)
+    return contexts, word, _wide(row["ks"], len(word)), _wide(row["cs"], len(word))
+
+
+def _context_totals(state: DataFrame, parts: int) -> DataFrame:
+    """``part, customers, tables``: totals over all parts of each of a part's contexts, in pieces in their order."""
+
+    def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                contexts, word, ks, cs = _pairs_of(row)
+                own = [np.bincount(ks, x, len(contexts)).astype(np.int64) for x in (cs, _wide(row["t"], len(word)))]
+                owner, at = np.unique(contexts % np.uint64(parts), return_index=True)
+                cuts = list(zip(at, np.append(at[1:], len(contexts))))
+                yield pa.record_batch(
+                    [
+                        pa.array(owner, pa.int64()), pa.array([row["part"]] * len(owner), pa.int64()),
+                        pa.array([_raw(contexts[a:b], np.uint64) for a, b in cuts], pa.binary()),
+                        *[pa.array([_narrow(x[a:b]) for a, b in cuts], pa.binary()) for x in own],
+                    ],
+                    names=["owner", "part", "contexts", "customers", "tables"],
+                )
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _grouped(batches, ("owner",)):
+            rows = table.to_pylist()
+            contexts = [np.frombuffer(r["contexts"], np.uint64) for r in rows]
+            _, at = np.unique(np.concatenate(contexts), return_inverse=True)
+            sums = [np.bincount(at, np.concatenate([_wide(r[c], len(x)) for r, x in zip(rows, contexts)])) for c in ("customers", "tables")]
+            ends = np.cumsum([len(x) for x in contexts])
+            for r, x, end in zip(rows, contexts, ends):
+                mine = at[end - len(x) : end]
+                yield pa.RecordBatch.from_pylist(
+                    [{"part": r["part"], "owner": r["owner"], "customers": _raw(sums[0][mine], np.int64), "tables": _raw(sums[1][mine], np.int64)}]
+                )
+
+    shares = map_batches(
+        state.select("part", "contexts", "per", "ks", "cs", "t", "totals"), share,
+        "owner long, part long, contexts binary, customers binary, tables binary",
+    )
+    dealt = shares.repartition("owner").sortWithinPartitions("owner", "part")
+    summed = map_batches(dealt, add, "part long, owner long, customers binary, tables binary")
+    whole = summed.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("owner", "customers", "tables"))).alias("all"))
+    return stored(whole.select("part", "all.customers", "all.tables"), "lm_contexts", compression="zstd")
+
+
 def seat(c: np.ndarray, others: np.ndarray, chance: np.ndarray, discount: float, concentration: float, rng) -> np.ndarray:
     """Tables that ``c`` customers of one dish take, given the tables of all others and the dish's chance above."""
     t = (c > 0).astype(np.float64)
@@ -236,66 +304,76 @@ def root_chance(n: np.ndarray, m: np.ndarray, customers: float, tables: float, v
     return (n - ROOT_DISCOUNT * m + new) / (ROOT_CONCENTRATION + customers)
 
 
-def _sweep(state: DataFrame, totals: list[int], number: int, keep: bool, seed: int) -> DataFrame:
+def _sweep(state: DataFrame, contexts: DataFrame, totals: list[int], number: int, keep: bool, seed: int) -> DataFrame:
     """Every word's customers leave each restaurant and sit down again, first below, then in the parent."""
-    tables = np.array(totals[CLASSES : 2 * CLASSES], np.float64)
-    v, root_tables = totals[2 * CLASSES :]
+    _, all_tables, v, root_tables = totals
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):  # one part at a time
                 row = batch.slice(i, 1).to_pylist()[0]
                 rng = np.random.default_rng([seed, number, row["part"]])
-                per = np.frombuffer(row["per"], np.uint8).astype(np.int64)
-                ks, cs = np.frombuffer(row["ks"], np.uint8), np.frombuffer(row["cs"], np.int64)
-                t, m = np.frombuffer(row["t"], np.int64), np.frombuffer(row["m"], np.int64)
-                word = np.repeat(np.arange(len(per)), per)
-                n = np.bincount(word, t, len(per))
+                tables = np.frombuffer(b"".join(row.pop("tables")), np.int64).astype(np.float64)
+                _, word, ks, cs = _pairs_of(row)
+                t, m = _wide(row["t"], len(word)), _wide(row["m"], row["totals"][2])
+                n = np.bincount(word, t, len(m))
                 # without the pair's own tables
-                chance = root_chance(np.maximum(n[word] - t, 0), np.minimum(m[word], n[word] - t), tables.sum(), root_tables, v)
+                chance = root_chance(np.maximum(n[word] - t, 0), np.minimum(m[word], n[word] - t), all_tables, root_tables, v)
                 t = seat(cs, tables[ks] - t, np.maximum(chance, 1e-300), DISCOUNT, CONCENTRATION, rng)
-                n = np.bincount(word, t, len(per)).astype(np.int64)
+                n = np.bincount(word, t, len(m)).astype(np.int64)
                 m = seat(n, np.maximum(root_tables - m, 0).astype(np.float64), np.full(len(n), 1 / (v + 1)), ROOT_DISCOUNT, ROOT_CONCENTRATION, rng)
-                raw_t, raw_m = _raw(t, np.int64), _raw(m, np.int64)
-                row |= {"t": raw_t, "m": raw_m, "totals": _totals(ks, cs, t, m)}
+                row |= {"t": _narrow(t), "m": _narrow(m), "totals": _totals(cs, t, m)}
                 if keep:
-                    row |= {"kept": row["kept"] + raw_t, "kept_m": row["kept_m"] + raw_m}
-                yield pa.RecordBatch.from_pylist([row], batch.schema)
+                    row |= {"kept": row["kept"] + _raw(t, np.int64), "kept_m": row["kept_m"] + _raw(m, np.int64)}
+                yield pa.RecordBatch.from_pylist([row], pa.schema([f for f in batch.schema if f.name != "tables"]))
 
-    return map_batches(state, emit, _STATE)
+    return map_batches(state.join(contexts.select("part", "tables"), "part"), emit, _STATE)
 
 
 def _sum_totals(state: DataFrame) -> list[int]:
     """Totals over all parts, one row for each."""
     rows = state.select(F.posexplode("totals").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
     found = {r.i: r.x for r in rows}
-    return [found.get(i, 0) for i in range(2 * CLASSES + 2)]
+    return [found.get(i, 0) for i in range(4)]
 
 
-def _answers(requests: DataFrame, counted: DataFrame, state: DataFrame, samples: list[list[int]]) -> DataFrame:
-    """``chunk, part, c, p``: training count of each word asked for, log10 probability of each pair."""
-    none = F.lit(None).cast("binary")
-    model = counted.select("part", "words").join(state.select("part", "per", "ks", "cs", "kept", "kept_m"), "part")
-    both = model.select("part", F.lit(-1).cast("long").alias("chunk"), "words", "per", "ks", "cs", "kept", "kept_m").unionByName(
-        requests.select(
-            "part", "chunk", "words", "per", "ks", *[none.alias(c) for c in ("cs", "kept", "kept_m")]
-        )
-    )
+def _answers(requests: DataFrame, counted: DataFrame, state: DataFrame, samples: list[tuple[list[int], DataFrame]]) -> DataFrame:
+    """``chunk, part, c, p``: training count of each word asked for, log10 probability of each pair.
+
+    Every part has a row of the model, as it was counted from the same requests.
+    """
+    own = ("words", "per", "ks", "contexts", "cs", "kept", "kept_m", "tables")
+    model = counted.select("part", "words").join(state.select("part", "per", "ks", "contexts", "cs", "kept", "kept_m"), "part")
+    for i, (_, contexts) in enumerate(samples):
+        joined = contexts.select("part", F.struct("customers", "tables").alias(f"tables{i}"))
+        model = model.join(joined, "part")
+    model = model.withColumn("tables", F.array(*[f"tables{i}" for i in range(len(samples))]))
+    scalars = [totals for totals, _ in samples]
+    none = [F.lit(None).cast(model.schema[c].dataType).alias(c) for c in own[3:]]
+    both = model.select("part", F.lit(-1).cast("long").alias("chunk"), *own).unionByName(
+        requests.select("part", "chunk", *own[:3], *none)
+    )
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, part = None, _Part(None, [])
+        part, contexts, order = None, None, None
         for batch in batches:
             chunks, parts = batch.column("chunk").to_pylist(), batch.column("part").to_pylist()
             for i in range(batch.num_rows):
                 one = batch.slice(i, 1)
                 if chunks[i] == -1:
-                    number = parts[i]
-                    part = _Part({c: one.column(c)[0].as_py() for c in ("words", "per", "ks", "cs", "kept", "kept_m")}, samples)
+                    row = one.to_pylist()[0]
+                    found = []
+                    for totals, x in zip(scalars, row["tables"]):
+                        sums = [np.frombuffer(b"".join(x[c]), np.int64) for c in ("customers", "tables")]
+                        found.append(np.concatenate([*sums, totals[2:]]))
+                    part = _Part(row, found, [totals[1] for totals in scalars])
+                    contexts = np.frombuffer(row["contexts"], np.uint64)
+                    order = np.argsort(contexts)
                     continue
-                if parts[i] != number:  # a part without training tokens
-                    number, part = parts[i], _Part(None, samples)
-                words, per, ks = next(_rows(one, "words", "per", "ks"))
-                c, p = part.answer(_as(words, np.uint64), per.astype(np.int64), ks)
+                words, per, ks = (x for x in next(_rows(one, "words", "per", "ks")))
+                words = _as(words, np.uint64)
+                places = order[np.searchsorted(contexts, _as(ks, np.uint64), sorter=order)]
+                c, p = part.answer(words, _wide(per, len(words)), places)
                 wide = np.uint32 if c.max(initial=0) < 1 << 32 else np.uint64
                 yield pa.record_batch(
                     {"chunk": [chunks[i]], "part": [parts[i]], "c": [_raw(c, wide)], "p": [_raw(p, np.float32)]}
@@ -308,26 +386,31 @@ def _answers(requests: DataFrame, counted: DataFrame, state: DataFrame, samples:
 class _Part:
     """A part's words and pairs with their averaged probabilities."""
 
-    def __init__(self, row: dict | None, samples: list[list[int]]):
-        row = row or dict.fromkeys(("words", "per", "ks", "cs", "kept", "kept_m"), b"")
+    def __init__(self, row: dict, samples: list, everywhere: list[int] | None = None):
+        """Each sample: customers of the part's contexts, their tables, then words and the root's tables.
+
+        ``everywhere``: each sample's tables of all contexts, where the part has some only.
+        """
         self.words = np.frombuffer(row["words"], np.uint64)
-        per = np.frombuffer(row["per"], np.uint8).astype(np.int64)
+        per = _wide(row["per"], len(self.words))
         self.word = np.repeat(np.arange(len(per)), per)
-        ks, self.cs = np.frombuffer(row["ks"], np.uint8), np.frombuffer(row["cs"], np.int64)
-        self.pair = self.word * CLASSES + ks
-        self.c = np.bincount(self.word, self.cs, len(per)).astype(np.int64)
+        ks, self.cs = _wide(row["ks"], len(self.word)), _wide(row["cs"], len(self.word))
         t = np.frombuffer(row["kept"], np.int64).reshape(len(samples), len(self.cs))
         m = np.frombuffer(row["kept_m"], np.int64).reshape(len(samples), len(per))
+        self.c = np.bincount(self.word, self.cs, len(per)).astype(np.int64)
         self.samples = []
-        for s, tt, mm in zip(samples, t, m):
-            customers, tables = np.array(s[:CLASSES], np.float64), np.array(s[CLASSES : 2 * CLASSES], np.float64)
-            v, root_tables = s[2 * CLASSES :]
+        self.contexts = (len(samples[0]) - 2) // 2
+        for i, (s, tt, mm) in enumerate(zip(samples, t, m)):
+            customers, tables = np.array(s[: self.contexts], np.float64), np.array(s[self.contexts : -2], np.float64)
+            v, root_tables = s[-2:]
+            all_tables = everywhere[i] if everywhere else tables.sum()
             n = np.bincount(self.word, tt, len(per))
-            chance = root_chance(n, mm, tables.sum(), root_tables, v)
-            unseen = root_chance(np.zeros(1), np.zeros(1), tables.sum(), root_tables, v)[0]
+            chance = root_chance(n, mm, all_tables, root_tables, v)
+            unseen = root_chance(np.zeros(1), np.zeros(1), all_tables, root_tables, v)[0]
             back = (CONCENTRATION + DISCOUNT * tables) / (CONCENTRATION + customers)
             own = (self.cs - DISCOUNT * tt) / (CONCENTRATION + customers[ks])
             self.samples.append((np.append(chance, unseen), back, np.append(own, 0.0)))
+        self.pair = self.word * self.contexts + ks
 
     def answer(self, words: np.ndarray, per: np.ndarray, ks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         def find(table: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -337,7 +420,7 @@ class _Part:
 
         at = find(self.words, words)
         word = np.repeat(at, per)
-        pair = find(self.pair, word * CLASSES + ks)
+        pair = find(self.pair, word * self.contexts + ks)
         total = np.zeros(len(ks))
         for chance, back, own in self.samples:
             total += own[pair] + back[ks] * chance[word]
@@ -408,17 +491,19 @@ def score_documents(
     chunks = stored(_chunks(rows), "lm_chunks", compression="zstd")
     size = chunks.agg(F.sum(F.octet_length("numbers") / 4).alias("n")).first().n or 0
     n_parts = max(8, int(size) // PART_TOKENS)
-    counted = stored(_count(_requests(chunks, n_parts, training=True)), "lm_counts", compression="zstd")
+    counted = stored(_count(_requests(chunks, n_parts, training=True), n_parts), "lm_counts", compression="zstd")
     totals = _sum_totals(counted)
-    n, v = sum(totals[:CLASSES]), totals[2 * CLASSES]
-    state, kept = counted.drop("words"), []
+    n, v = totals[0], totals[2]
+    state, kept, contexts = counted.drop("words"), [], _context_totals(counted, n_parts)
     for i in range(burn_in + samples):
-        swept = stored(_sweep(state, totals, i, i >= burn_in, seed), "lm_state", compression="zstd")
+        swept = stored(_sweep(state, contexts, totals, i, i >= burn_in, seed), "lm_state", compression="zstd")
         totals = _sum_totals(swept)
         if i:
             discard(state)  # the sweep before this one
-        state = swept
+        if i <= burn_in:
+            discard(contexts)
+        state, contexts = swept, _context_totals(swept, n_parts)
         if i >= burn_in:
-            kept.append(totals)
+            kept.append((totals, contexts))
     answers = _answers(_requests(chunks, n_parts, training=False), counted, state, kept)
     return _scores(chunks, answers, n_parts, n, v).withColumnRenamed("id", id_col)
