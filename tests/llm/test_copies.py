@@ -11,7 +11,7 @@ from tests.llm.conftest import words
 from tools.check import digest
 from transferkit.llm import queries_copies
 from transferkit.llm.graph import components
-from transferkit.llm.jaccard import depth_for, drop_near_copies, jaccard_classes, runs_for
+from transferkit.llm.jaccard import _split, depth_for, drop_near_copies, jaccard_classes, runs_for
 from transferkit.llm.suffixes import remove_repeated, repeated_passages
 from transferkit.llm.warc import archived
 
@@ -105,6 +105,29 @@ def test_runs_reach_the_recall():
     assert [depth_for(n) for n in (0, 1, 10**6, 10**7, 10**11, 10**13)] == [2, 2, 2, 3, 3, 4]
 
 
+def test_a_split_is_made_once_and_grows_with_its_group(spark, monkeypatch):
+    """A class of a group of near copies chooses its tokens once, and as many in a group twice as large."""
+    base = [f"w{i}" for i in range(150)]
+    rows = [(n, " ".join([*base[: n % 140], f"new{n}", *base[n % 140 + 1 :]])) for n in range(1200)]
+    made, once = spark.sparkContext.accumulator(0), []
+
+    def counting(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    def split(rows, threshold):
+        out = _split(rows, threshold)
+        once.append(out.count())
+        return out.mapInArrow(counting, "key long, node long")
+
+    monkeypatch.setattr("transferkit.llm.jaccard._split", split)
+    for n in (600, 1200):
+        found = jaccard_classes(spark.createDataFrame(rows[:n], "doc_id long, text string").repartition(3)).collect()
+        assert {r.class_id for r in found} == {0}
+    assert made.value == sum(once) and 0 < once[1] < 2.2 * once[0]
+
+
 def test_planted_pairs_are_found(spark):
     """Pairs at 0.8 to 0.85, every other one a text inside the other: all are found, and no pair below 0.8."""
     rng = random.Random(41)

@@ -356,7 +356,8 @@ def _joined(docs: DataFrame, threshold: float, recall: float, depth: int | None)
         large = live.where(F.col("size") > BUCKET)
         if last or large.isEmpty():
             break
-        rows = _split(_texts(docs, classes, large.groupBy("node").agg(F.collect_list("key").alias("keys"))), threshold)
+        wanted = _texts(docs, classes, large.groupBy("node").agg(F.collect_list("key").alias("keys")))
+        rows = stored(_split(wanted, threshold), "jaccard_split")  # sizes and members are both read from it
     buckets = leaves[0]
     for more in leaves[1:]:
         buckets = buckets.unionByName(more)
