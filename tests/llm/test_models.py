@@ -2,6 +2,7 @@
 
 import collections
 import math
+import os
 import zlib
 
 import numpy as np
@@ -161,6 +162,37 @@ def test_a_token_follows_the_one_it_followed(spark):
     assert score[ids[0]] > score[ids[1]] + 200
 
 
+def test_shuffles_of_the_model_are_removed(spark, monkeypatch):
+    """When a table of the model is written, the shuffles that made it take no disk any more."""
+    folder = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()[0].getPath()
+    files = lambda: {f: os.path.getsize(f"{at}/{f}") for at, _, names in os.walk(folder) for f in names if f.startswith("shuffle_")}
+    before, left, stored = files(), [], lm.stored
+
+    def watched(df, *name, **options):
+        out = stored(df, *name, **options)
+        left.append(sum(size for f, size in files().items() if f not in before))
+        return out
+
+    monkeypatch.setattr(lm, "stored", watched)
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 5000, 300))) for i in range(200)]
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept = spark.conf.get(setting)
+    found = score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert len(left) > 10 and max(left) < 50_000  # a few sums; the requests alone are ten times that
+    assert spark.conf.get(setting) == kept
+    assert found.count() == 200
+
+
+def test_parts_answer_in_any_number_of_rounds(spark, monkeypatch):
+    rows = [(i, f"a{i} b{i % 7} c d{i % 3}") for i in range(100)] + [(None, None)]
+    df, found = spark.createDataFrame(rows, "doc_id long, text string"), []
+    for n in (1, 2, 5):
+        monkeypatch.setattr(lm, "ROUNDS", n)
+        found.append(sorted(map(str, score_documents(df).collect())))
+    assert found[0] == found[1] == found[2] and len(found[0]) == 101
+
+
 def test_seating():
     rng = np.random.default_rng(2)
     c = np.array([0, 1, 2, 1000, 1_000_000])

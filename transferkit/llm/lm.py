@@ -8,7 +8,8 @@ probabilities are averaged over the sweeps after the first ones.
 Documents are packed into chunks of distinct words and token numbers.  A chunk asks the parts of the vocabulary
 for its distinct (word, context) pairs, so what is shuffled is a pair per chunk and not a token; parts hold all
 contexts of their words.  Beyond them a sweep needs the totals of each context, which lie in many parts: every part
-sends its sums to the part a context's hash names, which adds them up and sends them back.
+sends its sums to the part a context's hash names, which adds them up and sends them back.  Shuffle files are as large as
+the pairs, so every step is written as a table and its shuffles are removed at once.
 """
 
 from __future__ import annotations
@@ -23,13 +24,16 @@ from pyspark.sql import functions as F
 
 from transferkit.llm.batches import column_bytes, map_batches, mix64, pieces, tokens
 from transferkit.llm.jaccard import _grouped
-from transferkit.llm.tables import discard, stored
+from transferkit.llm.tables import discard
+from transferkit.llm.tables import stored as _stored
 from transferkit.llm.words import text_of
 
 # Contexts of a part made by hand; those of a corpus are as many as its words.
 CLASSES = 128
 CHUNK_TOKENS = 1_000_000
 PART_TOKENS = 1_000_000
+# Passes in which the parts answer: what is shuffled at once are the requests to, and the model of, a share of them.
+ROUNDS = 2
 DISCOUNT, CONCENTRATION = 0.75, 5.0
 ROOT_DISCOUNT, ROOT_CONCENTRATION = 0.5, 50.0
 BURN_IN, SAMPLES = 2, 2
@@ -38,6 +42,11 @@ SINGLE = 64
 START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A table of the model; its shuffles are as large as the pairs, and gone once it is written."""
+    return _stored(df, name, compression="zstd", cleanup=True)
+
+
 def _raw(x: np.ndarray, kind) -> bytes:
     return np.ascontiguousarray(x, kind).tobytes()
 
@@ -54,6 +63,16 @@ def _wide(raw, n: int) -> np.ndarray:
     return np.frombuffer(raw, f"u{len(raw) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers with their bytes apart: those of small ones are mostly zeros."""
+    return _raw(np.ascontiguousarray(x, np.int64).view(np.uint8).reshape(-1, 8).T, np.uint8)
+
+
+def _whole(raw: bytes) -> bytes:
+    """The numbers of ``_planes`` as they lie in memory."""
+    return _raw(np.frombuffer(raw, np.uint8).reshape(8, -1).T, np.uint8)
+
+
 def _chunks(docs: DataFrame) -> DataFrame:
     """Rows of ``id, held, text`` packed: ids, flags and lengths of documents, distinct words, token numbers."""
     kind = docs.schema["id"].dataType.simpleString()
@@ -142,11 +161,11 @@ def _by_part(words: np.ndarray, word: np.ndarray, parts: int) -> tuple[np.ndarra
     return order, some, np.append(at, len(order))
 
 
-_REQUEST = "part long, chunk long, words binary, per binary, ks binary, ns binary"
+_REQUEST = "part long, chunk long, words binary, per binary, ks binary, at binary, ns binary"
 
 
 def _requests(chunks: DataFrame, parts: int, training: bool) -> DataFrame:
-    """A chunk's pairs by part: distinct words, pairs of each, contexts; and training tokens if wanted."""
+    """A chunk's pairs by part: distinct words, pairs of each, distinct contexts, each pair's; and training tokens if wanted."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,16 +177,20 @@ def _requests(chunks: DataFrame, parts: int, training: bool) -> DataFrame:
                 for a, b in zip(at, at[1:]):
                     mine = order[a:b]
                     own, per = np.unique(word[mine], return_counts=True)
+                    ks, place, often = np.unique(k[mine], return_inverse=True, return_counts=True)
+                    order_k = np.argsort(-often, kind="stable")  # frequent contexts get small places
+                    rank = np.empty(len(order_k), np.int64)
+                    rank[order_k] = np.arange(len(order_k))
                     out.append(
                         (
-                            _raw(words[own], np.uint64), _narrow(per), _raw(k[mine], np.uint64),
+                            _raw(words[own], np.uint64), _narrow(per), _raw(ks[order_k], np.uint64), _narrow(rank[place]),
                             _narrow(n[mine]) if training else None,
                         )
                     )
-                columns = list(zip(*out)) or [()] * 4
+                columns = list(zip(*out)) or [()] * 5
                 yield pa.record_batch(
                     [pa.array(some, pa.int64()), pa.array([chunk] * len(some), pa.int64()), *[pa.array(c, pa.binary()) for c in columns]],
-                    names=["part", "chunk", "words", "per", "ks", "ns"],
+                    names=["part", "chunk", "words", "per", "ks", "at", "ns"],
                 )
 
     return map_batches(chunks.select("chunk", "words", "numbers", "counts", "held"), emit, _REQUEST)
@@ -198,11 +221,11 @@ def _count(requests: DataFrame, parts: int) -> DataFrame:
             part = table.column("part")[0].as_py()
             words, ks, ns = [], [], []
             for batch in table.to_batches():
-                for w, per, k, n in _rows(batch, "words", "per", "ks", "ns"):
-                    w, k = _as(w, np.uint64), _as(k, np.uint64)
+                for w, per, k, at, n in _rows(batch, "words", "per", "ks", "at", "ns"):
+                    w = _as(w, np.uint64)
                     words.append(np.repeat(w, _wide(per, len(w))))
-                    ks.append(k)
-                    ns.append(_wide(n, len(k)))
+                    ks.append(_as(k, np.uint64)[_wide(at, len(words[-1]))])
+                    ns.append(_wide(n, len(words[-1])))
             words, ks, ns = np.concatenate(words), np.concatenate(ks), np.concatenate(ns)
             contexts, ks = np.unique(ks, return_inverse=True)
             order = np.argsort(contexts % np.uint64(parts), kind="stable")
@@ -227,7 +250,7 @@ def _count(requests: DataFrame, parts: int) -> DataFrame:
                 names=[f.split()[0] for f in _COUNTED.split(", ")],
             )
 
-    rows = requests.select("part", "words", "per", "ks", "ns")
+    rows = requests.select("part", "words", "per", "ks", "at", "ns")
     return map_batches(rows.repartition("part").sortWithinPartitions("part"), emit, _COUNTED)
 
 
@@ -279,7 +302,7 @@ def _context_totals(state: DataFrame, parts: int) -> DataFrame:
     dealt = shares.repartition("owner").sortWithinPartitions("owner", "part")
     summed = map_batches(dealt, add, "part long, owner long, customers binary, tables binary")
     whole = summed.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("owner", "customers", "tables"))).alias("all"))
-    return stored(whole.select("part", "all.customers", "all.tables"), "lm_contexts", compression="zstd")
+    return stored(whole.select("part", "all.customers", "all.tables"), "lm_contexts")
 
 
 def seat(c: np.ndarray, others: np.ndarray, chance: np.ndarray, discount: float, concentration: float, rng) -> np.ndarray:
@@ -337,21 +360,40 @@ def _sum_totals(state: DataFrame) -> list[int]:
     return [found.get(i, 0) for i in range(4)]
 
 
-def _answers(requests: DataFrame, counted: DataFrame, state: DataFrame, samples: list[tuple[list[int], DataFrame]]) -> DataFrame:
-    """``chunk, part, c, p``: training count of each word asked for, log10 probability of each pair.
+_OWN = ("words", "per", "ks", "at", "contexts", "cs", "kept", "kept_m", "customers", "tables")
 
-    Every part has a row of the model, as it was counted from the same requests.
-    """
-    own = ("words", "per", "ks", "contexts", "cs", "kept", "kept_m", "tables")
+
+def _model(counted: DataFrame, state: DataFrame, samples: list[tuple[list[int], DataFrame]]) -> DataFrame:
+    """``part`` and all that its answers need: words, pairs, the contexts' customers, and of each sample all tables."""
     model = counted.select("part", "words").join(state.select("part", "per", "ks", "contexts", "cs", "kept", "kept_m"), "part")
-    for i, (_, contexts) in enumerate(samples):
-        joined = contexts.select("part", F.struct("customers", "tables").alias(f"tables{i}"))
+    for i, (_, contexts) in enumerate(samples):  # customers do not change
+        joined = contexts.select("part", F.col("tables").alias(f"tables{i}"), *["customers"][i:])
         model = model.join(joined, "part")
-    model = model.withColumn("tables", F.array(*[f"tables{i}" for i in range(len(samples))]))
-    scalars = [totals for totals, _ in samples]
-    none = [F.lit(None).cast(model.schema[c].dataType).alias(c) for c in own[3:]]
-    both = model.select("part", F.lit(-1).cast("long").alias("chunk"), *own).unionByName(
-        requests.select("part", "chunk", *own[:3], *none)
+    tables = F.array(*[f"tables{i}" for i in range(len(samples))]).alias("tables")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                found = {c: _planes(np.frombuffer(row[c], np.int64)) for c in ("kept", "kept_m")}
+                found["customers"] = _planes(np.frombuffer(b"".join(row["customers"]), np.int64))
+                found["tables"] = [_planes(np.frombuffer(b"".join(x), np.int64)) for x in row["tables"]]
+                yield pa.RecordBatch.from_pylist([row | found], pa.schema([(c, kinds[c]) for c in row]))
+
+    kinds = dict.fromkeys(_OWN, pa.binary()) | {"part": pa.int64(), "tables": pa.list_(pa.binary())}
+    fields = ["words", "per", "ks", "contexts", "cs", "kept", "kept_m", "customers"]
+    schema = f"part long, {', '.join(f'{c} binary' for c in fields)}, tables array<binary>"
+    return map_batches(model.select("part", *fields, tables), pack, schema)
+
+
+def _answers(requests: DataFrame, model: DataFrame, scalars: list[list[int]]) -> DataFrame:
+    """``chunk, part, c, p``: training count of each word asked for, log10 probability of each pair.
+
+    ``scalars``: each sample's totals.  Every part has a row of the model, as it was counted from the same requests.
+    """
+    none = [F.lit(None).cast(model.schema[c].dataType).alias(c) for c in _OWN[4:]]
+    both = model.select("part", F.lit(-1).cast("long").alias("chunk"), *_OWN[:3], F.lit(b"").alias("at"), *_OWN[4:]).unionByName(
+        requests.select("part", "chunk", *_OWN[:4], *none)
     )
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -362,18 +404,19 @@ def _answers(requests: DataFrame, counted: DataFrame, state: DataFrame, samples:
                 one = batch.slice(i, 1)
                 if chunks[i] == -1:
                     row = one.to_pylist()[0]
-                    found = []
+                    row |= {c: _whole(row[c]) for c in ("kept", "kept_m")}
+                    customers, found = np.frombuffer(_whole(row["customers"]), np.int64), []
                     for totals, x in zip(scalars, row["tables"]):
-                        sums = [np.frombuffer(b"".join(x[c]), np.int64) for c in ("customers", "tables")]
-                        found.append(np.concatenate([*sums, totals[2:]]))
+                        found.append(np.concatenate([customers, np.frombuffer(_whole(x), np.int64), totals[2:]]))
                     part = _Part(row, found, [totals[1] for totals in scalars])
                     contexts = np.frombuffer(row["contexts"], np.uint64)
                     order = np.argsort(contexts)
                     continue
-                words, per, ks = (x for x in next(_rows(one, "words", "per", "ks")))
+                words, per, ks, at = next(_rows(one, "words", "per", "ks", "at"))
                 words = _as(words, np.uint64)
+                per = _wide(per, len(words))
                 places = order[np.searchsorted(contexts, _as(ks, np.uint64), sorter=order)]
-                c, p = part.answer(words, _wide(per, len(words)), places)
+                c, p = part.answer(words, per, places[_wide(at, int(per.sum()))])
                 wide = np.uint32 if c.max(initial=0) < 1 << 32 else np.uint64
                 yield pa.record_batch(
                     {"chunk": [chunks[i]], "part": [parts[i]], "c": [_raw(c, wide)], "p": [_raw(p, np.float32)]}
@@ -488,15 +531,15 @@ def score_documents(
     """
     out = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % parts == held
     rows = docs.select(F.col(id_col).alias("id"), out.alias("held"), text_of(text_col).alias("text"))
-    chunks = stored(_chunks(rows), "lm_chunks", compression="zstd")
+    chunks = stored(_chunks(rows), "lm_chunks")
     size = chunks.agg(F.sum(F.octet_length("numbers") / 4).alias("n")).first().n or 0
     n_parts = max(8, int(size) // PART_TOKENS)
-    counted = stored(_count(_requests(chunks, n_parts, training=True), n_parts), "lm_counts", compression="zstd")
+    counted = stored(_count(_requests(chunks, n_parts, training=True), n_parts), "lm_counts")
     totals = _sum_totals(counted)
     n, v = totals[0], totals[2]
     state, kept, contexts = counted.drop("words"), [], _context_totals(counted, n_parts)
     for i in range(burn_in + samples):
-        swept = stored(_sweep(state, contexts, totals, i, i >= burn_in, seed), "lm_state", compression="zstd")
+        swept = stored(_sweep(state, contexts, totals, i, i >= burn_in, seed), "lm_state")
         totals = _sum_totals(swept)
         if i:
             discard(state)  # the sweep before this one
@@ -505,5 +548,13 @@ def score_documents(
         state, contexts = swept, _context_totals(swept, n_parts)
         if i >= burn_in:
             kept.append((totals, contexts))
-    answers = _answers(_requests(chunks, n_parts, training=False), counted, state, kept)
+    model = stored(_model(counted, state, kept), "lm_model")
+    for done in (counted, state, *[x for _, x in kept]):
+        discard(done)
+    requests, scalars, answers = _requests(chunks, n_parts, training=False), [x for x, _ in kept], None
+    for i in range(ROUNDS):
+        some = F.col("part") % ROUNDS == i
+        more = stored(_answers(requests.where(some), model.where(some), scalars), "lm_answers")
+        answers = answers.unionByName(more) if answers else more
+    discard(model)
     return _scores(chunks, answers, n_parts, n, v).withColumnRenamed("id", id_col)

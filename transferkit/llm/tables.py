@@ -13,11 +13,25 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 16 << 20
 
 
-def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """The rows as a Parquet table in the shared folder: computed once, safe when executors are lost."""
-    path = workspace(df.sparkSession, name)
-    df.write.parquet(path, compression=compression)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+# Spark's setting: a query's shuffle files go when it ends, not when its plan is collected as garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, name: str, compression: str = "snappy", cleanup: bool = False) -> DataFrame:
+    """The rows as a Parquet table in the shared folder: computed once, safe when executors are lost.
+
+    ``cleanup``: the shuffles that made it are removed as soon as it is written.
+    """
+    spark = df.sparkSession
+    path, before = workspace(spark, name), spark.conf.get(CLEANUP, None)
+    if cleanup:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path, compression=compression)
+    finally:
+        if cleanup:
+            spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _place(df: DataFrame):
