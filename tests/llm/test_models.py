@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import LOW, TOKEN, words
+from transferkit import session
 from transferkit.llm import lm, toxicity
 from transferkit.llm.batches import word_hash
 from transferkit.llm.language import identify
@@ -184,6 +185,41 @@ def test_shuffles_of_the_model_are_removed(spark, monkeypatch):
     assert found.count() == 200
 
 
+def test_little_of_the_model_is_in_memory_at_once(spark, folder, monkeypatch):
+    """Python gets few rows at a time, counts take few bytes, and of the model's tables only the scores are left."""
+    batches, stored, models = lm.map_batches, lm.stored, []
+
+    def watched(df, fn, schema):
+        def sized(rows):
+            for batch in rows:  # a batch ends with the row that goes beyond the limit
+                with open(f"{folder}/{os.getpid()}", "a") as f:
+                    f.write(f"{batch.slice(0, batch.num_rows - 1).nbytes}\n")
+                yield batch
+
+        return batches(df, lambda rows: fn(sized(rows)), schema)
+
+    def kept(df, name):
+        out = stored(df, name)
+        models.extend(out.collect() if name == "lm_model" else [])
+        return out
+
+    monkeypatch.setattr(lm, "map_batches", watched)
+    monkeypatch.setattr(lm, "stored", kept)
+    monkeypatch.setattr(lm, "BATCH_BYTES", 1 << 16, raising=False)
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 900, 400))) for i in range(500)]
+    before, setting = len(session._workspaces), "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = spark.conf.get(setting, None)
+    found = score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(1))
+    sizes = [int(x) for name in os.listdir(folder) for x in open(f"{folder}/{name}")]
+    assert len(sizes) > 50 and max(sizes) < 2 << 16  # all documents are 15 times that
+    assert spark.conf.get(setting, None) == was
+    assert models and all(len(x) < 3 * lm._wide(r.per, len(r.words) // 8).sum() for r in models for x in r.kept)
+    left = [p for p in session._workspaces[before:] if any(names for _, _, names in os.walk(p.removeprefix("file:")))]
+    assert [os.path.basename(p).split("-")[0] for p in left] == ["lm_scores"]
+    assert found.count() == 500
+
+
 def test_parts_answer_in_any_number_of_rounds(spark, monkeypatch):
     rows = [(i, f"a{i} b{i % 7} c d{i % 3}") for i in range(100)] + [(None, None)]
     df, found = spark.createDataFrame(rows, "doc_id long, text string"), []

@@ -9,12 +9,14 @@ Documents are packed into chunks of distinct words and token numbers.  A chunk a
 for its distinct (word, context) pairs, so what is shuffled is a pair per chunk and not a token; parts hold all
 contexts of their words.  Beyond them a sweep needs the totals of each context, which lie in many parts: every part
 sends its sums to the part a context's hash names, which adds them up and sends them back.  Shuffle files are as large as
-the pairs, so every step is written as a table and its shuffles are removed at once.
+the pairs, so every step is written as a table and its shuffles are removed at once.  Rows are megabytes long: few
+at a time go to Python, and counts take as few bytes as they need.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,9 @@ CHUNK_TOKENS = 1_000_000
 PART_TOKENS = 1_000_000
 # Passes in which the parts answer: what is shuffled at once are the requests to, and the model of, a share of them.
 ROUNDS = 2
+# Bytes of rows that are sent to Python at once, or one longer row.
+BATCH_BYTES = 4 << 20
+BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
 DISCOUNT, CONCENTRATION = 0.75, 5.0
 ROOT_DISCOUNT, ROOT_CONCENTRATION = 0.5, 50.0
 BURN_IN, SAMPLES = 2, 2
@@ -44,7 +49,13 @@ START, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """A table of the model; its shuffles are as large as the pairs, and gone once it is written."""
-    return _stored(df, name, compression="zstd", cleanup=True)
+    conf = df.sparkSession.conf
+    before = conf.get(BATCHES, None)
+    conf.set(BATCHES, str(BATCH_BYTES))
+    try:
+        return _stored(df, name, compression="zstd", cleanup=True)
+    finally:
+        conf.unset(BATCHES) if before is None else conf.set(BATCHES, before)
 
 
 def _raw(x: np.ndarray, kind) -> bytes:
@@ -63,16 +74,6 @@ def _wide(raw, n: int) -> np.ndarray:
     return np.frombuffer(raw, f"u{len(raw) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """Numbers with their bytes apart: those of small ones are mostly zeros."""
-    return _raw(np.ascontiguousarray(x, np.int64).view(np.uint8).reshape(-1, 8).T, np.uint8)
-
-
-def _whole(raw: bytes) -> bytes:
-    """The numbers of ``_planes`` as they lie in memory."""
-    return _raw(np.frombuffer(raw, np.uint8).reshape(8, -1).T, np.uint8)
-
-
 def _chunks(docs: DataFrame) -> DataFrame:
     """Rows of ``id, held, text`` packed: ids, flags and lengths of documents, distinct words, token numbers."""
     kind = docs.schema["id"].dataType.simpleString()
@@ -124,16 +125,16 @@ def _chunks(docs: DataFrame) -> DataFrame:
     )
 
 
-def _pairs(words: np.ndarray, numbers: np.ndarray, counts: np.ndarray, held: np.ndarray):
-    """Distinct (word, token before) pairs of a chunk: word number, context, training tokens; and each token's pair."""
-    contexts = np.append(words, START)
-    kind = np.uint32 if len(contexts) ** 2 <= 1 << 32 else np.uint64
-    before = np.empty(len(numbers), kind)
-    before[1:] = numbers[:-1]
-    before[np.cumsum(counts) - counts] = len(words)
-    pair, of = np.unique(numbers.astype(kind) * kind(len(contexts)) + before, return_inverse=True)
-    n = np.bincount(of, np.repeat(held == 0, counts), len(pair)).astype(np.int64)
-    return (pair // kind(len(contexts))).astype(np.int64), contexts[pair % kind(len(contexts))], n, of
+def _pairs(words: np.ndarray, numbers: np.ndarray, counts: np.ndarray):
+    """Distinct (word, token before) pairs of a chunk by their numbers, a document's start after all words; and each token's pair."""
+    n = len(words) + 1
+    kind = np.uint32 if n**2 <= 1 << 32 else np.uint64
+    pair = np.empty(len(numbers), kind)
+    pair[1:] = numbers[:-1]
+    pair[np.cumsum(counts) - counts] = len(words)
+    pair += numbers * kind(n)
+    pair, of = np.unique(pair, return_inverse=True)
+    return (pair // kind(n)).astype(np.uint32), (pair % kind(n)).astype(np.uint32), of
 
 
 def _rows(batch: pa.RecordBatch, *columns: str) -> Iterator[list[np.ndarray]]:
@@ -155,7 +156,7 @@ def _chunk_arrays(words, numbers, counts, held) -> tuple[np.ndarray, np.ndarray,
 
 def _by_part(words: np.ndarray, word: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs ordered by the part of their word: the order, the parts that occur, and where each begins."""
-    part = (words % np.uint64(parts)).astype(np.int64)[word]
+    part = (words % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)[word]
     order = np.argsort(part, kind="stable")
     some, at = np.unique(part[order], return_index=True)
     return order, some, np.append(at, len(order))
@@ -164,32 +165,35 @@ def _by_part(words: np.ndarray, word: np.ndarray, parts: int) -> tuple[np.ndarra
 _REQUEST = "part long, chunk long, words binary, per binary, ks binary, at binary, ns binary"
 
 
-def _requests(chunks: DataFrame, parts: int, training: bool) -> DataFrame:
-    """A chunk's pairs by part: distinct words, pairs of each, distinct contexts, each pair's; and training tokens if wanted."""
+def _requests(chunks: DataFrame, parts: int, training: bool, turn: tuple[int, int] = (0, 1)) -> DataFrame:
+    """A chunk's pairs by part: distinct words, pairs of each, distinct contexts, each pair's; and training tokens if wanted.
+
+    ``turn``: which of how many shares of the parts are asked.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, raw in zip(batch.column("chunk").to_pylist(), _rows(batch, "words", "numbers", "counts", "held")):
                 words, numbers, counts, held = _chunk_arrays(*raw)
-                word, k, n, _ = _pairs(words, numbers, counts, held)
+                word, before, of = _pairs(words, numbers, counts)
+                contexts = np.append(words, START)
+                n = np.bincount(of[np.repeat(held == 0, counts)], minlength=len(word)) if training else None
+                del numbers, of
                 order, some, at = _by_part(words, word, parts)
-                out = []
-                for a, b in zip(at, at[1:]):
-                    mine = order[a:b]
+                asked, out = some % turn[1] == turn[0], []
+                for i in np.flatnonzero(asked):
+                    mine = order[at[i] : at[i + 1]]
                     own, per = np.unique(word[mine], return_counts=True)
-                    ks, place, often = np.unique(k[mine], return_inverse=True, return_counts=True)
-                    order_k = np.argsort(-often, kind="stable")  # frequent contexts get small places
-                    rank = np.empty(len(order_k), np.int64)
-                    rank[order_k] = np.arange(len(order_k))
+                    ks, place = np.unique(before[mine], return_inverse=True)  # frequent contexts have small numbers
                     out.append(
                         (
-                            _raw(words[own], np.uint64), _narrow(per), _raw(ks[order_k], np.uint64), _narrow(rank[place]),
+                            _raw(words[own], np.uint64), _narrow(per), _raw(contexts[ks], np.uint64), _narrow(place),
                             _narrow(n[mine]) if training else None,
                         )
                     )
                 columns = list(zip(*out)) or [()] * 5
                 yield pa.record_batch(
-                    [pa.array(some, pa.int64()), pa.array([chunk] * len(some), pa.int64()), *[pa.array(c, pa.binary()) for c in columns]],
+                    [pa.array(some[asked], pa.int64()), pa.array([chunk] * len(out), pa.int64()), *[pa.array(c, pa.binary()) for c in columns]],
                     names=["part", "chunk", "words", "per", "ks", "at", "ns"],
                 )
 
@@ -197,8 +201,8 @@ def _requests(chunks: DataFrame, parts: int, training: bool) -> DataFrame:
 
 
 _STATE = (
-    "part long, contexts binary, per binary, ks binary, cs binary, t binary, m binary, kept binary, kept_m binary, "
-    "totals array<long>"
+    "part long, words binary, contexts binary, per binary, ks binary, cs binary, t binary, m binary, kept array<binary>, "
+    "kept_m array<binary>, totals array<long>"
 )
 
 
@@ -207,9 +211,6 @@ def _totals(cs: np.ndarray, t: np.ndarray, m: np.ndarray) -> list[int]:
     return [int(cs.sum()), int(t.sum()), len(m), int(m.sum())]
 
 
-_COUNTED = _STATE.replace("part long, ", "part long, words binary, ")
-
-
 def _count(requests: DataFrame, parts: int) -> DataFrame:
     """The model of every part: its words, and for each its contexts with customers, at one table each.
 
@@ -244,14 +245,14 @@ def _count(requests: DataFrame, parts: int) -> DataFrame:
                     pa.array([part]),
                     *[pa.array([_raw(x, np.uint64)]) for x in (own, contexts)],
                     *[pa.array([_narrow(x)]) for x in (per, ks, cs, t, m)],
-                    *[pa.array([b""])] * 2,
+                    *[pa.array([[]], pa.list_(pa.binary()))] * 2,
                     pa.array([_totals(cs, t, m)]),
                 ],
-                names=[f.split()[0] for f in _COUNTED.split(", ")],
+                names=[f.split()[0] for f in _STATE.split(", ")],
             )
 
     rows = requests.select("part", "words", "per", "ks", "at", "ns")
-    return map_batches(rows.repartition("part").sortWithinPartitions("part"), emit, _COUNTED)
+    return map_batches(rows.repartition("part").sortWithinPartitions("part"), emit, _STATE)
 
 
 def _pairs_of(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -263,14 +264,19 @@ def _pairs_of(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     return contexts, word, _wide(row["ks"], len(word)), _wide(row["cs"], len(word))
 
 
-def _context_totals(state: DataFrame, parts: int) -> DataFrame:
-    """``part, customers, tables``: totals over all parts of each of a part's contexts, in pieces in their order."""
+def _context_totals(state: DataFrame, parts: int, customers: bool = True) -> DataFrame:
+    """``part, customers, tables``: totals over all parts of each of a part's contexts, in pieces in their order.
+
+    Customers do not change, so those of the first model are enough.
+    """
+    wanted = {"customers": "cs", "tables": "t"} if customers else {"tables": "t"}
 
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                contexts, word, ks, cs = _pairs_of(row)
-                own = [np.bincount(ks, x, len(contexts)).astype(np.int64) for x in (cs, _wide(row["t"], len(word)))]
+                contexts, n = np.frombuffer(row["contexts"], np.uint64), int(_wide(row["per"], row["totals"][2]).sum())
+                ks = _wide(row["ks"], n)
+                own = [np.bincount(ks, _wide(row[c], n), len(contexts)).astype(np.int64) for c in wanted.values()]
                 owner, at = np.unique(contexts % np.uint64(parts), return_index=True)
                 cuts = list(zip(at, np.append(at[1:], len(contexts))))
                 yield pa.record_batch(
@@ -279,7 +285,7 @@ def _context_totals(state: DataFrame, parts: int) -> DataFrame:
                         pa.array([_raw(contexts[a:b], np.uint64) for a, b in cuts], pa.binary()),
                         *[pa.array([_narrow(x[a:b]) for a, b in cuts], pa.binary()) for x in own],
                     ],
-                    names=["owner", "part", "contexts", "customers", "tables"],
+                    names=["owner", "part", "contexts", *wanted],
                 )
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,22 +293,28 @@ def _context_totals(state: DataFrame, parts: int) -> DataFrame:
             rows = table.to_pylist()
             contexts = [np.frombuffer(r["contexts"], np.uint64) for r in rows]
             _, at = np.unique(np.concatenate(contexts), return_inverse=True)
-            sums = [np.bincount(at, np.concatenate([_wide(r[c], len(x)) for r, x in zip(rows, contexts)])) for c in ("customers", "tables")]
             ends = np.cumsum([len(x) for x in contexts])
-            for r, x, end in zip(rows, contexts, ends):
-                mine = at[end - len(x) : end]
-                yield pa.RecordBatch.from_pylist(
-                    [{"part": r["part"], "owner": r["owner"], "customers": _raw(sums[0][mine], np.int64), "tables": _raw(sums[1][mine], np.int64)}]
-                )
-
+            found = {c: table.column(c) for c in ("part", "owner")}
+            for c in wanted:
+                sums = np.bincount(at, np.concatenate([_wide(r[c], len(x)) for r, x in zip(rows, contexts)])).astype(np.int64)
+                mine = (sums[at[end - len(x) : end]] for x, end in zip(contexts, ends))
+                found[c] = pa.array([_narrow(x) if c == "tables" else _raw(x, np.int64) for x in mine], pa.binary())
+            yield from pa.table(found).combine_chunks().to_batches()
+
+    fields = ", ".join(f"{c} binary" for c in wanted)
     shares = map_batches(
-        state.select("part", "contexts", "per", "ks", "cs", "t", "totals"), share,
-        "owner long, part long, contexts binary, customers binary, tables binary",
-    )
+        state.select("part", "contexts", "per", "ks", *wanted.values(), "totals"), share, f"owner long, part long, contexts binary, {fields}"
+    )
     dealt = shares.repartition("owner").sortWithinPartitions("owner", "part")
-    summed = map_batches(dealt, add, "part long, owner long, customers binary, tables binary")
-    whole = summed.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("owner", "customers", "tables"))).alias("all"))
-    return stored(whole.select("part", "all.customers", "all.tables"), "lm_contexts")
+    summed = map_batches(dealt, add, f"part long, owner long, {fields}")
+    whole = summed.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("owner", *wanted))).alias("all"))
+    return stored(whole.select("part", *[f"all.{c}" for c in wanted]), "lm_contexts")
+
+
+def _tables(pieces: list[bytes], contexts: np.ndarray, parts: int) -> np.ndarray:
+    """Tables of a part's contexts from the pieces of their owners."""
+    _, n = np.unique(contexts % np.uint64(parts), return_counts=True)
+    return np.concatenate([np.zeros(0, np.int64), *[_wide(x, k) for x, k in zip(pieces, n)]])
 
 
 def seat(c: np.ndarray, others: np.ndarray, chance: np.ndarray, discount: float, concentration: float, rng) -> np.ndarray:
@@ -327,7 +339,9 @@ def root_chance(n: np.ndarray, m: np.ndarray, customers: float, tables: float, v
     return (n - ROOT_DISCOUNT * m + new) / (ROOT_CONCENTRATION + customers)
 
 
-def _sweep(state: DataFrame, contexts: DataFrame, totals: list[int], number: int, keep: bool, seed: int) -> DataFrame:
+def _sweep(
+    state: DataFrame, contexts: DataFrame, parts: int, totals: list[int], number: int, keep: bool, seed: int
+) -> DataFrame:
     """Every word's customers leave each restaurant and sit down again, first below, then in the parent."""
     _, all_tables, v, root_tables = totals
 
@@ -336,8 +350,8 @@ def _sweep(state: DataFrame, contexts: DataFrame, totals: list[int], number: int
             for i in range(batch.num_rows):  # one part at a time
                 row = batch.slice(i, 1).to_pylist()[0]
                 rng = np.random.default_rng([seed, number, row["part"]])
-                tables = np.frombuffer(b"".join(row.pop("tables")), np.int64).astype(np.float64)
-                _, word, ks, cs = _pairs_of(row)
+                hashes, word, ks, cs = _pairs_of(row)
+                tables = _tables(row.pop("tables"), hashes, parts).astype(np.float64)
                 t, m = _wide(row["t"], len(word)), _wide(row["m"], row["totals"][2])
                 n = np.bincount(word, t, len(m))
                 # without the pair's own tables
@@ -347,7 +361,7 @@ def _sweep(state: DataFrame, contexts: DataFrame, totals: list[int], number: int
                 m = seat(n, np.maximum(root_tables - m, 0).astype(np.float64), np.full(len(n), 1 / (v + 1)), ROOT_DISCOUNT, ROOT_CONCENTRATION, rng)
                 row |= {"t": _narrow(t), "m": _narrow(m), "totals": _totals(cs, t, m)}
                 if keep:
-                    row |= {"kept": row["kept"] + _raw(t, np.int64), "kept_m": row["kept_m"] + _raw(m, np.int64)}
+                    row |= {"kept": [*row["kept"], row["t"]], "kept_m": [*row["kept_m"], row["m"]]}
                 yield pa.RecordBatch.from_pylist([row], pa.schema([f for f in batch.schema if f.name != "tables"]))
 
     return map_batches(state.join(contexts.select("part", "tables"), "part"), emit, _STATE)
@@ -363,30 +377,16 @@ def _sum_totals(state: DataFrame) -> list[int]:
 _OWN = ("words", "per", "ks", "at", "contexts", "cs", "kept", "kept_m", "customers", "tables")
 
 
-def _model(counted: DataFrame, state: DataFrame, samples: list[tuple[list[int], DataFrame]]) -> DataFrame:
+def _model(state: DataFrame, first: DataFrame, samples: list[DataFrame]) -> DataFrame:
     """``part`` and all that its answers need: words, pairs, the contexts' customers, and of each sample all tables."""
-    model = counted.select("part", "words").join(state.select("part", "per", "ks", "contexts", "cs", "kept", "kept_m"), "part")
-    for i, (_, contexts) in enumerate(samples):  # customers do not change
-        joined = contexts.select("part", F.col("tables").alias(f"tables{i}"), *["customers"][i:])
-        model = model.join(joined, "part")
-    tables = F.array(*[f"tables{i}" for i in range(len(samples))]).alias("tables")
+    model = state.select("part", *[c for c in _OWN[:8] if c != "at"]).join(first.select("part", "customers"), "part")
+    for i, contexts in enumerate(samples):
+        model = model.join(contexts.select("part", F.col("tables").alias(f"tables{i}")), "part")
+    tables = [f"tables{i}" for i in range(len(samples))]
+    return model.withColumn("tables", F.array(*tables)).drop(*tables)
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                found = {c: _planes(np.frombuffer(row[c], np.int64)) for c in ("kept", "kept_m")}
-                found["customers"] = _planes(np.frombuffer(b"".join(row["customers"]), np.int64))
-                found["tables"] = [_planes(np.frombuffer(b"".join(x), np.int64)) for x in row["tables"]]
-                yield pa.RecordBatch.from_pylist([row | found], pa.schema([(c, kinds[c]) for c in row]))
-
-    kinds = dict.fromkeys(_OWN, pa.binary()) | {"part": pa.int64(), "tables": pa.list_(pa.binary())}
-    fields = ["words", "per", "ks", "contexts", "cs", "kept", "kept_m", "customers"]
-    schema = f"part long, {', '.join(f'{c} binary' for c in fields)}, tables array<binary>"
-    return map_batches(model.select("part", *fields, tables), pack, schema)
 
-
-def _answers(requests: DataFrame, model: DataFrame, scalars: list[list[int]]) -> DataFrame:
+def _answers(requests: DataFrame, model: DataFrame, parts: int, scalars: list[list[int]]) -> DataFrame:
     """``chunk, part, c, p``: training count of each word asked for, log10 probability of each pair.
 
     ``scalars``: each sample's totals.  Every part has a row of the model, as it was counted from the same requests.
@@ -399,17 +399,18 @@ def _answers(requests: DataFrame, model: DataFrame, scalars: list[list[int]]) ->
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, contexts, order = None, None, None
         for batch in batches:
-            chunks, parts = batch.column("chunk").to_pylist(), batch.column("part").to_pylist()
+            chunks, asked = batch.column("chunk").to_pylist(), batch.column("part").to_pylist()
             for i in range(batch.num_rows):
                 one = batch.slice(i, 1)
                 if chunks[i] == -1:
                     row = one.to_pylist()[0]
-                    row |= {c: _whole(row[c]) for c in ("kept", "kept_m")}
-                    customers, found = np.frombuffer(_whole(row["customers"]), np.int64), []
+                    contexts, word, _, _ = _pairs_of(row | {"totals": [0, 0, len(row["words"]) // 8]})
+                    for c, n in (("kept", len(word)), ("kept_m", len(row["words"]) // 8)):
+                        row[c] = b"".join(_raw(_wide(x, n), np.int64) for x in row[c])
+                    customers, found = np.frombuffer(b"".join(row["customers"]), np.int64), []
                     for totals, x in zip(scalars, row["tables"]):
-                        found.append(np.concatenate([customers, np.frombuffer(_whole(x), np.int64), totals[2:]]))
+                        found.append(np.concatenate([customers, _tables(x, contexts, parts), totals[2:]]))
                     part = _Part(row, found, [totals[1] for totals in scalars])
-                    contexts = np.frombuffer(row["contexts"], np.uint64)
                     order = np.argsort(contexts)
                     continue
                 words, per, ks, at = next(_rows(one, "words", "per", "ks", "at"))
@@ -419,7 +420,7 @@ def _answers(requests: DataFrame, model: DataFrame, scalars: list[list[int]]) ->
                 c, p = part.answer(words, per, places[_wide(at, int(per.sum()))])
                 wide = np.uint32 if c.max(initial=0) < 1 << 32 else np.uint64
                 yield pa.record_batch(
-                    {"chunk": [chunks[i]], "part": [parts[i]], "c": [_raw(c, wide)], "p": [_raw(p, np.float32)]}
+                    {"chunk": [chunks[i]], "part": [asked[i]], "c": [_raw(c, wide)], "p": [_raw(p, np.float32)]}
                 )
 
     dealt = both.repartition("part").sortWithinPartitions("part", "chunk")
@@ -480,7 +481,7 @@ def _scores(chunks: DataFrame, answers: DataFrame, parts: int, n: int, v: int) -
             for i, raw in enumerate(_rows(batch, "words", "numbers", "counts", "held")):
                 one = batch.slice(i, 1)
                 words, numbers, counts, held = _chunk_arrays(*raw)
-                word, _, _, of = _pairs(words, numbers, counts, held)
+                word, _, of = _pairs(words, numbers, counts)
                 order, some, at = _by_part(words, word, parts)
                 c, p = np.zeros(len(words), np.int64), np.zeros(len(word))
                 answers = one.column("got").flatten()
@@ -537,24 +538,26 @@ def score_documents(
     counted = stored(_count(_requests(chunks, n_parts, training=True), n_parts), "lm_counts")
     totals = _sum_totals(counted)
     n, v = totals[0], totals[2]
-    state, kept, contexts = counted.drop("words"), [], _context_totals(counted, n_parts)
+    state, kept, first = counted, [], _context_totals(counted, n_parts)
+    contexts = first
     for i in range(burn_in + samples):
-        swept = stored(_sweep(state, contexts, totals, i, i >= burn_in, seed), "lm_state")
+        swept = stored(_sweep(state, contexts, n_parts, totals, i, i >= burn_in, seed), "lm_state")
         totals = _sum_totals(swept)
-        if i:
-            discard(state)  # the sweep before this one
-        if i <= burn_in:
+        discard(state)  # the sweep before this one
+        if 0 < i <= burn_in:
             discard(contexts)
-        state, contexts = swept, _context_totals(swept, n_parts)
+        state, contexts = swept, _context_totals(swept, n_parts, customers=False)
         if i >= burn_in:
             kept.append((totals, contexts))
-    model = stored(_model(counted, state, kept), "lm_model")
-    for done in (counted, state, *[x for _, x in kept]):
+    model = stored(_model(state, first, [x for _, x in kept]), "lm_model")
+    for done in (state, first, *[x for _, x in kept]):
         discard(done)
-    requests, scalars, answers = _requests(chunks, n_parts, training=False), [x for x, _ in kept], None
+    scalars, answers = [x for x, _ in kept], []
     for i in range(ROUNDS):
-        some = F.col("part") % ROUNDS == i
-        more = stored(_answers(requests.where(some), model.where(some), scalars), "lm_answers")
-        answers = answers.unionByName(more) if answers else more
+        requests = _requests(chunks, n_parts, training=False, turn=(i, ROUNDS))
+        answers.append(stored(_answers(requests, model.where(F.col("part") % ROUNDS == i), n_parts, scalars), "lm_answers"))
     discard(model)
-    return _scores(chunks, answers, n_parts, n, v).withColumnRenamed("id", id_col)
+    found = stored(_scores(chunks, reduce(DataFrame.unionByName, answers), n_parts, n, v), "lm_scores")
+    for done in (chunks, *answers):
+        discard(done)
+    return found.withColumnRenamed("id", id_col)
