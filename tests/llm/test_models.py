@@ -229,6 +229,50 @@ def test_parts_answer_in_any_number_of_rounds(spark, monkeypatch):
     assert found[0] == found[1] == found[2] and len(found[0]) == 101
 
 
+def test_numbers_are_sorted_with_their_places():
+    """As numpy sorts them, also hashes that share their first bits and numbers that repeat."""
+    rng = np.random.default_rng(11)
+    close = (np.uint64(1 << 63) + rng.integers(0, 50, 3000).astype(np.uint64)).astype(np.uint64)
+    large = rng.integers(0, 2**64 - 1, 3000, dtype=np.uint64)
+    for x in (close, large, np.append(large, large[:900]), rng.integers(0, 40, 900).astype(np.uint32), large[:1], large[:0]):
+        found, order = lm._sorted(x)
+        assert found.dtype == x.dtype and (found == x[order]).all() and (order == np.argsort(x, kind="stable")).all()
+        found, of = lm._distinct(x)
+        expected, places = np.unique(x, return_inverse=True)
+        assert (found == expected).all() and (of == places).all()
+    for x in (np.unique(close), large, np.append(large[:5], np.uint64(2**64 - 1)), large[:1], large[:0]):
+        x = rng.permutation(x)
+        asked = np.concatenate([x, close, large[:500] + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)])
+        place = {int(h): i for i, h in enumerate(x)}
+        assert lm._Places(x).find(asked).tolist() == [place.get(int(h), len(x)) for h in asked]
+
+
+def test_requests_of_a_part_are_answered_together(spark, monkeypatch):
+    """Small requests of many chunks cost no look-up each, and a round's chunk sorts the pairs of its parts once."""
+    rng = np.random.default_rng(12)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 300, 50)), i % 5 == 0) for i in range(60)]
+    chunks = lm._chunks(spark.createDataFrame(rows, "id long, text string, held boolean").repartition(20))
+    counted = lm._count(lm._requests(chunks, 4, training=True), 4)
+    totals, first = lm._sum_totals(counted), lm._context_totals(counted, 4)
+    state = counted.withColumn("kept", F.array("t")).withColumn("kept_m", F.array("m"))
+    model, asked = lm._model(state, first, [first]), lm._requests(chunks, 4, training=False)
+    batches, tasks = lm.map_batches, []
+
+    def kept(df, fn, schema):
+        tasks.append((df, fn))
+        return batches(df, fn, schema)
+
+    monkeypatch.setattr(lm, "map_batches", kept)
+    found = {(r.chunk, r.part): (r.c, r.p) for r in lm._answers(asked, model, 4, [totals]).collect()}
+    assert len(found) == asked.count() > 40
+    calls, answer = [], _Part.answer
+    monkeypatch.setattr(_Part, "answer", lambda self, *x: calls.append(len(x[0])) or answer(self, *x))
+    df, emit = tasks[-1]
+    again = [r for batch in emit(iter(df.coalesce(1).toArrow().to_batches())) for r in batch.to_pylist()]
+    assert {(r["chunk"], r["part"]): (r["c"], r["p"]) for r in again} == found
+    assert 4 <= len(calls) < 20  # before, one for each of the requests
+
+
 def test_seating():
     rng = np.random.default_rng(2)
     c = np.array([0, 1, 2, 1000, 1_000_000])

@@ -39,6 +39,10 @@ ROUNDS = 2
 # Bytes of rows that are sent to Python at once, or one longer row.
 BATCH_BYTES = 4 << 20
 BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
+# Bytes of text that are hashed at once, few enough that what is made of them stays in a core's cache.
+HASHED_BYTES = 1 << 17
+# Pairs that are looked up at once, or those of one longer request.
+ASKED_PAIRS = 1 << 18
 DISCOUNT, CONCENTRATION = 0.75, 5.0
 ROOT_DISCOUNT, ROOT_CONCENTRATION = 0.5, 50.0
 BURN_IN, SAMPLES = 2, 2
@@ -74,15 +78,72 @@ def _wide(raw, n: int) -> np.ndarray:
     return np.frombuffer(raw, f"u{len(raw) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
 
 
+def _sorted(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unsigned numbers and their stable order: each, or a hash's first bits, is sorted in one integer with its place."""
+    bits = max(len(x) - 1, 0).bit_length()
+    places = np.uint64((1 << bits) - 1)
+    whole = int(x.max(initial=0)) < 1 << (64 - bits)
+    key = x.astype(np.uint64) << np.uint64(bits) if whole else x & ~places
+    key |= np.arange(len(x), dtype=np.uint64)
+    key.sort()
+    order = (key & places).astype(np.int64)
+    if whole:
+        return (key >> np.uint64(bits)).astype(x.dtype), order
+    found = x[order]
+    if (found[1:] < found[:-1]).any():  # hashes that differ in their last bits only
+        order = np.argsort(x, kind="stable")
+        found = x[order]
+    return found, order
+
+
+def _begins(x: np.ndarray) -> np.ndarray:
+    """Whether a value differs from the one before it."""
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return new
+
+
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct unsigned numbers in order, and the place of each number among them."""
+    found, order = _sorted(x)
+    new = _begins(found)
+    of = np.empty(len(x), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return found[new], of
+
+
+class _Places:
+    """Looks up distinct hashes: the first bits of one tell where to begin, and few others share them."""
+
+    def __init__(self, hashes: np.ndarray):
+        kind = np.uint32 if len(hashes) < 1 << 32 else np.int64
+        found, order = _sorted(hashes)
+        self.hashes = np.append(found, np.uint64(2**64 - 1))
+        self.order = np.append(order, len(order)).astype(kind)
+        bits = max(len(hashes).bit_length(), 1)
+        self.shift = np.uint64(64 - bits)
+        n = np.bincount((self.hashes[:-1] >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.start = (np.cumsum(n) - n).astype(kind)
+
+    def find(self, x: np.ndarray) -> np.ndarray:
+        """Place of each hash, one past the last if absent."""
+        at = self.start[(x >> self.shift).astype(np.int64)].astype(np.int64)
+        below = np.flatnonzero(self.hashes[at] < x)
+        while len(below):
+            at[below] += 1
+            below = below[self.hashes[at[below]] < x[below]]
+        return self.order[np.where(self.hashes[at] == x, at, len(self.order) - 1)].astype(np.int64)
+
+
 def _chunks(docs: DataFrame) -> DataFrame:
     """Rows of ``id, held, text`` packed: ids, flags and lengths of documents, distinct words, token numbers."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def pack(number: int, held: list) -> pa.RecordBatch:
         flat = np.concatenate([h for _, _, _, h in held])
-        words, numbers, often = np.unique(flat, return_inverse=True, return_counts=True)
+        words, numbers = _distinct(flat)
         # frequent words get small numbers, and a number's bytes lie apart: what is stored is mostly zeros
-        order = np.argsort(-often, kind="stable")
+        order = np.argsort(-np.bincount(numbers), kind="stable")
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
         words, numbers = words[order], rank[numbers]
@@ -103,17 +164,18 @@ def _chunks(docs: DataFrame) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, number = [], 0, 0
         for batch in batches:
-            for rows, data, starts in pieces(batch, "text"):
-                hashes, _, _, per_doc = tokens(data, starts)
-                counts = np.diff(per_doc) + 1
-                ends = np.cumsum(counts) - 1
-                flat = np.full(len(hashes) + rows.num_rows, END, np.uint64)
-                inner = np.ones(len(flat), bool)
-                inner[ends] = False
-                flat[inner] = hashes
-                flags = np.asarray(rows.column("held").to_pylist(), np.uint8)
-                held.append((rows.column("id"), flags, counts, flat))
-                size += len(flat)
+            for piece, _, _ in pieces(batch, "text"):
+                for rows, data, starts in pieces(piece, "text", HASHED_BYTES):
+                    hashes, _, _, per_doc = tokens(data, starts)
+                    counts = np.diff(per_doc) + 1
+                    ends = np.cumsum(counts) - 1
+                    flat = np.full(len(hashes) + rows.num_rows, END, np.uint64)
+                    inner = np.ones(len(flat), bool)
+                    inner[ends] = False
+                    flat[inner] = hashes
+                    flags = np.asarray(rows.column("held").to_pylist(), np.uint8)
+                    held.append((rows.column("id"), flags, counts, flat))
+                    size += len(flat)
                 if size >= CHUNK_TOKENS:
                     yield pack(number, held)
                     held, size, number = [], 0, number + 1
@@ -125,15 +187,19 @@ def _chunks(docs: DataFrame) -> DataFrame:
     )
 
 
-def _pairs(words: np.ndarray, numbers: np.ndarray, counts: np.ndarray):
-    """Distinct (word, token before) pairs of a chunk by their numbers, a document's start after all words; and each token's pair."""
+def _pairs(words: np.ndarray, numbers: np.ndarray, counts: np.ndarray, tokens: bool = True):
+    """Distinct (word, token before) pairs of a chunk by their numbers, a document's start after all words; and each token's pair if wanted."""
     n = len(words) + 1
     kind = np.uint32 if n**2 <= 1 << 32 else np.uint64
     pair = np.empty(len(numbers), kind)
     pair[1:] = numbers[:-1]
     pair[np.cumsum(counts) - counts] = len(words)
     pair += numbers * kind(n)
-    pair, of = np.unique(pair, return_inverse=True)
+    if tokens:
+        pair, of = _distinct(pair)
+    else:
+        pair.sort()
+        pair, of = pair[_begins(pair)], None
     return (pair // kind(n)).astype(np.uint32), (pair % kind(n)).astype(np.uint32), of
 
 
@@ -154,12 +220,19 @@ def _chunk_arrays(words, numbers, counts, held) -> tuple[np.ndarray, np.ndarray,
     return _as(words, np.uint64), plain, _as(counts, np.int64), held
 
 
-def _by_part(words: np.ndarray, word: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs ordered by the part of their word: the order, the parts that occur, and where each begins."""
-    part = (words % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)[word]
-    order = np.argsort(part, kind="stable")
-    some, at = np.unique(part[order], return_index=True)
-    return order, some, np.append(at, len(order))
+def _by_part(words: np.ndarray, word: np.ndarray, parts: int, turn: tuple[int, int] = (0, 1)):
+    """Pairs ordered by the part of their word: the order, the parts that occur, where each begins, its words, and where they begin.
+
+    Pairs come in the order of their words.  ``turn``: as of ``_requests``.
+    """
+    part = (words % np.uint64(parts)).astype(np.uint32)
+    mine = np.flatnonzero((part % turn[1] == turn[0])[word]) if turn[1] > 1 else np.arange(len(word))
+    part = part[word[mine]]
+    part, order = _sorted(part)
+    order = mine[order]
+    at = np.flatnonzero(_begins(part))
+    begins = np.flatnonzero(_begins(word[order]))
+    return order, part[at], np.append(at, len(order)), np.append(begins, len(order)), np.append(np.searchsorted(begins, at), len(begins))
 
 
 _REQUEST = "part long, chunk long, words binary, per binary, ks binary, at binary, ns binary"
@@ -175,25 +248,29 @@ def _requests(chunks: DataFrame, parts: int, training: bool, turn: tuple[int, in
         for batch in batches:
             for chunk, raw in zip(batch.column("chunk").to_pylist(), _rows(batch, "words", "numbers", "counts", "held")):
                 words, numbers, counts, held = _chunk_arrays(*raw)
-                word, before, of = _pairs(words, numbers, counts)
+                word, before, of = _pairs(words, numbers, counts, tokens=training)
                 contexts = np.append(words, START)
                 n = np.bincount(of[np.repeat(held == 0, counts)], minlength=len(word)) if training else None
                 del numbers, of
-                order, some, at = _by_part(words, word, parts)
-                asked, out = some % turn[1] == turn[0], []
-                for i in np.flatnonzero(asked):
-                    mine = order[at[i] : at[i + 1]]
-                    own, per = np.unique(word[mine], return_counts=True)
-                    ks, place = np.unique(before[mine], return_inverse=True)  # frequent contexts have small numbers
+                order, some, at, begins, own = _by_part(words, word, parts, turn)
+                asked, per = words[word[order[begins[:-1]]]], np.diff(begins)
+                nth = np.repeat(np.arange(len(some), dtype=np.uint64), np.diff(at))
+                ks, place = _distinct(nth * np.uint64(len(contexts)) + before[order])  # frequent contexts have small numbers
+                first = np.searchsorted(ks // np.uint64(len(contexts)), np.arange(len(some) + 1, dtype=np.uint64))
+                place -= first[nth.astype(np.int64)]
+                ks = contexts[ks % np.uint64(len(contexts))]
+                n, out = n[order] if training else None, []
+                for i in range(len(some)):
+                    pairs, of_part, k = slice(at[i], at[i + 1]), slice(own[i], own[i + 1]), slice(first[i], first[i + 1])
                     out.append(
                         (
-                            _raw(words[own], np.uint64), _narrow(per), _raw(contexts[ks], np.uint64), _narrow(place),
-                            _narrow(n[mine]) if training else None,
+                            _raw(asked[of_part], np.uint64), _narrow(per[of_part]), _raw(ks[k], np.uint64), _narrow(place[pairs]),
+                            _narrow(n[pairs]) if training else None,
                         )
                     )
                 columns = list(zip(*out)) or [()] * 5
                 yield pa.record_batch(
-                    [pa.array(some[asked], pa.int64()), pa.array([chunk] * len(out), pa.int64()), *[pa.array(c, pa.binary()) for c in columns]],
+                    [pa.array(some, pa.int64()), pa.array([chunk] * len(out), pa.int64()), *[pa.array(c, pa.binary()) for c in columns]],
                     names=["part", "chunk", "words", "per", "ks", "at", "ns"],
                 )
 
@@ -228,15 +305,16 @@ def _count(requests: DataFrame, parts: int) -> DataFrame:
                     ks.append(_as(k, np.uint64)[_wide(at, len(words[-1]))])
                     ns.append(_wide(n, len(words[-1])))
             words, ks, ns = np.concatenate(words), np.concatenate(ks), np.concatenate(ns)
-            contexts, ks = np.unique(ks, return_inverse=True)
-            order = np.argsort(contexts % np.uint64(parts), kind="stable")
+            contexts, ks = _distinct(ks)
+            _, order = _sorted(contexts % np.uint64(parts))
             place = np.empty(len(order), np.int64)
             place[order] = np.arange(len(order))
             contexts, some = contexts[order], ns > 0
             words, ks, ns = words[some], place[ks][some], ns[some]
-            own, at = np.unique(words, return_inverse=True)
-            pair, of = np.unique(at * len(contexts) + ks, return_inverse=True)
+            own, at = _distinct(words)
+            pair, of = _distinct((at * len(contexts) + ks).astype(np.uint64))
             cs = np.bincount(of, ns, len(pair)).astype(np.int64)
+            pair = pair.astype(np.int64)
             ks = pair % len(contexts)
             per = np.bincount(pair // len(contexts), minlength=len(own))
             t, m = np.ones(len(cs), np.int64), np.ones(len(own), np.int64)
@@ -292,7 +370,7 @@ def _context_totals(state: DataFrame, parts: int, customers: bool = True) -> Dat
         for table in _grouped(batches, ("owner",)):
             rows = table.to_pylist()
             contexts = [np.frombuffer(r["contexts"], np.uint64) for r in rows]
-            _, at = np.unique(np.concatenate(contexts), return_inverse=True)
+            _, at = _distinct(np.concatenate(contexts))
             ends = np.cumsum([len(x) for x in contexts])
             found = {c: table.column(c) for c in ("part", "owner")}
             for c in wanted:
@@ -319,18 +397,21 @@ def _tables(pieces: list[bytes], contexts: np.ndarray, parts: int) -> np.ndarray
 
 def seat(c: np.ndarray, others: np.ndarray, chance: np.ndarray, discount: float, concentration: float, rng) -> np.ndarray:
     """Tables that ``c`` customers of one dish take, given the tables of all others and the dish's chance above."""
-    t = (c > 0).astype(np.float64)
+    t = (c > 0).astype(np.int64)
     live = np.flatnonzero(c > 1)
+    c, others, chance, own = c[live], others[live], chance[live], np.ones(len(live))
     seated = 1
     while len(live):
         block = 1 if seated < SINGLE else seated // 8
-        more = np.minimum(block, c[live] - seated)
-        new = (concentration + discount * (others[live] + t[live])) * chance[live]
-        new = new / (new + seated - discount * t[live])
-        t[live] += rng.random(len(live)) < new if block == 1 else rng.binomial(more, np.clip(new, 0, 1))
+        new = (concentration + discount * (others + own)) * chance
+        new = new / (new + seated - discount * own)
+        own += rng.random(len(live)) < new if block == 1 else rng.binomial(np.minimum(block, c - seated), np.clip(new, 0, 1))
         seated += block
-        live = live[c[live] > seated]
-    return t.astype(np.int64)
+        stay = c > seated
+        if not stay.all():
+            t[live[~stay]] = own[~stay]
+            live, c, others, chance, own = (x[stay] for x in (live, c, others, chance, own))
+    return t
 
 
 def root_chance(n: np.ndarray, m: np.ndarray, customers: float, tables: float, v: int) -> np.ndarray:
@@ -355,7 +436,8 @@ def _sweep(
                 t, m = _wide(row["t"], len(word)), _wide(row["m"], row["totals"][2])
                 n = np.bincount(word, t, len(m))
                 # without the pair's own tables
-                chance = root_chance(np.maximum(n[word] - t, 0), np.minimum(m[word], n[word] - t), all_tables, root_tables, v)
+                rest = n[word] - t
+                chance = root_chance(np.maximum(rest, 0), np.minimum(m[word], rest), all_tables, root_tables, v)
                 t = seat(cs, tables[ks] - t, np.maximum(chance, 1e-300), DISCOUNT, CONCENTRATION, rng)
                 n = np.bincount(word, t, len(m)).astype(np.int64)
                 m = seat(n, np.maximum(root_tables - m, 0).astype(np.float64), np.full(len(n), 1 / (v + 1)), ROOT_DISCOUNT, ROOT_CONCENTRATION, rng)
@@ -397,13 +479,34 @@ def _answers(requests: DataFrame, model: DataFrame, parts: int, scalars: list[li
     )
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, contexts, order = None, None, None
+        part, places = None, None
+
+        def answer(rows: list) -> pa.RecordBatch:
+            """Answers to requests of one part, looked up together."""
+            chunks, asked, words, per, ks, at = zip(*rows)
+            n, pairs = np.cumsum([len(x) for x in words])[:-1], np.cumsum([len(x) for x in at])[:-1]
+            first = np.cumsum([0, *[len(x) for x in ks[:-1]]])
+            ks = places.find(np.concatenate(ks))[np.concatenate([x + a for x, a in zip(at, first)])]
+            c, p = part.answer(np.concatenate(words), np.concatenate(per), ks)
+            p = p.astype(np.float32)
+            return pa.record_batch(
+                {
+                    "chunk": list(chunks),
+                    "part": list(asked),
+                    "c": [_raw(x, np.uint32 if x.max(initial=0) < 1 << 32 else np.uint64) for x in np.split(c, n)],
+                    "p": [_raw(x, np.float32) for x in np.split(p, pairs)],
+                }
+            )
+
         for batch in batches:
             chunks, asked = batch.column("chunk").to_pylist(), batch.column("part").to_pylist()
-            for i in range(batch.num_rows):
-                one = batch.slice(i, 1)
+            rows, size = [], 0
+            for i, (words, per, ks, at) in enumerate(_rows(batch, "words", "per", "ks", "at")):
+                if rows and (chunks[i] == -1 or size >= ASKED_PAIRS):
+                    yield answer(rows)
+                    rows, size = [], 0
                 if chunks[i] == -1:
-                    row = one.to_pylist()[0]
+                    row = batch.slice(i, 1).to_pylist()[0]
                     contexts, word, _, _ = _pairs_of(row | {"totals": [0, 0, len(row["words"]) // 8]})
                     for c, n in (("kept", len(word)), ("kept_m", len(row["words"]) // 8)):
                         row[c] = b"".join(_raw(_wide(x, n), np.int64) for x in row[c])
@@ -411,17 +514,14 @@ def _answers(requests: DataFrame, model: DataFrame, parts: int, scalars: list[li
                     for totals, x in zip(scalars, row["tables"]):
                         found.append(np.concatenate([customers, _tables(x, contexts, parts), totals[2:]]))
                     part = _Part(row, found, [totals[1] for totals in scalars])
-                    order = np.argsort(contexts)
+                    places = _Places(contexts)
                     continue
-                words, per, ks, at = next(_rows(one, "words", "per", "ks", "at"))
                 words = _as(words, np.uint64)
                 per = _wide(per, len(words))
-                places = order[np.searchsorted(contexts, _as(ks, np.uint64), sorter=order)]
-                c, p = part.answer(words, per, places[_wide(at, int(per.sum()))])
-                wide = np.uint32 if c.max(initial=0) < 1 << 32 else np.uint64
-                yield pa.record_batch(
-                    {"chunk": [chunks[i]], "part": [asked[i]], "c": [_raw(c, wide)], "p": [_raw(p, np.float32)]}
-                )
+                rows.append((chunks[i], asked[i], words, per, _as(ks, np.uint64), _wide(at, int(per.sum()))))
+                size += len(rows[-1][-1])
+            if rows:
+                yield answer(rows)
 
     dealt = both.repartition("part").sortWithinPartitions("part", "chunk")
     return map_batches(dealt, emit, "chunk long, part long, c binary, p binary")
@@ -454,20 +554,15 @@ class _Part:
             back = (CONCENTRATION + DISCOUNT * tables) / (CONCENTRATION + customers)
             own = (self.cs - DISCOUNT * tt) / (CONCENTRATION + customers[ks])
             self.samples.append((np.append(chance, unseen), back, np.append(own, 0.0)))
-        self.pair = self.word * self.contexts + ks
+        self.found = _Places(self.words)
+        self.pairs = _Places(mix64(self.word * self.contexts + ks))
 
     def answer(self, words: np.ndarray, per: np.ndarray, ks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        def find(table: np.ndarray, x: np.ndarray) -> np.ndarray:
-            """Place in a sorted table, one past its end if absent."""
-            at = np.minimum(np.searchsorted(table, x), max(len(table) - 1, 0))
-            return np.where(table[at] == x, at, len(table)) if len(table) else np.zeros(len(x), np.int64)
-
-        at = find(self.words, words)
-        word = np.repeat(at, per)
-        pair = find(self.pair, word * self.contexts + ks)
+        at = self.found.find(words)
+        pair = self.pairs.find(mix64(np.repeat(at, per) * self.contexts + ks))
         total = np.zeros(len(ks))
         for chance, back, own in self.samples:
-            total += own[pair] + back[ks] * chance[word]
+            total += own[pair] + back[ks] * np.repeat(chance[at], per)
         return np.append(self.c, 0)[at], np.log10(total / len(self.samples))
 
 
@@ -482,14 +577,12 @@ def _scores(chunks: DataFrame, answers: DataFrame, parts: int, n: int, v: int) -
                 one = batch.slice(i, 1)
                 words, numbers, counts, held = _chunk_arrays(*raw)
                 word, _, of = _pairs(words, numbers, counts)
-                order, some, at = _by_part(words, word, parts)
+                order, _, _, begins, own = _by_part(words, word, parts)
                 c, p = np.zeros(len(words), np.int64), np.zeros(len(word))
-                answers = one.column("got").flatten()
-                for j, (a, b) in enumerate(zip(at, at[1:])):
-                    mine = order[a:b]
-                    own, raw_c = np.unique(word[mine]), answers.field("c")[j].as_py()
-                    c[own] = np.frombuffer(raw_c, np.uint32 if len(raw_c) == 4 * len(own) else np.uint64)
-                    p[mine] = np.frombuffer(answers.field("p")[j].as_py(), np.float32)
+                answers = pa.RecordBatch.from_struct_array(one.column("got").flatten())
+                known = [_wide(x, k) for (x,), k in zip(_rows(answers, "c"), np.diff(own))]
+                c[word[order[begins[:-1]]]] = np.concatenate([np.zeros(0, np.int64), *known])
+                p[order] = _as(column_bytes(answers.column("p"))[0], np.float32)
                 starts = np.cumsum(counts) - counts
                 base = np.log10((c + 1) / (n + v + 1))
                 yield pa.record_batch(
